@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import packing, quality_rules, substring_dedup, url_rules
+from . import near_dedup, packing, quality_rules, substring_dedup, url_rules
 
 _ALL = {
     "op2_substring_dedup": substring_dedup,
+    "op3_near_dedup": near_dedup,
     "op6_quality_rules": quality_rules,
     "op9_url_rules": url_rules,
     "op10_packing": packing,
