@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import near_dedup, packing, quality_rules, substring_dedup, url_rules
+from . import decontamination, line_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_rules
 
 _ALL = {
+    "op1_decontamination": decontamination,
     "op2_substring_dedup": substring_dedup,
     "op3_near_dedup": near_dedup,
+    "op5_toxicity": toxicity,
     "op6_quality_rules": quality_rules,
+    "op7_line_dedup": line_dedup,
+    "op8_quality_classifier": quality_classifier,
     "op9_url_rules": url_rules,
     "op10_packing": packing,
 }
