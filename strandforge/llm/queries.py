@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, line_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_rules
+from . import decontamination, language_model, line_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_rules
 
 _ALL = {
     "op1_decontamination": decontamination,
     "op2_substring_dedup": substring_dedup,
     "op3_near_dedup": near_dedup,
+    "op4_language_model": language_model,
     "op5_toxicity": toxicity,
     "op6_quality_rules": quality_rules,
     "op7_line_dedup": line_dedup,
