@@ -7,8 +7,8 @@
 2. Documents with equal sets collapse to the least id before anything else, by a pre-aggregated sum.
 3. Signatures are cut into bands. In each band bucket everyone is compared with the bucket's least and greatest
    member only; verified links are grouped.
-4. Buckets whose members are still in different groups are taken up again, block against block: only pairs of
-   different groups whose signatures agree enough are verified. Pairs within a group need no check, as they
+4. Buckets whose members are still in different groups are taken up again, block against block, with their full
+   sets: pairs of different groups whose signatures agree enough are verified there, and only links come out. Pairs within a group need no check, as they
    cannot change it. No pair of a bucket is lost, and none is listed that cannot matter.
 """
 
@@ -26,7 +26,8 @@ from .components import components
 SLOTS, BANDS, ROWS = 64, 16, 4
 #: Signatures that agree in less than this share of slots are not verified: 4.5 standard deviations below 0.85.
 LEAST_ESTIMATE = 0.65
-BLOCK = 128
+#: Shingles a block holds, about (8 bytes each).
+BLOCK = 16_384
 
 
 def shingles(text: bytes | None, cache: WordHash, size: int = 5) -> np.ndarray:
@@ -84,7 +85,7 @@ def _bands(batches):
         h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(ids), BANDS)).copy()
         for k in range(ROWS):
             h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, k] + np.uint64(1))
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, BANDS)), pa.array(signed(h.reshape(-1)))], ["id", "bucket"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, BANDS)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(ids))), pa.array(signed(h.reshape(-1)))], ["id", "band", "bucket"])
 
 
 def _alike(batches):
@@ -116,22 +117,41 @@ def _verify(percent: int):
     return go
 
 
-def _blocks(batches):
-    """Pairs of different groups, block against block."""
+def _sets(batches):
+    cache = WordHash()
     for b in batches:
-        us, vs = [], []
-        for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
-            cols = []
-            for z in (x, y):
-                cols.append((np.array([r["id"] for r in z]), np.array([r["component"] for r in z]), np.array([r["n"] for r in z]),
-                             np.frombuffer(b"".join(r["sig"] for r in z), np.uint32).reshape(-1, SLOTS)))
-            (iu, cu, nu, su), (iv, cv, nv, sv) = cols
-            for k in range(len(iu)):
-                ok = (cv != cu[k]) & ((sv == su[k]).mean(axis=1) >= LEAST_ESTIMATE)
-                ok &= 100 * np.minimum(nv, nu[k]) >= 85 * np.maximum(nv, nu[k])
-                us += [int(iu[k])] * int(ok.sum())
-                vs += iv[ok].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shingles(t, cache).tobytes() for t in raw(b, "text")], pa.binary())], ["id", "items"])
+
+
+def _blocks(percent: int):
+    """Links between different groups, block against block, confirmed on the full sets. A pair that shares several
+    buckets is looked at in its first band only, and of two groups one link a block is enough."""
+    def unpacked(rows):
+        return ([r["id"] for r in rows], np.array([r["component"] for r in rows]), [np.frombuffer(r["items"], np.uint64) for r in rows],
+                np.frombuffer(b"".join(r["sig"] for r in rows), np.uint32).reshape(-1, SLOTS))
+
+    def go(batches):
+        for b in batches:
+            us, vs = [], []
+            for band, x, y in zip(b.column("band").to_pylist(), b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True):
+                (iu, cu, xu, su), (iv, cv, xv, sv) = unpacked(x), unpacked(y)
+                nv, done = np.array([len(z) for z in xv]), set()
+                for k in range(len(iu)):
+                    same = sv == su[k]
+                    n = len(xu[k])
+                    ok = (cv != cu[k]) & (same.mean(axis=1) >= LEAST_ESTIMATE) & (100 * np.minimum(nv, n) >= percent * np.maximum(nv, n))
+                    ok &= same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+                    for j in np.flatnonzero(ok).tolist():
+                        pair = (int(min(cu[k], cv[j])), int(max(cu[k], cv[j])))
+                        if pair in done:
+                            continue
+                        both = len(np.intersect1d(xu[k], xv[j], assume_unique=True))
+                        if 100 * both >= percent * (n + int(nv[j]) - both):
+                            done.add(pair)
+                            us.append(iu[k])
+                            vs.append(iv[j])
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+    return go
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -159,7 +179,7 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     links = sets.join(reps.select("digest", "rep"), "digest").select(F.col("id").alias("u"), F.col("rep").alias("v")).where("u != v")
     # rows of one doc_id with different sets have a representative each, of the same id
     signatures = reps.select(F.col("rep").alias("id"), "n", "sig").dropDuplicates(["id", "n", "sig"])
-    banded = signatures.select("id", "sig").mapInArrow(_bands, "id long, bucket long")
+    banded = signatures.select("id", "sig").mapInArrow(_bands, "id long, band int, bucket long")
     shared = banded.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     members = stored(banded.join(shared, "bucket").distinct(), "members")
     near = members.select("id").distinct()
@@ -171,39 +191,42 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     stars = stars.select("u", "v", "sig_u", "sig_v").mapInArrow(_alike, "u long, v long").distinct()
     found = stored(_verified(stars, texts, percent).unionByName(links), "links")
     groups = stored(components(found), "groups")
-    rest = stored(_left_over(members, signatures, groups), "pairs")
-    if not rest.isEmpty():
-        more = stored(_verified(rest, texts, percent), "links")
-        if not more.isEmpty():
-            # what is linked now are groups: their ids stand for their members
-            joined = more.join(groups.select(F.col("id").alias("u"), F.col("component").alias("cu")), "u", "left").join(
-                groups.select(F.col("id").alias("v"), F.col("component").alias("cv")), "v", "left")
-            merged = components(joined.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
-            merged = merged.select(F.col("id").alias("component"), F.col("component").alias("whole"))
-            every = groups.unionByName(merged.select(F.col("component").alias("id"), "component")).distinct()
-            groups = stored(every.join(merged, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).distinct(), "groups")
+    more = stored(_left_over(members, signatures, texts, groups, percent), "links")
+    if not more.isEmpty():
+        # what is linked now are groups: their ids stand for their members
+        joined = more.join(groups.select(F.col("id").alias("u"), F.col("component").alias("cu")), "u", "left").join(
+            groups.select(F.col("id").alias("v"), F.col("component").alias("cv")), "v", "left")
+        merged = components(joined.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+        merged = merged.select(F.col("id").alias("component"), F.col("component").alias("whole"))
+        every = groups.unionByName(merged.select(F.col("component").alias("id"), "component")).distinct()
+        groups = stored(every.join(merged, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).distinct(), "groups")
     out = feats.select("id", "n").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     return out.select(real("id").alias("doc_id"), F.col("n").alias("n_shingles"), real("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
-def _left_over(members: DataFrame, signatures: DataFrame, groups: DataFrame) -> DataFrame:
-    """Candidate pairs between different groups of a bucket."""
-    told = members.select("bucket", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _left_over(members: DataFrame, signatures: DataFrame, texts: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between different groups of a bucket. Blocks are bounded by the bytes of their sets."""
+    told = members.select("bucket", "band", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    told = told.join(signatures.groupBy("id").agg(F.max("n").alias("n")), "id")
     told = stored(told, "told")
     split = told.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
     told = told.join(split, "bucket")
-    sizes = told.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("m"), F.sum("size").alias("all"))
-    main = main.select("bucket", F.col("m.component").alias("main"), F.col("m.size").alias("most"), "all")
+    sizes = told.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component", "items")).alias("m"), F.sum("items").alias("all"))
+    main = main.select("bucket", F.col("m.component").alias("main"), F.col("m.items").alias("most"), "all")
     told = told.join(main, "bucket").withColumn("is_main", F.col("component") == F.col("main"))
-    count = F.when(F.col("is_main"), F.col("most")).otherwise(F.col("all") - F.col("most"))
-    told = told.withColumn("block", F.pmod(F.xxhash64("id"), F.ceil(count / F.lit(BLOCK))).cast("int")).join(signatures, "id")
-    blocks = told.groupBy("bucket", "is_main", "block").agg(F.collect_list(F.struct("id", "component", "n", "sig")).alias("rows"))
-    blocks = stored(blocks, "blocks")
+    amount = F.when(F.col("is_main"), F.col("most")).otherwise(F.col("all") - F.col("most"))
+    told = told.withColumn("block", F.pmod(F.xxhash64("id"), F.greatest(F.ceil(amount / F.lit(BLOCK)), F.lit(1))).cast("int"))
+    near = told.select("id").distinct()
+    sets = stored(texts.join(near, "id").select("id", "text").mapInArrow(_sets, "id long, items binary").where("length(items) > 0"), "sets")
+    # rows of one id with several texts: each set with its own signature, told apart by their sizes
+    full = sets.join(signatures, "id").where(F.length("items") == 8 * F.col("n")).select("id", "sig", "items")
+    rows = told.select("bucket", "band", "is_main", "block", "id", "component").join(full, "id")
+    blocks = stored(rows.groupBy("bucket", "band", "is_main", "block").agg(F.collect_list(F.struct("id", "component", "sig", "items")).alias("rows")), "blocks")
     x = blocks.where("not is_main").select("bucket", F.col("block").alias("bx"), F.col("rows").alias("x"))
-    y = blocks.select("bucket", "is_main", "block", F.col("rows").alias("y"))
-    pairs = x.join(y, "bucket").where("is_main or block >= bx").select("x", "y").mapInArrow(_blocks, "u long, v long")
+    y = blocks.select("bucket", "band", "is_main", "block", F.col("rows").alias("y"))
+    pairs = x.join(y, "bucket").where("is_main or block >= bx").select("band", "x", "y").mapInArrow(_blocks(percent), "u long, v long")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
