@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: NCBI genetic codes by number, amino acids of the 64 codons in TCAG order.
 GENETIC_CODES = {
@@ -74,7 +75,7 @@ def _jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro) if jaro >= 0.7 else jaro
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     """Jaro-Winkler similarity (prefix weight 0.1, boost from 0.7); no built-in has it. Null or empty: 0."""
     seen: dict[tuple, float] = {}

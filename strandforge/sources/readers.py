@@ -20,9 +20,14 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     clean = text.withColumn("value", F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")).where("value != ''")
     cut = clean.withColumn("lines", F.split("value", "\n", -1))
     body = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(1)))
-    # the last record's final line end leaves an empty piece that is no line
-    body = F.when((F.size(body) > 0) & (F.element_at(body, -1) == "") & F.col("value").endswith("\n"), F.slice(body, 1, F.size(body) - 1)).otherwise(body)
-    return cut.select("file", "pos", F.concat(F.lit(">"), F.get("lines", F.lit(0))).alias("header"), F.array_join(body, "").alias("sequence"), F.size(body).alias("n_lines"))
+    # a file's last record keeps its final line end, which leaves an empty piece that is no line
+    body = F.when((F.size(body) > 1) & (F.element_at(body, -1) == ""), F.slice(body, 1, F.greatest(F.size(body) - 1, F.lit(1)))).otherwise(body)
+    out = cut.select("file", "pos", F.concat(F.lit(">"), F.get("lines", F.lit(0))).alias("header"), F.array_join(body, "").alias("sequence"), F.size(body).alias("n_lines"))
+    # one empty piece alone is a blank line, or at a file's end no line at all
+    unsure = (F.col("n_lines") == 1) & (F.col("sequence") == "")
+    ends = clean.groupBy("file").agg(F.max("pos").alias("end"))
+    blank = out.where(unsure).join(ends, "file").withColumn("n_lines", F.when(F.col("pos") == F.col("end"), 0).otherwise(1)).drop("end")
+    return out.where(~unsure).unionByName(blank)
 
 
 def assemble(parts: DataFrame) -> DataFrame:
@@ -72,7 +77,8 @@ def cluster_parts(frame: DataFrame) -> DataFrame:
 def specimens(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated specimen table with a header row; blank coordinates are null, blank text stays empty."""
     read = spark.read.option("sep", "\t").option("header", True).option("emptyValue", "").option("nullValue", "\u0000").schema(SPECIMEN.replace("latitude double, longitude double", "latitude string, longitude string")).csv(path)
-    return read.withColumns({c: F.expr(f"try_cast({c} AS double)") for c in ("latitude", "longitude")})
+    text = {f.name: F.coalesce(F.col(f"`{f.name}`"), F.lit("")) for f in read.schema.fields if f.name not in ("latitude", "longitude")}
+    return read.withColumns(text | {c: F.expr(f"try_cast({c} AS double)") for c in ("latitude", "longitude")})
 
 
 def latest(folders: list[str]) -> str:
