@@ -88,10 +88,19 @@ def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed(left * _A + right * _B + _C)
 
 
+_FACTORS = mixed(np.arange(1, 17, dtype=np.uint64)) | np.uint64(1)
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of n words, built by doubling."""
+    """Hashes of all runs of n words: a sum of products for short runs, built by doubling for longer ones."""
     if len(h) < n:
         return np.empty(0, np.uint64)
+    if n <= len(_FACTORS):
+        size = len(h) - n + 1
+        out = h[:size] * _FACTORS[0]
+        for k in range(1, n):
+            out += h[k: k + size] * _FACTORS[k]
+        return mixed(out)
     done, out, rest, at = 0, None, h, n
     size = 1
     while at:

@@ -32,8 +32,8 @@ def _runs(h: np.ndarray, base: int):
     last = np.r_[first[1:], len(at)] - 1
     p = at[first]
     # a run's content is told by its windows: their first, last and number, and a sum that depends on the order
-    order = mixed((np.arange(len(long)) - np.repeat(first, last - first + 1)).astype(np.uint64))
-    total = np.add.reduceat(long * (order | np.uint64(1)), first)
+    order = mixed(np.arange(base + 1, dtype=np.uint64)) | np.uint64(1)  # a run has base + 1 windows at most
+    total = np.add.reduceat(long * order[np.arange(len(long)) - np.repeat(first, last - first + 1)], first)
     run = mixed(total + mixed((p - first).astype(np.uint64)) + (last - first).astype(np.uint64))
     return short[p], run, p, first, last
 
@@ -104,10 +104,11 @@ def repeated_windows(docs: DataFrame, window: int = 20) -> DataFrame:
     found = keyed(docs).select("_k", "_t", "text").mapInArrow(_anchors(base), ANCHORS)
     # level 1: anchors seen twice; partial sums before the shuffle
     often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("r0"), F.max("run").alias("r1")).where("n > 1")
+    often = stored(often, "often")  # a plain table on this side lets Spark split a hot anchor in the join
     again = stored(found.join(often, "h").select("h", "run", "_k", "_t", "p", "lo", "hi", (F.col("r0") != F.col("r1")).alias("several")), "runs")
     # level 2, run by run
     at = F.struct("_k", "_t", "p")
-    firsts = again.groupBy("h", "run").agg(F.min(at).alias("first"))
+    firsts = stored(again.groupBy("h", "run").agg(F.min(at).alias("first")), "firsts")
     told = again.join(firsts, ["h", "run"])
     whole = told.where(at != F.col("first")).select("_k", "_t", "lo", "hi")
     apart = told.where(F.col("several") & (at == F.col("first"))).groupBy("_k", "_t").agg(F.collect_set(F.struct("h", "lo", "hi")).alias("spans"))
