@@ -115,5 +115,39 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of an array of bytes."""
+    edges = np.flatnonzero(np.diff(~_SPACE[data], prepend=False, append=False))
+    return edges[::2], edges[1::2]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words between `start` and `end`: bytes times a factor of their place, summed and mixed."""
+    size = end - start
+    first = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(first, size)
+    factors = mixed(np.arange(1, int(size.max(initial=0)) + 1, dtype=np.uint64)) | np.uint64(1)
+    letters = data[place + np.repeat(start, size)].astype(np.uint64) + np.uint64(1)
+    sums = np.add.reduceat(letters * factors[place], first) if len(first) else np.empty(0, np.uint64)
+    return mixed(sums + size.astype(np.uint64) * _A)
+
+
+def runs(texts: list[bytes | None], most: int = 1 << 20):
+    """Bounds (lo, hi) of consecutive texts of `most` bytes together, or of one longer text."""
+    lo = held = 0
+    for i, x in enumerate(texts):
+        n = len(x) if x else 0
+        if i > lo and held + n > most:
+            yield lo, i
+            lo, held = i, 0
+        held += n
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)

@@ -13,11 +13,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, mixed, raw, signed, stored, table
+from .common import keyed, mixed, raw, runs, signed, span_hashes, spans, stored, table
 
 DEPTH = 3
 #: Lines of fewer words are no templates: "Yes." recurs without being boilerplate.
@@ -25,65 +24,76 @@ SHORTEST = 3
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-class Masked(dict):
-    """word -> hash; words with a digit, an address or a path share one."""
+_VARIABLE = np.uint64(0x5851F42D4C957F2D)
+_MARKS = np.zeros(256, bool)
+_MARKS[[*range(48, 58), 64]] = True
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        variable = any(48 <= c <= 57 for c in word) or b"@" in word or b"://" in word
-        h = self[word] = xxhash.xxh3_64_intdigest(b"\0*" if variable else word)
-        return h
 
+def _tokens_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words; words with a digit, an address or a path share one."""
+    h = span_hashes(data, start, end)
+    marks = _MARKS[data]
+    if len(data) > 2:
+        marks[:-2] |= (data[:-2] == 58) & (data[1:-1] == 47) & (data[2:] == 47)
+    h[np.searchsorted(start, np.flatnonzero(marks), "right") - 1] = _VARIABLE
+    return h
 
-def parsed(text: bytes | None, cache: Masked):
-    """Of each line with a word: its number, first token, token count, leaf, and hash of the masked line; and the tokens."""
-    lines = [x.split() for x in text.split(b"\n")] if text else []
-    size = np.array([len(x) for x in lines], np.int64)
-    number = np.flatnonzero(size)
-    if not len(number):
+
+def parsed(texts: list[bytes | None]):
+    """Of each line with a word: its document (place in `texts`), number, first token, token count, leaf, and hash of
+    the masked line; and the tokens."""
+    data = np.frombuffer(b"\n".join(x or b"" for x in texts), np.uint8)
+    start, end = spans(data)
+    if not len(start):
         return None
-    h = np.fromiter((cache[w] for x in lines for w in x), np.uint64, int(size.sum()))
-    n = size[number]
-    first = np.r_[0, np.cumsum(n)[:-1]]
+    h = _tokens_of(data, start, end)
+    newlines = np.flatnonzero(data == 10)
+    size = np.bincount(np.searchsorted(newlines, start), minlength=len(newlines) + 1)
+    own = np.array([x.count(b"\n") + 1 if x else 1 for x in texts])
+    line_at = np.flatnonzero(size)
+    doc = np.repeat(np.arange(len(texts)), own)[line_at]
+    number = line_at - (np.cumsum(own) - own)[doc]
+    n = size[line_at]
+    first = np.cumsum(n) - n
     at = np.arange(len(h)) - np.repeat(first, n)
-    line = mixed(np.add.reduceat(mixed(h + mixed(at.astype(np.uint64) * _A)), first) + n.astype(np.uint64))
+    places = mixed(np.arange(int(n.max()), dtype=np.uint64) * _A)
+    line = mixed(np.add.reduceat(mixed(h + places[at]), first) + n.astype(np.uint64))
     leaf = mixed(n.astype(np.uint64) * _B)
     for k in range(DEPTH):
         leaf = mixed(leaf + np.where(k < n, h[np.minimum(first + k, len(h) - 1)], np.uint64(k)))
-    return number, first, n, leaf, line, h
+    return doc, number, first, n, leaf, line, h
+
+
+def _new(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """1 at the first row of each document and key, else 0."""
+    order = np.lexsort((key, doc))
+    changed = np.r_[True, (np.diff(doc[order]) != 0) | (key[order][1:] != key[order][:-1])] if len(order) else np.empty(0, bool)
+    out = np.zeros(len(doc), np.int8)
+    out[order] = changed
+    return out
 
 
 def _lines(batches):
-    cache = Masked()
     for b in batches:
-        out = []
-        for k, t, text in zip(b.column("_k").to_pylist(), b.column("_t").to_pylist(), raw(b, "text"), strict=True):
-            if got := parsed(text, cache):
-                number, n, leaf, line = (x[got[2] >= SHORTEST] for x in (got[0], *got[2:5]))
-                new_leaf, new_line = np.zeros(len(n), np.int8), np.zeros(len(n), np.int8)
-                new_leaf[np.unique(leaf, return_index=True)[1]] = 1
-                new_line[np.unique(line, return_index=True)[1]] = 1
-                out.append((np.full(len(n), k), np.full(len(n), t, np.int32), number.astype(np.int32), n.astype(np.int32), signed(leaf), signed(line), new_leaf, new_line))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["_k", "_t", "number", "n", "leaf", "line", "new_leaf", "new_line"])
+        ks, ts, texts = b.column("_k").to_numpy(), b.column("_t").to_numpy(), raw(b, "text")
+        for lo, hi in runs(texts):
+            if got := parsed(texts[lo:hi]):
+                doc, number, _, n, leaf, line = (x[got[3] >= SHORTEST] for x in got[:6])
+                cols = (ks[lo + doc], ts[lo + doc], number.astype(np.int32), n.astype(np.int32), signed(leaf), signed(line), _new(doc, leaf), _new(doc, line))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["_k", "_t", "number", "n", "leaf", "line", "new_leaf", "new_line"])
 
 
 def _tokens(batches):
     """The tokens of chosen lines, as hashes."""
-    cache = Masked()
     for b in batches:
-        leaf, line, weight, tokens = [], [], [], []
-        for text, picks in zip(raw(b, "text"), b.column("picks").to_pylist(), strict=True):
-            number, first, n, _, _, h = parsed(text, cache)
-            where = {int(x): i for i, x in enumerate(number)}
-            for x in picks:
-                i = where[x["number"]]
-                leaf.append(x["leaf"])
-                line.append(x["line"])
-                weight.append(x["docs"])
-                tokens.append(signed(h[first[i]: first[i] + n[i]]))
-        yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(line, pa.int64()), pa.array(weight, pa.int64()), pa.array(tokens, pa.list_(pa.int64()))], ["leaf", "line", "docs", "tokens"])
+        texts, picks = raw(b, "text"), b.column("picks").to_pylist()
+        for lo, hi in runs(texts):
+            doc, number, first, n, _, _, h = parsed(texts[lo:hi])
+            where = {x: i for i, x in enumerate(zip(doc.tolist(), number.tolist(), strict=True))}
+            chosen = [(x, where[d, x["number"]]) for d, own in enumerate(picks[lo:hi]) for x in own]
+            tokens = [signed(h[first[i]: first[i] + n[i]]) for _, i in chosen]
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array([x[c] for x, _ in chosen], pa.int64()) for c in ("leaf", "line", "docs")], pa.array(tokens, pa.list_(pa.int64()))], ["leaf", "line", "docs", "tokens"])
 
 
 def _cut(max_share: float):
@@ -108,7 +118,10 @@ def _cut(max_share: float):
 
 def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFrame:
     """(_k, _t, number): lines of templates that at least `min_docs` documents hold."""
-    lines = stored(keyed(docs).select("_k", "_t", "text").dropDuplicates(["_k", "_t"]).mapInArrow(
+    texts = keyed(docs).select("_k", "_t", "text")
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():  # equal rows count once; without any, no text moves
+        texts = texts.dropDuplicates(["_k", "_t"])
+    lines = stored(texts.mapInArrow(
         _lines, "_k long, _t int, number int, n int, leaf long, line long, new_leaf byte, new_line byte"), "lines")
     leaves = lines.groupBy("leaf").agg(F.sum("new_leaf").alias("docs"), F.min("line").alias("a"), F.max("line").alias("b")).where(F.col("docs") >= min_docs)
     kinds = lines.groupBy("leaf", "line").agg(F.sum("new_line").alias("docs"), F.min(F.struct("_k", "_t", "number")).alias("at"))
@@ -117,7 +130,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> D
     # leaves with several lines: one template from the commonest token of each position
     several = kinds.join(leaves.where("a != b").select("leaf"), "leaf").select("leaf", "line", "docs", "at.*")
     picks = several.groupBy("_k", "_t").agg(F.collect_list(F.struct("number", "leaf", "line", "docs")).alias("picks"))
-    tokens = keyed(docs).select("_k", "_t", "text").dropDuplicates(["_k", "_t"]).join(picks, ["_k", "_t"]).select("text", "picks").mapInArrow(
+    tokens = texts.join(picks, ["_k", "_t"]).select("text", "picks").mapInArrow(
         _tokens, "leaf long, line long, docs long, tokens array<long>")
     tokens = stored(tokens, "tokens")
     votes = tokens.select("leaf", "docs", F.posexplode("tokens").alias("p", "token")).groupBy("leaf", "p", "token").agg(F.sum("docs").alias("votes"))
