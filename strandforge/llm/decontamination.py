@@ -34,11 +34,22 @@ SIZE = 8
 
 
 class Canon(dict):
-    """word -> (template hash at a sentence's start, hash elsewhere, is a slot at the start, elsewhere, ends a sentence)."""
+    """word -> place in the tables: template hash at a sentence's start and elsewhere, whether these are slots, and
+    whether the word ends a sentence. Emptied by `room` when it could overflow."""
 
-    def __missing__(self, word: bytes):
-        if len(self) > 200_000:
+    def __init__(self, most: int = 200_000):
+        super().__init__()
+        self.most = most
+        self.start, self.mid = np.empty(most, np.uint64), np.empty(most, np.uint64)
+        self.slot_s, self.slot_m, self.ends = np.empty(most, bool), np.empty(most, bool), np.empty(most, bool)
+
+    def room(self, n: int) -> None:
+        if len(self) + n > self.most:
             self.clear()
+            if n > self.most:
+                self.__init__(n)
+
+    def __missing__(self, word: bytes) -> int:
         core = word.strip(_STRIP)
         low = core.decode("utf-8", "replace").lower().encode()
         if _NUMBER.match(word):
@@ -49,18 +60,21 @@ class Canon(dict):
             start = low
             head = core.decode("utf-8", "replace")[:1]
             mid = NAME if head.isupper() and len(core) > 1 and not core.isupper() else low
-        h = xxhash.xxh3_64_intdigest
-        got = self[word] = (h(start), h(mid), start[:1] == b"\0", mid[:1] == b"\0", word[-1:] in b".!?")
-        return got
+        h, at = xxhash.xxh3_64_intdigest, len(self)
+        self.start[at], self.mid[at] = h(start), h(mid)
+        self.slot_s[at], self.slot_m[at], self.ends[at] = start[:1] == b"\0", mid[:1] == b"\0", word[-1:] in b".!?"
+        self[word] = at
+        return at
 
 
 def templates(words: list[bytes], cache: Canon) -> tuple[np.ndarray, np.ndarray]:
     """Template hashes of the words, and which are slots."""
     if not words:
         return np.empty(0, np.uint64), np.empty(0, bool)
-    start, mid, slot_s, slot_m, ends = zip(*map(cache.__getitem__, words), strict=True)
-    first = np.r_[True, np.array(ends[:-1], bool)]
-    return np.where(first, np.array(start, np.uint64), np.array(mid, np.uint64)), np.where(first, slot_s, slot_m)
+    cache.room(len(words))
+    at = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
+    first = np.r_[True, cache.ends[at[:-1]]]
+    return np.where(first, cache.start[at], cache.mid[at]), np.where(first, cache.slot_s[at], cache.slot_m[at])
 
 
 class Items:
