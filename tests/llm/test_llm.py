@@ -186,6 +186,20 @@ def test_classifiers(spark, labels):
     assert np.mean([t[i].score for i in t if i % 4 == 0]) > np.mean([t[i].score for i in t if i % 4])
 
 
+def test_subwords():
+    def plain(text):
+        total = sum((ord(c) + 1) * int(toxicity._PLACES[k]) for k, c in enumerate(text)) + len(text)
+        return int(toxicity.mixed(np.array([total % 2**64], np.uint64))[0]) % toxicity.BUCKETS
+
+    words = [b"abc", b"", b"a", "\u00fcn\u00efcode".encode(), b"x" * 60, b"hello"]
+    gram, of = toxicity.subwords(words)
+    for i, w in enumerate(words):
+        t = w.decode()
+        t = "<" + (t if len(t) <= 38 else t[:19] + t[-19:]) + ">"
+        assert sorted(gram[of == i].tolist()) == sorted([plain(t)] + [plain(t[k:k + n]) for n in (3, 4, 5) if len(t) != n for k in range(len(t) - n + 1)])
+    assert not len(toxicity.subwords([])[0])
+
+
 def test_awkward_tables(spark, labels):
     docs, none = frame(spark, AWKWARD), frame(spark, AWKWARD).limit(0)
     no_labels = labels.limit(0)
