@@ -3,7 +3,9 @@
 A line's way through the tree is fixed: its number of tokens, then its leading tokens. Tokens with digits, addresses
 and the like are variable from the start. In a leaf with several different lines, the commonest token of each
 position is the leaf's template; lines that agree with it in most positions belong to it, and the positions where
-they differ are variable too. Templates found in many documents are dropped from them.
+they differ are variable too. Templates found in many documents are dropped from them. Documents that hold next to
+nothing but recurring lines may be copies of each other, whose text recurs without being boilerplate: they are told
+apart by the rarest of their templates, and those with the same one count as one document.
 
 Everything about a leaf is a sum (documents per leaf, per line, per position and token), so a hot leaf is
 pre-aggregated before any shuffle and never gathered.
@@ -19,8 +21,10 @@ from pyspark.sql import functions as F
 from .common import keyed, mixed, raw, runs, signed, span_hashes, spans, stored, table
 
 DEPTH = 3
-#: Lines of fewer words are no templates: "Yes." recurs without being boilerplate.
-SHORTEST = 3
+#: Lines of fewer words are templates only as they are, digits included, and in `SHORT` times as many documents.
+SHORTEST, SHORT = 3, 2
+#: Two documents whose recurring lines are the same can be near duplicates at this percentage of shared words.
+NEAR = 85
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -29,24 +33,25 @@ _MARKS = np.zeros(256, bool)
 _MARKS[[*range(48, 58), 64]] = True
 
 
-def _tokens_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of words; words with a digit, an address or a path share one."""
-    h = span_hashes(data, start, end)
+def _tokens_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, where words with a digit, an address or a path share one; and hashes of the words as they are."""
+    exact = span_hashes(data, start, end)
+    h = exact.copy()
     marks = _MARKS[data]
     if len(data) > 2:
         marks[:-2] |= (data[:-2] == 58) & (data[1:-1] == 47) & (data[2:] == 47)
     h[np.searchsorted(start, np.flatnonzero(marks), "right") - 1] = _VARIABLE
-    return h
+    return h, exact
 
 
 def parsed(texts: list[bytes | None]):
     """Of each line with a word: its document (place in `texts`), number, first token, token count, leaf, and hash of
-    the masked line; and the tokens."""
+    the masked line (as it is, if short); and the tokens."""
     data = np.frombuffer(b"\n".join(x or b"" for x in texts), np.uint8)
     start, end = spans(data)
     if not len(start):
         return None
-    h = _tokens_of(data, start, end)
+    h, exact = _tokens_of(data, start, end)
     newlines = np.flatnonzero(data == 10)
     size = np.bincount(np.searchsorted(newlines, start), minlength=len(newlines) + 1)
     own = np.array([x.count(b"\n") + 1 if x else 1 for x in texts])
@@ -57,7 +62,8 @@ def parsed(texts: list[bytes | None]):
     first = np.cumsum(n) - n
     at = np.arange(len(h)) - np.repeat(first, n)
     places = mixed(np.arange(int(n.max()), dtype=np.uint64) * _A)
-    line = mixed(np.add.reduceat(mixed(h + places[at]), first) + n.astype(np.uint64))
+    told = np.where(np.repeat(n < SHORTEST, n), exact, h)
+    line = mixed(np.add.reduceat(mixed(told + places[at]), first) + n.astype(np.uint64))
     leaf = mixed(n.astype(np.uint64) * _B)
     for k in range(DEPTH):
         leaf = mixed(leaf + np.where(k < n, h[np.minimum(first + k, len(h) - 1)], np.uint64(k)))
@@ -78,9 +84,10 @@ def _lines(batches):
         ks, ts, texts = b.column("_k").to_numpy(), b.column("_t").to_numpy(), raw(b, "text")
         for lo, hi in runs(texts):
             if got := parsed(texts[lo:hi]):
-                doc, number, _, n, leaf, line = (x[got[3] >= SHORTEST] for x in got[:6])
-                cols = (ks[lo + doc], ts[lo + doc], number.astype(np.int32), n.astype(np.int32), signed(leaf), signed(line), _new(doc, leaf), _new(doc, line))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["_k", "_t", "number", "n", "leaf", "line", "new_leaf", "new_line"])
+                doc, number, _, n, leaf, line = got[:6]
+                words = np.bincount(doc, weights=n).astype(np.int32)[doc]
+                cols = (ks[lo + doc], ts[lo + doc], number.astype(np.int32), n.astype(np.int32), words, signed(leaf), signed(line), _new(doc, leaf), _new(doc, line))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["_k", "_t", "number", "n", "words", "leaf", "line", "new_leaf", "new_line"])
 
 
 def _tokens(batches):
@@ -96,37 +103,36 @@ def _tokens(batches):
                 [*[pa.array([x[c] for x, _ in chosen], pa.int64()) for c in ("leaf", "line", "docs")], pa.array(tokens, pa.list_(pa.int64()))], ["leaf", "line", "docs", "tokens"])
 
 
-def _cut(max_share: float):
-    def go(batches):
-        for b in batches:
-            cols = [[] for _ in range(5)]
-            for text, found in zip(raw(b, "text"), b.column("found").to_pylist(), strict=True):
-                lines = text.split(b"\n") if text else []
-                size = [len(x.split()) for x in lines]
-                hit = set(found or ())
-                words, gone = sum(size), sum(size[i] for i in hit)
-                drop = hit if gone <= max_share * words else set()
-                for col, x in zip(cols, (sum(x > 0 for x in size), len(hit), len(drop), b"\n".join(x for i, x in enumerate(lines) if i not in drop) if text is not None else None, sorted(drop)), strict=True):
-                    col.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in b.schema.names if c not in ("text", "found")], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                 pa.array(cols[3], pa.binary()).cast(pa.string()), pa.array(cols[4], pa.list_(pa.int32()))],
-                [*[c for c in b.schema.names if c not in ("text", "found")], "n_lines", "n_recurring", "n_removed", "kept_text", "removed_lines"],
-            )
-    return go
+def _cut(batches):
+    for b in batches:
+        cols = [[] for _ in range(5)]
+        for text, found, gone in zip(raw(b, "text"), b.column("found").to_pylist(), b.column("gone").to_pylist(), strict=True):
+            lines = text.split(b"\n") if text else []
+            drop = set(gone or ())
+            for col, x in zip(cols, (sum(bool(x.split()) for x in lines), len(found or ()), len(drop), b"\n".join(x for i, x in enumerate(lines) if i not in drop) if text is not None else None, sorted(drop)), strict=True):
+                col.append(x)
+        rest = [c for c in b.schema.names if c not in ("text", "found", "gone")]
+        yield pa.RecordBatch.from_arrays(
+            [*[b.column(c) for c in rest], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
+             pa.array(cols[3], pa.binary()).cast(pa.string()), pa.array(cols[4], pa.list_(pa.int32()))],
+            [*rest, "n_lines", "n_recurring", "n_removed", "kept_text", "removed_lines"],
+        )
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFrame:
-    """(_k, _t, number): lines of templates that at least `min_docs` documents hold."""
+    """(_k, _t, number, gone): lines of templates that at least `min_docs` documents hold; `gone` where these are that
+    many with copies counted once."""
     texts = keyed(docs).select("_k", "_t", "text")
     if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():  # equal rows count once; without any, no text moves
         texts = texts.dropDuplicates(["_k", "_t"])
     lines = stored(texts.mapInArrow(
-        _lines, "_k long, _t int, number int, n int, leaf long, line long, new_leaf byte, new_line byte"), "lines")
-    leaves = lines.groupBy("leaf").agg(F.sum("new_leaf").alias("docs"), F.min("line").alias("a"), F.max("line").alias("b")).where(F.col("docs") >= min_docs)
-    kinds = lines.groupBy("leaf", "line").agg(F.sum("new_line").alias("docs"), F.min(F.struct("_k", "_t", "number")).alias("at"))
+        _lines, "_k long, _t int, number int, n int, words int, leaf long, line long, new_leaf byte, new_line byte"), "lines")
+    leaves = lines.groupBy("leaf").agg(F.sum("new_leaf").alias("docs"), F.min("line").alias("a"), F.max("line").alias("b"), F.max("n").alias("n"))
+    leaves = leaves.where((F.col("docs") >= min_docs) & (F.col("n") >= SHORTEST))
+    kinds = lines.groupBy("leaf", "line").agg(F.sum("new_line").alias("docs"), F.min(F.struct("_k", "_t", "number")).alias("at"), F.max("n").alias("n"))
+    enough = F.when(F.col("n") < SHORTEST, SHORT * min_docs).otherwise(min_docs)
     # lines that recur as they are (variable tokens masked)
-    exact = kinds.where(F.col("docs") >= min_docs).select("leaf", "line")
+    exact = kinds.where(F.col("docs") >= enough).select("leaf", "line", "docs", F.col("line").alias("template"))
     # leaves with several lines: one template from the commonest token of each position
     several = kinds.join(leaves.where("a != b").select("leaf"), "leaf").select("leaf", "line", "docs", "at.*")
     picks = several.groupBy("_k", "_t").agg(F.collect_list(F.struct("number", "leaf", "line", "docs")).alias("picks"))
@@ -139,27 +145,34 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> D
         mode.withColumnRenamed("token", "common"), ["leaf", "p"]).groupBy("leaf", "line").agg(F.sum((F.col("token") == F.col("common")).cast("long")).alias("same"), F.max("n").alias("n"))
     members = agree.where(F.col("same") >= alike * F.col("n")).select("leaf", "line")
     held = lines.join(members, ["leaf", "line"]).select("leaf", "_k", "_t").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"))
-    general = members.join(held.where(F.col("docs") >= min_docs).select("leaf"), "leaf")
-    chosen = exact.unionByName(general).distinct()
-    return lines.join(chosen, ["leaf", "line"]).select("_k", "_t", "number")
-
-
-def line_dedup(docs: DataFrame, min_docs: int = 5, alike: float = 0.6, max_share: float = 0.5) -> DataFrame:
+    general = members.join(held.where(F.col("docs") >= min_docs), "leaf").select("leaf", "line", "docs", F.col("leaf").alias("template"))
+    # a line belongs to the template that most documents hold
+    chosen = exact.unionByName(general).groupBy("leaf", "line").agg(F.max(F.struct("docs", "template")).alias("t")).select("leaf", "line", "t.*")
+    found = stored(lines.join(chosen, ["leaf", "line"]).select("_k", "_t", "number", "n", "words", "docs", "template"), "found")
+    own = found.groupBy("_k", "_t").agg(F.sum("n").alias("held"), F.max("words").alias("words"), F.min(F.struct("docs", "template")).alias("rarest"))
+    own = own.select("_k", "_t", F.when((100 + NEAR) * F.col("held") >= 2 * NEAR * F.col("words"), F.col("rarest.template")).otherwise(F.xxhash64("_k", "_t")).alias("group"))
+    support = found.join(own, ["_k", "_t"]).groupBy("template", "group").agg(F.max("n").alias("n")).groupBy("template").agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("n"))
+    support = support.select("template", (F.col("groups") >= enough).alias("gone"))
+    return found.join(support, "template").select("_k", "_t", "number", "gone")
+
+
+def line_dedup(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFrame:
     """Drops lines whose template is found in at least `min_docs` documents, first occurrences included.
 
     Returns the columns of `docs`, less text and any of the names added, and n_lines (lines with a word),
-    n_recurring, n_removed, kept_text, removed_lines (numbers from 0). A document with more than `max_share` of its
-    words in recurring lines is not text with boilerplate but a copy of other documents: its lines stay, and
-    deduplication of documents decides about it. Null text stays null, empty stays empty; lines without a word are
+    n_recurring, n_removed, kept_text, removed_lines (numbers from 0). Documents with so few words outside recurring
+    lines that they may be near duplicates count once if the rarest of their templates is the same: lines that recur
+    in copies of one document only stay (n_recurring counts them), and deduplication of documents decides about them.
+    Lines of one or two words go if they recur exactly, in twice `min_docs` documents. Null text stays null, empty stays empty; lines without a word are
     never removed. Equal rows (same doc_id and text) count as one document and are each returned; a null doc_id is
     a document like any other. An empty table gives an empty table."""
-    added = {"n_lines", "n_recurring", "n_removed", "kept_text", "removed_lines", "found", "_k", "_t"}
+    added = {"n_lines", "n_recurring", "n_removed", "kept_text", "removed_lines", "found", "gone", "_k", "_t"}
     more = [c for c in docs.columns if c not in added | {"doc_id", "text"}]
-    found = recurring_lines(docs, min_docs, alike).groupBy("_k", "_t").agg(F.collect_list("number").alias("found"))
-    given = keyed(docs, *more).join(found, ["_k", "_t"], "left").select("doc_id", *more, "text", "found")
-    rest = [f for f in given.schema.fields if f.name not in ("text", "found")]
+    found = recurring_lines(docs, min_docs, alike).groupBy("_k", "_t").agg(F.collect_list("number").alias("found"), F.collect_list(F.when(F.col("gone"), F.col("number"))).alias("gone"))
+    given = keyed(docs, *more).join(found, ["_k", "_t"], "left").select("doc_id", *more, "text", "found", "gone")
+    rest = [f for f in given.schema.fields if f.name not in ("text", "found", "gone")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    return given.mapInArrow(_cut(max_share), f"{schema}, n_lines long, n_recurring long, n_removed long, kept_text string, removed_lines array<int>")
+    return given.mapInArrow(_cut, f"{schema}, n_lines long, n_recurring long, n_removed long, kept_text string, removed_lines array<int>")
 
 
 def query(spark, sf_dir):

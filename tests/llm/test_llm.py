@@ -108,6 +108,25 @@ def test_line_dedup(spark):
     assert {r.kept_text for r in rows} == {"\n".join(t.split("\n")[1:5]) for _, t in docs}
 
 
+def unlike(seed):
+    """Texts of n words that nothing else holds."""
+    rng = random.Random(seed)
+    return lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(n))
+
+
+def test_line_dedup_copies_and_short_lines(spark):
+    own = unlike(4)
+    notice, whole = own(20), [own(9) for _ in range(15)]
+    docs = [(i, f"{notice}\n{own(10)}") for i in range(6)]  # two thirds boilerplate, and no copies
+    docs += [(10 + i, "\n".join(whole)) for i in range(6)]  # copies
+    edited = [own(9) for _ in range(15)]
+    docs += [(20 + i, "\n".join(x if k != i else own(9) for k, x in enumerate(edited))) for i in range(8)]  # near copies
+    docs += [(30 + i, f"Share this\n{own(10)}") for i in range(12)]
+    docs += [(50 + i, f"{i}\n{own(10)}") for i in range(12)]
+    got = {r.doc_id: r.removed_lines for r in line_dedup.line_dedup(frame(spark, docs)).collect()}
+    assert got == {i: [0] if i < 10 or 30 <= i < 50 else [] for i, _ in docs}
+
+
 def test_quality_rules_thresholds(spark):
     from pyspark.sql import functions as F
 
