@@ -2,8 +2,8 @@
 
 Words become typed placeholders where a question can be re-parameterised: numbers, units, and names (capitalised
 words that do not start a sentence). Windows of template words of the benchmark are hash-joined with those of the
-documents. Windows that agree on one alignment of item and document are counted, and the fillers of the aligned
-placeholders are compared: one filler of the item must always stand against one filler of the document. Equal
+documents. Windows that agree on one alignment of item and document, or on nearby ones (words were inserted or left
+out between them), are counted, and the fillers of the placeholders inside these windows are compared: one filler of the item must always stand against one filler of the document. Equal
 fillers throughout are a verbatim copy, a consistent renaming is a re-parameterised one, anything else is chance.
 """
 
@@ -31,6 +31,9 @@ MOST_SENT = 500_000
 _NUMBER = re.compile(rb"[^\w]*[+-]?[\d][\d.,:/]*[^\w]*$")
 _STRIP = b".,;:!?()[]{}\"'`"
 SIZE = 8
+#: Alignments so many words apart count together. A verbatim run of so many windows (13 words) is a copied passage;
+#: agreeing windows that hold so large a part of an item's words are a copy.
+DRIFT, RUN, COVERED = 8, 6, 0.8
 
 
 class Canon(dict):
@@ -101,9 +104,9 @@ class Items:
             own = sorted(x[1:] for x in places if x[0] == size)
             self.by_size[size] = (np.array([x[0] for x in own], np.uint64), np.array([x[1] for x in own]), np.array([x[2] for x in own]))
 
-    def alignments(self, h: np.ndarray) -> dict[tuple[int, int], int]:
-        """(item, document position of the item's first word) -> windows that agree."""
-        out: dict[tuple[int, int], int] = defaultdict(int)
+    def alignments(self, h: np.ndarray) -> dict[int, dict[int, list[int]]]:
+        """item -> document position of the item's first word -> the item's windows that agree there."""
+        out: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for size, (known, item, at) in self.by_size.items():
             g = grams(h, size)
             if not len(g):
@@ -112,37 +115,75 @@ class Items:
             for p in np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == g).tolist():
                 k = int(lo[p])
                 while k < len(known) and known[k] == g[p]:
-                    out[int(item[k]), p - int(at[k])] += 1
+                    out[int(item[k])][p - int(at[k])].append(int(at[k]))
                     k += 1
         return out
 
-    def judged(self, item: int, offset: int, words: list[bytes], h_slots: np.ndarray) -> tuple[str, int] | None:
-        """verbatim or renamed, and the number of slots compared; None where the fillers contradict each other."""
-        own, there, back, same, n = self.words[item], {}, {}, True, 0
-        for p in np.flatnonzero(self.slots[item]).tolist():
-            q = p + offset
-            if not 0 <= q < len(words) or not h_slots[q]:
-                continue
+    def chain(self, by: dict[int, list[int]], base: int, drift: int) -> dict[int, int]:
+        """window of the item -> the alignment nearest to `base`, at most `drift` off, where it agrees."""
+        out: dict[int, int] = {}
+        for o in sorted((o for o in range(base - drift, base + drift + 1) if o in by), key=lambda o: abs(o - base)):
+            for a in by[o]:
+                out.setdefault(a, o)
+        return out
+
+    def enough(self, item: int, at: dict[int, int], share: float) -> str | None:
+        """Whether the windows tell a copy (whole), a passage if it is verbatim (part), or nothing."""
+        size = len(self.words[item]) - self.count[item] + 1
+        if len(at) >= share * self.count[item]:
+            return "whole"
+        held = {a + k for a in at for k in range(size)}
+        if len(at) > 1 and len(held) >= COVERED * len(self.words[item]):
+            return "whole"
+        run = 0
+        for a in sorted(at):
+            run = run + 1 if run and at.get(a - 1) == at[a] else 1
+            if run >= RUN:
+                return "part"
+        return None
+
+    def judged(self, item: int, at: dict[int, int], words: list[bytes]) -> tuple[str, int] | None:
+        """verbatim or renamed, and the number of slots compared, all inside windows that agree; None where the fillers
+        contradict each other."""
+        size = len(self.words[item]) - self.count[item] + 1
+        own, there, back, same = self.words[item], {}, {}, True
+        pairs: dict[int, int] = {}
+        for a, offset in sorted(at.items()):
+            for p in range(a, a + size):
+                if self.slots[item][p]:
+                    pairs.setdefault(p, p + offset)
+        for p, q in pairs.items():
             a, b = own[p].strip(_STRIP), words[q].strip(_STRIP)
-            n += 1
             same &= a == b
             if there.setdefault(a, b) != b or back.setdefault(b, a) != a:
                 return None
-        return ("verbatim" if same else "renamed"), n
+        return ("verbatim" if same else "renamed"), len(pairs)
+
+    def best(self, item: int, by: dict[int, list[int]], words: list[bytes], share: float):
+        """(windows, kind, slots) of the most windows that tell a copy: over nearby alignments, else at one."""
+        if len({a for own in by.values() for a in own}) < min(2, share * self.count[item]):
+            return None
+        for drift in (DRIFT, 0):
+            sizes = sorted(((len(self.chain(by, o, drift)), -o) for o in by), reverse=True)
+            for n, base in sizes:
+                at = self.chain(by, -base, drift)
+                how = self.enough(item, at, share)
+                if how and (got := self.judged(item, at, words)) and (how == "whole" or got[0] == "verbatim"):
+                    return at, *got
+        return None
 
 
 SCHEMA = "doc_id long, item_id long, n_windows long, share double, kind string, n_slots long, first_word long, last_word long"
 
 
 def _found(items: Items, share: float):
-    def of(doc_id, words, slots, hits):
-        best = {}
-        for (item, offset), n in hits.items():
-            if n >= share * items.count[item] and (item not in best or n > best[item][0]):
-                if got := items.judged(item, offset, words, slots):
-                    best[item] = (n, offset, *got)
-        for item, (n, offset, kind, n_slots) in sorted(best.items()):
-            yield doc_id, items.ids[item], n, n / items.count[item], kind, n_slots, max(offset, 0), min(offset + len(items.words[item]), len(words)) - 1
+    def of(doc_id, words, hits):
+        for item, by in sorted(hits.items()):
+            if got := items.best(item, by, words, share):
+                at, kind, n_slots = got
+                size = len(items.words[item]) - items.count[item] + 1
+                places = [a + o for a, o in at.items()]
+                yield doc_id, items.ids[item], len(at), len(at) / items.count[item], kind, n_slots, min(places), max(places) + size - 1
     return of
 
 
@@ -159,9 +200,9 @@ def _sent(items, share):
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), raw(b, "text"), strict=True):
                 words = text.split() if text else []
-                h, slots = templates(words, cache)
+                h, _ = templates(words, cache)
                 if hits := items.value.alignments(h):
-                    rows += of(doc_id, words, slots, hits)
+                    rows += of(doc_id, words, hits)
             yield _batch(rows)
     return go
 
@@ -184,20 +225,19 @@ def _pair(share: float):
         cache = Canon()
         for b in batches:
             rows = []
-            for doc_id, text, item_id, item, offsets in zip(b.column("doc_id").to_pylist(), raw(b, "text"), b.column("item_id").to_pylist(), raw(b, "item"), b.column("offsets").to_pylist(), strict=True):
+            for doc_id, text, item_id, item in zip(b.column("doc_id").to_pylist(), raw(b, "text"), b.column("item_id").to_pylist(), raw(b, "item"), strict=True):
                 words = text.split()
-                _, slots = templates(words, cache)
                 one = Items([(item_id, item)])
-                rows += _found(one, share)(doc_id, words, slots, {(0, x["offset"]): x["n"] for x in offsets})
+                rows += _found(one, share)(doc_id, words, one.alignments(templates(words, cache)[0]))
             yield _batch(rows)
     return go
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, most_sent: int = MOST_SENT) -> DataFrame:
     """A row per document and benchmark item found in it: doc_id, item_id, n_windows (template windows that agree at
-    the best alignment), share (of the item's windows), kind (verbatim or renamed), n_slots (placeholders compared),
-    first_word and last_word. At least `share` of an item's windows must agree; items under eight words must agree
-    whole. Null and empty texts match nothing; a null doc_id or item_id is returned as null. Equal document rows are
+    one alignment or nearby ones), share (of the item's windows), kind (verbatim or renamed), n_slots (placeholders
+    compared), first_word and last_word (of these windows). `share` of an item's windows must agree, or windows that
+    hold four fifths of its words, or 13 words on end be copied verbatim; items under eight words must agree whole. Null and empty texts match nothing; a null doc_id or item_id is returned as null. Equal document rows are
     each returned; equal items too. Other columns are ignored; without documents or items the result is empty."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where("text is not null")
@@ -213,10 +253,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, most
     sizes = [r.size for r in of_items.select("size").distinct().collect()]  # eight values at most
     ours = keyed(docs).mapInArrow(_all_windows(sizes), "h long, size int, _k long, _t int, p int")
     hits = ours.join(theirs.select("h", "size", "count", F.col("_k").alias("i"), F.col("_t").alias("it"), F.col("p").alias("q")), ["h", "size"])
-    hits = hits.groupBy("_k", "_t", "i", "it", (F.col("p") - F.col("q")).alias("offset")).agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("count"))
-    hits = hits.where(F.col("n") >= share * F.col("count")).groupBy("_k", "_t", "i", "it").agg(F.collect_list(F.struct("offset", "n")).alias("offsets"))
+    hits = hits.groupBy("_k", "_t", "i", "it").agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("count"))
+    hits = hits.where(F.col("n") >= F.least(F.lit(2), share * F.col("count"))).select("_k", "_t", "i", "it")
     both = hits.join(keyed(docs), ["_k", "_t"]).join(of_items.select(F.col("_k").alias("i"), F.col("_t").alias("it"), F.col("text").alias("item")), ["i", "it"])
-    return both.select("doc_id", "text", F.col("i").alias("item_id"), "item", "offsets").mapInArrow(_pair(share), SCHEMA)
+    return both.select("doc_id", "text", F.col("i").alias("item_id"), "item").mapInArrow(_pair(share), SCHEMA)
 
 
 def query(spark, sf_dir):

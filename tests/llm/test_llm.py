@@ -86,6 +86,12 @@ def test_superminhash_estimates():
     assert (few < 2**32 - 1).all()
 
 
+def unlike(seed):
+    """Texts of n words that nothing else holds."""
+    rng = random.Random(seed)
+    return lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(n))
+
+
 def test_decontamination(spark):
     filler = " ".join(f"f{i}" for i in range(30))
     item = "A train leaves Paris with 40 passengers and arrives after 3 hours where 40 people board the next bus"
@@ -99,6 +105,23 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs, bench.limit(0)).isEmpty()
 
 
+def test_decontamination_shifted_and_partial(spark):
+    own = unlike(9)
+    words = own(59).split()
+    words[5], words[50] = "Paris", "40"
+    item, short = " ".join(words), " ".join(words[:23])
+    moved = lambda x: " ".join([*x[:len(x) // 2], "added", *x[len(x) // 2:]])
+    docs = frame(spark, [
+        (1, moved(words)), (2, moved(words[:23])), (3, f"{own(9)} {' '.join(words[10:30])} {own(9)}"), (4, " ".join(words[:36]) + f" {own(14)} 77 {own(8)}"),
+        (5, f"{own(9)} {' '.join(words[10:19])} {own(9)}"), (6, moved(words).replace("Paris", "Oslo")), (7, moved(words[:19])),
+    ])
+    bench = spark.createDataFrame([(1, item), (2, short), (3, " ".join(words[:19]))], "item_id long, text string")
+    for sent in (10**6, 0):
+        got = {(r.doc_id, r.item_id): r.kind for r in decontamination.contaminated(docs, bench, most_sent=sent).collect()}
+        assert all(got[i, i] == "verbatim" for i in (1, 2)) and got[3, 1] == got[4, 1] == got[7, 3] == "verbatim" and got[6, 1] == "renamed"
+        assert not any(i == 5 for i, _ in got)
+
+
 def test_line_dedup(spark):
     rng = random.Random(3)
     body = lambda: "\n".join(" ".join(f"{rng.random():.9f}".replace("0.", "q").translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(9)) for _ in range(4))
@@ -108,12 +131,6 @@ def test_line_dedup(spark):
     assert {r.kept_text for r in rows} == {"\n".join(t.split("\n")[1:5]) for _, t in docs}
 
 
-def unlike(seed):
-    """Texts of n words that nothing else holds."""
-    rng = random.Random(seed)
-    return lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(n))
-
-
 def test_line_dedup_copies_and_short_lines(spark):
     own = unlike(4)
     notice, whole = own(20), [own(9) for _ in range(15)]
