@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grams, keyed, raw, signed, stored, table
+from .common import grams, raw, signed, table
 
 #: Unit words that become a placeholder.
 UNITS = frozenset(
@@ -245,18 +245,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, most
     if size <= most_sent:
         sent = spark.sparkContext.broadcast(Items([(r.item_id, r.text.encode()) for r in items.collect()]))
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sent(sent, share), SCHEMA)
-    # a benchmark of unknown size: the same windows, joined by a shuffle
-    of_items = items.select(F.col("item_id").cast("long").alias("_k"), F.pmod(F.xxhash64("text"), F.lit(32749)).cast("int").alias("_t"), "text").distinct()
+    # a benchmark of unknown size: the same windows of distinct texts, joined by a shuffle; then all rows with these texts
+    text_key = lambda df: df.withColumns({"_k": F.xxhash64("text"), "_t": F.hash("text")})
+    of_items = text_key(items.select(F.col("item_id").cast("long").alias("item_id"), "text"))
     of_items = of_items.withColumn("words", F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != ""))).where("words > 0").withColumn("size", F.least(F.lit(SIZE), "words"))
-    theirs = of_items.mapInArrow(_all_windows(list(range(1, SIZE + 1))), "h long, size int, _k long, _t int, p int")
-    theirs = theirs.join(of_items.select("_k", "_t", "size", (F.col("words") - F.col("size") + 1).alias("count")), ["_k", "_t", "size"])
+    one_each = of_items.dropDuplicates(["_k", "_t"])
+    theirs = one_each.mapInArrow(_all_windows(list(range(1, SIZE + 1))), "h long, size int, _k long, _t int, p int")
+    theirs = theirs.join(one_each.select("_k", "_t", "size", (F.col("words") - F.col("size") + 1).alias("count")), ["_k", "_t", "size"])
     sizes = [r.size for r in of_items.select("size").distinct().collect()]  # eight values at most
-    ours = keyed(docs).mapInArrow(_all_windows(sizes), "h long, size int, _k long, _t int, p int")
+    rows = text_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null"))
+    ours = rows.dropDuplicates(["_k", "_t"]).mapInArrow(_all_windows(sizes), "h long, size int, _k long, _t int, p int")
     hits = ours.join(theirs.select("h", "size", "count", F.col("_k").alias("i"), F.col("_t").alias("it"), F.col("p").alias("q")), ["h", "size"])
     hits = hits.groupBy("_k", "_t", "i", "it").agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("count"))
     hits = hits.where(F.col("n") >= F.least(F.lit(2), share * F.col("count"))).select("_k", "_t", "i", "it")
-    both = hits.join(keyed(docs), ["_k", "_t"]).join(of_items.select(F.col("_k").alias("i"), F.col("_t").alias("it"), F.col("text").alias("item")), ["i", "it"])
-    return both.select("doc_id", "text", F.col("i").alias("item_id"), "item").mapInArrow(_pair(share), SCHEMA)
+    both = hits.join(rows, ["_k", "_t"]).join(of_items.select(F.col("_k").alias("i"), F.col("_t").alias("it"), "item_id", F.col("text").alias("item")), ["i", "it"])
+    return both.select("doc_id", "text", "item_id", "item").mapInArrow(_pair(share), SCHEMA)
 
 
 def query(spark, sf_dir):

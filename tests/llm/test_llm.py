@@ -105,6 +105,17 @@ def test_decontamination(spark):
     assert decontamination.contaminated(docs, bench.limit(0)).isEmpty()
 
 
+def test_decontamination_paths_agree(spark):
+    own = unlike(11)
+    item, other, extra = own(20), own(24), own(9)
+    half = f"{own(9)} {' '.join(item.split()[:10])} {own(9)}"  # 3 of 13 windows: too few, in however many equal rows
+    docs = frame(spark, [(1, item), (1, item), (1, other), (None, f"{item} {extra}"), (None, other), (2, half), (2, half), (3, "four words in here"), *AWKWARD])
+    bench = spark.createDataFrame([(7, item), (7, item), (None, item), (None, other), (8, item), (9, "four words in here"), (10, None), (11, " ")], "item_id long, text string")
+    sent, joined = (sorted(map(str, decontamination.contaminated(docs, bench, most_sent=n).collect())) for n in (10**6, 0))
+    assert sent == joined and len(sent) == 3 * 4 + 2 + 1
+    assert not any("share=2" in x for x in joined)
+
+
 def test_decontamination_shifted_and_partial(spark):
     own = unlike(9)
     words = own(59).split()
