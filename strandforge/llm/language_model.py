@@ -5,9 +5,9 @@ fall into classes by their first byte. The network (a GRU whose input layer is a
 next token and, for frequent tokens, the token within its class: a class-factored softmax. A rare word has its
 smoothed share of its class, so the model is a distribution over all words, the unseen included.
 
-Training is truncated backpropagation on whole documents, with the state carried from window to window. A fixed share
-of the training documents (so it grows with the corpus) is dealt to trainers that start from the same weights; the
-weights are averaged by tokens after each round. Scoring carries the state through the complete document.
+Training is truncated backpropagation on whole documents, with the state carried from window to window. All training
+documents are dealt to trainers, one for so many documents, that start from the same weights; the weights are averaged
+by tokens after each round. Scoring carries the state through the complete document.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ TOP = CLASSES * PER_CLASS
 #: Counts of this many words are sent to every executor (some 20 MB); those of all others are joined.
 SENT_COUNTS = 200_000
 WINDOW, LANES = 32, 512
+#: Documents of a trainer, some; trainers grow in number with the corpus and with nothing else.
+TRAINED = 4_000
 LOG10 = float(np.log(10))
 
 
@@ -246,7 +248,8 @@ def _trainer(sent):
         ids, state, seen = Ids(v), {}, 0
         for b in batches:
             docs = [np.array([ids[w] for w in (x or b"").lower().split()] + [v.end], np.int32) for x in raw(b, "text")]
-            seen += train(p, docs, v.end, state)
+            # wide steps are cheaper a token; few documents need many steps
+            seen += train(p, docs, v.end, state, max(32, min(256, len(docs) // 16)))
         if seen:
             flat = _flat(p).astype(np.float64) * seen
             flat = np.pad(flat, (0, -len(flat) % CHUNK)).reshape(-1, CHUNK)
@@ -259,7 +262,7 @@ def fit(docs: DataFrame, v: Vocabulary, share: int, rounds: int) -> dict[str, np
     spark = docs.sparkSession
     p = fresh(v)
     chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select("doc_id", "text")
-    n = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(4, chosen.count() // TRAINED)
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast((v, p))
         dealt = chosen.repartition(n, F.xxhash64("doc_id", "text")).sortWithinPartitions("doc_id")
@@ -340,7 +343,7 @@ def _floor(counts: DataFrame, most: int) -> int:
     return floor
 
 
-def lm_scores(docs: DataFrame, share: int = 12, rounds: int = 2, sent_counts: int = SENT_COUNTS) -> DataFrame:
+def lm_scores(docs: DataFrame, share: int = 1, rounds: int = 2, sent_counts: int = SENT_COUNTS) -> DataFrame:
     """Per row: doc_id, held_out (crc32 of the id mod 10 is 0; those rows teach nothing), n_tokens (words, and one
     end), n_known, train_tokens, base_score (log10, smoothed unigram), score (log10, the recurrent model).
 

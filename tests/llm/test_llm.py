@@ -205,6 +205,21 @@ def test_language_model(spark):
         assert math.isfinite(got[i].score) and got[i].score < 0
 
 
+def test_language_model_learns_from_all(spark, monkeypatch):
+    docs = frame(spark, corpus(4))
+    got, seen = [], []
+    real = language_model.fit
+    monkeypatch.setattr(language_model, "fit", lambda own, v, share, rounds: seen.append(share) or real(own, v, share, rounds))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (3, 7):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got.append({r.doc_id: r.score for r in language_model.lm_scores(docs).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen == [1, 1] and got[0] == pytest.approx(got[1], rel=1e-6)
+
+
 def test_language_model_gradient():
     v = language_model.Vocabulary([(b"", 5)] + [(b"a%d" % i, 9) for i in range(40)], {0: (3, 4)})
     p = {k: a.astype(np.float64) for k, a in language_model.fresh(v).items()}
