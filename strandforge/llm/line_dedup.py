@@ -2,8 +2,9 @@
 
 A line's way through the tree is fixed: its number of tokens, then its leading tokens. Tokens with digits, addresses
 and the like are variable from the start. In a leaf with several different lines, the commonest token of each
-position is the leaf's template; lines that agree with it in most positions belong to it, and the positions where
-they differ are variable too. Templates found in many documents are dropped from them. Documents that hold next to
+position is the leaf's template; lines that agree with it in most positions beyond the leading ones belong to it, and
+the positions where they differ are variable too. Lines that belong to none are grouped by the tokens they share at one
+or two positions, and each group has a template likewise, so a leaf may hold many. Templates found in many documents are dropped from them. Documents that hold next to
 nothing but recurring lines may be copies of each other, whose text recurs without being boilerplate: they are told
 apart by the rarest of their templates, and those with the same one count as one document.
 
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from .common import keyed, mixed, raw, runs, signed, span_hashes, spans, stored, table
 
 DEPTH = 3
+#: Positions whose tokens, alone and in pairs, group the lines of a leaf; lines with fewer use all.
+ANCHORS = 8
 #: Lines of fewer words are templates only as they are, digits included, and in `SHORT` times as many documents.
 SHORTEST, SHORT = 3, 2
 #: Two documents whose recurring lines are the same can be near duplicates at this percentage of shared words.
@@ -103,6 +106,33 @@ def _tokens(batches):
                 [*[pa.array([x[c] for x, _ in chosen], pa.int64()) for c in ("leaf", "line", "docs")], pa.array(tokens, pa.list_(pa.int64()))], ["leaf", "line", "docs", "tokens"])
 
 
+def _anchors(batches):
+    """Groups of lines that share a token at a position beyond the leading ones, or two."""
+    for b in batches:
+        leaf, line, docs, groups = [], [], [], []
+        for f, x, d, tokens in zip(b.column("leaf").to_pylist(), b.column("line").to_pylist(), b.column("docs").to_pylist(), b.column("tokens").to_pylist(), strict=True):
+            at = np.unique(np.linspace(DEPTH, len(tokens) - 1, min(ANCHORS, len(tokens) - DEPTH)).astype(int))
+            one = mixed(np.array(tokens, np.int64)[at].view(np.uint64) + mixed((at + 1).astype(np.uint64) * _B))
+            own = np.unique(np.r_[one, one + np.roll(one, 1), one + np.roll(one, 2)] + np.array([f], np.int64).view(np.uint64))
+            groups.append(mixed(own))
+            leaf += [f] * len(own)
+            line += [x] * len(own)
+            docs += [d] * len(own)
+        g = signed(np.concatenate(groups)) if groups else np.empty(0, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(g), *[pa.array(x, pa.int64()) for x in (leaf, line, docs)]], ["g", "leaf", "line", "docs"])
+
+
+def _general(lines: DataFrame, tokens: DataFrame, min_docs: int, alike: float) -> DataFrame:
+    """(leaf, line, docs, template) of lines that agree with their group's commonest tokens, in enough documents."""
+    at = tokens.select("g", "leaf", "line", "docs", (F.size("tokens") - DEPTH).alias("n"), F.posexplode("tokens").alias("p", "token")).where(F.col("p") >= DEPTH)
+    votes = at.groupBy("g", "p", "token").agg(F.sum("docs").alias("votes"))
+    mode = votes.groupBy("g", "p").agg(F.max(F.struct("votes", "token")).alias("m")).select("g", "p", F.col("m.token").alias("common"))
+    agree = at.join(mode, ["g", "p"]).groupBy("g", "leaf", "line").agg(F.sum((F.col("token") == F.col("common")).cast("long")).alias("same"), F.max("n").alias("n"))
+    members = agree.where(F.col("same") >= alike * F.col("n") - 1e-9).select("g", "leaf", "line")
+    held = lines.join(members, ["leaf", "line"]).select("g", "_k", "_t").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("docs"))
+    return members.join(held.where(F.col("docs") >= min_docs), "g").select("leaf", "line", "docs", F.col("g").alias("template"))
+
+
 def _cut(batches):
     for b in batches:
         cols = [[] for _ in range(5)]
@@ -133,19 +163,20 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> D
     enough = F.when(F.col("n") < SHORTEST, SHORT * min_docs).otherwise(min_docs)
     # lines that recur as they are (variable tokens masked)
     exact = kinds.where(F.col("docs") >= enough).select("leaf", "line", "docs", F.col("line").alias("template"))
-    # leaves with several lines: one template from the commonest token of each position
+    # leaves with several lines: first one template from the commonest token of each position
     several = kinds.join(leaves.where("a != b").select("leaf"), "leaf").select("leaf", "line", "docs", "at.*")
     picks = several.groupBy("_k", "_t").agg(F.collect_list(F.struct("number", "leaf", "line", "docs")).alias("picks"))
     tokens = texts.join(picks, ["_k", "_t"]).select("text", "picks").mapInArrow(
         _tokens, "leaf long, line long, docs long, tokens array<long>")
     tokens = stored(tokens, "tokens")
-    votes = tokens.select("leaf", "docs", F.posexplode("tokens").alias("p", "token")).groupBy("leaf", "p", "token").agg(F.sum("docs").alias("votes"))
-    mode = votes.groupBy("leaf", "p").agg(F.max(F.struct("votes", "token")).alias("m")).select("leaf", "p", F.col("m.token").alias("token"))
-    agree = tokens.select("leaf", "line", F.size("tokens").alias("n"), F.posexplode("tokens").alias("p", "token")).join(
-        mode.withColumnRenamed("token", "common"), ["leaf", "p"]).groupBy("leaf", "line").agg(F.sum((F.col("token") == F.col("common")).cast("long")).alias("same"), F.max("n").alias("n"))
-    members = agree.where(F.col("same") >= alike * F.col("n")).select("leaf", "line")
-    held = lines.join(members, ["leaf", "line"]).select("leaf", "_k", "_t").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("docs"))
-    general = members.join(held.where(F.col("docs") >= min_docs), "leaf").select("leaf", "line", "docs", F.col("leaf").alias("template"))
+    general = stored(_general(lines, tokens.withColumn("g", F.col("leaf")), min_docs, alike), "general")
+    # the others by shared tokens; groups of the same lines are one
+    others = tokens.join(general.select("leaf", "line"), ["leaf", "line"], "left_anti")
+    anchors = stored(others.mapInArrow(_anchors, "g long, leaf long, line long, docs long"), "anchors")
+    groups = anchors.groupBy("leaf", "g").agg(F.sum("docs").alias("docs"), F.bit_xor("line").alias("all"), F.count(F.lit(1)).alias("lines"))
+    groups = groups.where((F.col("docs") >= min_docs) & (F.col("lines") > 1)).groupBy("leaf", "all", "lines").agg(F.min("g").alias("g"))
+    grouped = anchors.drop("docs").join(groups.select("leaf", "g"), ["leaf", "g"]).join(tokens, ["leaf", "line"])
+    general = general.unionByName(_general(lines, grouped, min_docs, alike))
     # a line belongs to the template that most documents hold
     chosen = exact.unionByName(general).groupBy("leaf", "line").agg(F.max(F.struct("docs", "template")).alias("t")).select("leaf", "line", "t.*")
     found = stored(lines.join(chosen, ["leaf", "line"]).select("_k", "_t", "number", "n", "words", "docs", "template"), "found")

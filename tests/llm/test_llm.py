@@ -155,6 +155,16 @@ def test_line_dedup_copies_and_short_lines(spark):
     assert got == {i: [0] if i < 10 or 30 <= i < 50 else [] for i, _ in docs}
 
 
+def test_line_dedup_several_templates(spark):
+    own = unlike(6)
+    one, two = own(6), own(6)
+    heads = [f"please read the {one} {own(3)}" for _ in range(5)] + [f"please read the {two} {own(3)}" for _ in range(10)]
+    heads += [f"please read the {own(9)}" for _ in range(30)] + [f"please read the {own(n)}" for n in (1, 2) for _ in range(8)]
+    docs = [(i, f"{x}\n{own(40)}") for i, x in enumerate(heads)]
+    got = {r.doc_id: r.removed_lines for r in line_dedup.line_dedup(frame(spark, docs)).collect()}
+    assert got == {i: [0] if i < 15 else [] for i, _ in docs}
+
+
 def test_quality_rules_thresholds(spark):
     from pyspark.sql import functions as F
 
