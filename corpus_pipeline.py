@@ -26,17 +26,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def row_keyed(docs: DataFrame) -> DataFrame:
+    """With _id, never null: a hash of doc_id and text, so only equal rows share it."""
+    return docs.withColumn("_id", F.xxhash64(F.coalesce("doc_id", F.lit(NO_ID)), F.col("doc_id").isNull(), "text", F.col("text").isNull()))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group; of rows with one doc_id, one."""
-    kept = near_dedup(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id")).distinct()
-    one = docs.withColumn("_id", F.coalesce("doc_id", F.lit(NO_ID))).join(kept, "_id", "left_semi")
-    return one.dropDuplicates(["_id"]).select(*COLUMNS)
+    """Keeps the document with the least id of each group (a null id is the least); of equal rows, one."""
+    docs = row_keyed(docs)
+    groups = near_dedup(docs.select(F.col("_id").alias("doc_id"), "text")).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("group")).distinct()
+    least = docs.select("_id", "doc_id").join(groups, "_id").groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "_id")).alias("m"))
+    return docs.join(least.select("m._id"), "_id", "left_semi").dropDuplicates(["_id"]).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    found = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*COLUMNS)
+    docs = row_keyed(docs)
+    found = contaminated(docs.select(F.col("_id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(found, "_id", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -300,6 +300,21 @@ def test_pipeline_stages(spark, sf):
     assert {r.doc_id for r in corpus_pipeline.packing(spark, docs, sf).collect()} == ids
 
 
+def test_pipeline_null_and_clashing_ids(spark, sf, tmp_path):
+    import corpus_pipeline
+
+    own = unlike(8)
+    copy, item = own(30), own(20)
+    texts = [(None, own(30)), (None, own(30)), (None, None), (5, own(30)), (5, own(30)), (5, ""), (6, copy), (4, copy), (7, copy + " end"), (8, own(9)), (8, own(9))]
+    docs = frame(spark, texts)
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()}
+    assert kept == {x for x in texts if x[0] not in (6, 7)}
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame(spark, [(None, item), (None, copy), (5, item), (5, copy), (None, None)])
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()]
+    assert sorted(left, key=str) == sorted([(None, copy), (5, copy), (None, None)], key=str)
+
+
 def test_query_digest(spark, sf):
     r = substring_dedup.query(spark, sf).first()
     assert len(r.kept_sha256) == len(hashlib.sha256(b"").hexdigest())
