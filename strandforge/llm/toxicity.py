@@ -24,16 +24,19 @@ RATE, FLOOR = 0.1, 3e-4
 SAMPLE = {0: 2_500, 1: 1_500}
 #: Factors of the places in a word or n-gram.
 _PLACES = mixed(np.arange(1, 41, dtype=np.uint64)) | np.uint64(1)
+#: Letters of a word; longer ones are cut into pieces that overlap by four letters, so each n-gram is in one.
+LONGEST, OVERLAP = 38, 4
 _EDGE = b".,;:!?()[]{}\"'`*&%$#|-_"
 
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of lower-cased words without outer punctuation, and the place of the word of each."""
+    """Buckets of the n-grams of words of at most `LONGEST` letters (lower-cased, without outer punctuation), and the
+    place of the word of each."""
     if not words:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     texts = [w.decode("utf-8", "replace") for w in words]
-    # a run of 38 letters tells a word well enough
-    texts = ["<" + (t if len(t) <= 38 else t[:19] + t[-19:]) + ">" for t in texts]
+    # `words_of` gives none over `LONGEST`, so this cuts nothing of a text
+    texts = ["<" + (t if len(t) <= LONGEST else t[:19] + t[-19:]) + ">" for t in texts]
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
     end = np.cumsum(size)
@@ -52,6 +55,21 @@ def core(word: bytes) -> bytes:
     return word.lower().strip(_EDGE)
 
 
+def words_of(text: bytes) -> list[bytes]:
+    """Words, of which those over `LONGEST` letters are cut into pieces that hold all of their n-grams."""
+    words = text.split()
+    if not words or max(map(len, words)) <= LONGEST:
+        return words
+    out = []
+    for w in words:
+        t = core(w).decode("utf-8", "replace") if len(w) > LONGEST else ""
+        if len(t) > LONGEST:
+            out += [t[i: i + LONGEST].encode() for i in range(0, len(t) - OVERLAP, LONGEST - OVERLAP)]
+        else:
+            out.append(w)
+    return out
+
+
 class Model:
     def __init__(self, texts: list[bytes], labels: np.ndarray, steps: int = 90, seed: int = 3):
         rng = np.random.default_rng(seed)
@@ -64,7 +82,7 @@ class Model:
         known: dict[bytes, int] = {}
         ids, window, doc = [], [], []
         for d, text in enumerate(texts):
-            words = [known.setdefault(core(w), len(known)) for w in text.split()]
+            words = [known.setdefault(core(w), len(known)) for w in words_of(text)]
             ids.append(np.array(words, np.int64))
             n = max(1, -(-len(words) // SPAN))
             window.append(len(doc) + np.arange(len(words)) // SPAN)
@@ -161,7 +179,7 @@ def _score(sent, keep):
                 if constant is not None:
                     out += [constant] * (hi - lo)
                     continue
-                split = [x.split() if x else [] for x in texts[lo:hi]]
+                split = [words_of(x) if x else [] for x in texts[lo:hi]]
                 cache.learn(set().union(*split))
                 for words in split:
                     s = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))

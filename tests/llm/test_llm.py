@@ -272,6 +272,17 @@ def test_subwords():
     assert not len(toxicity.subwords([])[0])
 
 
+def test_toxicity_long_words():
+    assert toxicity.words_of(b"short words. " + b"y" * 38) == [b"short", b"words.", b"y" * 38]
+    letters = "".join(unlike(2)(40).split()) + "\u00e9\u00e9"
+    pieces = [x.decode() for x in toxicity.words_of(f"a {letters}, b".encode())]
+    assert pieces[0] == "a" and pieces[-1] == "b" and max(map(len, pieces)) <= 38
+    assert all(any(letters[i: i + 5] in x for x in pieces) for i in range(len(letters) - 4))
+    gram, of = toxicity.subwords([x.encode() for x in pieces])
+    inside = set(toxicity.subwords([b"zz" + letters[150:180].encode() + b"zz"])[0].tolist())
+    assert len(inside & set(gram.tolist())) > 50
+
+
 def test_awkward_tables(spark, labels):
     docs, none = frame(spark, AWKWARD), frame(spark, AWKWARD).limit(0)
     no_labels = labels.limit(0)
