@@ -5,9 +5,11 @@ fall into classes by their first byte. The network (a GRU whose input layer is a
 next token and, for frequent tokens, the token within its class: a class-factored softmax. A rare word has its
 smoothed share of its class, so the model is a distribution over all words, the unseen included.
 
-Training is truncated backpropagation on whole documents, with the state carried from window to window. All training
-documents are dealt to trainers, one for so many documents, that start from the same weights; the weights are averaged
-by tokens after each round. Scoring carries the state through the complete document.
+Texts become token numbers once, two bytes each; training and scoring read these. Training is truncated
+backpropagation on whole documents, with the state carried from window to window. Every training document is learned
+from once: the documents are split into parts of growing size, a part is dealt to trainers of a fixed number of
+tokens that start from the same weights, and their weights, averaged by tokens, are where the next part starts.
+Scoring carries the state through the complete document.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, stored, table
+from .common import raw, runs, stored, table
 from .sampling import fold
 
 HIDDEN, CLASSES, PER_CLASS, RARE = 16, 32, 32, 16
@@ -28,8 +30,9 @@ TOP = CLASSES * PER_CLASS
 #: Counts of this many words are sent to every executor (some 20 MB); those of all others are joined.
 SENT_COUNTS = 200_000
 WINDOW, LANES = 32, 512
-#: Documents of a trainer, some; trainers grow in number with the corpus and with nothing else.
-TRAINED = 4_000
+#: Training documents are split in these proportions; tokens of a trainer, some. Trainers grow in number with the
+#: corpus and with nothing else.
+PARTS, TRAINED = (1, 3, 12), 2_000_000
 LOG10 = float(np.log(10))
 
 
@@ -49,181 +52,175 @@ def _count(batches):
         yield out()
 
 
-class Vocabulary:
-    def __init__(self, top: list[tuple[bytes, int]], rare: dict[int, tuple[int, int]]):
-        """top: (word, count) by rank, the end (b"") among them; rare: class -> (words, their tokens)."""
-        self.id = {w: i for i, (w, _) in enumerate(top)}
-        self.n_top = len(top)
-        self.end = self.id[b""]
-        count = np.full(TOP, 1e-9)
-        count[: len(top)] = [c + 0.1 for _, c in top]
-        mass = np.array([sum(rare.get(r, (0, 0))[1:]) + 0.1 * (rare.get(r, (0, 0))[0] + 1) for r in range(RARE)])
-        self.rare_mass = mass
-        by_class = count.reshape(CLASSES, PER_CLASS)
-        self.class_bias = np.log(np.r_[by_class.sum(1), mass] / (count.sum() + mass.sum())).astype(np.float32)
-        self.word_bias = np.log(by_class / by_class.sum(1, keepdims=True)).astype(np.float32)
-
-    def of(self, word: bytes) -> int:
-        i = self.id.get(word)
-        return TOP + zlib.crc32(word[:1]) % RARE if i is None else i
-
-
-class Ids(dict):
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.v = vocabulary
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        i = self[word] = self.v.of(word)
-        return i
-
-
-def fresh(v: Vocabulary, seed: int = 1) -> dict[str, np.ndarray]:
+def fresh(top: list[tuple[bytes, int]], rare_mass: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
+    """Weights to start from. The biases are the unigram distribution of the top words and the classes of rare ones."""
     rng = np.random.default_rng(seed)
     f = lambda s, *d: rng.normal(0, s, d).astype(np.float32)
-    return {"x": f(0.3, TOP + RARE, 3 * HIDDEN), "u": f(0.25, HIDDEN, 3 * HIDDEN), "wc": f(0.02, HIDDEN, CLASSES + RARE), "bc": v.class_bias.copy(),
-            "ww": f(0.02, CLASSES, HIDDEN, PER_CLASS), "bw": v.word_bias.copy()}
-
-
-def _sigmoid(x):
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
-
-
-def steps(p, ids: np.ndarray, h: np.ndarray, keep: bool = False):
-    """GRU over ids (time, lane) from state h: the states before each output, and what backpropagation needs."""
-    n, hs, saved = HIDDEN, [], []
+    count = np.full(TOP, 1e-9)
+    count[: len(top)] = [c + 0.1 for _, c in top]
+    by_class = count.reshape(CLASSES, PER_CLASS)
+    classes = np.log(np.r_[by_class.sum(1), rare_mass] / (count.sum() + rare_mass.sum()))
+    words = np.log(by_class / by_class.sum(1, keepdims=True))
+    return {"x": f(0.3, TOP + RARE, 3 * HIDDEN), "u": f(0.25, HIDDEN, 3 * HIDDEN), "wc": f(0.02, HIDDEN, CLASSES + RARE), "bc": classes.astype(np.float32),
+            "ww": f(0.02, CLASSES, HIDDEN, PER_CLASS), "bw": words.astype(np.float32)}
+
+
+def windows(flat: np.ndarray, start: np.ndarray, size: np.ndarray, end: int):
+    """Documents side by side, longest first, window by window: (documents still alive, inputs, targets, which targets
+    count). `flat` holds their tokens, each with its end; a document's first input is the end of the one before it."""
+    for lo in range(0, int(size[0]), WINDOW):
+        alive = int(np.searchsorted(-size, -lo, "left"))
+        at = lo + np.arange(min(WINDOW, int(size[0]) - lo))[:, None]
+        valid = at < size[:alive]
+        y = np.where(valid, flat[np.minimum(start[:alive] + at, len(flat) - 1)], end).astype(np.int64)
+        first = flat[start[:alive] + lo - 1] if lo else np.full(alive, end)
+        yield alive, np.vstack([first[None], y[:-1]]), y, valid
+
+
+def forward(p, ids: np.ndarray, h: np.ndarray):
+    """GRU over ids (time, lane) from state h: all states, the given one first; gates; candidates."""
+    n, (steps, width) = HIDDEN, ids.shape
     u_zr, u_n = np.ascontiguousarray(p["u"][:, : 2 * n]), np.ascontiguousarray(p["u"][:, 2 * n:])
-    for t in range(len(ids)):
-        x = p["x"][ids[t]]
-        zr = _sigmoid(x[:, : 2 * n] + h @ u_zr)
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(x[:, 2 * n:] + (r * h) @ u_n)
-        new = z * h + (1 - z) * c
-        if keep:
-            saved.append((h, z, r, c))
-        hs.append(new)
-        h = new
-    return np.stack(hs), saved
-
-
-def _log_softmax(x):
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+    x = p["x"][ids]
+    hs = np.empty((steps + 1, width, n), p["u"].dtype)
+    hs[0] = h
+    gates, candidates = np.empty((steps, width, 2 * n), hs.dtype), np.empty((steps, width, n), hs.dtype)
+    for t in range(steps):
+        zr, c, new = gates[t], candidates[t], hs[t + 1]
+        np.matmul(hs[t], u_zr, out=zr)
+        zr += x[t, :, : 2 * n]
+        zr *= 0.5  # a logistic gate by way of tanh
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.matmul(zr[:, n:] * hs[t], u_n, out=c)
+        c += x[t, :, 2 * n:]
+        np.tanh(c, out=c)
+        np.subtract(hs[t], c, out=new)
+        new *= zr[:, :n]
+        new += c
+    return hs, gates, candidates
+
+
+def _picked(logits: np.ndarray, at: np.ndarray, slope: bool) -> np.ndarray:
+    """Log-softmax at one column of each row; with `slope`, logits become its derivatives."""
+    rows = np.arange(len(at))
+    if np.abs(logits).max() > 60:  # exp() must not overflow
+        logits -= logits.max(axis=1, keepdims=True)
+    own = logits[rows, at]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=1)
+    if slope:
+        logits *= (-1 / total)[:, None]
+        logits[rows, at] += 1
+    return own - np.log(total)
 
 
 def outputs(p, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
-    """Natural log-probabilities of the targets (rare words: of their class); with `grad`, the states' gradients."""
+    """Natural log-probabilities of the targets (rare words: of their class); with `grad`, that of the output weights is
+    put there, and the states' gradients are returned. Rows are sorted by class, so each class is a slice."""
     cls = np.where(target < TOP, target // PER_CLASS, target - TOP + CLASSES)
-    if grad is None:
-        return _log_probabilities(p, h, target, cls), None
-    lc = _log_softmax(h @ p["wc"] + p["bc"])
-    at = np.arange(len(h))
-    logp = lc[at, cls]
-    d = -np.exp(lc)
-    d[at, cls] += 1
-    grad["wc"] += h.T @ d
-    grad["bc"] += d.sum(0)
-    dh = d @ p["wc"].T
-    order = np.argsort(cls, kind="stable")
-    edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        own = order[edge[c]: edge[c + 1]]
-        if len(own):
-            x = h[own]
-            lw = _log_softmax(x @ p["ww"][c] + p["bw"][c])
-            word = target[own] % PER_CLASS
-            logp[own] += lw[np.arange(len(own)), word]
-            d = -np.exp(lw)
-            d[np.arange(len(own)), word] += 1
-            grad["ww"][c] += x.T @ d
-            grad["bw"][c] += d.sum(0)
-            dh[own] += d @ p["ww"][c].T
-    return logp, dh
-
-
-def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log-softmax at one column of each row."""
-    own = logits[np.arange(len(at)), at]
-    top = logits.max()
-    if top - logits.min() > 60:  # far apart: shift every row by its own greatest
-        top = logits.max(axis=1, keepdims=True)
-    np.subtract(logits, top, out=logits)
-    np.exp(logits, out=logits)
-    return own - np.log(logits.sum(axis=1)) - np.broadcast_to(np.asarray(top).reshape(-1), own.shape)
-
-
-def _log_probabilities(p, h, target, cls):
-    """Outputs without gradients: rows sorted by class once, so that each class is a slice."""
-    order = np.argsort(cls, kind="stable")
+    order = np.argsort(cls.astype(np.uint8), kind="stable")
     h, target, cls = h[order], target[order], cls[order]
-    logp = _picked(h @ p["wc"] + p["bc"], cls)
     edge = np.searchsorted(cls, np.arange(CLASSES + 1))
+    learn = grad is not None
+    d = h @ p["wc"]
+    d += p["bc"]
+    logp = _picked(d, cls, learn)
+    if learn:
+        grad["wc"], grad["bc"], dh = h.T @ d, d.sum(0), d @ p["wc"].T
+        grad["ww"], grad["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
     for c in range(CLASSES):
-        lo, hi = edge[c], edge[c + 1]
-        if hi > lo:
-            logp[lo:hi] += _picked(h[lo:hi] @ p["ww"][c] + p["bw"][c], target[lo:hi] % PER_CLASS)
-    out = np.empty_like(logp)
-    out[order] = logp
-    return out
-
-
-def lanes(docs: list[np.ndarray], end: int, width: int):
-    """Batches of whole documents side by side, longest first: (input ids, targets, lengths)."""
-    docs = sorted(docs, key=len, reverse=True)
-    for lo in range(0, len(docs), width):
-        part = docs[lo: lo + width]
-        size = np.array([len(x) for x in part])
-        target = np.full((size[0], len(part)), end, np.int32)
-        for i, x in enumerate(part):
-            target[: len(x), i] = x
-        yield np.vstack([np.full((1, len(part)), end, np.int32), target[:-1]]), target, size
-
-
-def train(p: dict, docs: list[np.ndarray], end: int, state: dict, width: int = 32, rate: float = 0.01) -> int:
-    """One pass of truncated backpropagation through time (Adam); returns the tokens seen."""
-    seen = 0
-    for ids, target, size in lanes(docs, end, width):
-        h = np.zeros((len(size), HIDDEN), np.float32)
-        for lo in range(0, len(ids), WINDOW):
-            alive = int((size > lo).sum())
-            x, y, h = ids[lo: lo + WINDOW, :alive], target[lo: lo + WINDOW, :alive], h[:alive]
-            hs, saved = steps(p, x, h, keep=True)
-            valid = (np.arange(lo, lo + len(x))[:, None] < size[:alive]).reshape(-1)
-            g = {k: np.zeros_like(a) for k, a in p.items()}
-            flat = hs.reshape(-1, HIDDEN)
-            # a state predicts the token after its input
-            _, dh = outputs(p, flat[valid], y.reshape(-1)[valid], g)
-            d_all = np.zeros_like(flat)
-            d_all[valid] = dh
-            d_all = d_all.reshape(hs.shape)
-            back = np.zeros_like(h)
-            n, u = HIDDEN, p["u"]
-            dx = np.empty((*x.shape, 3 * n), np.float32)
-            for t in range(len(x) - 1, -1, -1):
-                prev, z, r, c = saved[t]
-                d = d_all[t] + back
-                dn = d * (1 - z) * (1 - c * c)
-                drh = dn @ u[:, 2 * n:].T
-                dz = d * (prev - c) * z * (1 - z)
-                dr = drh * prev * r * (1 - r)
-                dx[t] = np.hstack([dz, dr, dn])
-                g["u"][:, 2 * n:] += (r * prev).T @ dn
-                g["u"][:, : 2 * n] += prev.T @ dx[t][:, : 2 * n]
-                back = d * z + drh * r + dx[t][:, : 2 * n] @ u[:, : 2 * n].T
-            np.add.at(g["x"], x.reshape(-1), dx.reshape(-1, 3 * n))
+        own = slice(edge[c], edge[c + 1])
+        if edge[c] < edge[c + 1]:
+            d = h[own] @ p["ww"][c]
+            d += p["bw"][c]
+            logp[own] += _picked(d, target[own] % PER_CLASS, learn)
+            if learn:
+                grad["ww"][c], grad["bw"][c] = h[own].T @ d, d.sum(0)
+                dh[own] += d @ p["ww"][c].T
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return logp[back], dh[back] if learn else None
+
+
+def gradients(p, x: np.ndarray, y: np.ndarray, valid: np.ndarray, h: np.ndarray):
+    """Summed log-probability of a window's valid targets, its gradient in all weights, and the last state."""
+    n, u, g = HIDDEN, p["u"], {}
+    hs, gates, candidates = forward(p, x, h)
+    ok = valid.reshape(-1)
+    # a state predicts the token after its input
+    logp, dh = outputs(p, hs[1:].reshape(-1, n)[ok], y.reshape(-1)[ok], g)
+    d_out = np.zeros((ok.size, n), hs.dtype)
+    d_out[ok] = dh
+    d_out = d_out.reshape(hs[1:].shape)
+    prev, z, r = hs[:-1], gates[:, :, :n], gates[:, :, n:]
+    of_c = (1 - z) * (1 - candidates * candidates)
+    of_gates = gates * (1 - gates)
+    of_gates[:, :, :n] *= prev - candidates
+    of_gates[:, :, n:] *= prev
+    back_gates, back_c = np.ascontiguousarray(u[:, : 2 * n].T), np.ascontiguousarray(u[:, 2 * n:].T)
+    dx, back = np.empty((*x.shape, 3 * n), hs.dtype), np.zeros_like(hs[0])
+    for t in range(len(x) - 1, -1, -1):
+        d, d_gates, d_c = d_out[t], dx[t, :, : 2 * n], dx[t, :, 2 * n:]
+        d += back
+        np.multiply(d, of_c[t], out=d_c)
+        through = d_c @ back_c
+        np.multiply(of_gates[t, :, :n], d, out=d_gates[:, :n])
+        np.multiply(of_gates[t, :, n:], through, out=d_gates[:, n:])
+        back = d_gates @ back_gates
+        d *= z[t]
+        through *= r[t]
+        back += d
+        back += through
+    dx = dx.reshape(-1, 3 * n)
+    g["u"] = np.hstack([prev.reshape(-1, n).T @ dx[:, : 2 * n], (r * prev).reshape(-1, n).T @ dx[:, 2 * n:]])
+    # rows of the input table: sums over equal ids
+    order = np.argsort(x.reshape(-1), kind="stable")
+    ids = x.reshape(-1)[order]
+    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    g["x"] = np.zeros_like(p["x"])
+    g["x"][ids[first]] = np.add.reduceat(dx[order], first, axis=0)
+    return logp.sum(), g, hs[-1]
+
+
+def lanes(size: np.ndarray, width: int):
+    """Documents that go side by side: `width` of them, of similar length, longest first."""
+    order = np.argsort(-size, kind="stable")
+    return [order[i: i + width] for i in range(0, len(order), width)]
+
+
+def train(p: dict, flat: np.ndarray, size: np.ndarray, end: int, width: int = 256, rate: float = 0.01) -> None:
+    """One pass of truncated backpropagation through time (Adam) over documents of `size` tokens, which lie one after
+    the other in `flat`."""
+    start = np.cumsum(size) - size
+    m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
+    groups, t = lanes(size, width), 0
+    np.random.default_rng(len(size)).shuffle(groups)
+    for own in groups:
+        h = np.zeros((len(own), HIDDEN), p["u"].dtype)
+        for alive, x, y, valid in windows(flat, start[own], size[own], end):
+            _, g, h = gradients(p, x, y, valid, h[:alive])
+            t += 1
+            step = rate / (1 + t / 400) * (1 - 0.99**t) ** 0.5 / (1 - 0.9**t)
+            for k, q in g.items():
+                q /= valid.sum()
+                m[k] += 0.1 * (q - m[k])
+                v[k] += 0.01 * (q * q - v[k])
+                p[k] += step * m[k] / (np.sqrt(v[k]) + 1e-6)
+
+
+def log_probabilities(p: dict, flat: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
+    """Of each complete document the sum of its tokens' natural log-probabilities."""
+    start, total = np.cumsum(size) - size, np.zeros(len(size))
+    for own in lanes(size, LANES):
+        h = np.zeros((len(own), HIDDEN), np.float32)
+        for alive, x, y, valid in windows(flat, start[own], size[own], end):
+            hs, _, _ = forward(p, x, h[:alive])
+            logp, _ = outputs(p, hs[1:][valid], y[valid])
+            total[own[:alive]] += np.bincount(np.nonzero(valid)[1], weights=logp, minlength=alive)
             h = hs[-1]
-            count = int(valid.sum())
-            seen += count
-            state["t"] = state.get("t", 0) + 1
-            for k in p:
-                q = g[k] / count
-                m, v = state.setdefault(k, [np.zeros_like(q), np.zeros_like(q)])
-                m += 0.1 * (q - m)
-                v += 0.01 * (q * q - v)
-                p[k] += rate / (1 + state["t"] / 400) * (m / (1 - 0.9 ** min(state["t"], 300))) / (np.sqrt(v / (1 - 0.99 ** min(state["t"], 2000))) + 1e-6)
-    return seen
+    return total
 
 
 def _flat(p) -> np.ndarray:
@@ -243,13 +240,23 @@ CHUNK = 64
 
 def _trainer(sent):
     def go(batches):
-        v, p = sent.value
+        p, end = sent.value
         p = {k: a.copy() for k, a in p.items()}
-        ids, state, seen = Ids(v), {}, 0
+        rows, held, seen = [], 0, 0
+        def learn():
+            docs = [np.frombuffer(x, np.uint16) for _, x in sorted(rows)]
+            size = np.array([len(x) for x in docs])
+            train(p, np.concatenate(docs), size, end)
+            return int(size.sum())
         for b in batches:
-            docs = [np.array([ids[w] for w in (x or b"").lower().split()] + [v.end], np.int32) for x in raw(b, "text")]
-            # wide steps are cheaper a token; few documents need many steps
-            seen += train(p, docs, v.end, state, max(32, min(256, len(docs) // 16)))
+            for row in zip(b.column("row").to_pylist(), b.column("ids").to_pylist(), strict=True):
+                rows.append(row)
+                held += len(row[1]) // 2
+                if held > 4 * TRAINED:  # a trainer that got more than it should holds no more than this at once
+                    seen += learn()
+                    rows, held = [], 0
+        if rows:
+            seen += learn()
         if seen:
             flat = _flat(p).astype(np.float64) * seen
             flat = np.pad(flat, (0, -len(flat) % CHUNK)).reshape(-1, CHUNK)
@@ -257,26 +264,28 @@ def _trainer(sent):
     return go
 
 
-def fit(docs: DataFrame, v: Vocabulary, share: int, rounds: int) -> dict[str, np.ndarray]:
-    """Weights averaged over trainers, a fixed number of floats. Every `share`-th training document is learned from."""
-    spark = docs.sparkSession
-    p = fresh(v)
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select("doc_id", "text")
-    n = max(4, chosen.count() // TRAINED)
-    for _ in range(rounds):
-        sent = spark.sparkContext.broadcast((v, p))
-        dealt = chosen.repartition(n, F.xxhash64("doc_id", "text")).sortWithinPartitions("doc_id")
-        sums = dealt.select("text").mapInArrow(_trainer(sent), "chunk int, n double, w array<double>").groupBy("chunk").agg(
+def parts(docs: DataFrame, proportions: tuple[int, ...]) -> list[DataFrame]:
+    """`docs` (with `row`) split in these proportions; every document is in one part."""
+    at, whole, out = 0, sum(proportions), []
+    place = F.pmod(F.xxhash64("row"), F.lit(whole))
+    for n in proportions:
+        out.append(docs.where((place >= at) & (place < at + n)))
+        at += n
+    return out
+
+
+def fit(docs: DataFrame, tokens: int, p: dict, end: int, proportions: tuple[int, ...] = PARTS) -> dict[str, np.ndarray]:
+    """Weights learned from all of `docs` (row, ids), some `tokens` in all; a fixed number of floats goes back."""
+    for own, share in zip(parts(docs, proportions), proportions, strict=True):
+        n = max(1, tokens * share // sum(proportions) // TRAINED)
+        sent = docs.sparkSession.sparkContext.broadcast((p, end))
+        sums = own.select("row", "ids").repartition(n, "row").mapInArrow(_trainer(sent), "chunk int, n double, w array<double>").groupBy("chunk").agg(
             F.sum("n").alias("n"), *[F.sum(F.get("w", F.lit(i))).alias(f"w{i}") for i in range(CHUNK)]).collect()
         if sums:
-            flat = np.concatenate([np.array(r[2:]) / r[1] for r in sorted(sums)])
-            p = _unflat(flat, p)
+            p = _unflat(np.concatenate([np.array(r[2:]) / r[1] for r in sorted(sums)]), p)
     return p
 
 
-SCHEMA = "doc_id long, n_tokens long, known long, logs double, net double, rest array<struct<word:binary,tf:int>>"
-
-
 class Places(dict):
     """word -> its place in tables of the counts sent; other words: the place of their class behind these."""
 
@@ -284,7 +293,7 @@ class Places(dict):
         super().__init__((w, i) for i, (w, _) in enumerate(frequent))
         self.n = len(frequent)
         rare = [TOP + zlib.crc32(w[:1]) % RARE for w, _ in frequent[n_top:]]
-        self.token = np.r_[np.arange(n_top), np.array(rare, np.int64), TOP + np.arange(RARE)].astype(np.int32)
+        self.token = np.r_[np.arange(n_top), np.array(rare, np.int64), TOP + np.arange(RARE)].astype(np.uint16)
         count = np.array([c for _, c in frequent], np.float64)
         self.known = np.r_[count > 0, np.zeros(RARE, bool)]
         self.log = np.r_[np.log10(count + 0.1), np.zeros(RARE)]
@@ -293,40 +302,45 @@ class Places(dict):
         return self.n + zlib.crc32(word[:1]) % RARE
 
 
-def _scorer(sent):
+NUMBERED = "row long, doc_id long, train boolean, n_tokens long, known long, logs double, off double, ids binary, rest array<struct<word:binary,tf:int>>"
+
+
+def _numbered(sent):
+    """Token numbers of the texts, and what the counts say of them."""
     def go(batches):
-        v, p, frequent = sent.value
-        places = Places(frequent, v.n_top)
+        frequent, n_top, rare_mass = sent.value
+        places = Places(frequent, n_top)
         # what a token takes off the network's log: of frequent words the count's, of rare ones the class's mass
-        off = np.r_[places.log[: v.n_top], np.log10(v.rare_mass)[places.token[v.n_top:] - TOP]]
+        off = np.r_[places.log[:n_top], np.log10(rare_mass)[places.token[n_top:].astype(np.int64) - TOP]]
+        for b in batches:
+            texts = raw(b, "text")
+            for lo, hi in runs(texts, 1 << 23):
+                rows = []
+                for text in texts[lo:hi]:
+                    words = text.lower().split() if text else []
+                    words.append(b"")
+                    at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+                    rest = Counter([words[i] for i in np.flatnonzero(at >= places.n).tolist()])
+                    rows.append((len(words), int(places.known[at].sum()), float(places.log[at].sum()), float(off[at].sum()), places.token[at].tobytes(), [{"word": w, "tf": n} for w, n in rest.items()]))
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32())]))]
+                given = [b.column(c).slice(lo, hi - lo) for c in ("row", "doc_id", "train")]
+                yield pa.RecordBatch.from_arrays([*given, *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], ["row", "doc_id", "train", "n_tokens", "known", "logs", "off", "ids", "rest"])
+    return go
+
+
+def _scorer(sent):
+    def go(batches):
+        p, end = sent.value
         for b in batches:
-            docs, rows = [], []
-            for text in raw(b, "text"):
-                words = (text or b"").lower().split()
-                words.append(b"")
-                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                docs.append(places.token[at])
-                rest = Counter([words[i] for i in np.flatnonzero(at >= places.n).tolist()])
-                rows.append((len(words), int(places.known[at].sum()), float(places.log[at].sum()), [{"word": w, "tf": n} for w, n in rest.items()], float(off[at].sum())))
-            net = np.zeros(len(docs))
-            order = sorted(range(len(docs)), key=lambda i: len(docs[i]), reverse=True)
-            for k, (x, y, size) in enumerate(lanes(docs, v.end, LANES)):
-                h, total = np.zeros((len(size), HIDDEN), np.float32), np.zeros(len(size))
-                for lo in range(0, len(x), WINDOW):
-                    alive = int((size > lo).sum())
-                    hs, _ = steps(p, x[lo: lo + WINDOW, :alive], h[:alive])
-                    valid = np.arange(lo, lo + len(hs))[:, None] < size[:alive]
-                    logp, _ = outputs(p, hs[valid], y[lo: lo + WINDOW, :alive][valid])
-                    total[:alive] += np.bincount(np.nonzero(valid)[1], weights=logp, minlength=alive)
-                    h = hs[-1]
-                net[order[k * LANES: k * LANES + len(size)]] = total / LOG10
-            # log10(c + 0.1) of every word comes with `logs`: of rare words this leaves their share of their class
-            net -= np.array([r[4] for r in rows])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), *[pa.array([r[i] for r in rows], k) for i, k in ((0, pa.int64()), (1, pa.int64()), (2, pa.float64()))], pa.array(net),
-                 pa.array([r[3] for r in rows], pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32())])))],
-                ["doc_id", "n_tokens", "known", "logs", "net", "rest"],
-            )
+            ids = b.column("ids").to_pylist()
+            for lo, hi in runs(ids, 1 << 23):
+                own = b.slice(lo, hi - lo)
+                size = np.array([len(x) // 2 for x in ids[lo:hi]])
+                net = log_probabilities(p, np.frombuffer(b"".join(ids[lo:hi]), np.uint16), size, end) / LOG10
+                # log10(c + 0.1) of every word comes with `logs`: of rare words this leaves their share of their class
+                net -= own.column("off").to_numpy()
+                keep = ["row", "doc_id", "n_tokens", "known", "logs"]
+                yield pa.RecordBatch.from_arrays([*[own.column(c) for c in keep], pa.array(net)], [*keep, "net"])
     return go
 
 
@@ -343,17 +357,17 @@ def _floor(counts: DataFrame, most: int) -> int:
     return floor
 
 
-def lm_scores(docs: DataFrame, share: int = 1, rounds: int = 2, sent_counts: int = SENT_COUNTS) -> DataFrame:
+def lm_scores(docs: DataFrame, sent_counts: int = SENT_COUNTS, proportions: tuple[int, ...] = PARTS) -> DataFrame:
     """Per row: doc_id, held_out (crc32 of the id mod 10 is 0; those rows teach nothing), n_tokens (words, and one
     end), n_known, train_tokens, base_score (log10, smoothed unigram), score (log10, the recurrent model).
 
     Null, empty and blank texts are the end alone. A null doc_id is a training row. Repeated rows count and are
     scored each. With nothing to learn from, all counts are zero and the model is its initial one. Other columns
-    are ignored; an empty table gives an empty table."""
+    are ignored; an empty table gives an empty table. Scores depend in their last digits on the order in which
+    trainers' weights are added up, and slightly on how the table is cut into partitions, which numbers its rows."""
     spark = docs.sparkSession
-    given = docs.select("doc_id", "text")
-    own = given.where(F.coalesce(fold(10) != 0, F.lit(True)))
-    counts = stored(own.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    given = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold(10) != 0, F.lit(True)).alias("train"), "text")
+    counts = stored(given.where("train").select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     # bounded by sent_counts, whatever the corpus; words that tie at the cutoff stay behind together
     floor = _floor(counts, sent_counts)
@@ -361,22 +375,25 @@ def lm_scores(docs: DataFrame, share: int = 1, rounds: int = 2, sent_counts: int
     if b"" not in dict(frequent):
         end = [(b"", r.c) for r in counts.where(F.length("word") == 0).collect()] or [(b"", 0)]
         frequent = end + frequent
-    top = [x for x in frequent if x[0] == b""] + [x for x in frequent if x[0] != b""][: TOP - 1]
+    top = [x for x in frequent if x[0] == b""] + [x for x in frequent if x[0] != b""][: TOP - 1]  # the end is 0
     rare = counts.where(F.length("word") > 0).groupBy((F.crc32(F.substring("word", 1, 1)) % RARE).cast("int").alias("r")).agg(F.count(F.lit(1)).alias("v"), F.sum("c").alias("s"))
-    rare = {r.r: [r.v, r.s] for r in rare.collect()}
+    words, mass = np.zeros(RARE), np.zeros(RARE)
+    for r in rare.collect():
+        words[r.r], mass[r.r] = r.v, r.s
     for w, c in top[1:]:
-        x = rare[zlib.crc32(w[:1]) % RARE]
-        x[0], x[1] = x[0] - 1, x[1] - c
-    v = Vocabulary(top, rare)
-    p = fit(own, v, share, rounds)
+        words[zlib.crc32(w[:1]) % RARE] -= 1
+        mass[zlib.crc32(w[:1]) % RARE] -= c
+    rare_mass = mass + 0.1 * (words + 1)
     beyond = {w for w, _ in top}
-    sent = spark.sparkContext.broadcast((v, p, top + [x for x in frequent if x[0] not in beyond]))
-    parts = stored(given.mapInArrow(_scorer(sent), SCHEMA), "scores").withColumn("row", F.monotonically_increasing_id())
+    sent = spark.sparkContext.broadcast((top + [x for x in frequent if x[0] not in beyond], len(top), rare_mass))
+    numbered = stored(given.mapInArrow(_numbered(sent), NUMBERED), "numbered")
+    p = fit(numbered.where("train"), int(total), fresh(top, rare_mass), 0, proportions)
+    scored = numbered.mapInArrow(_scorer(spark.sparkContext.broadcast((p, 0))), "row long, doc_id long, n_tokens long, known long, logs double, net double")
     # words beyond the counts sent are rare by their rank; their counts are joined
-    rest = parts.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.tf").join(counts, "word", "left")
+    rest = numbered.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.tf").join(counts, "word", "left")
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
     rest = rest.groupBy("row").agg(F.sum(F.col("tf") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("tf"))).alias("more_known"))
-    out = parts.drop("rest").join(rest, "row", "left")
+    out = scored.join(rest, "row", "left")
     logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
     scale = float(np.log10(total + 0.1 * (distinct + 1)))
     return out.select(

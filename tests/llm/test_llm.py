@@ -202,7 +202,7 @@ def test_packing(spark):
 
 def test_language_model(spark):
     docs = corpus(4)
-    got = {r.doc_id: r for r in language_model.lm_scores(frame(spark, docs), share=1, rounds=1, sent_counts=50).collect()}
+    got = {r.doc_id: r for r in language_model.lm_scores(frame(spark, docs), sent_counts=50).collect()}
     c = Counter()
     for i, t in docs:
         if crc32(str(i).encode()) % 10:
@@ -215,11 +215,15 @@ def test_language_model(spark):
         assert math.isfinite(got[i].score) and got[i].score < 0
 
 
-def test_language_model_learns_from_all(spark, monkeypatch):
+def test_language_model_learns_from_all_once(spark, monkeypatch):
     docs = frame(spark, corpus(4))
     got, seen = [], []
-    real = language_model.fit
-    monkeypatch.setattr(language_model, "fit", lambda own, v, share, rounds: seen.append(share) or real(own, v, share, rounds))
+    real = language_model.parts
+    def parts(own, proportions):
+        out = real(own, proportions)
+        seen.append((sorted(r.row for r in own.collect()), sorted(r.row for x in out for r in x.collect())))
+        return out
+    monkeypatch.setattr(language_model, "parts", parts)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         for n in (3, 7):
@@ -227,24 +231,70 @@ def test_language_model_learns_from_all(spark, monkeypatch):
             got.append({r.doc_id: r.score for r in language_model.lm_scores(docs).collect()})
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert seen == [1, 1] and got[0] == pytest.approx(got[1], rel=1e-6)
+    assert got[0] == pytest.approx(got[1], rel=1e-6)
+    assert all(whole == dealt and len(whole) == sum(crc32(str(i).encode()) % 10 > 0 for i, _ in corpus(4)) for whole, dealt in seen)
+
+
+def lm_weights():
+    top = [(b"", 5)] + [(b"a%d" % i, 9) for i in range(40)]
+    return {k: a.astype(np.float64) for k, a in language_model.fresh(top, np.linspace(1, 4, language_model.RARE)).items()}
+
+
+def plain_log_probabilities(p, ids):
+    """One document, token by token, without any of the module's functions; the distribution after each token too."""
+    h, at, out, n = np.zeros(language_model.HIDDEN), 0, [], language_model.HIDDEN
+    for y in ids:
+        x = p["x"][at]
+        z, r = (1 / (1 + np.exp(-(x[k * n: k * n + n] + h @ p["u"][:, k * n: k * n + n]))) for k in (0, 1))
+        c = np.tanh(x[2 * n:] + (r * h) @ p["u"][:, 2 * n:])
+        h = z * h + (1 - z) * c
+        classes = np.exp(h @ p["wc"] + p["bc"])
+        classes /= classes.sum()
+        every = []
+        for k in range(language_model.CLASSES):
+            inside = np.exp(h @ p["ww"][k] + p["bw"][k])
+            every += (classes[k] * inside / inside.sum()).tolist()
+        every += classes[language_model.CLASSES:].tolist()
+        out.append(every)
+        at = y
+    return sum(math.log(row[y]) for row, y in zip(out, ids)), out
+
+
+def test_language_model_scores_are_log_probabilities():
+    p = lm_weights()
+    rng = np.random.default_rng(1)
+    docs = [[*rng.integers(0, language_model.TOP + language_model.RARE, n).tolist(), 0] for n in (70, 0, 3, 33, 32, 31, 3)]
+    got = language_model.log_probabilities(p, np.array(sum(docs, []), np.uint16), np.array([len(x) for x in docs]), 0)
+    for ids, x in zip(docs, got):
+        want, every = plain_log_probabilities(p, ids)
+        assert x == pytest.approx(want, rel=1e-5)
+        assert all(sum(row) == pytest.approx(1) for row in every)
 
 
 def test_language_model_gradient():
-    v = language_model.Vocabulary([(b"", 5)] + [(b"a%d" % i, 9) for i in range(40)], {0: (3, 4)})
-    p = {k: a.astype(np.float64) for k, a in language_model.fresh(v).items()}
-    ids = np.array([[0, 1], [5, 30], [33, 1025]])
-    target = np.array([[5, 30], [33, 1025], [0, 0]])
-    def loss():
-        hs, _ = language_model.steps(p, ids, np.zeros((2, language_model.HIDDEN)))
-        return language_model.outputs(p, hs.reshape(-1, language_model.HIDDEN), target.reshape(-1))[0].sum()
-    before = loss()
-    q = {k: a.copy() for k, a in p.items()}
-    state = {}
-    for _ in range(30):
-        language_model.train(q, [target[:, 0].astype(np.int32), target[:, 1].astype(np.int32)], 0, state)
-    p = q
-    assert loss() > before + 1
+    p = lm_weights()
+    x, y = np.array([[0, 1], [5, 30], [33, 1025]]), np.array([[5, 30], [33, 1025], [0, 0]])
+    valid, h = np.array([[True, True], [True, True], [True, False]]), np.full((2, language_model.HIDDEN), 0.1)
+    def total():
+        hs, _, _ = language_model.forward(p, x, h)
+        return language_model.outputs(p, hs[1:][valid], y[valid])[0].sum()
+    logp, grads, _ = language_model.gradients(p, x, y, valid, h)
+    assert logp == pytest.approx(total())
+    for k, g in grads.items():
+        for flat in np.argsort(-np.abs(g), axis=None)[:: max(1, g.size // 40)][:60]:
+            at = np.unravel_index(flat, g.shape)
+            was, ends = p[k][at], []
+            for step in (1e-6, -1e-6):
+                p[k][at] = was + step
+                ends.append(total())
+            p[k][at] = was
+            assert (ends[0] - ends[1]) / 2e-6 == pytest.approx(g[at], abs=1e-6, rel=1e-4)
+    q = {k: a.astype(np.float32) for k, a in p.items()}
+    flat, size = np.array([5, 33, 0, 30, 1025, 0] * 30, np.uint16), np.full(60, 3)
+    before = language_model.log_probabilities(q, flat, size, 0).sum()
+    for _ in range(10):
+        language_model.train(q, flat, size, 0, width=8)
+    assert language_model.log_probabilities(q, flat, size, 0).sum() > before + 20
 
 
 def test_classifiers(spark, labels):
