@@ -41,16 +41,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Columns of a document's key, and their types.
+KEY = ["_k", "_t", "_u"]
+KEY_SCHEMA = "_k long, _t long, _u int"
+
+
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, text, and a key that is never null: _k is doc_id (null: the least long), _t tells rows of one
-    doc_id with different texts apart. Equal rows have equal keys and count as one document."""
+    """doc_id, text, and a key that is never null: _k is doc_id (null: the least long), _t and _u, 96 bits of hashes of
+    the text, tell rows of one doc_id with different texts apart, however many share it. Equal rows have equal keys and
+    count as one document."""
     return docs.select(
-        "doc_id", "text", *more,
+        "doc_id", "text", *[F.col(quoted(c)) for c in more],
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_k"),
-        F.pmod(F.xxhash64("text"), F.lit(32749)).cast("int").alias("_t"),
+        F.xxhash64("text").alias("_t"), F.hash("text").alias("_u"),
     )
 
 
+def quoted(name: str) -> str:
+    """A column's name as it stands, dots and backticks included."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def spelled(df: DataFrame, without: tuple[str, ...] = ()) -> str:
+    """The schema of a table as text, for functions over batches."""
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in without)
+
+
+def key_of(batch: pa.RecordBatch, lo: int = 0, hi: int | None = None) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy()[lo:hi] for c in KEY]
+
+
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A string column as UTF-8 bytes, undecoded."""
     return batch.column(name).cast(pa.binary()).to_pylist()

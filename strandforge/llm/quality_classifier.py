@@ -9,7 +9,6 @@ integers, so their order does not matter. A document is the mean and the spread
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, stored, table
+from .common import raw, spelled, table
 from .sampling import held_out, labelled_sample
 
 BUCKETS, DIM, NONZERO, REACH = 8192, 64, 4, 2
@@ -28,11 +27,21 @@ AGAIN, SHOUT, NUMBER = 0, 1, 2
 
 
 class Units(dict):
-    """word -> buckets of its units."""
+    """word -> its place in `table`, which holds the buckets of its units (-1: none). Emptied by `room` when it could
+    overflow."""
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) > 300_000:
+    def __init__(self, most: int = 300_000):
+        super().__init__()
+        self.most = most
+        self.table = np.full((most, 4), -1, np.int16)
+
+    def room(self, n: int) -> None:
+        if len(self) + n > self.most:
             self.clear()
+            if n > self.most:
+                self.__init__(n)
+
+    def __missing__(self, word: bytes) -> int:
         before, core, after = _CORE.match(word).groups() if word.isascii() else (b"", word, b"")
         h = lambda x, lo, n: lo + xxhash.xxh3_64_intdigest(x) % n
         out = []
@@ -47,14 +56,18 @@ class Units(dict):
                 out.append(h(core.lower(), 512, BUCKETS - 512))
         if after:
             out.append(h(b"a" + after[:3], 16, 496))
-        got = self[word] = tuple(out)
-        return got
+        at = self[word] = len(self)
+        self.table[at, : len(out)] = out
+        self.table[at, len(out):] = -1
+        return at
 
     def of(self, text: bytes | None) -> np.ndarray:
         words = text.split() if text else []
-        ids = np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64)
-        again = sum(map(bytes.__eq__, words, words[1:]))
-        return np.r_[ids, np.full(again, AGAIN, np.int64)] if again else ids
+        self.room(len(words))
+        at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        ids = self.table[at].reshape(-1)
+        again = int(np.count_nonzero(at[1:] == at[:-1]))
+        return np.concatenate([ids[ids >= 0], np.full(again, AGAIN, np.int16)])
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -64,22 +77,39 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64), rng.choice(np.array([-1, 1]), (BUCKETS, NONZERO)).astype(np.int64)
 
 
+def contexts(flat: np.ndarray, places: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Sums of the index vectors of the neighbours of each bucket, as whole numbers; -1 is no unit."""
+    code = 2 * places + (signs < 0)  # entries of either sign are counted apart
+    total = np.zeros(2 * BUCKETS * DIM, np.int64)
+    for step in range(1, REACH + 1):
+        left, right = flat[:-step], flat[step:]
+        ok = (left >= 0) & (right >= 0)
+        left, right = left[ok].astype(np.int64), right[ok].astype(np.int64)
+        for x, y in ((left, right), (right, left)):
+            for k in range(NONZERO):
+                total += np.bincount(x * (2 * DIM) + code[y, k], minlength=len(total))
+    return total[::2] - total[1::2]
+
+
+#: Units whose neighbours are counted at once (16 MB of numbers), of one document more.
+COUNTED = 1 << 19
+
+
 def _contexts(batches):
-    units, (places, signs) = Units(), index_vectors()
+    units, vectors = Units(), index_vectors()
     total, any_rows = np.zeros(BUCKETS * DIM, np.int64), False
+    gap = np.full(REACH, -1, np.int16)  # neighbours never reach into another document
+    held, size = [], 0
     for b in batches:
         any_rows = True
-        ids = [units.of(x) for x in raw(b, "text")]
-        gap = np.full(REACH, -1, np.int64)  # neighbours never reach into another document
-        flat = np.concatenate([y for x in ids for y in (x, gap)]) if ids else gap
-        for step in range(1, REACH + 1):
-            left, right = flat[:-step], flat[step:]
-            ok = (left >= 0) & (right >= 0)
-            left, right = left[ok], right[ok]
-            for x, y in ((left, right), (right, left)):
-                for k in range(NONZERO):
-                    at = x * DIM + places[y, k]
-                    total += np.bincount(at, weights=signs[y, k], minlength=BUCKETS * DIM).astype(np.int64)
+        for text in raw(b, "text"):
+            held += [units.of(text), gap]
+            size += len(held[-2]) + REACH
+            if size >= COUNTED:
+                total += contexts(np.concatenate(held), *vectors)
+                held, size = [], 0
+    if held:
+        total += contexts(np.concatenate(held), *vectors)
     if any_rows:
         rows = total.reshape(BUCKETS, DIM)
         used = np.flatnonzero(rows.any(axis=1))
@@ -109,43 +139,54 @@ def pooled(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     return np.concatenate([4 * mean, 4 * spread, 4 * share, [np.log1p(len(ids)) / 8, w.max()]]).astype(np.float32)
 
 
-class Network:
-    """Two layers, softplus of the margin as loss, Adam; then one temperature and shift on rows held back."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 40, seed: int = 5):
-        rng = np.random.default_rng(seed)
-        order = rng.permutation(len(x))
-        self.mean, self.sd = x.mean(0), x.std(0) + 1e-3
-        x = (x - self.mean) / self.sd
-        back, own = order[: len(x) // 5], order[len(x) // 5:]
-        w1, w2 = rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), rng.normal(0, hidden**-0.5, hidden)
-        p = [w1, np.zeros(hidden), w2, np.zeros(1)]
-        m, v, t = [np.zeros_like(q) for q in p], [np.zeros_like(q) for q in p], 0
-        for epoch in range(epochs if len(own) else 0):
-            rng.shuffle(own)
-            for lo in range(0, len(own), 256):
-                a, b = x[own[lo: lo + 256]], y[own[lo: lo + 256]]
-                h = np.maximum(a @ p[0] + p[1], 0)
-                d = (_sigmoid(h @ p[2] + p[3]) - b) / len(a)
-                dh = np.outer(d, p[2]) * (h > 0)
-                g = [a.T @ dh + 1e-4 * p[0], dh.sum(0), h.T @ d + 1e-4 * p[2], np.array([d.sum()])]
-                t += 1
-                for i in range(4):
-                    m[i] = 0.9 * m[i] + 0.1 * g[i]
-                    v[i] = 0.999 * v[i] + 0.001 * g[i] ** 2
-                    p[i] = p[i] - 3e-3 * (1 - epoch / epochs) * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
-        self.p, self.temperature = p, 1.0
-        if len(back) > 20:
-            z = self.margin(x[back])
-            tries = np.exp(np.linspace(-1.5, 2.5, 81))
-            loss = [np.logaddexp(0, np.where(y[back] == 1, -z, z) / s).mean() for s in tries]
-            self.temperature = float(tries[int(np.argmin(loss))])
-
-    def margin(self, x: np.ndarray) -> np.ndarray:
-        return np.maximum(x @ self.p[0] + self.p[1], 0) @ self.p[2] + self.p[3]
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return _sigmoid(self.margin((x - self.mean) / self.sd) / self.temperature)
+def fitted(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 40, seed: int = 5) -> tuple[np.ndarray, ...]:
+    """Two layers, softplus of the margin as loss, Adam; then one temperature on rows held back. Returns mean and
+    spread of the inputs, the weights, and the temperature."""
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(len(x))
+    mean, spread = x.mean(0), x.std(0) + 1e-3
+    x = (x - mean) / spread
+    back, own = order[: len(x) // 5], order[len(x) // 5:]
+    w1, w2 = rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), rng.normal(0, hidden**-0.5, hidden)
+    p = [w1, np.zeros(hidden), w2, np.zeros(1)]
+    m, v, t = [np.zeros_like(q) for q in p], [np.zeros_like(q) for q in p], 0
+    for epoch in range(epochs if len(own) else 0):
+        rng.shuffle(own)
+        for lo in range(0, len(own), 256):
+            a, b = x[own[lo: lo + 256]], y[own[lo: lo + 256]]
+            g = gradient(p, a, b)
+            t += 1
+            for i in range(4):
+                m[i] = 0.9 * m[i] + 0.1 * g[i]
+                v[i] = 0.999 * v[i] + 0.001 * g[i] ** 2
+                p[i] = p[i] - 3e-3 * (1 - epoch / epochs) * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+    temperature = 1.0
+    if len(back) > 20:
+        z = margin(p, x[back])
+        tries = np.exp(np.linspace(-1.5, 2.5, 81))
+        loss = [np.logaddexp(0, np.where(y[back] == 1, -z, z) / s).mean() for s in tries]
+        temperature = float(tries[int(np.argmin(loss))])
+    return mean, spread, *p, np.array([temperature])
+
+
+def margin(p, x: np.ndarray) -> np.ndarray:
+    return np.maximum(x @ p[0] + p[1], 0) @ p[2] + p[3]
+
+
+def gradient(p, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    """Of the mean loss over rows, with a slight pull of the weights towards zero."""
+    h = np.maximum(x @ p[0] + p[1], 0)
+    d = (_sigmoid(h @ p[2] + p[3]) - y) / len(x)
+    dh = np.outer(d, p[2]) * (h > 0)
+    return [x.T @ dh + 1e-4 * p[0], dh.sum(0), h.T @ d + 1e-4 * p[2], np.array([d.sum()])]
+
+
+def scores(net: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    """Calibrated probabilities; a net of one number gives that to all."""
+    if len(net) == 1:
+        return np.full(len(x), net[0][0])
+    mean, spread, *p, temperature = net
+    return _sigmoid(margin(p, (x - mean) / spread) / temperature[0])
 
 
 def _sigmoid(z):
@@ -168,7 +209,7 @@ def _score(sent, keep):
         for b in batches:
             if b.num_rows:
                 x = np.stack([pooled(units.of(t), vectors) for t in raw(b, "text")])
-                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(net.score(x))], [*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(scores(net, x))], [*keep, "score"])
     return go
 
 
@@ -176,7 +217,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
     """The columns of `docs` (less any named score, held_out, predicted) and held_out, score (the probability of
     quality 1), predicted (1 at `threshold` or above).
 
-    Word vectors come from all texts, labels only from rows outside fold 0 of five, at most `sample` of each label
+    Word vectors come from all texts, labels only from rows outside fold 0 of five, at most `sample` rows of each label
     value. doc_id, lang, source and labels are never inputs of a score. Null, empty and blank texts have the pooled
     vector zero and get its score. Without labels of both kinds every score is the labels' share (0.5 without any).
     Repeated rows are scored each; a null doc_id is not held out. An empty table gives an empty table."""
@@ -188,23 +229,15 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
     rows.sort(key=lambda r: (r.doc_id, tuple(r.x)))
     y = np.array([r.label for r in rows], np.float64)
     if len(set(y.tolist())) == 2:
-        net = Network(np.array([r.x for r in rows], np.float64), y)
+        net = fitted(np.array([r.x for r in rows], np.float64), y)
     else:
-        net = _Constant(float(y.mean()) if len(y) else 0.5)
+        net = (np.array([y.mean() if len(y) else 0.5]),)
     keep = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = spelled(docs)
     out = docs.mapInArrow(_score(spark.sparkContext.broadcast((vectors, net)), keep), f"{schema}, score double")
     return out.withColumns({"held_out": held_out(5), "predicted": (F.col("score") >= threshold).cast("int")})
 
 
-class _Constant:
-    def __init__(self, p: float):
-        self.p = p
-
-    def score(self, x):
-        return np.full(len(x), self.p)
-
-
 def query(spark, sf_dir):
     out = quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")

@@ -16,10 +16,11 @@ def held_out(of: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict[int, int], of: int = 5) -> DataFrame:
-    """(text, label): rows outside the held-out fold, for each label value at most most[value] of them, those with the
-    least hash. The ids are a few ten thousand at most by these bounds, so they may be broadcast. Labels that
-    contradict each other for one doc_id are left out; null labels and ids too."""
-    own = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where(f"doc_id is not null and _label is not null")
+    """(doc_id, text, label): labelled ids outside the held-out fold, for each label value at most most[value] of them,
+    those with the least hash, with one text each: rows that share an id count as one, the one with the least hash of
+    its text. The ids are a few ten thousand at most by these bounds, so they may be broadcast. Labels that contradict
+    each other for one doc_id are left out; null labels and ids too."""
+    own = labels.select("doc_id", F.col(label).cast("int").alias("_label")).where("doc_id is not null and _label is not null")
     own = own.where(fold(of) != 0).groupBy("doc_id").agg(F.min("_label").alias("_label"), F.max("_label").alias("_other")).where("_label = _other").drop("_other")
     picks = None
     for value, n in most.items():
@@ -27,4 +28,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: dict[i
         picks = part if picks is None else picks.unionByName(part)
     picked = [(r.doc_id, r._label) for r in picks.collect()]
     small = docs.sparkSession.createDataFrame(picked, "doc_id long, _label int")
-    return docs.select("doc_id", "text").join(F.broadcast(small), "doc_id").select("doc_id", "text", F.col("_label").alias("label"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(small), "doc_id")
+    # partial minima first, so an id with very many rows sends one text a partition
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"), F.min("_label").alias("label"))
+    return one.select("doc_id", "t.text", "label")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, raw, runs, table
+from .common import mixed, raw, runs, spelled, table
 from .sampling import held_out, labelled_sample
 
 BUCKETS, DIM, SPAN = 1 << 16, 8, 5
@@ -202,7 +202,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     rows = sorted((r.doc_id, r.text or "", r.label) for r in labelled_sample(docs, labels, "toxic", sample).collect())
     model = Model([r[1].encode() for r in rows], np.array([r[2] for r in rows], np.float64))
     keep = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = spelled(docs)
     out = docs.mapInArrow(_score(spark.sparkContext.broadcast(model.sent()), keep), f"{schema}, score double")
     return out.withColumns({"held_out": held_out(5), "predicted": (F.col("score") >= threshold).cast("int")})
 
