@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, mixed, raw, runs, signed, span_hashes, spans, stored, table
+from .common import KEY, KEY_SCHEMA, key_of, keyed, mixed, quoted, raw, runs, signed, span_hashes, spans, spelled, stored, table
 
 DEPTH = 3
 #: Positions whose tokens, alone and in pairs, group the lines of a leaf; lines with fewer use all.
@@ -49,7 +49,7 @@ def _tokens_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
 
 def parsed(texts: list[bytes | None]):
     """Of each line with a word: its document (place in `texts`), number, first token, token count, leaf, and hash of
-    the masked line (as it is, if short); and the tokens."""
+    the masked line (as it is, if short or of variable tokens only); and the tokens."""
     data = np.frombuffer(b"\n".join(x or b"" for x in texts), np.uint8)
     start, end = spans(data)
     if not len(start):
@@ -65,11 +65,13 @@ def parsed(texts: list[bytes | None]):
     first = np.cumsum(n) - n
     at = np.arange(len(h)) - np.repeat(first, n)
     places = mixed(np.arange(int(n.max()), dtype=np.uint64) * _A)
-    told = np.where(np.repeat(n < SHORTEST, n), exact, h)
+    as_is = (n < SHORTEST) | (np.bincount(np.repeat(np.arange(len(n)), n), weights=h != _VARIABLE, minlength=len(n)) == 0)
+    told = np.where(np.repeat(as_is, n), exact, h)
     line = mixed(np.add.reduceat(mixed(told + places[at]), first) + n.astype(np.uint64))
     leaf = mixed(n.astype(np.uint64) * _B)
     for k in range(DEPTH):
         leaf = mixed(leaf + np.where(k < n, h[np.minimum(first + k, len(h) - 1)], np.uint64(k)))
+    leaf = np.where(as_is, mixed(line + _B), leaf)  # nothing to generalise: a leaf of its own
     return doc, number, first, n, leaf, line, h
 
 
@@ -84,13 +86,13 @@ def _new(doc: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 def _lines(batches):
     for b in batches:
-        ks, ts, texts = b.column("_k").to_numpy(), b.column("_t").to_numpy(), raw(b, "text")
+        key, texts = key_of(b), raw(b, "text")
         for lo, hi in runs(texts):
             if got := parsed(texts[lo:hi]):
                 doc, number, _, n, leaf, line = got[:6]
                 words = np.bincount(doc, weights=n).astype(np.int32)[doc]
-                cols = (ks[lo + doc], ts[lo + doc], number.astype(np.int32), n.astype(np.int32), words, signed(leaf), signed(line), _new(doc, leaf), _new(doc, line))
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["_k", "_t", "number", "n", "words", "leaf", "line", "new_leaf", "new_line"])
+                cols = (*[k[lo + doc] for k in key], number.astype(np.int32), n.astype(np.int32), words, signed(leaf), signed(line), _new(doc, leaf), _new(doc, line))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], [*KEY, "number", "n", "words", "leaf", "line", "new_leaf", "new_line"])
 
 
 def _tokens(batches):
@@ -129,7 +131,7 @@ def _general(lines: DataFrame, tokens: DataFrame, min_docs: int, alike: float) -
     mode = votes.groupBy("g", "p").agg(F.max(F.struct("votes", "token")).alias("m")).select("g", "p", F.col("m.token").alias("common"))
     agree = at.join(mode, ["g", "p"]).groupBy("g", "leaf", "line").agg(F.sum((F.col("token") == F.col("common")).cast("long")).alias("same"), F.max("n").alias("n"))
     members = agree.where(F.col("same") >= alike * F.col("n") - 1e-9).select("g", "leaf", "line")
-    held = lines.join(members, ["leaf", "line"]).select("g", "_k", "_t").distinct().groupBy("g").agg(F.count(F.lit(1)).alias("docs"))
+    held = lines.join(members, ["leaf", "line"]).select("g", *KEY).distinct().groupBy("g").agg(F.count(F.lit(1)).alias("docs"))
     return members.join(held.where(F.col("docs") >= min_docs), "g").select("leaf", "line", "docs", F.col("g").alias("template"))
 
 
@@ -150,23 +152,23 @@ def _cut(batches):
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFrame:
-    """(_k, _t, number, gone): lines of templates that at least `min_docs` documents hold; `gone` where these are that
+    """(key, number, gone): lines of templates that at least `min_docs` documents hold; `gone` where these are that
     many with copies counted once."""
-    texts = keyed(docs).select("_k", "_t", "text")
+    texts = keyed(docs).select(*KEY, "text")
     if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():  # equal rows count once; without any, no text moves
-        texts = texts.dropDuplicates(["_k", "_t"])
+        texts = texts.dropDuplicates(KEY)
     lines = stored(texts.mapInArrow(
-        _lines, "_k long, _t int, number int, n int, words int, leaf long, line long, new_leaf byte, new_line byte"), "lines")
+        _lines, f"{KEY_SCHEMA}, number int, n int, words int, leaf long, line long, new_leaf byte, new_line byte"), "lines")
     leaves = lines.groupBy("leaf").agg(F.sum("new_leaf").alias("docs"), F.min("line").alias("a"), F.max("line").alias("b"), F.max("n").alias("n"))
     leaves = leaves.where((F.col("docs") >= min_docs) & (F.col("n") >= SHORTEST))
-    kinds = lines.groupBy("leaf", "line").agg(F.sum("new_line").alias("docs"), F.min(F.struct("_k", "_t", "number")).alias("at"), F.max("n").alias("n"))
+    kinds = lines.groupBy("leaf", "line").agg(F.sum("new_line").alias("docs"), F.min(F.struct(*KEY, "number")).alias("at"), F.max("n").alias("n"))
     enough = F.when(F.col("n") < SHORTEST, SHORT * min_docs).otherwise(min_docs)
     # lines that recur as they are (variable tokens masked)
     exact = kinds.where(F.col("docs") >= enough).select("leaf", "line", "docs", F.col("line").alias("template"))
     # leaves with several lines: first one template from the commonest token of each position
     several = kinds.join(leaves.where("a != b").select("leaf"), "leaf").select("leaf", "line", "docs", "at.*")
-    picks = several.groupBy("_k", "_t").agg(F.collect_list(F.struct("number", "leaf", "line", "docs")).alias("picks"))
-    tokens = texts.join(picks, ["_k", "_t"]).select("text", "picks").mapInArrow(
+    picks = several.groupBy(*KEY).agg(F.collect_list(F.struct("number", "leaf", "line", "docs")).alias("picks"))
+    tokens = texts.join(picks, KEY).select("text", "picks").mapInArrow(
         _tokens, "leaf long, line long, docs long, tokens array<long>")
     tokens = stored(tokens, "tokens")
     general = stored(_general(lines, tokens.withColumn("g", F.col("leaf")), min_docs, alike), "general")
@@ -179,12 +181,12 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> D
     general = general.unionByName(_general(lines, grouped, min_docs, alike))
     # a line belongs to the template that most documents hold
     chosen = exact.unionByName(general).groupBy("leaf", "line").agg(F.max(F.struct("docs", "template")).alias("t")).select("leaf", "line", "t.*")
-    found = stored(lines.join(chosen, ["leaf", "line"]).select("_k", "_t", "number", "n", "words", "docs", "template"), "found")
-    own = found.groupBy("_k", "_t").agg(F.sum("n").alias("held"), F.max("words").alias("words"), F.min(F.struct("docs", "template")).alias("rarest"))
-    own = own.select("_k", "_t", F.when((100 + NEAR) * F.col("held") >= 2 * NEAR * F.col("words"), F.col("rarest.template")).otherwise(F.xxhash64("_k", "_t")).alias("group"))
-    support = found.join(own, ["_k", "_t"]).groupBy("template", "group").agg(F.max("n").alias("n")).groupBy("template").agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("n"))
+    found = stored(lines.join(chosen, ["leaf", "line"]).select(*KEY, "number", "n", "words", "docs", "template"), "found")
+    own = found.groupBy(*KEY).agg(F.sum("n").alias("held"), F.max("words").alias("words"), F.min(F.struct("docs", "template")).alias("rarest"))
+    own = own.select(*KEY, F.when((100 + NEAR) * F.col("held") >= 2 * NEAR * F.col("words"), F.col("rarest.template")).otherwise(F.xxhash64(*KEY)).alias("group"))
+    support = found.join(own, KEY).groupBy("template", "group").agg(F.max("n").alias("n")).groupBy("template").agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("n"))
     support = support.select("template", (F.col("groups") >= enough).alias("gone"))
-    return found.join(support, "template").select("_k", "_t", "number", "gone")
+    return found.join(support, "template").select(*KEY, "number", "gone")
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFrame:
@@ -194,15 +196,15 @@ def line_dedup(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFr
     n_recurring, n_removed, kept_text, removed_lines (numbers from 0). Documents with so few words outside recurring
     lines that they may be near duplicates count once if the rarest of their templates is the same: lines that recur
     in copies of one document only stay (n_recurring counts them), and deduplication of documents decides about them.
-    Lines of one or two words go if they recur exactly, in twice `min_docs` documents. Null text stays null, empty stays empty; lines without a word are
+    Lines of one or two words go if they recur exactly, in twice `min_docs` documents; lines of nothing but numbers and
+    the like are data, and go only if they recur as they are. Null text stays null, empty stays empty; lines without a word are
     never removed. Equal rows (same doc_id and text) count as one document and are each returned; a null doc_id is
     a document like any other. An empty table gives an empty table."""
-    added = {"n_lines", "n_recurring", "n_removed", "kept_text", "removed_lines", "found", "gone", "_k", "_t"}
+    added = {"n_lines", "n_recurring", "n_removed", "kept_text", "removed_lines", "found", "gone", *KEY}
     more = [c for c in docs.columns if c not in added | {"doc_id", "text"}]
-    found = recurring_lines(docs, min_docs, alike).groupBy("_k", "_t").agg(F.collect_list("number").alias("found"), F.collect_list(F.when(F.col("gone"), F.col("number"))).alias("gone"))
-    given = keyed(docs, *more).join(found, ["_k", "_t"], "left").select("doc_id", *more, "text", "found", "gone")
-    rest = [f for f in given.schema.fields if f.name not in ("text", "found", "gone")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
+    found = recurring_lines(docs, min_docs, alike).groupBy(*KEY).agg(F.collect_list("number").alias("found"), F.collect_list(F.when(F.col("gone"), F.col("number"))).alias("gone"))
+    given = keyed(docs, *more).join(found, KEY, "left").select("doc_id", *map(quoted, more), "text", "found", "gone")
+    schema = spelled(given, ("text", "found", "gone"))
     return given.mapInArrow(_cut, f"{schema}, n_lines long, n_recurring long, n_removed long, kept_text string, removed_lines array<int>")
 
 

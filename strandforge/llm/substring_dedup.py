@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, grams, joined, keyed, mixed, raw, signed, stored
+from .common import KEY, KEY_SCHEMA, WordHash, grams, joined, key_of, keyed, mixed, raw, runs, signed, stored
 
 
 def _runs(h: np.ndarray, base: int):
@@ -38,24 +38,27 @@ def _runs(h: np.ndarray, base: int):
     return short[p], run, p, first, last
 
 
+def _table(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names)
+
+
 def _anchors(base: int):
     def go(batches):
         cache = WordHash()
         for b in batches:
-            out = []
-            for k, t, text in zip(b.column("_k").to_pylist(), b.column("_t").to_pylist(), raw(b, "text"), strict=True):
-                if text and (got := _runs(cache.of(text.split()), base)):
-                    out.append((np.full(len(got[2]), k, np.int64), np.full(len(got[2]), t, np.int32), *got))
-            if out:
-                k, t, h, run, p, first, last = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (signed(h), signed(run), k, t, p.astype(np.int32), first.astype(np.int32), last.astype(np.int32))],
-                    ["h", "run", "_k", "_t", "p", "lo", "hi"],
-                )
+            key, texts = key_of(b), raw(b, "text")
+            for lo, hi in runs(texts, 1 << 22):
+                out = []
+                for i in range(lo, hi):
+                    if texts[i] and (got := _runs(cache.of(texts[i].split()), base)):
+                        h, run, p, first, last = got
+                        out.append((signed(h), signed(run), *[np.full(len(p), k[i]) for k in key], p.astype(np.int32), first.astype(np.int32), last.astype(np.int32)))
+                if out:
+                    yield _table(out, ["h", "run", *KEY, "p", "lo", "hi"])
     return go
 
 
-ANCHORS = "h long, run long, _k long, _t int, p int, lo int, hi int"
+ANCHORS = f"h long, run long, {KEY_SCHEMA}, p int, lo int, hi int"
 
 
 def _windows(base: int):
@@ -63,14 +66,16 @@ def _windows(base: int):
     def go(batches):
         cache = WordHash()
         for b in batches:
-            out = []
-            for k, t, text, spans in zip(b.column("_k").to_pylist(), b.column("_t").to_pylist(), raw(b, "text"), b.column("spans").to_pylist(), strict=True):
-                long = grams(cache.of(text.split()), 2 * base)
-                for x in spans:
-                    n = x["hi"] - x["lo"] + 1
-                    out.append((np.full(n, x["h"], np.int64), signed(long[x["lo"]: x["hi"] + 1]), np.full(n, k, np.int64), np.full(n, t, np.int32), np.arange(x["lo"], x["hi"] + 1, dtype=np.int32)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["h", "w", "_k", "_t", "lo"])
+            key, texts, spans = key_of(b), raw(b, "text"), b.column("spans").to_pylist()
+            for lo, hi in runs(texts, 1 << 22):
+                out = []
+                for i in range(lo, hi):
+                    long = grams(cache.of(texts[i].split()), 2 * base)
+                    for x in spans[i]:
+                        n = x["hi"] - x["lo"] + 1
+                        out.append((np.full(n, x["h"], np.int64), signed(long[x["lo"]: x["hi"] + 1]), *[np.full(n, k[i]) for k in key], np.arange(x["lo"], x["hi"] + 1, dtype=np.int32)))
+                if out:
+                    yield _table(out, ["h", "w", *KEY, "lo"])
     return go
 
 
@@ -99,25 +104,26 @@ def _cut(size: int):
 
 
 def repeated_windows(docs: DataFrame, window: int = 20) -> DataFrame:
-    """(_k, _t, lo, hi): starts of windows whose words also start earlier, as ranges of starts."""
+    """(key, lo, hi): starts of windows whose words also start earlier, as ranges of starts."""
     base = window // 2
-    found = keyed(docs).select("_k", "_t", "text").mapInArrow(_anchors(base), ANCHORS)
+    found = keyed(docs).select(*KEY, "text").mapInArrow(_anchors(base), ANCHORS)
     # level 1: anchors seen twice; partial sums before the shuffle
     often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("r0"), F.max("run").alias("r1")).where("n > 1")
     often = stored(often, "often")  # a plain table on this side lets Spark split a hot anchor in the join
-    again = stored(found.join(often, "h").select("h", "run", "_k", "_t", "p", "lo", "hi", (F.col("r0") != F.col("r1")).alias("several")), "runs")
+    again = stored(found.join(often, "h").select("h", "run", *KEY, "p", "lo", "hi", (F.col("r0") != F.col("r1")).alias("several")), "runs")
     # level 2, run by run
-    at = F.struct("_k", "_t", "p")
+    at = F.struct(*KEY, "p")
     firsts = stored(again.groupBy("h", "run").agg(F.min(at).alias("first")), "firsts")
     told = again.join(firsts, ["h", "run"])
-    whole = told.where(at != F.col("first")).select("_k", "_t", "lo", "hi")
-    apart = told.where(F.col("several") & (at == F.col("first"))).groupBy("_k", "_t").agg(F.collect_set(F.struct("h", "lo", "hi")).alias("spans"))
-    texts = keyed(docs).select("_k", "_t", "text").where("text is not null")
-    single = texts.join(apart, ["_k", "_t"]).mapInArrow(_windows(base), "h long, w long, _k long, _t int, lo int")
-    single = stored(single.dropDuplicates(["h", "w", "_k", "_t", "lo"]), "windows")
-    start = F.struct("_k", "_t", "lo")
-    earliest = single.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("first")).where("n > 1").drop("n")
-    late = single.join(earliest, ["h", "w"]).where(start != F.col("first")).select("_k", "_t", "lo", F.col("lo").alias("hi"))
+    whole = told.where(at != F.col("first")).select(*KEY, "lo", "hi")
+    apart = told.where(F.col("several") & (at == F.col("first"))).groupBy(*KEY).agg(F.collect_set(F.struct("h", "lo", "hi")).alias("spans"))
+    texts = keyed(docs).select(*KEY, "text").where("text is not null")
+    single = texts.join(apart, KEY).mapInArrow(_windows(base), f"h long, w long, {KEY_SCHEMA}, lo int")
+    single = stored(single.dropDuplicates(["h", "w", *KEY, "lo"]), "windows")
+    start = F.struct(*KEY, "lo")
+    # a plain table again, so that a passage in very many contexts can be split
+    earliest = stored(single.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("first")).where("n > 1").drop("n"), "earliest")
+    late = single.join(earliest, ["h", "w"]).where(start != F.col("first")).select(*KEY, "lo", F.col("lo").alias("hi"))
     return whole.unionByName(late)
 
 
@@ -132,40 +138,46 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     an empty table."""
     if window < 2 or window % 2:
         raise ValueError("window must be even")
-    gone = repeated_windows(docs, window).groupBy("_k", "_t").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
-    return keyed(docs).join(gone, ["_k", "_t"], "left").select("doc_id", "text", "gone").mapInArrow(
+    gone = repeated_windows(docs, window).groupBy(*KEY).agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
+    return keyed(docs).join(gone, KEY, "left").select("doc_id", "text", "gone").mapInArrow(
         _cut(window), "doc_id long, n_words long, n_removed long, kept_text string, removed_spans array<struct<first:int,last:int>>"
     )
 
 
+def _starts(length: int):
+    """Hashes of the windows of `length` words at the given starts (null: at all)."""
+    def go(batches):
+        cache = WordHash()
+        for b in batches:
+            key, texts, pos = key_of(b), raw(b, "text"), b.column("pos").to_pylist()
+            for lo, hi in runs(texts, 1 << 22):
+                out = []
+                for i in range(lo, hi):
+                    h = grams(cache.of(texts[i].split()), length)
+                    p = np.arange(len(h)) if pos[i] is None else np.array([x for x in pos[i] if x < len(h)], np.int64)
+                    out.append((signed(h[p]), *[np.full(len(p), k[i]) for k in key], p.astype(np.int32)))
+                yield _table(out, ["h", *KEY, "p"])
+    return go
+
+
 def repeat_levels(docs: DataFrame, base: int = 10) -> DataFrame:
     """Per document with a repeat: the longest doubled length (2*base, 4*base, ...) at which a window of it occurs
     twice in the corpus. Each level looks only at starts that survived the last, and it ends when none survives."""
-    texts = keyed(docs).select("_k", "_t", "doc_id", "text").where("text is not null").dropDuplicates(["_k", "_t"])
+    texts = keyed(docs).select(*KEY, "doc_id", "text").where("text is not null").dropDuplicates(KEY)
     length, alive, best = 2 * base, None, None
     while True:
-        def starts(batches, length=length):
-            cache = WordHash()
-            for b in batches:
-                out = []
-                for k, t, text, pos in zip(b.column("_k").to_pylist(), b.column("_t").to_pylist(), raw(b, "text"), b.column("pos").to_pylist(), strict=True):
-                    h = grams(cache.of(text.split()), length)
-                    p = np.arange(len(h)) if pos is None else np.array([x for x in pos if x < len(h)], np.int64)
-                    out.append((signed(h[p]), np.full(len(p), k, np.int64), np.full(len(p), t, np.int32), p.astype(np.int32)))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["h", "_k", "_t", "p"])
-        given = texts.withColumn("pos", F.lit(None).cast("array<int>")) if alive is None else texts.join(alive, ["_k", "_t"])
-        found = given.select("_k", "_t", "text", "pos").mapInArrow(starts, "h long, _k long, _t int, p int")
-        often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        alive = stored(found.join(often, "h").groupBy("_k", "_t").agg(F.collect_list("p").alias("pos")), "level")
+        given = texts.withColumn("pos", F.lit(None).cast("array<int>")) if alive is None else texts.join(alive, KEY)
+        found = given.select(*KEY, "text", "pos").mapInArrow(_starts(length), f"h long, {KEY_SCHEMA}, p int")
+        often = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "often")
+        alive = stored(found.join(often, "h").groupBy(*KEY).agg(F.collect_list("p").alias("pos")), "level")
         if alive.isEmpty():
             break
-        here = alive.select("_k", "_t", F.lit(length).alias("longest"))
+        here = alive.select(*KEY, F.lit(length).alias("longest"))
         best = here if best is None else best.unionByName(here)
         length *= 2
     if best is None:
         return texts.select("doc_id", F.lit(0).alias("longest")).limit(0)
-    return texts.join(best.groupBy("_k", "_t").agg(F.max("longest").alias("longest")), ["_k", "_t"]).select("doc_id", "longest")
+    return texts.join(best.groupBy(*KEY).agg(F.max("longest").alias("longest")), KEY).select("doc_id", "longest")
 
 
 def query(spark, sf_dir):
