@@ -1,10 +1,12 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become typed placeholders where a question can be re-parameterised: numbers, units, and names (capitalised
-words that do not start a sentence). Windows of template words of the benchmark are hash-joined with those of the
-documents. Windows that agree on one alignment of item and document, or on nearby ones (words were inserted or left
-out between them), are counted, and the fillers of the placeholders inside these windows are compared: one filler of the item must always stand against one filler of the document. Equal
-fillers throughout are a verbatim copy, a consistent renaming is a re-parameterised one, anything else is chance.
+Words become typed placeholders where a question can be re-parameterised: numbers (in digits or spelled out), units
+(short ones only behind a number), and names (capitalised words other than function words, wherever they stand).
+Windows of template words of the benchmark are hash-joined with those of the documents; a window with hardly any plain
+word in it is told by its words as they are. Windows that agree on one alignment of item and document, or on nearby
+ones (words were inserted or left out between them), are counted, and the fillers of the placeholders inside these
+windows are compared: one filler of the item must always stand against one filler of the document. Equal fillers
+throughout are a verbatim copy, a consistent renaming is a re-parameterised one, anything else is chance.
 """
 
 from __future__ import annotations
@@ -18,33 +20,63 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grams, raw, signed, table
+from .common import grams, raw, runs, signed, table
 
-#: Unit words that become a placeholder.
+#: Unit words that become a placeholder; those of one or two letters only behind a number.
 UNITS = frozenset(
     b"mm cm m km in ft yd mi g kg mg lb lbs oz t s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks "
     b"month months year years l ml litre litres liter liters gallon gallons km/h mph percent % dollar dollars cent cents euro euros usd eur".split()
 )
+#: Numbers spelled out.
+SPELLED = frozenset(
+    b"zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    b"twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen".split()
+)
+#: Words that are no names though they begin with a capital letter, as at a sentence's start.
+PLAIN = frozenset(
+    b"a about after all also an and any are as at be because before but by can could did do does each every find for from give given had has "
+    b"have he her here his how i if in into is it its let may more most much my no not now of on one only or other our she should show since "
+    b"so some such than that the their them then there these they this those to two under until up use was we were what when where which "
+    b"while who whose why will with would you your".split()
+)
 NUMBER, NAME, UNIT = b"\x00number", b"\x00name", b"\x00unit"
 #: Benchmark windows up to this number (8 bytes each, and their items) are sent to every executor; more are joined by a shuffle.
 MOST_SENT = 500_000
-_NUMBER = re.compile(rb"[^\w]*[+-]?[\d][\d.,:/]*[^\w]*$")
+_NUMBER = re.compile(rb"[^\w%]*[+-]?\d[\d.,:/]*([A-Za-z%/]*)[^\w%]*$")
 _STRIP = b".,;:!?()[]{}\"'`"
 SIZE = 8
+#: Windows with fewer plain words are compared as they are.
+LEAST_PLAIN = 3
 #: Alignments so many words apart count together. A verbatim run of so many windows (13 words) is a copied passage;
 #: agreeing windows that hold so large a part of an item's words are a copy.
 DRIFT, RUN, COVERED = 8, 6, 0.8
 
 
+def kind(word: bytes) -> tuple[bytes, bool]:
+    """The word's template, a placeholder or its lower case, and whether it is a unit only behind a number."""
+    core = word.strip(_STRIP)
+    low = core.decode("utf-8", "replace").lower()
+    told = low.encode()
+    number = _NUMBER.match(word)
+    if number and (not number[1] or number[1].lower() in UNITS) or told in SPELLED or all(x in SPELLED for x in told.split(b"-")):
+        return NUMBER, False
+    if told in UNITS:
+        return (UNIT, False) if len(told) > 2 else (told, True)
+    text = core.decode("utf-8", "replace")
+    if len(text) > 1 and text[0].isupper() and not text.isupper() and told not in PLAIN:
+        return NAME, False
+    return told, False
+
+
 class Canon(dict):
-    """word -> place in the tables: template hash at a sentence's start and elsewhere, whether these are slots, and
-    whether the word ends a sentence. Emptied by `room` when it could overflow."""
+    """word -> place in the tables: hashes of its template and of the word itself, and whether it is a placeholder, a
+    number, or a unit behind a number. Emptied by `room` when it could overflow."""
 
     def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
-        self.start, self.mid = np.empty(most, np.uint64), np.empty(most, np.uint64)
-        self.slot_s, self.slot_m, self.ends = np.empty(most, bool), np.empty(most, bool), np.empty(most, bool)
+        self.template, self.exact = np.empty(most, np.uint64), np.empty(most, np.uint64)
+        self.slot, self.number, self.unit = np.empty(most, bool), np.empty(most, bool), np.empty(most, bool)
 
     def room(self, n: int) -> None:
         if len(self) + n > self.most:
@@ -53,62 +85,73 @@ class Canon(dict):
                 self.__init__(n)
 
     def __missing__(self, word: bytes) -> int:
-        core = word.strip(_STRIP)
-        low = core.decode("utf-8", "replace").lower().encode()
-        if _NUMBER.match(word):
-            start = mid = NUMBER
-        elif low in UNITS and len(low) > 2 or core in (b"mm", b"cm", b"km", b"kg", b"mg", b"ml", b"%"):
-            start = mid = UNIT
-        else:
-            start = low
-            head = core.decode("utf-8", "replace")[:1]
-            mid = NAME if head.isupper() and len(core) > 1 and not core.isupper() else low
+        told, short = kind(word)
         h, at = xxhash.xxh3_64_intdigest, len(self)
-        self.start[at], self.mid[at] = h(start), h(mid)
-        self.slot_s[at], self.slot_m[at], self.ends[at] = start[:1] == b"\0", mid[:1] == b"\0", word[-1:] in b".!?"
+        self.template[at], self.exact[at] = h(told), h(b"\x00exact" + word.strip(_STRIP))
+        self.slot[at], self.number[at], self.unit[at] = told[:1] == b"\0", told == NUMBER, short
         self[word] = at
         return at
 
 
-def templates(words: list[bytes], cache: Canon) -> tuple[np.ndarray, np.ndarray]:
-    """Template hashes of the words, and which are slots."""
+_UNIT_HASH = np.uint64(xxhash.xxh3_64_intdigest(UNIT))
+
+
+def templates(words: list[bytes], cache: Canon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template hashes of the words, which are placeholders, and hashes of the words as they are."""
     if not words:
-        return np.empty(0, np.uint64), np.empty(0, bool)
+        return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, np.uint64)
     cache.room(len(words))
     at = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-    first = np.r_[True, cache.ends[at[:-1]]]
-    return np.where(first, cache.start[at], cache.mid[at]), np.where(first, cache.slot_s[at], cache.slot_m[at])
+    unit = np.r_[False, cache.number[at[:-1]]] & cache.unit[at]
+    return np.where(unit, _UNIT_HASH, cache.template[at]), cache.slot[at] | unit, cache.exact[at]
+
+
+def windows(told: tuple[np.ndarray, np.ndarray, np.ndarray], size: int) -> np.ndarray:
+    """Hashes of all windows of `size` words."""
+    h, slots, exact = told
+    out = grams(h, size)
+    if len(out):
+        held = np.r_[0, np.cumsum(~slots)]
+        few = np.flatnonzero(held[size:] - held[:-size] < LEAST_PLAIN)
+        if len(few):
+            out[few] = grams(exact, size)[few]
+    return out
 
 
 class Items:
     """The benchmark's windows: sorted hashes, and for each the (item, position) where it stands."""
 
-    def __init__(self, rows: list[tuple[int, bytes | None]]):
+    def __init__(self, state: tuple):
+        self.ids, self.words, self.slots, self.count, self.by_size = state
+
+    @staticmethod
+    def state(rows: list[tuple[int | None, bytes | None]]) -> tuple:
+        """Lists and arrays only, so that executors need not know this class to receive them."""
         cache = Canon()
-        self.words, self.count, self.slots, places = [], [], [], []
-        self.ids = []
+        ids, all_words, all_slots, count, places = [], [], [], [], []
         for item, text in rows:
             words = text.split() if text else []
             if not words:
                 continue
-            h, slots = templates(words, cache)
+            told = templates(words, cache)
             size = min(SIZE, len(words))
-            for p, x in enumerate(grams(h, size).tolist()):
-                places.append((size, x, len(self.ids), p))
-            self.ids.append(item)
-            self.words.append(words)
-            self.slots.append(slots)
-            self.count.append(len(words) - size + 1)
-        self.by_size = {}
+            for p, x in enumerate(windows(told, size).tolist()):
+                places.append((size, x, len(ids), p))
+            ids.append(item)
+            all_words.append(words)
+            all_slots.append(told[1])
+            count.append(len(words) - size + 1)
+        by_size = {}
         for size in sorted({x[0] for x in places}):
             own = sorted(x[1:] for x in places if x[0] == size)
-            self.by_size[size] = (np.array([x[0] for x in own], np.uint64), np.array([x[1] for x in own]), np.array([x[2] for x in own]))
+            by_size[size] = (np.array([x[0] for x in own], np.uint64), np.array([x[1] for x in own]), np.array([x[2] for x in own]))
+        return ids, all_words, all_slots, count, by_size
 
-    def alignments(self, h: np.ndarray) -> dict[int, dict[int, list[int]]]:
+    def alignments(self, told: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[int, dict[int, list[int]]]:
         """item -> document position of the item's first word -> the item's windows that agree there."""
         out: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for size, (known, item, at) in self.by_size.items():
-            g = grams(h, size)
+            g = windows(told, size)
             if not len(g):
                 continue
             lo = np.searchsorted(known, g, "left")
@@ -195,13 +238,13 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _sent(items, share):
     def go(batches):
-        cache, of = Canon(), _found(items.value, share)
+        cache, own = Canon(), Items(items.value)
+        of = _found(own, share)
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), raw(b, "text"), strict=True):
                 words = text.split() if text else []
-                h, _ = templates(words, cache)
-                if hits := items.value.alignments(h):
+                if hits := own.alignments(templates(words, cache)):
                     rows += of(doc_id, words, hits)
             yield _batch(rows)
     return go
@@ -211,11 +254,16 @@ def _all_windows(sizes: list[int]):
     def go(batches):
         cache = Canon()
         for b in batches:
-            for k, t, text in zip(b.column("_k").to_pylist(), b.column("_t").to_pylist(), raw(b, "text"), strict=True):
-                h, _ = templates(text.split() if text else [], cache)
-                for size in sizes:
-                    g = signed(grams(h, size))
-                    yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.full(len(g), size, np.int32)), pa.array(np.full(len(g), k, np.int64)), pa.array(np.full(len(g), t, np.int32)), pa.array(np.arange(len(g), dtype=np.int32))], ["h", "size", "_k", "_t", "p"])
+            key, texts = [b.column(c).to_numpy() for c in ("_k", "_t")], raw(b, "text")
+            for lo, hi in runs(texts):
+                out = []
+                for i in range(lo, hi):
+                    told = templates(texts[i].split() if texts[i] else [], cache)
+                    for size in sizes:
+                        g = signed(windows(told, size))
+                        out.append((g, np.full(len(g), size, np.int32), *[np.full(len(g), k[i]) for k in key], np.arange(len(g), dtype=np.int32)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["h", "size", "_k", "_t", "p"])
     return go
 
 
@@ -227,8 +275,8 @@ def _pair(share: float):
             rows = []
             for doc_id, text, item_id, item in zip(b.column("doc_id").to_pylist(), raw(b, "text"), b.column("item_id").to_pylist(), raw(b, "item"), strict=True):
                 words = text.split()
-                one = Items([(item_id, item)])
-                rows += _found(one, share)(doc_id, words, one.alignments(templates(words, cache)[0]))
+                one = Items(Items.state([(item_id, item)]))
+                rows += _found(one, share)(doc_id, words, one.alignments(templates(words, cache)))
             yield _batch(rows)
     return go
 
@@ -243,18 +291,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5, most
     items = benchmark.select("item_id", "text").where("text is not null")
     size = items.agg(F.sum(F.size(F.split("text", r"[ \t-\r]+")))).first()[0] or 0  # bounds the windows from above
     if size <= most_sent:
-        sent = spark.sparkContext.broadcast(Items([(r.item_id, r.text.encode()) for r in items.collect()]))
+        sent = spark.sparkContext.broadcast(Items.state([(r.item_id, r.text.encode()) for r in items.collect()]))
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sent(sent, share), SCHEMA)
     # a benchmark of unknown size: the same windows of distinct texts, joined by a shuffle; then all rows with these texts
-    text_key = lambda df: df.withColumns({"_k": F.xxhash64("text"), "_t": F.hash("text")})
+    text_key = lambda df: df.withColumns({"_k": F.xxhash64(F.lit(1), "text"), "_t": F.xxhash64("text", F.length("text"))})
     of_items = text_key(items.select(F.col("item_id").cast("long").alias("item_id"), "text"))
     of_items = of_items.withColumn("words", F.size(F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != ""))).where("words > 0").withColumn("size", F.least(F.lit(SIZE), "words"))
     one_each = of_items.dropDuplicates(["_k", "_t"])
-    theirs = one_each.mapInArrow(_all_windows(list(range(1, SIZE + 1))), "h long, size int, _k long, _t int, p int")
+    theirs = one_each.mapInArrow(_all_windows(list(range(1, SIZE + 1))), "h long, size int, _k long, _t long, p int")
     theirs = theirs.join(one_each.select("_k", "_t", "size", (F.col("words") - F.col("size") + 1).alias("count")), ["_k", "_t", "size"])
     sizes = [r.size for r in of_items.select("size").distinct().collect()]  # eight values at most
     rows = text_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null"))
-    ours = rows.dropDuplicates(["_k", "_t"]).mapInArrow(_all_windows(sizes), "h long, size int, _k long, _t int, p int")
+    ours = rows.dropDuplicates(["_k", "_t"]).mapInArrow(_all_windows(sizes), "h long, size int, _k long, _t long, p int")
     hits = ours.join(theirs.select("h", "size", "count", F.col("_k").alias("i"), F.col("_t").alias("it"), F.col("p").alias("q")), ["h", "size"])
     hits = hits.groupBy("_k", "_t", "i", "it").agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("count"))
     hits = hits.where(F.col("n") >= F.least(F.lit(2), share * F.col("count"))).select("_k", "_t", "i", "it")

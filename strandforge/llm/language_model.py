@@ -302,7 +302,7 @@ class Places(dict):
         return self.n + zlib.crc32(word[:1]) % RARE
 
 
-NUMBERED = "row long, doc_id long, train boolean, n_tokens long, known long, logs double, off double, ids binary, rest array<struct<word:binary,tf:int>>"
+NUMBERED = "row long, doc_id long, train boolean, n_tokens long, known long, logs double, off double, ids binary, rest array<binary>"
 
 
 def _numbered(sent):
@@ -315,16 +315,18 @@ def _numbered(sent):
         for b in batches:
             texts = raw(b, "text")
             for lo, hi in runs(texts, 1 << 23):
-                rows = []
+                rows, rest, ends = [], [], [0]
                 for text in texts[lo:hi]:
                     words = text.lower().split() if text else []
                     words.append(b"")
                     at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
-                    rest = Counter([words[i] for i in np.flatnonzero(at >= places.n).tolist()])
-                    rows.append((len(words), int(places.known[at].sum()), float(places.log[at].sum()), float(off[at].sum()), places.token[at].tobytes(), [{"word": w, "tf": n} for w, n in rest.items()]))
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int32())]))]
+                    rest += [words[i] for i in np.flatnonzero(at >= places.n).tolist()]
+                    ends.append(len(rest))
+                    rows.append((len(words), int(places.known[at].sum()), float(places.log[at].sum()), float(off[at].sum()), places.token[at].tobytes()))
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+                beyond = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary()))
                 given = [b.column(c).slice(lo, hi - lo) for c in ("row", "doc_id", "train")]
-                yield pa.RecordBatch.from_arrays([*given, *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], ["row", "doc_id", "train", "n_tokens", "known", "logs", "off", "ids", "rest"])
+                yield pa.RecordBatch.from_arrays([*given, *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], beyond], ["row", "doc_id", "train", "n_tokens", "known", "logs", "off", "ids", "rest"])
     return go
 
 
@@ -390,9 +392,9 @@ def lm_scores(docs: DataFrame, sent_counts: int = SENT_COUNTS, proportions: tupl
     p = fit(numbered.where("train"), int(total), fresh(top, rare_mass), 0, proportions)
     scored = numbered.mapInArrow(_scorer(spark.sparkContext.broadcast((p, 0))), "row long, doc_id long, n_tokens long, known long, logs double, net double")
     # words beyond the counts sent are rare by their rank; their counts are joined
-    rest = numbered.select("row", F.explode("rest").alias("x")).select("row", "x.word", "x.tf").join(counts, "word", "left")
+    rest = numbered.select("row", F.explode("rest").alias("word")).join(counts, "word", "left")
     log = F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))
-    rest = rest.groupBy("row").agg(F.sum(F.col("tf") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("tf"))).alias("more_known"))
+    rest = rest.groupBy("row").agg(F.sum(log).alias("more"), F.count(F.when(F.col("c") > 0, 1)).alias("more_known"))
     out = scored.join(rest, "row", "left")
     logs = F.col("logs") + F.coalesce("more", F.lit(0.0))
     scale = float(np.log10(total + 0.1 * (distinct + 1)))

@@ -20,10 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, WordHash, grams, mixed, raw, signed, stored, table
+from .common import WordHash, grams, mixed, raw, signed, stored, table
 from .components import components
 
 SLOTS, BANDS, ROWS = 64, 16, 4
+#: Nodes of rows without a doc_id are from here on: no doc_id is that large.
+UNKNOWN = 2**62
 #: Signatures that agree in less than this share of slots are not verified: 4.5 standard deviations below 0.85.
 LEAST_ESTIMATE = 0.65
 #: Shingles a block holds, about (8 bytes each).
@@ -74,7 +76,7 @@ def _features(batches):
             n.append(len(s))
             digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             sig.append(superminhash(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["id", "n", "digest", "sig"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "id", "n", "digest", "sig"])
 
 
 def _bands(batches):
@@ -167,12 +169,17 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     Words are cut at ASCII white space after lower-casing A-Z. Null, empty and blank texts have an empty set and
     link with nothing, not even each other. `percent` is 85 or more, for which the signature's bands and estimate
     are sized (a link at exactly 0.85 is missed with a probability under 0.00002). Rows that share a doc_id are
-    one node: linked if any of them is; n_shingles is each row's own. A null doc_id is a node of its own, returned
-    as null component_id and kept. Other columns are ignored; an empty table gives an empty table."""
+    one node: linked if any of them is; n_shingles is each row's own. Rows with a null doc_id are a node for each
+    text, behind all others: such a row is kept if its group holds no doc_id and, of several texts without, the text
+    is the first by its hash; component_id is null where the group holds no doc_id. doc_ids are below 2**62. Other
+    columns are ignored; an empty table gives an empty table."""
     if not 85 <= percent <= 100:
         raise ValueError("percent must be 85 to 100")
-    given = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
-    feats = stored(given.mapInArrow(_features, "id long, n long, digest binary, sig binary"), "features")
+    doc_id = F.col("doc_id").cast("long")
+    unknown = F.lit(UNKNOWN) + F.xxhash64("text").bitwiseAND(F.lit(UNKNOWN - 1))
+    given = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, unknown).alias("id"), "text")
+    feats = stored(given.mapInArrow(_features, "doc_id long, id long, n long, digest binary, sig binary"), "features")
+    given = given.drop("doc_id")
     sets = feats.where("digest is not null")
     reps = sets.groupBy("digest").agg(F.min(F.struct("id", "n", "sig")).alias("r"))
     reps = stored(reps.select("digest", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sig").alias("sig")), "reps")
@@ -200,9 +207,9 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
         merged = merged.select(F.col("id").alias("component"), F.col("component").alias("whole"))
         every = groups.unionByName(merged.select(F.col("component").alias("id"), "component")).distinct()
         groups = stored(every.join(merged, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).distinct(), "groups")
-    out = feats.select("id", "n").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    real = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    return out.select(real("id").alias("doc_id"), F.col("n").alias("n_shingles"), real("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+    out = feats.select("doc_id", "id", "n").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    component = F.when(F.col("component") < UNKNOWN, F.col("component"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
 def _left_over(members: DataFrame, signatures: DataFrame, texts: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
