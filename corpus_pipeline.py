@@ -27,26 +27,29 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def row_keyed(docs: DataFrame) -> DataFrame:
-    """With _id, never null: a hash of doc_id and text, so only equal rows share it."""
-    return docs.withColumn("_id", F.xxhash64(F.coalesce("doc_id", F.lit(NO_ID)), F.col("doc_id").isNull(), "text", F.col("text").isNull()))
+    """With _id, 62 bits, and _h, 64 more, of hashes of doc_id and text: never null, and only equal rows share both."""
+    told = [F.coalesce("doc_id", F.lit(NO_ID)), F.col("doc_id").isNull(), F.col("text"), F.col("text").isNull()]
+    return docs.withColumns({"_id": F.xxhash64(*told).bitwiseAND(F.lit(2**62 - 1)), "_h": F.xxhash64(F.lit(1), *told)})
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group (a null id is the least); of equal rows, one."""
+    """Keeps the document with the least id of each group (a null id is the least); of equal rows, one. Null, empty and
+    blank texts are no duplicates of anything but equal rows."""
     docs = row_keyed(docs)
     groups = near_dedup(docs.select(F.col("_id").alias("doc_id"), "text")).select(F.col("doc_id").alias("_id"), F.col("component_id").alias("group")).distinct()
     least = docs.select("_id", "doc_id").join(groups, "_id").groupBy("group").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "_id")).alias("m"))
-    return docs.join(least.select("m._id"), "_id", "left_semi").dropDuplicates(["_id"]).select(*COLUMNS)
+    return docs.join(least.select("m._id"), "_id", "left_semi").dropDuplicates(["_id", "_h"]).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item; null ids are dropped like others, and only with their own text."""
     docs = row_keyed(docs)
     found = contaminated(docs.select(F.col("_id").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(found, "_id", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The batches: doc_id, n_tokens, bucket, bucket_length, batch_id, slot, n_padding; a row for every document given."""
     return pack(docs)
 
 
