@@ -57,6 +57,12 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def plainly(df: DataFrame, named: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The same table, whose columns other than `named` have names without dots or backticks, which functions over
+    batches need; toDF() gives the old ones back."""
+    return df.toDF(*[c if c in named else f"_x{i}" for i, c in enumerate(df.columns)])
+
+
 def quoted(name: str) -> str:
     """A column's name as it stands, dots and backticks included."""
     return f"`{name.replace('`', '``')}`"

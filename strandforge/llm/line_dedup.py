@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, KEY_SCHEMA, key_of, keyed, mixed, quoted, raw, runs, signed, span_hashes, spans, spelled, stored, table
+from .common import KEY, KEY_SCHEMA, key_of, keyed, mixed, plainly, quoted, raw, runs, signed, span_hashes, spans, spelled, stored, table
 
 DEPTH = 3
 #: Positions whose tokens, alone and in pairs, group the lines of a leaf; lines with fewer use all.
@@ -204,8 +204,10 @@ def line_dedup(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> DataFr
     more = [c for c in docs.columns if c not in added | {"doc_id", "text"}]
     found = recurring_lines(docs, min_docs, alike).groupBy(*KEY).agg(F.collect_list("number").alias("found"), F.collect_list(F.when(F.col("gone"), F.col("number"))).alias("gone"))
     given = keyed(docs, *more).join(found, KEY, "left").select("doc_id", *map(quoted, more), "text", "found", "gone")
+    given = plainly(given, ("doc_id", "text", "found", "gone"))
     schema = spelled(given, ("text", "found", "gone"))
-    return given.mapInArrow(_cut, f"{schema}, n_lines long, n_recurring long, n_removed long, kept_text string, removed_lines array<int>")
+    out = given.mapInArrow(_cut, f"{schema}, n_lines long, n_recurring long, n_removed long, kept_text string, removed_lines array<int>")
+    return out.toDF("doc_id", *more, *out.columns[1 + len(more):])
 
 
 def query(spark, sf_dir):

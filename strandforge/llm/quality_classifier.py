@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, spelled, table
+from .common import plainly, raw, spelled, table
 from .sampling import held_out, labelled_sample
 
 BUCKETS, DIM, NONZERO, REACH = 8192, 64, 4, 2
@@ -232,9 +232,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, s
         net = fitted(np.array([r.x for r in rows], np.float64), y)
     else:
         net = (np.array([y.mean() if len(y) else 0.5]),)
-    keep = docs.columns
-    schema = spelled(docs)
-    out = docs.mapInArrow(_score(spark.sparkContext.broadcast((vectors, net)), keep), f"{schema}, score double")
+    given = plainly(docs)
+    out = given.mapInArrow(_score(spark.sparkContext.broadcast((vectors, net)), given.columns), f"{spelled(given)}, score double").toDF(*docs.columns, "score")
     return out.withColumns({"held_out": held_out(5), "predicted": (F.col("score") >= threshold).cast("int")})
 
 

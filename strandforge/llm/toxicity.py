@@ -1,9 +1,10 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
 A word's vector is the mean of the vectors of its character n-grams (3 to 5, with word borders) and of the whole
-word, so unseen misspellings share most of a known word's vector. A window of `SPAN` words is the average of its
-words, which a linear softmax classifies; a document is as toxic as its most toxic window. Training alternates: the
-window that now scores highest stands for its document, and embeddings and softmax take a joint gradient step.
+word, so unseen misspellings share most of a known word's vector. A window of `SPAN` words in a row, wherever it
+begins, is the average of its words, which a linear softmax classifies; a document is as toxic as its most toxic
+window. Training alternates: the window that now scores highest stands for its document, and embeddings and softmax
+take a joint gradient step.
 """
 
 from __future__ import annotations
@@ -13,15 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, raw, runs, spelled, table
+from .common import mixed, plainly, raw, runs, spelled, stored, table
 from .sampling import held_out, labelled_sample
 
 BUCKETS, DIM, SPAN = 1 << 16, 8, 5
 #: Window averages are multiplied by this; steps before the highest window answers for its document.
 GAIN, WARM = 2, 12
 RATE, FLOOR = 0.1, 3e-4
-#: Labelled rows the model is fitted on, at most, by label.
+#: Labelled rows the model is fitted on, at most, by label; bytes of their texts, of one and of all.
 SAMPLE = {0: 2_500, 1: 1_500}
+MOST_ONE, MOST_ALL = 1 << 20, 1 << 26
 #: Factors of the places in a word or n-gram.
 _PLACES = mixed(np.arange(1, 41, dtype=np.uint64)) | np.uint64(1)
 #: Letters of a word; longer ones are cut into pieces that overlap by four letters, so each n-gram is in one.
@@ -70,6 +72,21 @@ def words_of(text: bytes) -> list[bytes]:
     return out
 
 
+def spread(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of documents of `size` words, one after the other: the first word of each, the word behind its last, and
+    its document. A document of `SPAN` words or fewer is one window."""
+    own = np.maximum(size - SPAN + 1, 1)
+    doc = np.repeat(np.arange(len(size)), own)
+    begin = np.cumsum(size) - size
+    first = begin[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(own) - own, own)
+    return first, np.minimum(first + SPAN, (begin + size)[doc]), doc
+
+
+def sums(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    total = np.r_[0.0, np.cumsum(values)]
+    return total[last] - total[first]
+
+
 class Model:
     def __init__(self, texts: list[bytes], labels: np.ndarray, steps: int = 90, seed: int = 3):
         rng = np.random.default_rng(seed)
@@ -80,52 +97,52 @@ class Model:
             return
         self.constant = None
         known: dict[bytes, int] = {}
-        ids, window, doc = [], [], []
-        for d, text in enumerate(texts):
-            words = [known.setdefault(core(w), len(known)) for w in words_of(text)]
-            ids.append(np.array(words, np.int64))
-            n = max(1, -(-len(words) // SPAN))
-            window.append(len(doc) + np.arange(len(words)) // SPAN)
-            doc += [d] * n
-        ids, window, doc = np.concatenate(ids), np.concatenate(window), np.array(doc)
+        split = [np.array([known.setdefault(core(w), len(known)) for w in words_of(x)], np.int32) for x in texts]
+        ids = np.concatenate(split)
+        window = spread(np.array([len(x) for x in split]))
+        doc = window[2]
         gram, of_word = subwords(list(known))
-        weight = 1.0 / np.bincount(of_word)[of_word]
-        first = np.r_[0, np.cumsum(np.bincount(doc, minlength=len(texts)))[:-1]]
+        weight = 1.0 / np.bincount(of_word)[of_word] if len(gram) else np.empty(0)
+        per_doc = np.bincount(doc, minlength=len(texts))
+        first = np.cumsum(per_doc) - per_doc
         back = rng.random(len(texts)) < 0.2  # held back for the calibration of the document score
         pos, neg = (labels == 1) & ~back, (labels == 0) & ~back
-        per_doc = np.bincount(doc, minlength=len(texts))
         mean, square = ([np.zeros_like(p) for p in (self.e, self.u, self.b)] for _ in range(2))
         for t in range(steps):
-            w = self.u[:, 1] - self.u[:, 0]
-            s = self._windows(gram, of_word, weight, ids, window, len(doc))
+            s = self._windows(gram, of_word, weight, ids, window)
             # a clean document is clean in every window; of a toxic one the highest window answers, at first all
             share = np.zeros(len(doc))
-            share[neg[doc]] = 1.0 / neg.sum() if t >= WARM else (1.0 / neg.sum() / per_doc[doc])[neg[doc]]
-            if t < WARM:
-                share[pos[doc]] = (1.0 / pos.sum() / per_doc[doc])[pos[doc]]
+            if t >= WARM:  # windows overlap: those of a clean document are weighed as if they did not
+                share[neg[doc]] = (1.0 / max(neg.sum(), 1) / np.minimum(per_doc, SPAN)[doc])[neg[doc]]
+                share[_argmax(s, doc, first)[pos]] = 1.0 / max(pos.sum(), 1)
             else:
-                top = _argmax(s, doc, first)
-                share[top[pos]] = 1.0 / pos.sum()
-            g_s = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - labels[doc]) * share
-            per_word = np.bincount(ids, weights=g_s[window], minlength=len(known)) * GAIN / SPAN
-            per_gram = np.bincount(gram, weights=per_word[of_word] * weight, minlength=BUCKETS)
-            g_w, g_b = per_gram @ self.e, g_s.sum()
-            grads = (np.outer(per_gram, w), np.stack([-g_w, g_w], 1), np.array([-g_b, g_b]))
+                share[neg[doc]] = (1.0 / max(neg.sum(), 1) / per_doc[doc])[neg[doc]]
+                share[pos[doc]] = (1.0 / max(pos.sum(), 1) / per_doc[doc])[pos[doc]]
+            grads = self._gradients(gram, of_word, weight, ids, window, (1 / (1 + np.exp(-np.clip(s, -30, 30))) - labels[doc]) * share)
             # Adam with a large floor: steps of frequent n-grams are bounded, those of rare ones stay in proportion to
             # their gradients, so single documents are not memorised
             for param, m, v, g, rate in zip((self.e, self.u, self.b), mean, square, grads, (RATE, 0.02, 0.1), strict=True):
                 m += 0.1 * (g - m)
                 v += 0.05 * (g * g - v)
                 param -= rate * m / (np.sqrt(v) + FLOOR)
-        s = self._windows(gram, of_word, weight, ids, window, len(doc))
+        s = self._windows(gram, of_word, weight, ids, window)
         s = s[_argmax(s, doc, first)]
         if back.sum() > 50 and len(set(labels[back].tolist())) == 2:
             self._calibrate(s[back], labels[back])
 
-    def _windows(self, gram, of_word, weight, ids, window, n) -> np.ndarray:
+    def _windows(self, gram, of_word, weight, ids, window) -> np.ndarray:
         """Margins of all windows. The softmax is linear in the average, so numbers may be averaged instead of vectors."""
-        word = np.bincount(of_word, weights=(self.e @ (self.u[:, 1] - self.u[:, 0]))[gram] * weight)
-        return np.bincount(window, weights=word[ids], minlength=n) * GAIN / SPAN + self.b[1] - self.b[0]
+        word = np.bincount(of_word, weights=(self.e @ (self.u[:, 1] - self.u[:, 0]))[gram] * weight) if len(gram) else np.empty(0)
+        return sums(word[ids], *window[:2]) * GAIN / SPAN + self.b[1] - self.b[0]
+
+    def _gradients(self, gram, of_word, weight, ids, window, d: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of a loss whose derivative in each window's margin is `d`, in embeddings, softmax and bias."""
+        edges = np.bincount(window[0], weights=d, minlength=len(ids) + 1) - np.bincount(window[1], weights=d, minlength=len(ids) + 1)
+        per_place = np.cumsum(edges)[:-1] * GAIN / SPAN
+        per_word = np.bincount(ids, weights=per_place, minlength=int(of_word.max(initial=-1)) + 1)
+        per_gram = np.bincount(gram, weights=per_word[of_word] * weight, minlength=BUCKETS)
+        g_w, g_b = per_gram @ self.e, d.sum()
+        return np.outer(per_gram, self.u[:, 1] - self.u[:, 0]), np.stack([-g_w, g_w], 1), np.array([-g_b, g_b])
 
     def _calibrate(self, s: np.ndarray, y: np.ndarray) -> None:
         """Scale and shift of the document's margin with the least balanced log loss on the rows held back."""
@@ -146,9 +163,9 @@ class Model:
 
 
 def _argmax(s: np.ndarray, doc: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Of each document the place of its highest window; windows are ordered by document."""
-    order = np.lexsort((s, doc))
-    return order[np.r_[first[1:], len(doc)] - 1]
+    """Of each document the place of its highest window, of equal ones the first; windows are ordered by document."""
+    at = np.flatnonzero(s == np.maximum.reduceat(s, first)[doc])
+    return at[np.r_[True, np.diff(doc[at]) > 0]]
 
 
 class Words(dict):
@@ -169,6 +186,14 @@ class Words(dict):
         self.update(zip(new, [mean[place[x]] for x in inner], strict=True))
 
 
+def highest(words: np.ndarray) -> float:
+    """The greatest sum of `SPAN` values in a row, or of all if there are no more."""
+    if len(words) <= SPAN:
+        return float(words.sum())
+    total = np.r_[0.0, np.cumsum(words)]
+    return float((total[SPAN:] - total[:-SPAN]).max())
+
+
 def _score(sent, keep):
     def go(batches):
         grams, bias, scale, shift, constant = sent.value
@@ -182,28 +207,42 @@ def _score(sent, keep):
                 split = [words_of(x) if x else [] for x in texts[lo:hi]]
                 cache.learn(set().union(*split))
                 for words in split:
-                    s = np.fromiter(map(cache.__getitem__, words), np.float64, len(words))
-                    top = float(np.add.reduceat(s, np.arange(0, len(s), SPAN)).max()) / SPAN if len(s) else 0.0
+                    top = highest(np.fromiter(map(cache.__getitem__, words), np.float64, len(words))) / SPAN
                     out.append(float(1 / (1 + np.exp(-np.clip(scale * (top + bias) + shift, -40, 40)))))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(out, pa.float64())], [*keep, "score"])
     return go
 
 
+def learned_from(docs: DataFrame, labels: DataFrame, sample: dict[int, int], most_one: int = MOST_ONE, most_all: int = MOST_ALL) -> list[tuple[int, str, int]]:
+    """(doc_id, text, label) of the labelled sample, whole texts: those with the least hash of the id that come to
+    `most_all` bytes together. Texts over `most_one` bytes teach nothing."""
+    rows = stored(labelled_sample(docs, labels, "toxic", sample).select(F.xxhash64("doc_id").alias("h"), "doc_id", "text", "label"), "sample")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    rows = rows.where(size <= most_one)
+    held, last = 0, None
+    for r in sorted(rows.select("h", size.alias("size")).collect()):  # numbers of some thousand rows
+        held += r["size"]
+        if held > most_all:
+            rows = rows.where(F.col("h") <= last) if last is not None else rows.limit(0)
+            break
+        last = r.h
+    return sorted((r.doc_id, r.text or "", r.label) for r in rows.collect())
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: dict[int, int] = SAMPLE) -> DataFrame:
     """The columns of `docs` (less any named score, held_out, predicted) and held_out, score (0 to 1, the model's
     probability of label 1), predicted (1 at `threshold` or above).
 
-    Labels come only from rows outside fold 0 of five, at most `sample` of each label value; doc_id, lang, source
-    and labels are never inputs of a score. Null, empty and blank texts have an empty window and get its score.
+    Labels come only from rows outside fold 0 of five, at most `sample` rows of each label value and `MOST_ALL` bytes
+    of text (none of a text over `MOST_ONE`); doc_id, lang, source and labels are never inputs of a score. Null, empty and blank texts have an empty window and get its score.
     Without labels of both kinds every score is the labels' share (0.5 without any). Repeated rows are scored each;
     a null doc_id is not held out. An empty table gives an empty table."""
     spark = docs.sparkSession
     docs = docs.drop("score", "held_out", "predicted")
-    rows = sorted((r.doc_id, r.text or "", r.label) for r in labelled_sample(docs, labels, "toxic", sample).collect())
+    rows = learned_from(docs, labels, sample)
     model = Model([r[1].encode() for r in rows], np.array([r[2] for r in rows], np.float64))
-    keep = docs.columns
-    schema = spelled(docs)
-    out = docs.mapInArrow(_score(spark.sparkContext.broadcast(model.sent()), keep), f"{schema}, score double")
+    given = plainly(docs)
+    out = given.mapInArrow(_score(spark.sparkContext.broadcast(model.sent()), given.columns), f"{spelled(given)}, score double").toDF(*docs.columns, "score")
     return out.withColumns({"held_out": held_out(5), "predicted": (F.col("score") >= threshold).cast("int")})
 
 
