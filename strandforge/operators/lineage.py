@@ -14,18 +14,21 @@ def truncate_missing_rank(frame: DataFrame) -> DataFrame:
     return frame.withColumn("truncated", cut).withColumn("removed", F.col("header").rlike(r"[|][|]") & (F.instr("truncated", "|") == 0))
 
 
-def replace_names(frame: DataFrame, pairs: DataFrame, columns: list[str]) -> DataFrame:
-    """pairs: (taxon_rank, taxon_to_replace, taxon_to_use), a handful given by the user. Where a row's name at a rank
-    is listed, the old name is replaced in all of `columns`, rank by rank; the lookup uses the row as it came."""
-    rules = [(r.taxon_rank, r.taxon_to_replace, r.taxon_to_use) for r in pairs.orderBy("taxon_rank", "taxon_to_replace").limit(10_000).collect()]
-    out = {c: F.col(c) for c in columns}
-    for rank in columns:
-        own = {o: n for r, o, n in rules if r == rank}
-        if own:
-            table = F.create_map(*[F.lit(x) for kv in own.items() for x in kv])
-            new = table[F.col(rank)]
-            out = {c: F.when(new.isNotNull() & (F.col(rank) != ""), F.replace(x, F.col(rank), new)).otherwise(x) for c, x in out.items()}
-    return frame.withColumns(out)
+def replace_names(frame: DataFrame, pairs: DataFrame, columns: list[str], ranks: list[str] | None = None) -> DataFrame:
+    """pairs: (taxon_rank, taxon_to_replace, taxon_to_use), of any number. Where a row's name at a rank is listed, the
+    old name is replaced in all of `columns`, rank by rank in the order of `ranks` (those of `columns` unless given);
+    the lookup uses the row as it came. Of several pairs for one name the last in order of their new names counts."""
+    ranks = ranks or columns
+    out, new = frame, {}
+    for i, rank in enumerate(ranks):
+        own = pairs.where((F.col("taxon_rank") == rank) & (F.coalesce("taxon_to_replace", F.lit("")) != ""))
+        own = own.groupBy(F.col("taxon_to_replace").alias(f"_old{i}")).agg(F.max("taxon_to_use").alias(f"_new{i}"))
+        out = out.join(own, out[rank] == own[f"_old{i}"], "left")  # Spark broadcasts a small list of names by its size
+        new[rank] = F.col(f"_new{i}")
+    cells = {c: F.col(c) for c in columns}
+    for rank in ranks:
+        cells = {c: F.when(new[rank].isNotNull(), F.replace(x, F.col(rank), new[rank])).otherwise(x) for c, x in cells.items()}
+    return out.select(*[cells[c].alias(c) if c in cells else F.col(c) for c in frame.columns])
 
 
 def with_taxa(frame: DataFrame) -> DataFrame:
@@ -33,8 +36,10 @@ def with_taxa(frame: DataFrame) -> DataFrame:
 
 
 def lineage_counts(members: DataFrame) -> DataFrame:
-    """(cluster, taxa, count)"""
-    return members.groupBy("cluster", "taxa").agg(F.count(F.lit(1)).alias("count"))
+    """(cluster, taxa, count). Of members with a header, those of one header in one cluster are one, their sequences
+    having been joined."""
+    own = members.select("cluster", "taxa", "header").distinct() if "header" in members.columns else members
+    return own.groupBy("cluster", "taxa").agg(F.count(F.lit(1)).alias("count"))
 
 
 def _ordered(counts: DataFrame) -> DataFrame:
@@ -66,10 +71,22 @@ def majority(counts: DataFrame) -> DataFrame:
 
 
 def support(counts: DataFrame) -> DataFrame:
-    """(cluster, taxa, count, support): own count and those of the lineages contained in it."""
-    other = counts.select("cluster", F.col("taxa").alias("other"), F.col("count").alias("n"))
-    more = counts.join(other, "cluster").where((F.col("taxa") != F.col("other")) & contains_lineage(F.col("taxa"), F.col("other"))).groupBy("cluster", "taxa").agg(F.sum("n").alias("more"))
-    return counts.join(more, ["cluster", "taxa"], "left").select("cluster", "taxa", "count", (F.col("count") + F.coalesce("more", F.lit(0))).alias("support"))
+    """(cluster, taxa, count, support): own count and those of the lineages contained in it.
+
+    A contained lineage's rarest name in its cluster is among the names of all that contain it, so pairs meet at that
+    name only, and never all of a cluster. The lineage without names is contained in all and is added as a number."""
+    names = counts.select("cluster", "taxa", "count", F.explode(F.array_distinct("taxa")).alias("name"))
+    often = names.groupBy("cluster", "name").agg(F.count(F.lit(1)).alias("often"))
+    rarest = names.join(often, ["cluster", "name"]).groupBy("cluster", "taxa").agg(F.min(F.struct("often", "name"))["name"].alias("name"), F.first("count").alias("n"))
+    inside = rarest.select("cluster", "name", F.col("taxa").alias("other"), "n")
+    # a lineage with a repeated name contains nothing
+    holders = names.where(F.size(F.array_distinct("taxa")) == F.size("taxa")).select("cluster", "name", "taxa")
+    pairs = holders.join(inside, ["cluster", "name"]).where(F.size(F.array_distinct("other")) <= F.size("taxa"))
+    more = pairs.where((F.col("taxa") != F.col("other")) & contains_lineage(F.col("taxa"), F.col("other"))).groupBy("cluster", "taxa").agg(F.sum("n").alias("more"))
+    bare = counts.where(F.size("taxa") == 0).select("cluster", F.col("count").alias("bare"))
+    out = counts.join(more, ["cluster", "taxa"], "left").join(bare, "cluster", "left")
+    free = (F.size("taxa") > 0) & (F.size(F.array_distinct("taxa")) == F.size("taxa"))
+    return out.select("cluster", "taxa", "count", (F.col("count") + F.coalesce("more", F.lit(0)) + F.when(free, F.coalesce("bare", F.lit(0))).otherwise(0)).alias("support"))
 
 
 def by_ratio(counts: DataFrame, ratio: float) -> DataFrame:
@@ -89,7 +106,19 @@ def without_conflict(counts: DataFrame) -> DataFrame:
 
 
 def curate(members: DataFrame) -> DataFrame:
-    """Every member with its cluster's congruent lineage and the count of its own."""
+    """Every member with its cluster's congruent lineage and the count of its own. taxon_original is the header's text
+    behind the identifier, with the empty ranks at its end."""
     counts = lineage_counts(members)
     own = members.join(counts, ["cluster", "taxa"]).join(congruent(counts).withColumnRenamed("taxa", "agreed"), "cluster")
-    return own.select("identifier", "cluster", F.array_join("taxa", "|").alias("taxon_original"), F.array_join("agreed", "|").alias("taxon_curated"), F.col("count").alias("count_original"), F.lit("choose_by_lowest_taxon_with_congruent_lineage").alias("processing_method"), "sequence")
+    text = F.regexp_extract("header", r"^>?[^|]*\|(.*)$", 1) if "header" in members.columns else F.array_join("taxa", "|")
+    return own.select("identifier", "cluster", text.alias("taxon_original"), F.array_join("agreed", "|").alias("taxon_curated"), F.col("count").alias("count_original"), F.lit("choose_by_lowest_taxon_with_congruent_lineage").alias("processing_method"), "sequence")
+
+
+def curated_fasta(curated: DataFrame) -> DataFrame:
+    """(header, sequence) of curated members: the identifier and the cluster's lineage."""
+    return curated.select(F.concat(F.lit(">"), "identifier", F.lit("|"), "taxon_curated").alias("header"), "sequence")
+
+
+def removed_table(truncated: DataFrame) -> DataFrame:
+    """Header, cut header and sequence of records left without a taxon: the columns of their table."""
+    return truncated.where("removed").select("header", F.col("truncated").alias("truncated_header"), "sequence")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expressions import in_ring
+from ..functions.expressions import in_shape
 
 CELL = 10.0
 
@@ -22,17 +22,21 @@ def by_continent(frame: DataFrame, lookup: DataFrame, continents: list[str], cou
 
 
 def by_polygon(frame: DataFrame, polygons: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Records inside a polygon (name, ring), with the polygon's name; those without coordinates are discarded. Points
-    and bounding boxes meet in grid cells, an equal-key join that prunes before rays are cast."""
+    """Records inside a region (name, rings), with its name; those without coordinates are discarded, and repeated
+    records stay repeated. A row of `polygons` is one shape with its holes; shapes of one name are one region.
+
+    Points and bounding boxes meet in grid cells, an equal-key join that prunes before rays are cast. A region stands
+    once in a cell, so a record meets it once."""
     shapes = polygons.where(F.col("name").isin(names)) if names is not None else polygons
-    lon, lat = F.transform("ring", lambda p: p["lon"]), F.transform("ring", lambda p: p["lat"])
-    cells = lambda xs: F.sequence(F.floor(F.array_min(xs) / CELL), F.floor(F.array_max(xs) / CELL))
-    boxed = shapes.withColumns({"x0": F.array_min(lon), "x1": F.array_max(lon), "y0": F.array_min(lat), "y1": F.array_max(lat), "cx": F.explode(cells(lon)), "_lat": lat})
-    boxed = boxed.withColumn("cy", F.explode(cells("_lat"))).drop("_lat")
-    points = frame.where("longitude is not null and latitude is not null").withColumns({"cx": F.floor(F.col("longitude") / CELL), "cy": F.floor(F.col("latitude") / CELL)})
-    hit = points.join(boxed, ["cx", "cy"]).where("longitude between x0 and x1 and latitude between y0 and y1")
-    inside = hit.where(in_ring(F.col("longitude"), F.col("latitude"), F.col("ring")))
-    return inside.select(*frame.columns, F.col("name").alias("region")).distinct()
+    points = F.flatten("rings")
+    lon, lat = F.transform(points, lambda p: p["lon"]), F.transform(points, lambda p: p["lat"])
+    boxed = shapes.where(F.size(points) > 0).select("name", F.struct(F.array_min(lon).alias("x0"), F.array_max(lon).alias("x1"), F.array_min(lat).alias("y0"), F.array_max(lat).alias("y1"), "rings").alias("shape"))
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / CELL), F.floor(F.col(b) / CELL)))
+    regions = boxed.withColumn("cx", cells("shape.x0", "shape.x1")).withColumn("cy", cells("shape.y0", "shape.y1")).groupBy("name", "cx", "cy").agg(F.collect_list("shape").alias("shapes"))
+    x, y = F.col("longitude"), F.col("latitude")
+    given = frame.where("longitude is not null and latitude is not null").withColumns({"cx": F.floor(x / CELL), "cy": F.floor(y / CELL)})
+    within = F.exists("shapes", lambda s: x.between(s["x0"], s["x1"]) & y.between(s["y0"], s["y1"]) & in_shape(x, y, s["rings"]))
+    return given.join(regions, ["cx", "cy"]).where(within).select(*[given[c] for c in frame.columns], F.col("name").alias("region"))
 
 
 def catalogue(lookup: DataFrame, column: str) -> DataFrame:

@@ -5,24 +5,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+
 #: From fine to coarse, and the columns that hold them.
 RANKS = ["species", "genus", "family", "order", "class", "phylum", "kingdom"]
 COLUMNS = {r: "order_name" if r == "order" else r for r in RANKS}
 
 
 def lineages(taxonomy: DataFrame) -> DataFrame:
-    """(taxon_id, path): names from the root down, by one self-join per rank. Trees deeper than the ranks end there."""
-    up = taxonomy.select(F.col("taxon_id").alias("p_id"), F.col("parent_id").alias("p_parent"), F.col("name").alias("p_name"))
-    walk = taxonomy.select("taxon_id", F.col("parent_id").alias("at"), F.array("name").alias("path"))
-    for _ in RANKS[1:]:
-        walk = walk.join(up, walk["at"] == up["p_id"], "left").select("taxon_id", F.col("p_parent").alias("at"), F.when(F.col("p_name").isNotNull(), F.concat(F.array("p_name"), "path")).otherwise(F.col("path")).alias("path"))
-    return walk.select("taxon_id", "path")
+    """(taxon_id, path): structs of rank and name from the root down, of any depth.
+
+    Paths are doubled: each round joins every unfinished path to the path of the taxon where it ends, so a tree of depth
+    d takes log2(d) rounds. Each round is written, which keeps plans short. A taxon that is its own ancestor is refused;
+    one whose parent is not in the table ends there."""
+    known = taxonomy.select(F.col("taxon_id").alias("at_"), F.lit(True).alias("there_"))
+    start = taxonomy.select("taxon_id", F.when(F.col("parent_id") != F.col("taxon_id"), F.col("parent_id")).alias("at"), F.array(F.struct("rank", "name")).alias("path"))
+    walk = start.join(known, start["at"] == known["at_"], "left").select("taxon_id", F.when(F.col("there_"), F.col("at")).alias("at"), "path")
+    for _ in range(40):
+        walk = written(walk, "walk")
+        if walk.where("at is not null").isEmpty():
+            return walk.select("taxon_id", "path")
+        if not walk.where(F.size("path") > 1_000).isEmpty():
+            break
+        up = walk.select(F.col("taxon_id").alias("up_id"), F.col("at").alias("up_at"), F.col("path").alias("up_path"))
+        walk = walk.join(up, walk["at"] == up["up_id"], "left").select("taxon_id", F.col("up_at").alias("at"), F.when(F.col("up_path").isNotNull(), F.concat("up_path", "path")).otherwise(F.col("path")).alias("path"))
+    raise ValueError("the taxonomy has a circle")
+
+
+def standard_lineages(taxonomy: DataFrame) -> DataFrame:
+    """(taxon_id, and a column per standard rank): other ranks are left out, unknown ones are empty."""
+    name = lambda r: F.coalesce(F.get(F.filter("path", lambda x: x["rank"] == r), F.lit(0))["name"], F.lit(""))
+    return lineages(taxonomy).select("taxon_id", *[name(r).alias(COLUMNS[r]) for r in reversed(RANKS)])
 
 
 def resolve_synonyms(taxonomy: DataFrame) -> DataFrame:
-    """(taxon_id, used_id, used_name): the accepted taxon for a synonym, itself for any other."""
-    good = taxonomy.select(F.col("taxon_id").alias("g_id"), F.col("name").alias("g_name"))
-    return taxonomy.join(good, taxonomy["accepted_id"] == good["g_id"], "left").select("taxon_id", F.coalesce("g_id", "taxon_id").alias("used_id"), F.coalesce("g_name", "name").alias("used_name"))
+    """(taxon_id, used_id, used_name): the accepted taxon for a synonym, itself for any other. A synonym of a synonym
+    leads on, for as many steps as there are; where an accepted taxon is missing, the last one found is used."""
+    names = taxonomy.select(F.col("taxon_id").alias("g_id"), F.col("name").alias("g_name"))
+    linked = taxonomy.select("taxon_id", F.when(F.col("accepted_id") != F.col("taxon_id"), F.col("accepted_id")).alias("to"))
+    linked = linked.join(names, linked["to"] == names["g_id"], "left").select("taxon_id", F.col("g_id").alias("to"))
+    for _ in range(40):
+        linked = written(linked, "synonyms")
+        onward = linked.where("to is not null").select(F.col("taxon_id").alias("n_id"), F.col("to").alias("n_to"))
+        if linked.join(onward, linked["to"] == onward["n_id"], "left_semi").isEmpty():
+            used = linked.select("taxon_id", F.coalesce("to", "taxon_id").alias("used_id"))
+            return used.join(names, used["used_id"] == names["g_id"]).select("taxon_id", "used_id", F.col("g_name").alias("used_name"))
+        linked = linked.join(onward, linked["to"] == onward["n_id"], "left").select("taxon_id", F.coalesce("n_to", "to").alias("to"))
+    raise ValueError("synonyms go round in a circle")
+
+
+def homonyms(taxonomy: DataFrame) -> DataFrame:
+    """(name, rank, taxa): names that stand for several taxa of one rank."""
+    return taxonomy.groupBy("name", "rank").agg(F.count(F.lit(1)).alias("taxa")).where("taxa > 1")
 
 
 def finest(frame: DataFrame) -> DataFrame:
@@ -56,11 +90,51 @@ def at_least(frame: DataFrame, rank: str) -> DataFrame:
     return frame.where(F.greatest(*[(F.coalesce(F.col(COLUMNS[r]), F.lit("")) != "").cast("int") for r in fine]) == 1)
 
 
-def subset(frame: DataFrame, name: str, taxonomy: DataFrame) -> DataFrame:
-    """Records of a taxon: its rank's column holds the name. Unknown or extinct taxa are refused."""
-    found = taxonomy.where(F.col("name") == name).select("rank", "is_extinct").limit(2).collect()
-    if not found or found[0].rank not in RANKS:
+def harmonized(frame: DataFrame, taxonomy: DataFrame | None, retain: bool = False, synonyms_allowed: bool = False) -> DataFrame:
+    """Records with their standard ranks as the taxonomy has them, taxon_id and used_name. Records that it does not know
+    go, or stay as they came if `retain`. Without a taxonomy (unmapped) all stay as they came."""
+    ranks = [COLUMNS[r] for r in reversed(RANKS)]
+    if taxonomy is None:
+        return finest(frame).select(*frame.columns, F.lit(None).cast("long").alias("taxon_id"), F.col("finest_name").alias("used_name"))
+    told = harmonize(frame, taxonomy, retain, synonyms_allowed)
+    lines = standard_lineages(taxonomy).select(F.col("taxon_id").alias("l_id"), *[F.col(c).alias(f"l_{c}") for c in ranks])
+    out = told.join(lines, told["taxon_id"] == lines["l_id"], "left")
+    return out.select(*[F.when(F.col("l_id").isNotNull(), F.col(f"l_{c}")).otherwise(F.col(c)).alias(c) if c in ranks else F.col(c) for c in frame.columns], F.col("taxon_id").cast("long").alias("taxon_id"), "used_name")
+
+
+def taxon(taxonomy: DataFrame, name: str, rank: str | None = None) -> tuple[int, str]:
+    """(taxon_id, rank) of the one living accepted taxon of a standard rank with this name. Unknown and extinct taxa are
+    refused, and names that stand for several unless `rank` tells them apart."""
+    given = taxonomy.where((F.col("name") == name) & F.col("rank").isin(RANKS))
+    found = given.where(F.col("rank") == rank).collect() if rank else given.collect()  # homonyms of one name
+    if not found:
         raise ValueError(f"{name} is no taxon of a standard rank")
-    if found[0].is_extinct:
+    alive = [r for r in found if not r.is_extinct]
+    if not alive:
         raise ValueError(f"{name} is extinct")
-    return frame.where(F.col(COLUMNS[found[0].rank]) == name)
+    accepted = [r for r in alive if r.accepted_id is None] or alive
+    if len(accepted) > 1:
+        raise ValueError(f"{name} stands for several taxa: {', '.join(sorted(r['rank'] for r in accepted))}")
+    return accepted[0].taxon_id, accepted[0]["rank"]
+
+
+def descendants(taxonomy: DataFrame, taxon_id: int) -> DataFrame:
+    """(taxon_id) of a taxon and all below it. Its rank's name alone would miss homonyms and gaps in records."""
+    at, below = taxonomy.where(F.col("taxon_id") == taxon_id).select("taxon_id"), None
+    while not at.isEmpty():
+        below = at if below is None else below.unionByName(at)
+        up = at.select(F.col("taxon_id").alias("up_id"))
+        at = taxonomy.where("taxon_id <> parent_id").join(up, taxonomy["parent_id"] == up["up_id"], "left_semi").select("taxon_id")
+        at = written(at.join(below, "taxon_id", "left_anti"), "below")
+    return taxonomy.select("taxon_id").limit(0) if below is None else below
+
+
+def subset(frame: DataFrame, name: str, taxonomy: DataFrame, rank: str | None = None) -> DataFrame:
+    """Records of a taxon: its rank's column holds the name or, where records carry a taxon_id, that lies below it."""
+    taxon_id, own = taxon(taxonomy, name, rank)
+    named = F.col(COLUMNS[own]) == name
+    if "taxon_id" not in frame.columns:
+        return frame.where(named)
+    below = descendants(taxonomy, taxon_id).select(F.col("taxon_id").alias("d_id"), F.lit(True).alias("d_below"))
+    out = frame.join(below, frame["taxon_id"] == below["d_id"], "left")
+    return out.where(F.coalesce("d_below", F.lit(False)) | (F.col("taxon_id").isNull() & named)).select(*[frame[c] for c in frame.columns])

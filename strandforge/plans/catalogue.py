@@ -6,12 +6,17 @@ and country table from the same tables. Both are texts that Spark and DuckDB run
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import GENETIC_CODES, header_taxa, reverse_complement
+from ..functions.expressions import genetic_code, header_taxa, reverse_complement
 from ..operators import derep, lineage, region, sequence, taxonomy
 from ..sources import readers, writers
+from ..sources.scratch import one_file, put, shared_path
+from . import classify as chain
+from .config import Parameters
 
 BARCODE = """
 SELECT o.o_orderkey AS pos, concat('SPC', CAST(o.o_orderkey AS STRING)) AS identifier,
@@ -29,47 +34,39 @@ SELECT o.o_orderkey AS pos, concat('SPC', CAST(o.o_orderkey AS STRING)) AS ident
          translate(concat(md5(concat('a', CAST(c.c_custkey % 300 AS STRING))), md5(concat('b', CAST(c.c_custkey % 300 AS STRING)))), '0123456789abcdef', 'ACGTACGTACGTACGT'),
          CASE WHEN o.o_orderkey % 7 = 0 THEN '---' ELSE '' END,
          translate(md5(concat('c', CAST(c.c_custkey % 300 AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS sequence
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
+FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
+JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey"""
 
 BACKBONE = """
 SELECT 1 AS taxon_id, CAST(NULL AS INT) AS parent_id, 'Animalia' AS name, 'kingdom' AS rank, 'accepted' AS status, CAST(NULL AS INT) AS accepted_id, FALSE AS is_extinct
-UNION ALL SELECT 100 + r_regionkey, 1, r_name, 'phylum', 'accepted', CAST(NULL AS INT), FALSE FROM region
-UNION ALL SELECT 200 + n_nationkey, 100 + n_regionkey, n_name, 'class', 'accepted', CAST(NULL AS INT), FALSE FROM nation
-UNION ALL SELECT DISTINCT CAST(1000 + c_custkey % 40 AS INT), CAST(200 + c_custkey % 25 * 0 + c_custkey % 40 % 25 AS INT), concat('Fam', CAST(c_custkey % 40 AS STRING)), 'family', 'accepted', CAST(NULL AS INT), c_custkey % 40 = 7 FROM customer
+UNION ALL SELECT 100 + r_regionkey, 1, r_name, 'phylum', 'accepted', CAST(NULL AS INT), FALSE FROM {region}
+UNION ALL SELECT 200 + n_nationkey, 100 + n_regionkey, n_name, 'class', 'accepted', CAST(NULL AS INT), FALSE FROM {nation}
+UNION ALL SELECT DISTINCT CAST(1000 + c_custkey % 40 AS INT), CAST(200 + c_custkey % 25 * 0 + c_custkey % 40 % 25 AS INT), concat('Fam', CAST(c_custkey % 40 AS STRING)), 'family', 'accepted', CAST(NULL AS INT), c_custkey % 40 = 7 FROM {customer}
 UNION ALL SELECT DISTINCT CAST(2000 + c_custkey % 80 AS INT), CAST(1000 + c_custkey % 40 AS INT), concat('Gen', CAST(c_custkey % 80 AS STRING)), 'genus',
-  CASE WHEN c_custkey % 80 % 7 = 0 THEN 'synonym' ELSE 'accepted' END, CASE WHEN c_custkey % 80 % 7 = 0 THEN CAST(2000 + (c_custkey % 80 + 1) % 80 AS INT) END, FALSE FROM customer
-UNION ALL SELECT DISTINCT CAST(5000 + c_custkey % 10 AS INT), CAST(1000 + (c_custkey + 1) % 10 % 40 AS INT), concat('Gen', CAST(c_custkey % 10 AS STRING)), 'genus', 'accepted', CAST(NULL AS INT), FALSE FROM customer
-UNION ALL SELECT DISTINCT CAST(6000 + c_custkey % 80 AS INT), CAST(2000 + c_custkey % 80 AS INT), concat('Gen', CAST(c_custkey % 80 AS STRING), ' sp1'), 'species', 'accepted', CAST(NULL AS INT), FALSE FROM customer"""
+  CASE WHEN c_custkey % 80 % 7 = 0 THEN 'synonym' ELSE 'accepted' END, CASE WHEN c_custkey % 80 % 7 = 0 THEN CAST(2000 + (c_custkey % 80 + 1) % 80 AS INT) END, FALSE FROM {customer}
+UNION ALL SELECT DISTINCT CAST(5000 + c_custkey % 10 AS INT), CAST(1000 + (c_custkey + 1) % 10 % 40 AS INT), concat('Gen', CAST(c_custkey % 10 AS STRING)), 'genus', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}
+UNION ALL SELECT DISTINCT CAST(6000 + c_custkey % 80 AS INT), CAST(2000 + c_custkey % 80 AS INT), concat('Gen', CAST(c_custkey % 80 AS STRING), ' sp1'), 'species', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}"""
+
+COUNTRIES = "SELECT n.n_name AS country, r.r_name AS continent FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey"
 
-COUNTRIES = "SELECT n.n_name AS country, r.r_name AS continent FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"
+_TABLES = ("orders", "customer", "nation", "region")
 
-#: Rings (lon, lat) by layer and name; one of them is concave.
+#: Shapes as rings (lon, lat), the first around the others, by layer and name; some are concave, some have holes.
 POLYGONS = {
-    "realm": {"Nearctic": [(-170.0, 15.0), (-50.0, 15.0), (-50.0, 80.0), (-170.0, 80.0)], "Palaearctic": [(-15.0, 25.0), (175.0, 25.0), (175.0, 80.0), (-15.0, 80.0)], "Neotropic": [(-110.0, -55.0), (-35.0, -55.0), (-35.0, 15.0), (-110.0, 15.0)]},
-    "ecoregion": {"Horseshoe": [(0.5, 0.5), (60.5, 0.5), (60.5, 60.5), (40.5, 60.5), (40.5, 20.5), (20.5, 20.5), (20.5, 60.5), (0.5, 60.5)]},
-    "custom": {"Plot": [(-100.5, -40.5), (-20.5, -70.5), (30.5, -10.5)]},
+    "realm": {"Nearctic": [[(-170.0, 15.0), (-50.0, 15.0), (-50.0, 80.0), (-170.0, 80.0)]], "Palaearctic": [[(-15.0, 25.0), (175.0, 25.0), (175.0, 80.0), (-15.0, 80.0)]], "Neotropic": [[(-110.0, -55.0), (-35.0, -55.0), (-35.0, 15.0), (-110.0, 15.0)]]},
+    "ecoregion": {"Horseshoe": [[(0.5, 0.5), (60.5, 0.5), (60.5, 60.5), (40.5, 60.5), (40.5, 20.5), (20.5, 20.5), (20.5, 60.5), (0.5, 60.5)]]},
+    "custom": {"Plot": [[(-100.5, -70.5), (60.5, -70.5), (60.5, 40.5), (-100.5, 40.5)], [(-60.5, -40.5), (-60.5, 10.5), (20.5, 10.5), (20.5, -40.5)]], "Elsewhere": [[(100.5, -40.5), (120.5, -70.5), (130.5, -10.5)]]},
 }
 RENAMES = [("genus", "Gen3", "Novum"), ("phylum", "ASIA", "Asiata"), ("class", "NATION_4", "Sina"), ("species", "Gen4 sp1", "Gen4 prima")]
 RATIO = 1.5
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("orders", "customer", "nation", "region")}
+def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in _TABLES if f"{{{t}}}" in text})
 
 
-def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    own = {}
-    for name, df in tables(spark, sf_dir).items():
-        view = f"_strandforge_{name}"
-        df.createOrReplaceTempView(view)
-        own[name] = view
-    for name, view in own.items():
-        for word in ("FROM", "JOIN"):
-            text = text.replace(f"{word} {name} ", f"{word} {view} ").replace(f"{word} {name}\n", f"{word} {view}\n")
-            if text.endswith(f"{word} {name}"):
-                text = text[: -len(name)] + view
-    return spark.sql(text)
+def _plain(text: str) -> str:
+    return text.format(**{t: t for t in _TABLES})
 
 
 def barcode(spark, sf_dir):
@@ -97,8 +94,8 @@ def members(spark, sf_dir):
 
 
 def polygons(spark, layer):
-    rows = [(n, [{"lon": x, "lat": y} for x, y in ring]) for n, ring in POLYGONS[layer].items()]
-    return spark.createDataFrame(rows, "name string, ring array<struct<lon:double,lat:double>>")
+    rows = [(n, [[{"lon": x, "lat": y} for x, y in ring] for ring in rings]) for n, rings in POLYGONS[layer].items()]
+    return spark.createDataFrame(rows, "name string, rings array<array<struct<lon:double,lat:double>>>")
 
 
 def counts(spark, sf_dir):
@@ -124,9 +121,9 @@ def query(name: str, sql: str | None):
 
 _TAXA = "CASE WHEN strpos(rtrim(substr(header, 2), '|'), '|') > 0 THEN string_split(substr(rtrim(substr(header, 2), '|'), strpos(substr(header, 2), '|') + 1), '|') ELSE [] END"
 _VIEWS = {
-    "barcode": BARCODE,
-    "backbone": BACKBONE,
-    "countries": COUNTRIES,
+    "barcode": _plain(BARCODE),
+    "backbone": _plain(BACKBONE),
+    "countries": _plain(COUNTRIES),
     "headed": f"SELECT *, {HEADER} AS header FROM barcode",
     "members": f"SELECT substr(md5(sequence), 1, 12) AS cluster, identifier, header, {_TAXA} AS taxa, sequence, pos FROM headed",
     "counts": "SELECT cluster, taxa, count(*) AS count FROM members GROUP BY cluster, taxa",
@@ -170,7 +167,7 @@ _RC = "translate(reverse(sequence), 'ACGTacgt', 'TGCATGCA')"
 def _protein(s: str, frame: int) -> str:
     at = [f"strpos('TCAG', substr(upper({s}), CAST(i * 3 + {frame + k} AS BIGINT), 1))" for k in range(3)]
     return (f"CASE WHEN length({s}) < {frame + 2} THEN '' ELSE array_to_string(list_transform(range(0, (length({s}) - {frame - 1}) // 3), lambda i: CASE WHEN least({', '.join(at)}) = 0 THEN 'X' "
-            f"ELSE substr('{GENETIC_CODES[5]}', ({at[0]} - 1) * 16 + ({at[1]} - 1) * 4 + {at[2]}, 1) END), '') END")
+            f"ELSE substr('{genetic_code(5)}', ({at[0]} - 1) * 16 + ({at[1]} - 1) * 4 + {at[2]}, 1) END), '') END")
 
 
 _STOPS = "CAST(CASE WHEN length(protein) > 2 THEN length(substr(protein, 2, length(protein) - 2)) - length(replace(substr(protein, 2, length(protein) - 2), '*', '')) ELSE 0 END AS INT)"
@@ -191,19 +188,22 @@ _STRAND = (
 
 # ---- sources -------------------------------------------------------------------------------------------------
 
-@query("fasta_assemble", f"SELECT header, sequence FROM headed")
+@query("fasta_assemble", "SELECT header, sequence FROM headed")
 def _(spark, d):
-    """Records written over three lines and cut apart again."""
-    h = headed(spark, d)
+    """Records written with their sequences over two lines, and read from these files."""
+    path = shared_path(spark, "fasta")
     half = (F.length("sequence") / 2).cast("int")
-    lines = h.select(F.concat("source", F.lit("-"), F.pmod("pos", F.lit(64))).alias("source"), "pos", F.posexplode(F.array("header", F.substring("sequence", F.lit(1), half), F.substring("sequence", half + 1, F.length("sequence")))).alias("k", "line"))
-    return readers.assemble_lines(lines.select("source", (F.col("pos") * 3 + F.col("k")).alias("pos"), "line")).select("header", "sequence")
+    writers.write_fasta(headed(spark, d).select("header", F.concat(F.substring("sequence", F.lit(1), half), F.lit("\n"), F.substring("sequence", half + 1, F.length("sequence"))).alias("sequence")), path)
+    return readers.fasta(spark, path).select("header", "sequence")
 
 
 @query("concat_clusters", "SELECT concat('>', source, '|', substr(header, 2)) AS header, sequence FROM headed")
 def _(spark, d):
-    h = headed(spark, d).withColumn("header", readers.tagged(F.col("source"), F.col("header")))
-    return readers.assemble(h.select("header", "sequence", "pos", F.lit(1).alias("n_lines"))).select("header", "sequence")
+    """A folder of one file per source; files are as large as a task can write."""
+    folder, h = shared_path(spark, "clusters"), headed(spark, d)
+    for source in ("BOLD", "GBOL", "GENBANK"):
+        one_file(writers.fasta_text(h.where(F.col("source") == source)), f"{folder}/{source}.fas")
+    return readers.fasta_folder(spark, folder).select("header", "sequence")
 
 
 @query("cluster_parse", "SELECT header, substr(header, 2, strpos(header, '|') - 2) AS cluster, substr(header, strpos(header, '|') + 1) AS member FROM headed")
@@ -214,32 +214,127 @@ def _(spark, d):
 _COLS = ["identifier", "kingdom", "phylum", "class", "order_name", "family", "genus", "species", "country", "latitude", "longitude", "sequence"]
 
 
-@query("tsv_scan", f"SELECT {', '.join(_COLS)} FROM barcode")
+def _specimen_file(spark, d) -> str:
+    path, b = shared_path(spark, "specimens"), barcode(spark, d)
+    writers.write_tsv(b.select("identifier", "kingdom", "phylum", "class", F.col("order_name").alias("order"), "family", "genus", "species", F.concat(F.lit("Town, "), F.coalesce("country", F.lit(""))).alias("location"), "latitude", "longitude", "sequence"), path)
+    return path
+
+
+@query("tsv_scan", "SELECT identifier, kingdom, phylum, class, order_name, family, genus, species, concat('Town, ', coalesce(country, '')) AS location, latitude, longitude, sequence FROM barcode")
+def _(spark, d):
+    return readers.specimens(spark, _specimen_file(spark, d)).withColumnRenamed("order", "order_name")
+
+
+@query("src_specimens", f"SELECT {', '.join(_COLS)}, 'TABLE' AS source FROM barcode")
+def _(spark, d):
+    return readers.specimen_records(spark, _specimen_file(spark, d), "TABLE").select(*_COLS, "source")
+
+
+def bold_file(spark, d) -> str:
+    """The barcodes of BOLD as the table of a data package, with rows of another marker."""
+    path, b = shared_path(spark, "bold"), barcode(spark, d).where("source = 'BOLD'")
+    coord = F.when(F.col("latitude").isNotNull(), F.concat(F.lit("["), "latitude", F.lit(", "), "longitude", F.lit("]"))).otherwise(F.lit("None"))
+    cols = [F.col("identifier").alias("processid"), "kingdom", "phylum", "class", F.col("order_name").alias("order"), "family", "genus", F.when(F.col("species") == "", "None").otherwise(F.col("species")).alias("species"),
+            F.coalesce("country", F.lit("None")).alias("country/ocean"), F.lit("").alias("province/state"), coord.alias("coord"), F.col("sequence").alias("nuc")]
+    rows = b.select(*cols, F.lit("COI-5P").alias("marker_code")).unionByName(b.limit(9).select(*cols, F.lit("ITS").alias("marker_code")))
+    writers.write_tsv(rows, path)
+    return path
+
+
+def bold_folder(spark, d) -> str:
+    path, b = shared_path(spark, "bold-downloads"), barcode(spark, d).where("source = 'BOLD'")
+    names = [F.col("order_name" if r == "order" else r).alias(f"{r}_name") for r in ("phylum", "class", "order", "family", "genus", "species")]
+    writers.write_tsv(b.select(F.col("identifier").alias("processid"), *names, F.coalesce("country", F.lit("")).alias("country"), F.lit("").alias("province_state"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.lit("COI-5P").alias("markercode"), F.col("sequence").alias("nucleotides")), path)
+    return path
+
+
+def gbol_file(spark, d) -> str:
+    path, b = shared_path(spark, "gbol"), barcode(spark, d).where("source = 'GBOL'")
+    writers.write_tsv(b.select(F.col("identifier").alias("CatalogueNumber"), F.concat_ws(", ", "kingdom", "phylum", "class", "order_name", "family").alias("HigherTaxa"), F.when(F.col("species") != "", F.col("species")).otherwise(F.col("genus")).alias("Species"),
+                               F.lit("Bonn").alias("Location"), F.col("latitude").alias("Latitude"), F.col("longitude").alias("Longitude"), F.col("sequence").alias("BarcodeSequence")), path)
+    return path
+
+
+_LETTERS = "translate({}, '0123456789', 'abcdefghij')"
+
+
+def genbank_file(spark, d) -> str:
+    """Flat files. Names have letters for digits, as names of organisms have no digits."""
+    path, b = shared_path(spark, "genbank"), barcode(spark, d).where("source = 'GENBANK'")
+    organism = F.expr(_LETTERS.format("CASE WHEN species <> '' THEN species WHEN genus <> '' THEN concat(genus, ' sp. X') ELSE 'uncultured thing' END"))
+    side = lambda c, plus, minus: F.concat(F.abs(F.col(c)).cast("string"), F.when(F.col(c) < 0, minus).otherwise(plus))
+    lines = F.concat_ws("\n", F.concat(F.lit("LOCUS       "), "identifier"), F.concat(F.lit("ACCESSION   "), "identifier", F.lit(" OLD1")), F.concat(F.lit("  ORGANISM  "), organism),
+                        F.concat(F.lit('                     /geo_loc_name="'), "country", F.lit(': Hill Town"')), F.concat(F.lit('                     /lat_lon="'), side("latitude", " N ", " S "), side("longitude", " E", " W"), F.lit('"')),
+                        F.lit("ORIGIN      "), F.concat(F.lit("        1 "), F.lower(F.substring("sequence", 1, 10)), F.lit(" "), F.lower(F.substring("sequence", 11, 50))), F.concat(F.lit("       61 "), F.lower(F.expr("substring(sequence, 61)"))), F.lit("//"))
+    b.select(lines.alias("value")).write.text(path)
+    return path
+
+
+def midori_file(spark, d) -> str:
+    """Gzipped FASTA; missing ranks have placeholders."""
+    path, h = shared_path(spark, "midori"), barcode(spark, d)
+    ranks = ["kingdom", "phylum", "class", "order_name", "family", "genus", "species"]
+    parts = [F.concat(F.when(F.col(r) != "", F.col(r)).otherwise(F.concat(F.lit(f"{r.removesuffix('_name')}_"), "class")), F.lit(f"_{7 + i}")) for i, r in enumerate(ranks)]
+    writers.fasta_text(h.select(F.concat(F.lit(">"), "identifier", F.lit(".1.<1.>99###root_1;"), F.concat_ws(";", *parts)).alias("header"), "sequence")).write.option("compression", "gzip").text(path)
+    return path
+
+
+_RANKS = "kingdom, phylum, class, order_name, family, genus, species"
+
+
+@query("src_bold", f"SELECT identifier, {_RANKS}, country, latitude, longitude, sequence, source FROM barcode WHERE source = 'BOLD'")
+def _(spark, d):
+    return readers.bold_release(spark, bold_file(spark, d)).drop("location")
+
+
+@query("src_bold_downloads", f"SELECT identifier, {_RANKS}, country, latitude, longitude, sequence, source FROM barcode WHERE source = 'BOLD'")
 def _(spark, d):
-    return barcode(spark, d).select(*_COLS)
+    return readers.bold_downloads(spark, bold_folder(spark, d)).drop("location")
 
 
-for _s in ("BOLD", "GBOL", "GENBANK"):
-    def _one(spark, d, s=_s):
-        return barcode(spark, d).where(F.col("source") == s).select("identifier", "source", "sequence")
-    query(f"src_{_s.lower()}", f"SELECT identifier, source, sequence FROM barcode WHERE source = '{_s}'")(_one)
+@query("src_gbol", f"SELECT identifier, {_RANKS}, 'Germany' AS country, 'Bonn' AS location, latitude, longitude, sequence, source FROM barcode WHERE source = 'GBOL'")
+def _(spark, d):
+    return readers.gbol(spark, gbol_file(spark, d))
+
+
+@query("src_genbank", f"SELECT identifier, {_LETTERS.format('genus')} AS genus, {_LETTERS.format('species')} AS species, country, CASE WHEN country IS NOT NULL THEN 'Hill Town' END AS location, latitude, longitude, sequence, source FROM barcode WHERE source = 'GENBANK'")
+def _(spark, d):
+    return readers.genbank(spark, genbank_file(spark, d)).drop("kingdom", "phylum", "class", "order_name", "family")
 
 
-@query("src_midori", "SELECT header, replace(sequence, '-', '') AS sequence FROM headed")
+@query("src_midori", f"SELECT identifier, {_RANKS}, replace(sequence, '-', '') AS sequence, 'MIDORI' AS source FROM barcode")
 def _(spark, d):
-    h = headed(spark, d)
-    return sequence.degap(readers.assemble(h.select("header", "sequence", "pos", F.lit(1).alias("n_lines")))).select("header", "sequence")
+    return readers.midori(spark, midori_file(spark, d)).drop("country", "location", "latitude", "longitude")
 
 
 @query("src_union", "SELECT identifier, source, sequence FROM barcode")
 def _(spark, d):
-    b = barcode(spark, d).select("identifier", "source", "sequence")
-    return readers.union_sources(*[b.where(F.col("source") == s) for s in ("GENBANK", "GBOL", "BOLD")])
+    params = Parameters(sources=("all",), folders={"bold_release": bold_file(spark, d), "gbol": gbol_file(spark, d), "genbank": genbank_file(spark, d)}).checked()
+    return readers.union_sources(*chain.sources(spark, params).values()).select("identifier", "source", "sequence")
 
 
-@query("taxonomy_load", "SELECT * FROM backbone")
+@query("taxonomy_load", "SELECT taxon_id, parent_id, name, rank, status, CAST(NULL AS BIGINT) AS accepted_id, is_extinct FROM (SELECT taxon_id, parent_id, name, rank, status, FALSE AS is_extinct FROM backbone WHERE accepted_id IS NULL) "
+       "UNION ALL SELECT NULL, g.parent_id, s.name, g.rank, 'synonym', g.taxon_id, FALSE FROM backbone s JOIN backbone g ON s.accepted_id = g.taxon_id AND g.accepted_id IS NULL")
 def _(spark, d):
-    return backbone(spark, d)
+    """nodes.dmp and names.dmp, written and imported. Synonyms have no id of their own there."""
+    folder, b = shared_path(spark, "ncbi"), backbone(spark, d)
+    line = lambda *c: F.concat(F.concat_ws("\t|\t", *c), F.lit("\t|")).alias("value")
+    b.where("accepted_id is null").select(line(F.col("taxon_id").cast("string"), F.coalesce("parent_id", "taxon_id").cast("string"), "rank")).write.text(f"{folder}/nodes.dmp")
+    b.select(line(F.coalesce("accepted_id", "taxon_id").cast("string"), "name", F.lit(""), F.when(F.col("accepted_id").isNull(), "scientific name").otherwise("synonym"))).write.text(f"{folder}/names.dmp")
+    return readers.ncbi_taxonomy(spark, folder).withColumn("taxon_id", F.when(F.col("status") == "accepted", F.col("taxon_id")))
+
+
+@query("taxonomy_load_gbif", "SELECT CAST(taxon_id AS BIGINT) AS taxon_id, CAST(parent_id AS BIGINT) AS parent_id, name, rank, status, CAST(accepted_id AS BIGINT) AS accepted_id, is_extinct FROM backbone")
+def _(spark, d):
+    folder, b = shared_path(spark, "gbif"), backbone(spark, d)
+    writers.write_tsv(b.select(F.col("taxon_id").alias("taxonID"), F.col("parent_id").alias("parentNameUsageID"), F.col("accepted_id").alias("acceptedNameUsageID"), F.col("name").alias("canonicalName"), F.upper("rank").alias("taxonRank"), F.col("status").alias("taxonomicStatus")), f"{folder}/Taxon.tsv")
+    writers.write_tsv(b.select(F.col("taxon_id").alias("taxonID"), F.col("is_extinct").cast("string").alias("isExtinct")), f"{folder}/SpeciesProfile.tsv")
+    return readers.gbif_taxonomy(spark, folder)
+
+
+@query("homonym_table", "SELECT name, rank, count(*) AS taxa FROM backbone GROUP BY name, rank HAVING count(*) > 1")
+def _(spark, d):
+    return taxonomy.homonyms(backbone(spark, d))
 
 
 # ---- projections and filters ------------------------------------------------------------------------------------
@@ -262,10 +357,10 @@ def _(spark, d):
     return lineage.truncate_missing_rank(headed(spark, d)).where("not removed").select("header", "truncated")
 
 
-@query("removed_no_taxon", "SELECT h AS header, split_part(h, '||', 1) AS truncated FROM (SELECT CASE WHEN pos % 5 = 0 THEN concat('>', identifier, '||', family) ELSE header END AS h FROM headed) WHERE strpos(h, '||') > 0 AND strpos(split_part(h, '||', 1), '|') = 0")
+@query("removed_no_taxon", "SELECT h AS header, split_part(h, '||', 1) AS truncated_header, sequence FROM (SELECT CASE WHEN pos % 5 = 0 THEN concat('>', identifier, '||', family) ELSE header END AS h, sequence FROM headed) WHERE strpos(h, '||') > 0 AND strpos(split_part(h, '||', 1), '|') = 0")
 def _(spark, d):
     h = headed(spark, d).withColumn("header", F.when(F.col("pos") % 5 == 0, F.concat(F.lit(">"), "identifier", F.lit("||"), "family")).otherwise(F.col("header")))
-    return lineage.truncate_missing_rank(h).where("removed").select("header", "truncated")
+    return lineage.removed_table(lineage.truncate_missing_rank(h))
 
 
 def _rename_sql() -> str:
@@ -281,8 +376,21 @@ def _rename_sql() -> str:
 @query("replace_taxon_name", _rename_sql())
 def _(spark, d):
     ranks = ["kingdom", "phylum", "class", "order_name", "family", "genus", "species"]
-    pairs = spark.createDataFrame(RENAMES, "taxon_rank string, taxon_to_replace string, taxon_to_use string")
-    return lineage.replace_names(barcode(spark, d), pairs, ranks).select("identifier", *ranks)
+    return lineage.replace_names(barcode(spark, d), _pairs(spark), ranks).select("identifier", *ranks)
+
+
+def _pairs(spark):
+    path = shared_path(spark, "replacements")
+    writers.write_tsv(spark.createDataFrame(RENAMES, "taxon_rank string, taxon_to_replace string, taxon_to_use string"), path)
+    return readers.replacements(spark, path)
+
+
+@query("replaced_table", f"SELECT concat_ws(chr(9), identifier, kingdom, phylum, class, order_name, family, genus, species) AS value FROM ({_rename_sql()})")
+def _(spark, d):
+    """The replaced table as written: fields joined by tabs, nothing quoted."""
+    ranks, path = ["kingdom", "phylum", "class", "order_name", "family", "genus", "species"], shared_path(spark, "replaced")
+    writers.write_tsv(lineage.replace_names(barcode(spark, d), _pairs(spark), ranks).select("identifier", *ranks), path, header=False)
+    return spark.read.text(path)
 
 
 @query("reverse_complement", f"SELECT identifier, {_RC} AS sequence FROM barcode")
@@ -307,12 +415,12 @@ def _(spark, d):
 
 @query("best_frame", f"{_BEST} SELECT sequence, strand, frame, protein, stop_count FROM best")
 def _(spark, d):
-    return sequence.best_frames(sequence.similarities(barcode(spark, d))).select("sequence", "strand", "frame", "protein", "stop_count")
+    return sequence.best_frames(barcode(spark, d)).select("sequence", "strand", "frame", "protein", "stop_count")
 
 
 @query("choose_strand", f"{_STRAND} SELECT * FROM chosen")
 def _(spark, d):
-    out = sequence.choose_strand(sequence.best_frames(sequence.similarities(barcode(spark, d))))
+    out = sequence.choose_strand(barcode(spark, d))
     return out.withColumn("similarity", F.round("similarity", 9))
 
 
@@ -324,6 +432,11 @@ def _(spark, d):
     return sequence.stop_codon_info(barcode(spark, d)).select("identifier", "sequence", "reversed", "frame", "stop_count", "discarded")
 
 
+@query("stop_codon_table", f"{_STRAND} SELECT header, stop_count > 0 AS discarded, reversed, h.sequence AS nuc_seq, protein AS prot_seq, similarity AS distance_to_consensus, stop_count AS stop_codon_count, frame, CASE WHEN reversed THEN translate(reverse(h.sequence), 'ACGTacgt', 'TGCATGCA') END AS nuc_reverse_complement_seq, '{CONSENSUS}' AS used_consensus_seq FROM headed h JOIN chosen c ON h.sequence = c.sequence")
+def _(spark, d):
+    return sequence.stop_codon_table(headed(spark, d)).withColumn("distance_to_consensus", F.round("distance_to_consensus", 9))
+
+
 @query("stop_codon_filter", f"{_STRAND} SELECT identifier, b.sequence FROM barcode b JOIN chosen USING (sequence) WHERE stop_count = 0")
 def _(spark, d):
     return sequence.stop_codon_info(barcode(spark, d)).where("not discarded").select("identifier", "sequence")
@@ -372,20 +485,44 @@ def _(spark, d):
     return region.by_continent(barcode(spark, d), countries(spark, d), ["AMERICA"], ["NATION_4"]).select("identifier", "country")
 
 
-def _inside_sql(layer: str) -> str:
+def _inside_sql(layer: str, only: str | None = None) -> str:
     parts = []
-    for name, ring in POLYGONS[layer].items():
-        edges = " + ".join(f"(CASE WHEN ({y1} > latitude) <> ({y2} > latitude) AND longitude < ({x2 - x1}) * (latitude - ({y1})) / ({y2 - y1 or 1}) + ({x1}) THEN 1 ELSE 0 END)" for (x1, y1), (x2, y2) in zip(ring, ring[-1:] + ring[:-1]))
-        parts.append(f"SELECT identifier, '{name}' AS region FROM barcode WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND ({edges}) % 2 = 1")
+    for name, rings in POLYGONS[layer].items():
+        edges = " + ".join(f"(CASE WHEN ({y1} > latitude) <> ({y2} > latitude) AND longitude < ({x2 - x1}) * (latitude - ({y1})) / ({y2 - y1 or 1}) + ({x1}) THEN 1 ELSE 0 END)" for ring in rings for (x1, y1), (x2, y2) in zip(ring, ring[-1:] + ring[:-1]))
+        if only in (None, name):
+            parts.append(f"SELECT identifier, '{name}' AS region FROM barcode WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND ({edges}) % 2 = 1")
     return " UNION ALL ".join(parts)
 
 
-for _name, _layer in (("region_realm", "realm"), ("region_ecoregion", "ecoregion"), ("region_shapefile", "custom")):
+for _name, _layer in (("region_realm", "realm"), ("region_ecoregion", "ecoregion")):
     def _inside(spark, d, layer=_layer):
         return region.by_polygon(barcode(spark, d), polygons(spark, layer)).select("identifier", "region")
     query(_name, _inside_sql(_layer))(_inside)
 
 
+def shapefile_bytes(shapes: dict[str, list[list[tuple[float, float]]]], attribute: str = "NAME") -> tuple[bytes, bytes]:
+    """The .shp and the .dbf of some polygons."""
+    shp, dbf = b"", b""
+    for i, (name, rings) in enumerate(shapes.items()):
+        points = [p for r in rings for p in r]
+        starts = [sum(map(len, rings[:k])) for k in range(len(rings))]
+        xs, ys = zip(*points)
+        body = struct.pack(f"<i4d2i{len(rings)}i", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(points), *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+        shp += struct.pack(">2i", i + 1, len(body) // 2) + body
+        dbf += b" " + name.encode().ljust(20)
+    head = struct.pack("<BBBBIHH", 3, 0, 0, 0, len(shapes), 65, 21) + b"\0" * 20 + attribute.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([20]) + b"\0" * 15 + b"\r"
+    return b"\0" * 100 + shp, head + dbf
+
+
+@query("region_shapefile", _inside_sql("custom", "Plot"))
+def _(spark, d):
+    """A shapefile with a hole in one of its polygons, written and read."""
+    path = shared_path(spark, "shape")
+    for end, data in zip(("shp", "dbf"), shapefile_bytes(POLYGONS["custom"])):
+        put(spark, f"{path}.{end}", data)
+    return region.by_polygon(barcode(spark, d), readers.shapefile(spark, f"{path}.shp", "NAME", ["Plot"])).select("identifier", "region")
+
+
 @query("list_regions", "SELECT DISTINCT continent AS name FROM countries")
 def _(spark, d):
     return region.catalogue(countries(spark, d), "continent")
@@ -440,11 +577,16 @@ def _(spark, d):
     return _joined(lineage.without_conflict(counts(spark, d)))
 
 
-@query("cluster_curate", f"WITH agreed AS ({_CONGRUENT}) SELECT identifier, m.cluster, array_to_string(m.taxa, '|') AS taxon_original, array_to_string(a.taxa, '|') AS taxon_curated, c.count AS count_original, 'choose_by_lowest_taxon_with_congruent_lineage' AS processing_method, sequence FROM members m JOIN counts c ON m.cluster = c.cluster AND m.taxa = c.taxa JOIN agreed a ON a.cluster = m.cluster")
+@query("cluster_curate", f"WITH agreed AS ({_CONGRUENT}) SELECT identifier, m.cluster, substr(m.header, strpos(m.header, '|') + 1) AS taxon_original, array_to_string(a.taxa, '|') AS taxon_curated, c.count AS count_original, 'choose_by_lowest_taxon_with_congruent_lineage' AS processing_method, sequence FROM members m JOIN counts c ON m.cluster = c.cluster AND m.taxa = c.taxa JOIN agreed a ON a.cluster = m.cluster")
 def _(spark, d):
     return lineage.curate(members(spark, d))
 
 
+@query("cluster_curated_fasta", f"WITH agreed AS ({_CONGRUENT}) SELECT concat('>', identifier, '|', array_to_string(a.taxa, '|')) AS header, sequence FROM members m JOIN agreed a ON a.cluster = m.cluster")
+def _(spark, d):
+    return lineage.curated_fasta(lineage.curate(members(spark, d)))
+
+
 @query("lineage_setops", f"SELECT a.cluster, array_to_string({_meet('a.l[1]', 'a.l[2]')}, '|') AS common, len(list_distinct(list_concat(a.l[1], a.l[2]))) AS n_union FROM ordered a WHERE len(l) > 1")
 def _(spark, d):
     o = lineage._ordered(counts(spark, d)).where(F.size("l") > 1)
@@ -485,7 +627,7 @@ _WALK = "WITH RECURSIVE walk AS (SELECT taxon_id, parent_id, [name] AS path FROM
 
 @query("lineage_walk", f"{_WALK} SELECT taxon_id, array_to_string(path, '|') AS path FROM walk WHERE parent_id IS NULL")
 def _(spark, d):
-    return taxonomy.lineages(backbone(spark, d)).withColumn("path", F.array_join("path", "|"))
+    return taxonomy.lineages(backbone(spark, d)).withColumn("path", F.array_join(F.transform("path", lambda x: x["name"]), "|"))
 
 
 @query("resolve_synonyms", "SELECT t.taxon_id, coalesce(g.taxon_id, t.taxon_id) AS used_id, coalesce(g.name, t.name) AS used_name FROM backbone t LEFT JOIN backbone g ON t.accepted_id = g.taxon_id")
@@ -506,6 +648,27 @@ for _name, _retain, _syn in (("harmonize", False, False), ("harmonize_retain", T
     query(_name, f"{_KNOWN} SELECT f.identifier, f.finest_name, f.finest_rank, {'h.used_id AS taxon_id, coalesce(h.used, f.finest_name) AS used_name' if _retain else _cols} FROM {'finest f LEFT JOIN hits h USING (identifier)' if _retain else 'hits f'}")(_harm)
 
 
+_UP = "up AS (SELECT taxon_id AS id, parent_id AS at, rank, name FROM backbone UNION ALL SELECT u.id, b.parent_id, b.rank, b.name FROM up u JOIN backbone b ON u.at = b.taxon_id)"
+_STANDARD = "standard AS (SELECT id, " + ", ".join(f"coalesce(max(name) FILTER (WHERE rank = '{r}'), '') AS {c}" for r, c in zip(reversed(taxonomy.RANKS), _RANKS.split(", "))) + " FROM up GROUP BY id)"
+_HARMONIZED = _KNOWN.replace("WITH told", f"WITH RECURSIVE {_UP}, {_STANDARD}, told", 1)
+
+
+@query("harmonized_lineage", f"{_HARMONIZED} SELECT h.identifier, {', '.join('s.' + c for c in _RANKS.split(', '))}, CAST(h.used_id AS BIGINT) AS taxon_id, h.used AS used_name FROM hits h JOIN standard s ON s.id = h.used_id")
+def _(spark, d):
+    return taxonomy.harmonized(barcode(spark, d), backbone(spark, d)).select("identifier", *_RANKS.split(", "), "taxon_id", "used_name")
+
+
+@query("harmonize_unmapped", f"{_KNOWN} SELECT f.identifier, {', '.join('b.' + c for c in _RANKS.split(', '))}, CAST(NULL AS BIGINT) AS taxon_id, f.finest_name AS used_name FROM finest f JOIN barcode b USING (identifier)")
+def _(spark, d):
+    return taxonomy.harmonized(barcode(spark, d), None).select("identifier", *_RANKS.split(", "), "taxon_id", "used_name")
+
+
+@query("taxon_descendants", f"{_HARMONIZED} SELECT h.identifier, CAST(h.used_id AS BIGINT) AS taxon_id FROM hits h WHERE h.used_id IN (SELECT id FROM up WHERE name = 'AMERICA' AND rank = 'phylum')")
+def _(spark, d):
+    b = backbone(spark, d)
+    return taxonomy.subset(taxonomy.harmonized(barcode(spark, d), b), "AMERICA", b).select("identifier", "taxon_id")
+
+
 # ---- sinks as projections -------------------------------------------------------------------------------------------
 
 @query("out_fasta", "SELECT concat(header, chr(10), sequence) AS value FROM headed")
@@ -549,10 +712,37 @@ def _(spark, d):
 
 @query("post_filter_chain", f"{_STRAND}, degapped AS (SELECT replace(header, ' ', '_') AS header, replace(h.sequence, '-', '') AS sequence FROM headed h JOIN chosen USING (sequence) WHERE stop_count <= 0), cut AS (SELECT header, CASE WHEN strpos(header, '||') > 0 THEN substr(header, 1, strpos(header, '||') - 1) ELSE header END AS truncated, sequence FROM degapped WHERE length(sequence) - length(replace(sequence, 'N', '')) <= 3 AND length(sequence) BETWEEN 96 AND 1569) SELECT truncated AS header, sequence FROM cut WHERE NOT (strpos(header, '||') > 0 AND strpos(truncated, '|') = 0)")
 def post_filter_chain(spark, d):
-    """Underscores, stop codons (before degapping: gaps lie within codons), degapping, Ns, length, lineage gaps."""
-    x = sequence.stop_codon_info(sequence.underscore_headers(headed(spark, d))).where("not discarded")
+    """Underscores, stop codons (on sequences with their gaps, which lie within codons), degapping, Ns, length, lineage
+    gaps. All but the stop codons look at one record alone, so they come first and fewer sequences are translated."""
+    x = sequence.underscore_headers(headed(spark, d)).withColumn("_given", F.col("sequence"))
     x = sequence.length_range(sequence.max_char(sequence.degap(x), "N", 3), 96, 1569)
-    return lineage.truncate_missing_rank(x).where("not removed").select(F.col("truncated").alias("header"), "sequence")
+    x = lineage.truncate_missing_rank(x).where("not removed").select("truncated", F.col("sequence").alias("degapped"), F.col("_given").alias("sequence"))
+    return sequence.stop_codon_info(x).where("not discarded").select(F.col("truncated").alias("header"), F.col("degapped").alias("sequence"))
+
+
+_FINAL = ", ".join(f"coalesce(a[{i + 1}], '') AS {c}" for i, c in enumerate(_RANKS.split(", ")))
+_CHAIN = f"""{_HARMONIZED}, kept AS (SELECT b.pos, b.identifier, b.sequence, h.used_id, {', '.join('s.' + c for c in _RANKS.split(', '))}
+  FROM barcode b JOIN hits h USING (identifier) JOIN standard s ON s.id = h.used_id
+  WHERE b.source <> 'GENBANK' AND length(b.sequence) - length(replace(b.sequence, 'N', '')) <= 3 AND length(b.sequence) BETWEEN 96 AND 101
+    AND CASE WHEN b.source = 'GBOL' THEN 'Germany' ELSE b.country END IN ('Germany', 'NATION_1', 'NATION_2', 'NATION_3', 'NATION_9')
+    AND (s.genus <> '' OR s.species <> '') AND h.used_id IN (SELECT id FROM up WHERE name = 'Animalia')),
+lined AS (SELECT *, string_split(rtrim(concat_ws('|', {_RANKS}), '|'), '|') AS t FROM kept),
+cand AS (SELECT sequence, t, count(*) AS n, min(pos) AS first_pos FROM lined GROUP BY sequence, t),
+tied AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY sequence ORDER BY len(t) DESC, n DESC) AS r FROM cand) WHERE r = 1),
+agreed AS (SELECT sequence, list_reduce(list(t ORDER BY first_pos), lambda a, x: {_meet('a', 'x')}) AS a FROM tied GROUP BY sequence),
+picked AS (SELECT l.sequence, any_value(a) AS a, count(*) AS specimens, arg_min(identifier, CASE WHEN t = a THEN pos ELSE pos + 1000000000 END) AS identifier,
+  arg_min(CASE WHEN t = a THEN used_id ELSE -1 END, CASE WHEN t = a THEN pos ELSE pos + 1000000000 END) AS id FROM lined l JOIN agreed USING (sequence) GROUP BY l.sequence)
+SELECT identifier, {_FINAL}, CASE WHEN id >= 0 THEN CAST(id AS BIGINT) END AS taxon_id, specimens, sequence FROM picked"""
+
+
+@query("classify_chain", _CHAIN)
+def _(spark, d):
+    """Files of three sources, harmonized, filtered, restricted to a taxon and to countries, and dereplicated."""
+    params = Parameters(taxon="Animalia", sources=("all",), folders={"bold_release": bold_file(spark, d), "gbol": gbol_file(spark, d), "genbank": genbank_file(spark, d)}, derep={"lca": True}, max_n=3, min_length=96, max_length=101, taxon_rank="genus",
+                        region={"countries": ("Germany", "NATION_1", "NATION_2", "NATION_3", "NATION_9")}).checked()
+    places = countries(spark, d).unionByName(spark.createDataFrame([("Germany", "EUROPE")], "country string, continent string"))
+    given = {k: v.withColumn("pos", F.expr("CAST(substring(identifier, 4) AS BIGINT)")) for k, v in chain.sources(spark, params).items()}
+    return chain.classify(given, params, backbone(spark, d), places)["table"].select("identifier", *_RANKS.split(", "), "taxon_id", "specimens", "sequence")
 
 
 def queries():

@@ -39,17 +39,6 @@ def assemble(parts: DataFrame) -> DataFrame:
     )
 
 
-def assemble_lines(lines: DataFrame) -> DataFrame:
-    """The same from a table of lines (source, pos, line): a window carries each header down to its body lines. One
-    source's lines are one sorted run, as they are in a file."""
-    from pyspark.sql import Window as W
-
-    order = W.partitionBy("source").orderBy("pos").rowsBetween(W.unboundedPreceding, W.currentRow)
-    told = lines.withColumn("header", F.last(F.when(F.col("line").startswith(">"), F.col("line")), ignorenulls=True).over(order))
-    body = told.where(~F.col("line").startswith(">") & F.col("header").isNotNull())
-    return assemble(body.select("header", F.col("line").alias("sequence"), F.lit(1).alias("n_lines"), "pos"))
-
-
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     return assemble(records(spark, path))
 
@@ -81,11 +70,141 @@ def specimens(spark: SparkSession, path: str) -> DataFrame:
     return read.withColumns(text | {c: F.expr(f"try_cast({c} AS double)") for c in ("latitude", "longitude")})
 
 
+#: What every source comes to: the columns of `SPECIMEN` with order_name for `order`, country, marker and source.
+RECORD = ["identifier", "kingdom", "phylum", "class", "order_name", "family", "genus", "species", "country", "location", "latitude", "longitude", "sequence", "source"]
+
+
+def _record(frame: DataFrame, source: str, given: dict[str, Column]) -> DataFrame:
+    """Columns of `RECORD`: names and sequences are never null, "None" and blanks are empty; places may be null."""
+    text = lambda c: F.coalesce(F.when(~F.lower(F.trim(c)).isin("none", "null", "n/a"), F.trim(c)), F.lit(""))
+    out = {c: text(given.get(c, F.lit(""))) for c in RECORD}
+    out |= {c: F.when(out[c] != "", out[c]) for c in ("country", "location")}
+    out |= {c: given.get(c, F.lit(None)).try_cast("double") for c in ("latitude", "longitude")} | {"source": F.lit(source)}
+    return frame.select(*[out[c].alias(c) for c in RECORD]).where("sequence != ''")
+
+
+def _tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The named columns of a tab-separated table with a header row, as text; further ones are not read, missing ones
+    are null. Cells hold no quotes of the format's own."""
+    head = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    return head.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in head.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+
+def specimen_records(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """A specimen table (`specimens`) as records; the country is the last part of the location."""
+    given = {c: F.col(f"`{c}`") for c in ("identifier", "kingdom", "phylum", "class", "family", "genus", "species", "location", "latitude", "longitude", "sequence")}
+    return _record(specimens(spark, path), source, given | {"order_name": F.col("order"), "country": F.trim(F.element_at(F.split("location", ","), -1))})
+
+
+def bold_release(spark: SparkSession, path: str, marker: str = "COI-5P") -> DataFrame:
+    """The table of a BOLD data package: records of one marker. Coordinates stand in brackets, latitude first."""
+    names = ["kingdom", "phylum", "class", "order", "family", "genus", "species"]
+    t = _tsv(spark, path, ["processid", *names, "marker_code", "nuc", "country/ocean", "province/state", "coord"])
+    number = lambda k: F.regexp_extract("coord", r"(-?\d+(?:\.\d+)?)[^\d.-]+(-?\d+(?:\.\d+)?)", k)
+    given = {("order_name" if c == "order" else c): F.col(c) for c in names}
+    given |= {"identifier": F.col("processid"), "country": F.col("`country/ocean`"), "location": F.col("`province/state`"), "latitude": number(1), "longitude": number(2), "sequence": F.col("nuc")}
+    return _record(t.where(F.col("marker_code") == marker), "BOLD", given)
+
+
+def bold_downloads(spark: SparkSession, path: str, marker: str = "COI-5P") -> DataFrame:
+    """Files of a BOLD download folder, one per taxon: tables of specimens and sequences. All of BOLD's are animals."""
+    ranks = ["phylum", "class", "order", "family", "genus", "species"]
+    t = _tsv(spark, path, ["processid", *[f"{r}_name" for r in ranks], "country", "province_state", "lat", "lon", "markercode", "nucleotides"])
+    given = {("order_name" if r == "order" else r): F.col(f"{r}_name") for r in ranks}
+    given |= {"identifier": F.col("processid"), "kingdom": F.lit("Animalia"), "country": F.col("country"), "location": F.col("province_state"), "latitude": F.col("lat"), "longitude": F.col("lon"), "sequence": F.col("nucleotides")}
+    return _record(t.where(F.col("markercode") == marker), "BOLD", given)
+
+
+def gbol(spark: SparkSession, path: str) -> DataFrame:
+    """A GBOL dataset release: tab-separated, higher taxa in one cell from the kingdom down, joined by commas, the
+    species in its own; Germany's barcodes."""
+    t = _tsv(spark, path, ["CatalogueNumber", "HigherTaxa", "Species", "Location", "Latitude", "Longitude", "BarcodeSequence"])
+    taxa = F.split(F.coalesce("HigherTaxa", F.lit("")), r"\s*,\s*")
+    given = {c: F.get(taxa, F.lit(i)) for i, c in enumerate(["kingdom", "phylum", "class", "order_name", "family"])}
+    species = F.trim(F.col("Species"))
+    given |= {"identifier": F.col("CatalogueNumber"), "genus": F.regexp_extract(species, r"^(\S+)", 1), "species": F.when(F.instr(species, " ") > 0, species), "country": F.lit("Germany"),
+              "location": F.col("Location"), "latitude": F.col("Latitude"), "longitude": F.col("Longitude"), "sequence": F.col("BarcodeSequence")}
+    return _record(t, "GBOL", given)
+
+
+def genbank(spark: SparkSession, path: str) -> DataFrame:
+    """GenBank flat files, plain or gzipped. The lineage's ranks are not named there: species and genus come from the
+    organism's name, the others are left to the taxonomy."""
+    t = spark.read.option("lineSep", "\n//").text(path).where(F.col("value").rlike(r"(?m)^ORIGIN"))
+    own = lambda pattern: F.regexp_extract("value", pattern, 1)
+    organism = own(r"(?m)^  ORGANISM  (.*)$")
+    place = own(r'/(?:geo_loc_name|country)="([^"]*)"')
+    side = lambda k: F.regexp_extract("value", r'/lat_lon="([\d.]+) ([NS]) ([\d.]+) ([EW])"', k)
+    degrees = lambda k, minus: F.when(side(k) != "", F.concat(F.when(side(k + 1) == minus, F.lit("-")).otherwise(F.lit("")), side(k)))
+    bases = F.upper(F.regexp_replace(F.element_at(F.split("value", r"(?m)^ORIGIN.*$"), -1), r"[^A-Za-z-]", ""))
+    named = organism.rlike(r"^[A-Z][a-z]+ [a-z-]+$")  # two words: not "sp.", no codes
+    given = {"identifier": own(r"(?m)^ACCESSION   (\S+)"), "genus": F.when(organism.rlike(r"^[A-Z][a-z]+"), F.regexp_extract(organism, r"^([A-Z][a-z]+)", 1)), "species": F.when(named, organism),
+             "country": F.trim(F.substring_index(place, ":", 1)), "location": F.when(F.instr(place, ":") > 0, F.trim(F.regexp_replace(place, r"^[^:]*:", ""))), "latitude": degrees(1, "S"), "longitude": degrees(3, "W"), "sequence": bases}
+    return _record(t, "GENBANK", given)
+
+
+def midori(spark: SparkSession, path: str) -> DataFrame:
+    """A MIDORI archive: FASTA whose headers end in root;kingdom;phylum;class;order;family;genus;species, each with the
+    taxon's id behind an underscore. Placeholders for missing ranks, which repeat a name of a coarser one, are empty."""
+    t = degapped(fasta(spark, path))
+    line = F.regexp_extract("header", r"(root(?:_\d+)?;.*)$", 1)
+    parts = F.transform(F.split(line, ";"), lambda x: F.regexp_replace(F.regexp_replace(x, r"_\d+$", ""), "^(?:phylum|class|order|family|genus|species)_.*$", ""))
+    given = {c: F.get(parts, F.lit(i + 1)) for i, c in enumerate(["kingdom", "phylum", "class", "order_name", "family", "genus", "species"])}
+    return _record(t, "MIDORI", given | {"identifier": F.regexp_extract("header", r"^>([^.\s#]+)", 1), "sequence": F.col("sequence")})
+
+
+def degapped(frame: DataFrame) -> DataFrame:
+    return frame.withColumn("sequence", F.replace("sequence", F.lit("-"), F.lit("")))
+
+
+TAXONOMY = ["taxon_id", "parent_id", "name", "rank", "status", "accepted_id", "is_extinct"]
+
+
+def ncbi_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
+    """nodes.dmp and names.dmp of the NCBI taxonomy as a backbone: the scientific name of each taxon, and its synonyms as
+    taxa of their own (ids from their place in the list, negative), accepted as the taxon they stand for."""
+    cut = lambda name: spark.read.text(f"{folder}/{name}").select(F.split(F.regexp_replace("value", r"\t?\|\s*$", ""), r"\t\|\t", -1).alias("c"))
+    at = lambda i: F.get("c", F.lit(i))
+    nodes = cut("nodes.dmp").select(at(0).cast("long").alias("taxon_id"), at(1).cast("long").alias("parent_id"), at(2).alias("rank"))
+    names = cut("names.dmp").select(at(0).cast("long").alias("taxon_id"), at(1).alias("name"), at(3).alias("kind"))
+    nodes = nodes.withColumn("parent_id", F.when(F.col("parent_id") != F.col("taxon_id"), F.col("parent_id")))  # the root is its own parent
+    good = nodes.join(names.where("kind = 'scientific name'").drop("kind"), "taxon_id").select("taxon_id", "parent_id", "name", "rank", F.lit("accepted").alias("status"), F.lit(None).cast("long").alias("accepted_id"), F.lit(False).alias("is_extinct"))
+    other = names.where("kind = 'synonym'").select(F.col("taxon_id").alias("accepted_id"), "name").distinct()
+    # some ten thousand million apart from real ids, and the same whenever it is read
+    other = other.join(nodes.withColumnRenamed("taxon_id", "accepted_id"), "accepted_id").select(
+        (-F.abs(F.xxhash64("accepted_id", "name") % F.lit(2**62)) - 1).alias("taxon_id"), "parent_id", "name", "rank", F.lit("synonym").alias("status"), "accepted_id", F.lit(False).alias("is_extinct"))
+    return good.unionByName(other).select(*TAXONOMY)
+
+
+def gbif_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
+    """Taxon.tsv of the GBIF backbone, with what SpeciesProfile.tsv says of extinction. Doubtful taxa count as accepted,
+    all else that names an accepted taxon as a synonym."""
+    t = _tsv(spark, f"{folder}/Taxon.tsv", ["taxonID", "parentNameUsageID", "acceptedNameUsageID", "canonicalName", "taxonRank", "taxonomicStatus"])
+    gone = _tsv(spark, f"{folder}/SpeciesProfile.tsv", ["taxonID", "isExtinct"]).where("isExtinct = 'true'").select(F.col("taxonID").cast("long").alias("taxon_id")).distinct().withColumn("gone", F.lit(True))
+    accepted = F.col("acceptedNameUsageID").cast("long")
+    out = t.where("canonicalName is not null").select(F.col("taxonID").cast("long").alias("taxon_id"), F.col("parentNameUsageID").cast("long").alias("parent_id"), F.col("canonicalName").alias("name"),
+                                                      F.lower("taxonRank").alias("rank"), F.when(accepted.isNull(), F.lit("accepted")).otherwise(F.lit("synonym")).alias("status"), accepted.alias("accepted_id"))
+    return out.join(gone, "taxon_id", "left").withColumn("is_extinct", F.coalesce("gone", F.lit(False))).select(*TAXONOMY)
+
+
 def latest(folders: list[str]) -> str:
     """The newest download folder: names end in a timestamp, so the greatest name wins."""
+    if not folders:
+        raise ValueError("nothing was downloaded yet")
     return max(folders, key=lambda x: x.rstrip("/").rsplit("/", 1)[-1])
 
 
+def downloads(spark: SparkSession, folder: str) -> list[str]:
+    """Folders and files of a download folder, wherever Spark can read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return sorted(x.getPath().toString() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))
+
+
+def replacements(spark: SparkSession, path: str) -> DataFrame:
+    """A replacement file: taxon_rank, taxon_to_replace, taxon_to_use."""
+    return _tsv(spark, path, ["taxon_rank", "taxon_to_replace", "taxon_to_use"])
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     first, *rest = frames
     for x in rest:
@@ -94,8 +213,8 @@ def union_sources(*frames: DataFrame) -> DataFrame:
 
 
 def shapefile(spark: SparkSession, path: str, attribute: str, values: list[str]) -> DataFrame:
-    """(name, part, ring): rings of the polygons whose `attribute` is one of `values`. `path` names the .shp; the .dbf
-    with the attributes lies beside it. Both are read by Spark, so any store will do; a shapefile is at most 2 GB."""
+    """(name, shape, rings): the polygons whose `attribute` is one of `values`, each with all its rings, holes among
+    them. `path` names the .shp; the .dbf with the attributes lies beside it. Both are read by Spark, so any store will do; a shapefile is at most 2 GB."""
     stem = path[: -len(".shp")]
     shp = spark.read.format("binaryFile").load(path).select(F.col("content").alias("shp"))
     dbf = spark.read.format("binaryFile").load(f"{stem}.dbf").select(F.col("content").alias("dbf"))
@@ -107,13 +226,13 @@ def shapefile(spark: SparkSession, path: str, attribute: str, values: list[str])
                 names = _dbf_column(bytes(d), attribute)
                 for i, rings in enumerate(_polygons(bytes(s))):
                     if names[i] in values:
-                        rows += [(names[i], k, [{"lon": x, "lat": y} for x, y in r]) for k, r in enumerate(rings)]
+                        rows.append((names[i], i, [[{"lon": x, "lat": y} for x, y in r] for r in rings]))
             import pandas as pd
 
-            yield pd.DataFrame(rows, columns=["name", "part", "ring"])
+            yield pd.DataFrame(rows, columns=["name", "shape", "rings"])
 
     # one row on either side
-    return shp.join(dbf).mapInPandas(parse, "name string, part int, ring array<struct<lon:double,lat:double>>")
+    return shp.join(dbf).mapInPandas(parse, "name string, shape int, rings array<array<struct<lon:double,lat:double>>>")
 
 
 def _polygons(data: bytes):

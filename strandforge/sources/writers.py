@@ -51,9 +51,27 @@ def comparison(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def write_fasta(frame: DataFrame, path: str) -> None:
-    fasta_text(frame).write.text(path)
+    """In order of `pos`, where there is such a column: the first occurrence of each header in the input. Files are
+    ranges of positions, whose names sort as these do."""
+    fasta_text(frame.orderBy("pos") if "pos" in frame.columns else frame).write.text(path)
 
 
 def write_tsv(frame: DataFrame, path: str, header: bool = True) -> None:
-    """Fields are joined by tabs without quoting."""
-    frame.write.option("sep", "\t").option("header", header).option("quote", "").option("emptyValue", "").csv(path)
+    """Fields are joined by tabs without quoting, as they are; in order of `pos`, which is left out, where there is one."""
+    if "pos" in frame.columns:
+        frame = frame.orderBy("pos").drop("pos")
+    frame.write.option("sep", "\t").option("header", header).option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+TABLE = ["identifier", "kingdom", "phylum", "class", "order_name", "family", "genus", "species", "country", "location", "latitude", "longitude", "source", "taxon_id", "specimens", "sequence"]
+
+
+def table(frame: DataFrame) -> DataFrame:
+    """The columns of the output table, as far as there are any."""
+    return frame.select(*[c for c in [*TABLE, "pos"] if c in frame.columns])
+
+
+def lineage_fasta(frame: DataFrame) -> DataFrame:
+    """>identifier|kingdom|...|species; unknown ranks at the end are left out, inner ones stay empty."""
+    line = F.regexp_replace(F.concat_ws("|", "identifier", *[F.coalesce(F.col(r), F.lit("")) for r in RANKS]), r"[|]+$", "")
+    return frame.select(F.concat(F.lit(">"), line).alias("header"), "sequence", *[c for c in ("pos",) if c in frame.columns])

@@ -1,12 +1,15 @@
+import glob
 import gzip
-import struct
+import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from strandforge.functions.expressions import _jaro_winkler, header_taxa, in_ring, internal_stops, reverse_complement, translate
-from strandforge.operators import lineage, sequence
-from strandforge.plans.config import Parameters
+from strandforge.functions.expressions import genetic_code, header_taxa, in_shape, internal_stops, jaro_winkler_similarities, reverse_complement, translate
+from strandforge.operators import lineage, region, sequence, taxonomy
+from strandforge.plans import catalogue, classify
+from strandforge.plans.config import Parameters, parsed, read_config
 from strandforge.sources import readers, writers
 
 
@@ -35,13 +38,102 @@ def test_specimens(spark, tmp_path):
 
 
 def test_shapefile(spark, tmp_path):
-    ring = [(0.0, 0.0), (0.0, 2.0), (2.0, 2.0), (0.0, 0.0)]
-    body = struct.pack("<i4d2ii", 5, 0, 0, 2, 2, 1, len(ring), 0) + b"".join(struct.pack("<2d", *p) for p in ring)
-    (tmp_path / "p.shp").write_bytes(b"\0" * 100 + struct.pack(">2i", 1, len(body) // 2) + body)
-    field = b"NAME".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([5]) + b"\0" * 15
-    (tmp_path / "p.dbf").write_bytes(struct.pack("<BBBBIHH", 3, 0, 0, 0, 1, 65, 6) + b"\0" * 20 + field + b"\x0d" + b" Alps ")
-    rows = readers.shapefile(spark, str(tmp_path / "p.shp"), "NAME", ["Alps"]).collect()
-    assert len(rows) == 1 and rows[0].name == "Alps" and [(p.lon, p.lat) for p in rows[0].ring] == ring
+    outer, hole = [(0.0, 0.0), (0.0, 9.0), (9.0, 9.0), (9.0, 0.0), (0.0, 0.0)], [(3.0, 3.0), (6.0, 3.0), (6.0, 6.0), (3.0, 6.0), (3.0, 3.0)]
+    shp, dbf = catalogue.shapefile_bytes({"Alps": [outer, hole], "Sea": [[(20.0, 0.0), (20.0, 5.0), (25.0, 5.0)]]})
+    (tmp_path / "p.shp").write_bytes(shp)
+    (tmp_path / "p.dbf").write_bytes(dbf)
+    shapes = readers.shapefile(spark, str(tmp_path / "p.shp"), "NAME", ["Alps"])
+    assert [[(p.lon, p.lat) for p in r] for r in shapes.first().rings] == [outer, hole]
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 4.5, 4.5), (3, 10.0, 1.0), (4, None, 1.0), (1, 1.0, 1.0), (5, 8.0, 8.5)], "id int, longitude double, latitude double")
+    assert sorted(r.id for r in region.by_polygon(points, shapes).collect()) == [1, 1, 5]  # repeated records stay
+    # two overlapping shapes of one name are one region
+    twice = shapes.unionByName(shapes.withColumn("shape", F.lit(9)))
+    assert sorted(r.id for r in region.by_polygon(points, twice).collect()) == [1, 1, 5]
+
+
+def test_jaro_winkler():
+    def plain(a, b):
+        if not a or not b:
+            return 0.0
+        reach, used, found = max(max(len(a), len(b)) // 2 - 1, 0), [False] * len(b), []
+        for i, x in enumerate(a):
+            for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+                if not used[j] and b[j] == x:
+                    used[j] = True
+                    found.append(x)
+                    break
+        if not found:
+            return 0.0
+        moved = sum(x != y for x, y in zip(found, [y for y, u in zip(b, used) if u])) // 2
+        m = len(found)
+        jaro, head = (m / len(a) + m / len(b) + (m - moved) / m) / 3, 0
+        while head < min(4, len(a), len(b)) and a[head] == b[head]:
+            head += 1
+        return jaro + 0.1 * head * (1 - jaro) if jaro >= 0.7 else jaro
+
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("ABCD*") for _ in range(rng.choice([0, 1, 2, 3, 9, 40])))
+    pairs = [(word(), word()) for _ in range(600)] + [("MARTHA", "MARHTA"), ("ABC", "ABC")]
+    assert jaro_winkler_similarities(*map(list, zip(*pairs))).tolist() == pytest.approx([plain(a, b) for a, b in pairs])
+    assert jaro_winkler_similarities([], []).tolist() == [] and jaro_winkler_similarities(["", ""], ["", ""]).tolist() == [0, 0]
+
+
+def test_genetic_codes():
+    assert genetic_code(5) == "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSSSSVVVVAAAADDEEGGGG"
+    assert genetic_code(2) == "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIMMTTTTNNKKSS**VVVVAAAADDEEGGGG"
+    assert genetic_code(9) == "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIIMTTTTNNNKSSSSVVVVAAAADDEEGGGG"
+    assert genetic_code(11) == genetic_code(1) and all(len(genetic_code(n)) == 64 for n in (3, 4, 6, 13, 14, 16, 21, 22, 24, 33))
+    with pytest.raises(ValueError):
+        genetic_code(7)
+
+
+def tree(spark, rows):
+    return spark.createDataFrame(rows, "taxon_id int, parent_id int, name string, rank string, status string, accepted_id int, is_extinct boolean")
+
+
+def test_deep_lineages_and_synonyms(spark):
+    deep = tree(spark, [(i, i - 1 if i else None, f"t{i}", "clade", "accepted", None, False) for i in range(45)] + [(99, 500, "orphan", "genus", "accepted", None, False)])
+    got = {r.taxon_id: [x.name for x in r.path] for r in taxonomy.lineages(deep).collect()}
+    assert got == {i: [f"t{k}" for k in range(i + 1)] for i in range(45)} | {99: ["orphan"]}
+    with pytest.raises(ValueError):
+        taxonomy.lineages(tree(spark, [(1, 2, "a", "genus", "accepted", None, False), (2, 1, "b", "genus", "accepted", None, False)])).collect()
+    chain = tree(spark, [(i, None, f"s{i}", "species", "synonym", i + 1, False) for i in range(9)] + [(9, None, "good", "species", "accepted", None, False), (20, None, "lost", "species", "synonym", 77, False)])
+    assert {r.taxon_id: r.used_name for r in taxonomy.resolve_synonyms(chain).collect()} == {i: "good" for i in range(10)} | {20: "lost"}
+
+
+def test_taxon_subset(spark):
+    t = tree(spark, [(1, None, "Animalia", "kingdom", "accepted", None, False), (2, 1, "Morus", "genus", "accepted", None, False), (3, 1, "Morus", "family", "accepted", None, False), (4, 1, "Dodo", "species", "accepted", None, True),
+                     (5, 2, "Morus alba", "species", "accepted", None, False), (6, 1, "Old", "genus", "synonym", 2, False), (7, 1, "Old", "genus", "accepted", None, False)])
+    assert taxonomy.taxon(t, "Morus", "genus") == (2, "genus") and taxonomy.taxon(t, "Old") == (7, "genus")
+    for bad in (("Morus", None), ("Dodo", None), ("Nothing", None), ("Morus", "order")):
+        with pytest.raises(ValueError):
+            taxonomy.taxon(t, *bad)
+    rows = spark.createDataFrame([(1, 5, "", ""), (2, 2, "x", ""), (3, None, "Morus", ""), (4, 3, "Morus", ""), (5, None, "", "")], "id int, taxon_id int, genus string, species string")
+    assert sorted(r.id for r in taxonomy.subset(rows, "Morus", t, "genus").collect()) == [1, 2, 3]
+
+
+def test_replace_names(spark):
+    rows = spark.createDataFrame([("Gen1", "Gen1 a", "near Gen1"), ("Gen2", "Gen2 b", ""), ("", "", "x"), ("Gen7", "Gen7 c", "y")], "genus string, species string, location string")
+    pairs = spark.createDataFrame([("genus", f"Gen{i}", f"New{i}") for i in range(1, 12_000) if i != 2] + [("species", "Gen2 b", "Other c"), ("genus", "", "never")], "taxon_rank string, taxon_to_replace string, taxon_to_use string")
+    got = {tuple(r) for r in lineage.replace_names(rows, pairs, ["genus", "species", "location"], ["genus", "species"]).collect()}
+    assert got == {("New1", "New1 a", "near New1"), ("Gen2", "Other c", ""), ("", "", "x"), ("New7", "New7 c", "y")}
+
+
+def test_support_against_all_pairs(spark):
+    rng = random.Random(2)
+    rows = {(rng.choice("pq"), tuple(rng.choice("ABCDE") for _ in range(rng.randrange(5)))): rng.randrange(1, 9) for _ in range(120)}
+    contains = lambda a, b: len(set(a)) == len(a) and set(b) <= set(a)
+    want = {(c, a): n + sum(m for (d, b), m in rows.items() if d == c and b != a and contains(a, b)) for (c, a), n in rows.items()}
+    counts = spark.createDataFrame([(c, list(a), n) for (c, a), n in rows.items()], "cluster string, taxa array<string>, count long")
+    assert {(r.cluster, tuple(r.taxa)): r.support for r in lineage.support(counts).collect()} == want
+
+
+def test_cluster_headers(spark):
+    rows = [("c", "i", ">i|A|B||", ["A", "B"], "AC"), ("c", "i", ">i|A|B||", ["A", "B"], "GT"), ("c", "j", ">j|A", ["A"], "TT")]
+    m = spark.createDataFrame(rows, "cluster string, identifier string, header string, taxa array<string>, sequence string")
+    got = {(r.identifier, r.taxon_original, r.taxon_curated, r.count_original) for r in lineage.curate(m).collect()}
+    assert got == {("i", "A|B||", "A|B", 1), ("j", "A", "A|B", 1)}
+    assert {r.header for r in lineage.curated_fasta(lineage.curate(m)).collect()} == {">i|A|B", ">j|A|B"}
 
 
 def test_sequence_expressions(spark):
@@ -50,7 +142,6 @@ def test_sequence_expressions(spark):
     assert got == [("MFWMS*X", "GGNTTATCTTATTCAAAACAT"), ("X", "N-GT"), ("", "T"), (None, None)]
     stops = spark.createDataFrame([("*A*B*",), ("**",), ("",)], "p string").select(internal_stops(F.col("p"))).collect()
     assert [r[0] for r in stops] == [1, 0, 0]
-    assert _jaro_winkler("MARTHA", "MARHTA") == pytest.approx(0.961111, abs=1e-6) and _jaro_winkler("", "A") == 0
 
 
 def test_headers(spark):
@@ -90,18 +181,94 @@ def test_folds(spark):
 def test_concave_ring(spark):
     ring = F.array(*[F.struct(F.lit(float(x)).alias("lon"), F.lit(float(y)).alias("lat")) for x, y in [(0, 0), (6, 0), (6, 6), (4, 6), (4, 2), (2, 2), (2, 6), (0, 6)]])
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (3.0, 1.0), (7.0, 1.0)], "x double, y double")
-    assert [r[0] for r in df.select(in_ring(F.col("x"), F.col("y"), ring)).collect()] == [True, False, True, False]
+    assert [r[0] for r in df.select(in_shape(F.col("x"), F.col("y"), F.array(ring))).collect()] == [True, False, True, False]
 
 
-def test_writers(spark, tmp_path):
-    df = spark.createDataFrame([(">a", "AC")], "header string, sequence string")
-    writers.write_fasta(df, str(tmp_path / "out"))
-    assert readers.fasta(spark, str(tmp_path / "out")).first().sequence == "AC"
+def test_writers_keep_the_order(spark, tmp_path):
+    rows = [(f">h{i}", "ACGT", i) for i in range(400)]
+    random.Random(3).shuffle(rows)
+    writers.write_fasta(spark.createDataFrame(rows, "header string, sequence string, pos long").repartition(7), str(tmp_path / "out"))
+    text = "".join(open(p).read() for p in sorted(glob.glob(f"{tmp_path}/out/part-*")))
+    assert text == "".join(f">h{i}\nACGT\n" for i in range(400))
+    assert readers.fasta(spark, str(tmp_path / "out")).count() == 400
+    writers.write_tsv(spark.createDataFrame([(" a", 'say "x"', 2), ("b ", "", 1)], "p string, q string, pos long"), str(tmp_path / "t"))
+    lines = [x for p in sorted(glob.glob(f"{tmp_path}/t/part-*")) for x in open(p).read().splitlines() if x != "p\tq"]
+    assert lines == ["b \t", ' a\tsay "x"']
+
+
+def test_bold_and_genbank_details(spark, tmp_path):
+    head = ["processid", "kingdom", "genus", "species", "marker_code", "nuc", "country/ocean", "coord", "more"]
+    rows = [["P1", "Animalia", "Apis", "Apis \"m\"", "COI-5P", "AC-GT", "None", "(48.5, -11.25)", "x"], ["P2", "Animalia", "None", "", "COI-5P", "", "Peru", "None", "x"], ["P3", "Animalia", "", "", "ITS", "AC", "Peru", "None", "x"]]
+    (tmp_path / "b.tsv").write_text("\n".join("\t".join(r) for r in [head, *rows]) + "\n")
+    r = readers.bold_release(spark, str(tmp_path / "b.tsv")).collect()
+    assert [(x.identifier, x.species, x.phylum, x.country, x.latitude, x.longitude, x.sequence) for x in r] == [("P1", 'Apis "m"', "", None, 48.5, -11.25, "AC-GT")]
+    flat = """LOCUS       AB1 10 bp
+ACCESSION   AB1 AB9
+  ORGANISM  Apis mellifera
+            Eukaryota; Metazoa.
+                     /country="Peru"
+                     /lat_lon="4.5 S 70.25 W"
+ORIGIN
+        1 acgtn acgta
+//
+LOCUS       AB2
+ACCESSION   AB2
+  ORGANISM  Apis sp. BOLD:AAA1
+ORIGIN
+        1 aaa
+//
+"""
+    with gzip.open(tmp_path / "g.seq.gz", "wt") as f:
+        f.write(flat)
+    got = {x.identifier: (x.genus, x.species, x.country, x.location, x.latitude, x.longitude, x.sequence) for x in readers.genbank(spark, str(tmp_path / "g.seq.gz")).collect()}
+    assert got == {"AB1": ("Apis", "Apis mellifera", "Peru", None, -4.5, -70.25, "ACGTNACGTA"), "AB2": ("Apis", "", None, None, None, None, "AAA")}
 
 
 def test_parameters():
     assert Parameters(sources=("all",)).checked().sources == ("genbank", "gbol", "bold")
-    for bad in (dict(outputs=("kraken2",), taxonomy="gbif"), dict(outputs=("dada2_species",), taxon_rank="genus"), dict(shapefile={"path": "x"}), dict(derep={"lca": True, "first": True})):
+    for bad in (dict(outputs=("kraken2",), taxonomy="gbif"), dict(outputs=("dada2_species",), taxon_rank="genus"), dict(shapefile={"path": "x"}), dict(derep={"lca": True, "first": True}), dict(outputs=("paper",)), dict(taxon_rank="tribe"), dict(marker="its")):
         with pytest.raises(ValueError):
             Parameters(**bad).checked()
-    assert Parameters(derep={"lca": True}, downloading=True).checked().derep == {}
+    assert Parameters(derep={"lca": True}, action="download").checked().derep == {}
+    assert Parameters(folders={"gbol": "x", "bold_release": "y"}).checked().sources == ("gbol", "bold")
+
+
+def test_command_line():
+    p = parsed("-t Hymenoptera --num_cores 9 classify --gbol --midori_dir /m/x.gz -n filter -N 3 --taxon_rank species derep -l --random taxonomy --gbif --retain output --sintax true --comparison false".split())
+    assert (p.taxon, p.num_cores, p.action, p.sources, p.folders, p.merge) == ("Hymenoptera", 9, "classify", ("gbol", "midori"), {"midori": "/m/x.gz"}, False)
+    assert (p.max_n, p.taxon_rank, p.strategy(), p.taxonomy, p.retain, p.synonyms_allowed, p.outputs) == (3, "species", "first", "gbif", True, False, ("table", "fasta", "sintax"))
+    p = parsed(["nonsense", "download", "--all", "--gbol_dir", "/g", "derep", "--discard", "region", "--country", "Peru;Chad", "-k", "Asia", "-s", "a.shp", "-S", "NAME", "-v", "Alps;Jura"])
+    assert (p.action, p.sources, p.derep, p.region, p.shapefile) == ("download", ("genbank", "gbol", "bold"), {}, {"countries": ("Peru", "Chad"), "continents": ("Asia",)}, {"path": "a.shp", "attribute": "NAME", "values": ("Alps", "Jura")})
+    assert parsed(["classify", "--bold_release", "classify"]).folders == {"bold_release": "classify"}
+    assert parsed([]).action is None and parsed(["region", "-C"]).region == {"listing": "countries"}
+    for bad in (["download", "-a", "classify", "-a"], ["taxonomy", "--gbif", "output", "--kraken2", "true"], ["region", "-s", "a.shp"], ["filter", "-r", "tribe"]):
+        with pytest.raises(ValueError):
+            parsed(bad)
+
+
+def test_config_file():
+    text = ":taxon: Orthoptera\n:markers: co1\n:num_cores: 3\n:taxonomy:\n  :gbif: true # the backbone\n:derep:\n  :last_common_ancestor: true\n  :no_derep: false\n:output:\n  :table: true\n  :fasta: false\n  :sintax: true\n"
+    p = Parameters().merged(read_config(text)).checked()
+    assert (p.taxon, p.num_cores, p.taxonomy, p.strategy(), p.outputs) == ("Orthoptera", 3, "gbif", "lca", ("table", "sintax"))
+
+
+def test_run_writes_all_files(spark, sf, tmp_path):
+    d, down = str(tmp_path), str(tmp_path / "downloads")
+    import shutil
+
+    for name, path in (("GBOL", catalogue.gbol_file(spark, sf)), ("BOLD", catalogue.bold_folder(spark, sf))):
+        shutil.copytree(path.removeprefix("file:"), f"{down}/{name}/{name}-20210128T1000")
+        (tmp_path / "downloads" / name / f"{name}-20190101T1000").mkdir()
+    params = parsed(["-t", "Animalia", "classify", "--gbol", "--bold", "derep", "-l", "filter", "-N", "3", "output", "-k", "true", "-q", "true", "-x", "true", "-s", "true", "-d", "true"])
+    out = classify.run(spark, params, f"{d}/results", datetime(2021, 3, 17, 16, 4), catalogue.backbone(spark, sf), catalogue.countries(spark, sf), downloaded=down)
+    assert {p.split("/results/")[1] for p in out.values()} == {f"Animalia-20210317T1604/{x}" for x in (
+        *[f"Animalia_derep_all_{x}" for x in ("output.tsv", "output.fas", "comparison.tsv", "qiime2_taxonomy.txt", "qiime2_taxonomy.fas", "kraken2.fas", "dada2_taxonomy.fas", "dada2_species.fas", "sintax.fas")],
+        "parameters.txt", "gbol_download_info.txt", "bold_download_info.txt")}
+    read = {k: spark.read.text(p).count() for k, p in out.items()}
+    assert read["gbol_download_info.txt"] == 1 and read["Animalia_derep_all_output.fas"] > 100
+    fasta = readers.fasta(spark, out["Animalia_derep_all_output.fas"])
+    assert fasta.count() == fasta.select("sequence").distinct().count() and fasta.where("header not like '>SPC%|Animalia|%'").isEmpty()
+    apart = classify.run(spark, parsed(["-t", "Animalia", "classify", "--gbol", "--no_merge", "output", "-f", "false", "-c", "false", "taxonomy", "--unmapped"]), f"{d}/apart", datetime(2021, 3, 17, 16, 4), downloaded=down)
+    assert set(apart) == {"gbol_output.tsv", "parameters.txt", "gbol_download_info.txt"}
+    with pytest.raises(ValueError):
+        classify.classify(classify.sources(spark, params, down), parsed(["-t", "Animalia", "classify", "--gbol", "region", "-c", "Atlantis"]), catalogue.backbone(spark, sf), catalogue.countries(spark, sf))
