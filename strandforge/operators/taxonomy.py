@@ -13,29 +13,29 @@ COLUMNS = {r: "order_name" if r == "order" else r for r in RANKS}
 
 
 def lineages(taxonomy: DataFrame) -> DataFrame:
-    """(taxon_id, path): structs of rank and name from the root down, of any depth.
+    """(taxon_id, path): structs of taxon_id, rank and name from the root down, of any depth.
 
     Paths are doubled: each round joins every unfinished path to the path of the taxon where it ends, so a tree of depth
     d takes log2(d) rounds. Each round is written, which keeps plans short. A taxon that is its own ancestor is refused;
     one whose parent is not in the table ends there."""
     known = taxonomy.select(F.col("taxon_id").alias("at_"), F.lit(True).alias("there_"))
-    start = taxonomy.select("taxon_id", F.when(F.col("parent_id") != F.col("taxon_id"), F.col("parent_id")).alias("at"), F.array(F.struct("rank", "name")).alias("path"))
+    start = taxonomy.select("taxon_id", F.when(F.col("parent_id") != F.col("taxon_id"), F.col("parent_id")).alias("at"), F.array(F.struct("taxon_id", "rank", "name")).alias("path"))
     walk = start.join(known, start["at"] == known["at_"], "left").select("taxon_id", F.when(F.col("there_"), F.col("at")).alias("at"), "path")
-    for _ in range(40):
+    while True:
         walk = written(walk, "walk")
-        if walk.where("at is not null").isEmpty():
+        open_, deepest = walk.agg(F.count("at"), F.max(F.size("path"))).first()
+        if not open_:
             return walk.select("taxon_id", "path")
-        if not walk.where(F.size("path") > 1_000).isEmpty():
-            break
+        if deepest > 4_000:  # a tree that deep is none
+            raise ValueError("the taxonomy has a circle")
         up = walk.select(F.col("taxon_id").alias("up_id"), F.col("at").alias("up_at"), F.col("path").alias("up_path"))
         walk = walk.join(up, walk["at"] == up["up_id"], "left").select("taxon_id", F.col("up_at").alias("at"), F.when(F.col("up_path").isNotNull(), F.concat("up_path", "path")).otherwise(F.col("path")).alias("path"))
-    raise ValueError("the taxonomy has a circle")
 
 
-def standard_lineages(taxonomy: DataFrame) -> DataFrame:
-    """(taxon_id, and a column per standard rank): other ranks are left out, unknown ones are empty."""
+def standard_lineages(lines: DataFrame) -> DataFrame:
+    """(taxon_id, and a column per standard rank) from paths: other ranks are left out, unknown ones are empty."""
     name = lambda r: F.coalesce(F.get(F.filter("path", lambda x: x["rank"] == r), F.lit(0))["name"], F.lit(""))
-    return lineages(taxonomy).select("taxon_id", *[name(r).alias(COLUMNS[r]) for r in reversed(RANKS)])
+    return lines.select("taxon_id", *[name(r).alias(COLUMNS[r]) for r in reversed(RANKS)])
 
 
 def resolve_synonyms(taxonomy: DataFrame) -> DataFrame:
@@ -90,14 +90,14 @@ def at_least(frame: DataFrame, rank: str) -> DataFrame:
     return frame.where(F.greatest(*[(F.coalesce(F.col(COLUMNS[r]), F.lit("")) != "").cast("int") for r in fine]) == 1)
 
 
-def harmonized(frame: DataFrame, taxonomy: DataFrame | None, retain: bool = False, synonyms_allowed: bool = False) -> DataFrame:
+def harmonized(frame: DataFrame, taxonomy: DataFrame | None, retain: bool = False, synonyms_allowed: bool = False, lines: DataFrame | None = None) -> DataFrame:
     """Records with their standard ranks as the taxonomy has them, taxon_id and used_name. Records that it does not know
     go, or stay as they came if `retain`. Without a taxonomy (unmapped) all stay as they came."""
     ranks = [COLUMNS[r] for r in reversed(RANKS)]
     if taxonomy is None:
         return finest(frame).select(*frame.columns, F.lit(None).cast("long").alias("taxon_id"), F.col("finest_name").alias("used_name"))
     told = harmonize(frame, taxonomy, retain, synonyms_allowed)
-    lines = standard_lineages(taxonomy).select(F.col("taxon_id").alias("l_id"), *[F.col(c).alias(f"l_{c}") for c in ranks])
+    lines = standard_lineages(lineages(taxonomy) if lines is None else lines).select(F.col("taxon_id").alias("l_id"), *[F.col(c).alias(f"l_{c}") for c in ranks])
     out = told.join(lines, told["taxon_id"] == lines["l_id"], "left")
     return out.select(*[F.when(F.col("l_id").isNotNull(), F.col(f"l_{c}")).otherwise(F.col(c)).alias(c) if c in ranks else F.col(c) for c in frame.columns], F.col("taxon_id").cast("long").alias("taxon_id"), "used_name")
 
@@ -118,23 +118,18 @@ def taxon(taxonomy: DataFrame, name: str, rank: str | None = None) -> tuple[int,
     return accepted[0].taxon_id, accepted[0]["rank"]
 
 
-def descendants(taxonomy: DataFrame, taxon_id: int) -> DataFrame:
-    """(taxon_id) of a taxon and all below it. Its rank's name alone would miss homonyms and gaps in records."""
-    at, below = taxonomy.where(F.col("taxon_id") == taxon_id).select("taxon_id"), None
-    while not at.isEmpty():
-        below = at if below is None else below.unionByName(at)
-        up = at.select(F.col("taxon_id").alias("up_id"))
-        at = taxonomy.where("taxon_id <> parent_id").join(up, taxonomy["parent_id"] == up["up_id"], "left_semi").select("taxon_id")
-        at = written(at.join(below, "taxon_id", "left_anti"), "below")
-    return taxonomy.select("taxon_id").limit(0) if below is None else below
+def descendants(lines: DataFrame, taxon_id: int) -> DataFrame:
+    """(taxon_id) of a taxon and all below it, from paths."""
+    return lines.where(F.exists("path", lambda x: x["taxon_id"] == taxon_id)).select("taxon_id")
 
 
-def subset(frame: DataFrame, name: str, taxonomy: DataFrame, rank: str | None = None) -> DataFrame:
-    """Records of a taxon: its rank's column holds the name or, where records carry a taxon_id, that lies below it."""
+def subset(frame: DataFrame, name: str, taxonomy: DataFrame, rank: str | None = None, lines: DataFrame | None = None) -> DataFrame:
+    """Records of a taxon: its rank's column holds the name or, where records carry a taxon_id, that lies below it, which
+    homonyms and gaps in records cannot disturb."""
     taxon_id, own = taxon(taxonomy, name, rank)
     named = F.col(COLUMNS[own]) == name
     if "taxon_id" not in frame.columns:
         return frame.where(named)
-    below = descendants(taxonomy, taxon_id).select(F.col("taxon_id").alias("d_id"), F.lit(True).alias("d_below"))
+    below = descendants(lineages(taxonomy) if lines is None else lines, taxon_id).select(F.col("taxon_id").alias("d_id"), F.lit(True).alias("d_below"))
     out = frame.join(below, frame["taxon_id"] == below["d_id"], "left")
     return out.where(F.coalesce("d_below", F.lit(False)) | (F.col("taxon_id").isNull() & named)).select(*[frame[c] for c in frame.columns])

@@ -31,10 +31,12 @@ def sources(spark: SparkSession, params: Parameters, downloaded: str = "download
 
 def harmonized(records: DataFrame, params: Parameters, backbone: DataFrame | None) -> DataFrame:
     """Standard ranks as the chosen taxonomy has them, restricted to the taxon asked for."""
-    told = taxonomy.harmonized(records, None if params.taxonomy == "unmapped" else backbone, params.retain, params.synonyms_allowed)
     if backbone is None:
+        told = taxonomy.harmonized(records, None)
         return told.where(reduce(lambda a, b: a | b, [F.col(r) == params.taxon for r in RANKS]))
-    return taxonomy.subset(told, params.taxon, backbone)
+    lines = taxonomy.lineages(backbone)
+    told = taxonomy.harmonized(records, None if params.taxonomy == "unmapped" else backbone, params.retain, params.synonyms_allowed, lines)
+    return taxonomy.subset(told, params.taxon, backbone, lines=lines)
 
 
 def filtered(records: DataFrame, params: Parameters) -> DataFrame:

@@ -21,6 +21,7 @@ class Parameters:
     num_threads: int = 5
     num_cores: int = 5
     action: str | None = None
+    options: tuple[str, ...] = ()
     sources: tuple[str, ...] = ()
     folders: dict = field(default_factory=dict)
     merge: bool = True
@@ -149,6 +150,7 @@ def parsed(words: list[str], defaults: Parameters | None = None) -> Parameters:
         else:
             parts[-1][1].append(word)
     got, _ = _parser("", *GLOBAL).parse_known_args(parts[0][1])
+    p = replace(p, options=tuple(k for k in ("version", "citation") if getattr(got, k)))
     p = replace(p, **{k: v for k, v in {"taxon": got.taxon, "marker": got.markers, "fast_run": got.fast_run, "num_threads": got.num_threads, "num_cores": got.num_cores}.items() if v is not None})
     actions = []
     for at, (name, rest) in enumerate(parts[1:]):
@@ -156,6 +158,7 @@ def parsed(words: list[str], defaults: Parameters | None = None) -> Parameters:
         on = {k: v for k, v in vars(given).items() if v not in (None, False)}
         if name in ACTIONS and on:
             actions.append(name)
+            p = replace(p, options=tuple(on))
         if name in ("download", "classify"):
             folders = {k.removesuffix("_dir"): v for k, v in on.items() if k.endswith(("_dir", "_release"))}
             p = replace(p, sources=tuple(k for k in ("all", *SOURCES) if on.get(k)), folders=folders, merge=not on.get("no_merge", False))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strandforge.functions.expressions import genetic_code, header_taxa, in_shape, internal_stops, jaro_winkler_similarities, reverse_complement, translate
 from strandforge.operators import lineage, region, sequence, taxonomy
-from strandforge.plans import catalogue, classify
+from strandforge.plans import catalogue, classify, command
 from strandforge.plans.config import Parameters, parsed, read_config
 from strandforge.sources import readers, writers
 
@@ -272,3 +272,27 @@ def test_run_writes_all_files(spark, sf, tmp_path):
     assert set(apart) == {"gbol_output.tsv", "parameters.txt", "gbol_download_info.txt"}
     with pytest.raises(ValueError):
         classify.classify(classify.sources(spark, params, down), parsed(["-t", "Animalia", "classify", "--gbol", "region", "-c", "Atlantis"]), catalogue.backbone(spark, sf), catalogue.countries(spark, sf))
+
+
+def test_commands(spark, sf, tmp_path):
+    d = str(tmp_path)
+    catalogue.countries(spark, sf).write.parquet(f"{d}/places/countries")
+    (tmp_path / "dumps" / "gbif").mkdir(parents=True)
+    for name, text in (("Taxon.tsv", "taxonID\tparentNameUsageID\tacceptedNameUsageID\tcanonicalName\ttaxonRank\ttaxonomicStatus\n1\t\t\tAnimalia\tKINGDOM\taccepted\n2\t1\t\tApis\tGENUS\taccepted\n3\t1\t\tApis\tGENUS\tdoubtful\n"),
+                       ("SpeciesProfile.tsv", "taxonID\tisExtinct\n3\ttrue\n"), ("release", "2021-01\n")):
+        (tmp_path / "dumps" / "gbif" / name).write_text(text)
+    say = lambda *words: command.main(spark, list(words), d, datetime(2021, 3, 17, 16, 4))
+    assert "AMERICA" in say("region", "--available_continents") and say("--version") == [command.VERSION]
+    assert say("update", "--check_gbif_taxonomy") == ["gbif: new release"]
+    assert say("setup", "--gbif_taxonomy", "--gbif_homonyms") == ["imported gbif", "imported gbif-homonyms"]
+    assert [tuple(r) for r in spark.read.parquet(f"{d}/taxonomy/gbif-homonyms").collect()] == [("Apis", "genus", 2)]
+    assert say("update", "--gbif_taxonomy", "--check_gbif_taxonomy") == ["gbif: up to date"]
+    (tmp_path / "dumps" / "gbif" / "release").write_text("2022-07")
+    spark.catalog.clearCache()
+    assert say("update", "--gbif_taxonomy") == ["imported gbif"]
+    (tmp_path / "b.tsv").write_text("processid\tkingdom\tgenus\tspecies\tmarker_code\tnuc\nP1\tAnimalia\tApis\tApis x\tCOI-5P\tACGT\nP2\tAnimalia\t\t\tCOI-5P\tACGN\n")
+    out = say("-t", "Animalia", "classify", "--bold_release", f"{d}/b.tsv", "taxonomy", "--gbif", "--retain", "output", "-c", "false")
+    assert [x.rsplit("/", 1)[-1] for x in out] == ["bold_download_info.txt", "merged_output.fas", "merged_output.tsv", "parameters.txt"]
+    assert {r.value for r in spark.read.text(out[1]).collect()} == {">P1|Animalia|||||Apis|Apis x", "ACGT", ">P2|Animalia", "ACGN"}
+    with pytest.raises(ValueError):
+        say("download", "--all")
