@@ -7,7 +7,6 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +37,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    _WRITTEN.add(path)
+    return out
+
+
+#: Paths of tables that `stored` wrote and nothing has removed yet.
+_WRITTEN: set[str] = set()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes stored tables that nothing reads any more."""
+    for df in tables:
+        _remove(df.sparkSession, df._stored_at)
+
+
+def held() -> frozenset[str]:
+    """The stored tables there are now."""
+    return frozenset(_WRITTEN)
+
+
+def clear(spark: SparkSession, but: frozenset[str] = frozenset()) -> int:
+    """Removes tables that operators stored in this session, and tells how many. For callers, once they have written or
+    collected their results: until then results read these tables. Those of `but` stay."""
+    paths = sorted(_WRITTEN - but)
+    for path in paths:
+        _remove(spark, path)
+    return len(paths)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    _WRITTEN.discard(path)
 
 
 #: Columns of a document's key, and their types.
@@ -82,23 +114,6 @@ def raw(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
-class WordHash(dict):
-    """64-bit hashes of words, kept for repeated words; emptied when it holds `most`."""
-
-    def __init__(self, most: int = 300_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD)
 _S = np.uint64(32)
 
@@ -151,15 +166,55 @@ def spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
+_LETTERS = mixed(np.arange(1, 257, dtype=np.uint64))
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+_UNDO = np.uint64(pow(int(_ODD), -1, 2**64))
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, 0 to n; kept up to some million."""
+    if len(_POWERS[0]) > n:
+        return _POWERS[0], _POWERS[1]
+    made = []
+    for x in (_ODD, _UNDO):
+        a = np.full(n + 1, x)
+        a[0] = 1
+        made.append(np.multiply.accumulate(a))
+    if n <= 1 << 22:
+        _POWERS[:] = made
+    return made[0], made[1]
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words between `start` and `end`: bytes times a factor of their place, summed and mixed."""
-    size = end - start
-    first = np.cumsum(size) - size
-    place = np.arange(int(size.sum())) - np.repeat(first, size)
-    factors = mixed(np.arange(1, int(size.max(initial=0)) + 1, dtype=np.uint64)) | np.uint64(1)
-    letters = data[place + np.repeat(start, size)].astype(np.uint64) + np.uint64(1)
-    sums = np.add.reduceat(letters * factors[place], first) if len(first) else np.empty(0, np.uint64)
-    return mixed(sums + size.astype(np.uint64) * _A)
+    """64-bit hashes of the words between `start` and `end`: polynomials in their bytes, from running sums over all."""
+    up, down = _powers(len(data))
+    sums = np.empty(len(data) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_LETTERS[data] * up[: len(data)], out=sums[1:])
+    return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * _A)
+
+
+def hashed(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one after the other, and the number of words of each. `lower`: of A-Z."""
+    joined_up = b"\n".join(x or b"" for x in texts)
+    data = np.frombuffer(joined_up.lower() if lower else joined_up, np.uint8)
+    start, end = spans(data)
+    size = np.array([len(x) + 1 if x else 1 for x in texts], np.int64)
+    first = np.searchsorted(start, np.cumsum(size))
+    return span_hashes(data, start, end), np.diff(first, prepend=0)
+
+
+def least_places(h: np.ndarray, width: int) -> np.ndarray:
+    """Of each run of `width` values the place of the least one, of equal ones the first: widths are doubled."""
+    value, at, size = h, np.arange(len(h)), 1
+    while size < width:
+        step = min(size, width - size)
+        right = value[step:] < value[: len(value) - step]
+        value = np.where(right, value[step:], value[: len(value) - step])
+        at = np.where(right, at[step:], at[: len(at) - step])
+        size += step
+    return at
 
 
 def runs(texts: list[bytes | None], most: int = 1 << 20):

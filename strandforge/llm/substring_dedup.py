@@ -13,93 +13,107 @@ and only where an anchor has several distinct runs, is taken apart into its sing
 
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, KEY_SCHEMA, WordHash, grams, joined, key_of, keyed, mixed, raw, runs, signed, stored
+from .common import KEY, KEY_SCHEMA, grams, hashed, joined, key_of, keyed, least_places, mixed, raw, runs, signed, stored
 
 
-def _runs(h: np.ndarray, base: int):
-    """Anchors of the windows of 2*base words: (hash, run's hash, position, first start, last start)."""
-    short = grams(h, base)
-    if len(short) <= base:
+def anchored(h: np.ndarray, doc: np.ndarray, base: int):
+    """Anchors of the windows of 2*base words of documents that lie one after the other: (document, hash, run's hash,
+    position among all words, first start, last start)."""
+    n = len(h) - 2 * base + 1
+    if n <= 0:
+        return None
+    inside = np.flatnonzero(doc[:n] == doc[2 * base - 1:])  # no window reaches into another document
+    if not len(inside):
         return None
-    long = joined(short[:-base], short[base:])
-    at = np.lib.stride_tricks.sliding_window_view(short, base + 1).argmin(axis=1) + np.arange(len(long))
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    last = np.r_[first[1:], len(at)] - 1
-    p = at[first]
+    short = grams(h, base)
+    long = joined(short[:n], short[base: base + n])[inside]
+    at = least_places(short, base + 1)[inside]
+    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (inside[1:] != inside[:-1] + 1)])
+    size = np.diff(np.r_[first, len(at)])
+    p, lo = at[first], inside[first]
     # a run's content is told by its windows: their first, last and number, and a sum that depends on the order
     order = mixed(np.arange(base + 1, dtype=np.uint64)) | np.uint64(1)  # a run has base + 1 windows at most
-    total = np.add.reduceat(long * order[np.arange(len(long)) - np.repeat(first, last - first + 1)], first)
-    run = mixed(total + mixed((p - first).astype(np.uint64)) + (last - first).astype(np.uint64))
-    return short[p], run, p, first, last
-
-
-def _table(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names)
+    total = np.add.reduceat(long * order[np.arange(len(long)) - np.repeat(first, size)], first)
+    run = mixed(total + mixed((p - lo).astype(np.uint64)) + (size - 1).astype(np.uint64))
+    return doc[lo], short[p], run, p, lo, lo + size - 1
 
 
 def _anchors(base: int):
     def go(batches):
-        cache = WordHash()
         for b in batches:
             key, texts = key_of(b), raw(b, "text")
-            for lo, hi in runs(texts, 1 << 22):
-                out = []
-                for i in range(lo, hi):
-                    if texts[i] and (got := _runs(cache.of(texts[i].split()), base)):
-                        h, run, p, first, last = got
-                        out.append((signed(h), signed(run), *[np.full(len(p), k[i]) for k in key], p.astype(np.int32), first.astype(np.int32), last.astype(np.int32)))
-                if out:
-                    yield _table(out, ["h", "run", *KEY, "p", "lo", "hi"])
+            for lo, hi in runs(texts):
+                h, size = hashed(texts[lo:hi])
+                if got := anchored(h, np.repeat(np.arange(hi - lo), size), base):
+                    doc, anchor, run, p, first, last = got
+                    begin = (np.cumsum(size) - size)[doc]
+                    places = [(x - begin).astype(np.int32) for x in (p, first, last)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (signed(anchor), signed(run), *[k[lo + doc] for k in key], *places)], ["h", "run", *KEY, "p", "lo", "hi"])
     return go
 
 
 ANCHORS = f"h long, run long, {KEY_SCHEMA}, p int, lo int, hi int"
 
 
+def _ranges(column: pa.ListArray, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A column of lists of structs without building them: where each row's list begins (and the last ends), and the
+    fields of all."""
+    at, inner = column.offsets.to_numpy(), column.values
+    return at, [inner.field(n).to_numpy(zero_copy_only=False) for n in names]
+
+
 def _windows(base: int):
     """The single windows of the runs that must be taken apart."""
     def go(batches):
-        cache = WordHash()
         for b in batches:
-            key, texts, spans = key_of(b), raw(b, "text"), b.column("spans").to_pylist()
-            for lo, hi in runs(texts, 1 << 22):
-                out = []
-                for i in range(lo, hi):
-                    long = grams(cache.of(texts[i].split()), 2 * base)
-                    for x in spans[i]:
-                        n = x["hi"] - x["lo"] + 1
-                        out.append((np.full(n, x["h"], np.int64), signed(long[x["lo"]: x["hi"] + 1]), *[np.full(n, k[i]) for k in key], np.arange(x["lo"], x["hi"] + 1, dtype=np.int32)))
-                if out:
-                    yield _table(out, ["h", "w", *KEY, "lo"])
+            key, texts = key_of(b), raw(b, "text")
+            at, (anchors, firsts, lasts) = _ranges(b.column("spans"), "h", "lo", "hi")
+            for lo, hi in runs(texts):
+                h, size = hashed(texts[lo:hi])
+                begin, long, own = np.cumsum(size) - size, signed(grams(h, 2 * base)), slice(at[lo], at[hi])
+                n = (lasts[own] - firsts[own] + 1).astype(np.int64)
+                doc = np.repeat(np.repeat(np.arange(lo, hi), np.diff(at[lo: hi + 1])), n)
+                place = np.repeat(firsts[own].astype(np.int64), n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.repeat(anchors[own], n), long[begin[doc - lo] + place], *[k[doc] for k in key], place.astype(np.int32))], ["h", "w", *KEY, "lo"])
     return go
 
 
 def _cut(size: int):
     def go(batches):
         for b in batches:
-            n_words, n_removed, kept, spans = [], [], [], []
-            for text, gone in zip(raw(b, "text"), b.column("gone").to_pylist(), strict=True):
-                words = text.split() if text else []
-                edge = np.zeros(len(words) + 1, np.int32)
-                for x in gone or ():
-                    edge[x["lo"]] += 1
-                    edge[min(x["hi"] + size, len(words))] -= 1
-                out = np.cumsum(edge[:-1]) > 0
-                n_words.append(len(words))
-                n_removed.append(int(out.sum()))
-                kept.append(b" ".join(w for w, x in zip(words, out.tolist(), strict=True) if not x) if gone else b" ".join(words))
-                flips = np.flatnonzero(np.diff(np.r_[0, out.astype(np.int8), 0]))
-                spans.append([{"first": int(x), "last": int(y) - 1} for x, y in zip(flips[::2], flips[1::2], strict=True)])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
-                 pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))],
-                ["doc_id", "n_words", "n_removed", "kept_text", "removed_spans"],
-            )
+            texts = raw(b, "text")
+            at, (firsts, lasts) = _ranges(b.column("gone"), "lo", "hi")
+            for lo, hi in runs(texts, 1 << 22):
+                n_words, n_removed, kept, first, last, held = [], [], [], [], [], [0]
+                for i in range(lo, hi):
+                    words = texts[i].split() if texts[i] else []
+                    n_words.append(len(words))
+                    if at[i] < at[i + 1]:
+                        own = slice(at[i], at[i + 1])
+                        edge = np.bincount(firsts[own], minlength=len(words) + 1) - np.bincount(np.minimum(lasts[own] + size, len(words)), minlength=len(words) + 1)
+                        stays = np.cumsum(edge[:-1]) == 0
+                        flips = np.flatnonzero(np.diff(np.r_[True, stays, True]))
+                        first.append(flips[::2])
+                        last.append(flips[1::2] - 1)
+                        n_removed.append(len(words) - int(np.count_nonzero(stays)))
+                        words = list(compress(words, stays.tolist()))
+                    else:
+                        n_removed.append(0)
+                    held.append(held[-1] + (len(first[-1]) if at[i] < at[i + 1] else 0))
+                    kept.append(b" ".join(words))
+                spans = [pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int32)) for x in (first, last)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
+                     pa.ListArray.from_arrays(pa.array(held, pa.int32()), pa.StructArray.from_arrays(spans, ["first", "last"]))],
+                    ["doc_id", "n_words", "n_removed", "kept_text", "removed_spans"],
+                )
     return go
 
 
@@ -147,16 +161,18 @@ def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
 def _starts(length: int):
     """Hashes of the windows of `length` words at the given starts (null: at all)."""
     def go(batches):
-        cache = WordHash()
         for b in batches:
             key, texts, pos = key_of(b), raw(b, "text"), b.column("pos").to_pylist()
-            for lo, hi in runs(texts, 1 << 22):
-                out = []
-                for i in range(lo, hi):
-                    h = grams(cache.of(texts[i].split()), length)
-                    p = np.arange(len(h)) if pos[i] is None else np.array([x for x in pos[i] if x < len(h)], np.int64)
-                    out.append((signed(h[p]), *[np.full(len(p), k[i]) for k in key], p.astype(np.int32)))
-                yield _table(out, ["h", *KEY, "p"])
+            for lo, hi in runs(texts):
+                h, size = hashed(texts[lo:hi])
+                every, at, doc, starts = signed(grams(h, length)), 0, [], []
+                for i, n in zip(range(lo, hi), size.tolist(), strict=True):
+                    own = np.arange(max(0, n - length + 1)) if pos[i] is None else np.array([x for x in pos[i] if x <= n - length], np.int64)
+                    doc.append(np.full(len(own), i))
+                    starts.append((own, own + at))
+                    at += n
+                doc, own, place = np.concatenate(doc), *(np.concatenate(x) for x in zip(*starts, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (every[place], *[k[doc] for k in key], own.astype(np.int32))], ["h", *KEY, "p"])
     return go
 
 
