@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -40,6 +40,7 @@ def components(links: DataFrame) -> DataFrame:
         new = stored(_star(_star(edges, True), False), "edges")
         # done when nothing moved: every edge is then node -> least id
         before, told = told, _told(new)
+        discard(edges)
         if before == told:
             break
         edges = new

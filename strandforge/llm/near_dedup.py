@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, grams, mixed, raw, signed, stored, table
+from .common import discard, grams, hashed, mixed, raw, runs, signed, stored, table
 from .components import components
 
 SLOTS, BANDS, ROWS = 64, 16, 4
@@ -32,13 +32,15 @@ LEAST_ESTIMATE = 0.65
 BLOCK = 16_384
 
 
-def shingles(text: bytes | None, cache: WordHash, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of `size`-word shingles; with fewer words, of the whole sequence; without words, none."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = cache.of(words)
-    return np.unique(grams(h, min(size, len(words))))
+def shingle_sets(texts: list[bytes | None], size: int = 5):
+    """Of each text the sorted distinct hashes of its `size`-word shingles; with fewer words, of the whole sequence;
+    without words, none."""
+    for lo, hi in runs(texts):
+        h, count = hashed(texts[lo:hi], lower=True)
+        every, at = grams(h, size), 0
+        for n in count.tolist():
+            yield np.unique(every[at: at + n - size + 1] if n >= size else grams(h[at: at + n], n)) if n else np.empty(0, np.uint64)
+            at += n
 
 
 def superminhash(items: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -68,11 +70,9 @@ def superminhash(items: np.ndarray, slots: int = SLOTS) -> np.ndarray:
 
 
 def _features(batches):
-    cache = WordHash()
     for b in batches:
         n, digest, sig = [], [], []
-        for text in raw(b, "text"):
-            s = shingles(text, cache)
+        for s in shingle_sets(raw(b, "text")):
             n.append(len(s))
             digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             sig.append(superminhash(s).tobytes() if len(s) else None)
@@ -102,17 +102,12 @@ def _alike(batches):
 
 def _verify(percent: int):
     def go(batches):
-        cache, sets = WordHash(), {}
-        def of(i, text):
-            if i not in sets:
-                if len(sets) > 2000:
-                    sets.clear()
-                sets[i] = shingles(text, cache)
-            return sets[i]
         for b in batches:
-            keep = []
-            for u, v, x, y in zip(b.column("u").to_pylist(), b.column("v").to_pylist(), raw(b, "text_u"), raw(b, "text_v"), strict=True):
-                s, t = of(u, x), of(v, y)
+            # a hub's text stands beside many: each text of a batch is taken apart once
+            at = {x: i for i, x in enumerate(dict.fromkeys(x for c in ("text_u", "text_v") for x in raw(b, c)))}
+            sets, keep = list(shingle_sets(list(at))), []
+            for x, y in zip(raw(b, "text_u"), raw(b, "text_v"), strict=True):
+                s, t = sets[at[x]], sets[at[y]]
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 keep.append(100 * both >= percent * (len(s) + len(t) - both))
             yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
@@ -120,9 +115,8 @@ def _verify(percent: int):
 
 
 def _sets(batches):
-    cache = WordHash()
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([shingles(t, cache).tobytes() for t in raw(b, "text")], pa.binary())], ["id", "items"])
+        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([x.tobytes() for x in shingle_sets(raw(b, "text"))], pa.binary())], ["id", "items"])
 
 
 def _blocks(percent: int):
@@ -198,7 +192,8 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     stars = stars.select("u", "v", "sig_u", "sig_v").mapInArrow(_alike, "u long, v long").distinct()
     found = stored(_verified(stars, texts, percent).unionByName(links), "links")
     groups = stored(components(found), "groups")
-    more = stored(_left_over(members, signatures, texts, groups, percent), "links")
+    more = _left_over(members, signatures, texts, groups, percent)
+    discard(found, reps, members, signatures, texts)
     if not more.isEmpty():
         # what is linked now are groups: their ids stand for their members
         joined = more.join(groups.select(F.col("id").alias("u"), F.col("component").alias("cu")), "u", "left").join(
@@ -206,7 +201,9 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
         merged = components(joined.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
         merged = merged.select(F.col("id").alias("component"), F.col("component").alias("whole"))
         every = groups.unionByName(merged.select(F.col("component").alias("id"), "component")).distinct()
-        groups = stored(every.join(merged, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).distinct(), "groups")
+        first, groups = groups, stored(every.join(merged, "component", "left").select("id", F.coalesce("whole", "component").alias("component")).distinct(), "groups")
+        discard(first)
+    discard(more)
     out = feats.select("doc_id", "id", "n").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     component = F.when(F.col("component") < UNKNOWN, F.col("component"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
@@ -216,7 +213,7 @@ def _left_over(members: DataFrame, signatures: DataFrame, texts: DataFrame, grou
     """Confirmed links between different groups of a bucket. Blocks are bounded by the bytes of their sets."""
     told = members.select("bucket", "band", "id").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     told = told.join(signatures.groupBy("id").agg(F.max("n").alias("n")), "id")
-    told = stored(told, "told")
+    told = told_all = stored(told, "told")
     split = told.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("bucket")
     told = told.join(split, "bucket")
     sizes = told.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"))
@@ -234,7 +231,9 @@ def _left_over(members: DataFrame, signatures: DataFrame, texts: DataFrame, grou
     x = blocks.where("not is_main").select("bucket", F.col("block").alias("bx"), F.col("rows").alias("x"))
     y = blocks.select("bucket", "band", "is_main", "block", F.col("rows").alias("y"))
     pairs = x.join(y, "bucket").where("is_main or block >= bx").select("band", "x", "y").mapInArrow(_blocks(percent), "u long, v long")
-    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    out = stored(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    discard(told_all, sets, blocks)
+    return out
 
 
 def query(spark, sf_dir):
