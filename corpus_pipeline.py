@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandforge.llm.common import NO_ID, stored, table
+from strandforge.llm.common import NO_ID, clear, held, stored, table
 from strandforge.llm.decontamination import contaminated
 from strandforge.llm.line_dedup import line_dedup
 from strandforge.llm.near_dedup import near_dedup
@@ -66,8 +66,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each but the last is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each but the last is written to the shared folder and read again. What a stage stored
+    on its way is removed when its result is written, and so is the stage before."""
+    docs, others = table(spark, sf_dir, "documents"), held()
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        clear(spark, others | {docs._stored_at})
     return STAGES[-1][1](spark, docs, sf_dir)
