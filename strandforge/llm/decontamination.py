@@ -16,11 +16,10 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grams, raw, runs, signed, table
+from .common import grams, raw, runs, signed, span_hashes, spans, table
 
 #: Unit words that become a placeholder; those of one or two letters only behind a number.
 UNITS = frozenset(
@@ -68,78 +67,136 @@ def kind(word: bytes) -> tuple[bytes, bool]:
     return told, False
 
 
-class Canon(dict):
-    """word -> place in the tables: hashes of its template and of the word itself, and whether it is a placeholder, a
-    number, or a unit behind a number. Emptied by `room` when it could overflow."""
-
-    def __init__(self, most: int = 200_000):
-        super().__init__()
-        self.most = most
-        self.template, self.exact = np.empty(most, np.uint64), np.empty(most, np.uint64)
-        self.slot, self.number, self.unit = np.empty(most, bool), np.empty(most, bool), np.empty(most, bool)
-
-    def room(self, n: int) -> None:
-        if len(self) + n > self.most:
-            self.clear()
-            if n > self.most:
-                self.__init__(n)
-
-    def __missing__(self, word: bytes) -> int:
-        told, short = kind(word)
-        h, at = xxhash.xxh3_64_intdigest, len(self)
-        self.template[at], self.exact[at] = h(told), h(b"\x00exact" + word.strip(_STRIP))
-        self.slot[at], self.number[at], self.unit[at] = told[:1] == b"\0", told == NUMBER, short
-        self[word] = at
-        return at
-
-
-_UNIT_HASH = np.uint64(xxhash.xxh3_64_intdigest(UNIT))
-
-
-def templates(words: list[bytes], cache: Canon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Template hashes of the words, which are placeholders, and hashes of the words as they are."""
-    if not words:
-        return np.empty(0, np.uint64), np.empty(0, bool), np.empty(0, np.uint64)
-    cache.room(len(words))
-    at = np.fromiter(map(cache.__getitem__, words), np.int64, len(words))
-    unit = np.r_[False, cache.number[at[:-1]]] & cache.unit[at]
-    return np.where(unit, _UNIT_HASH, cache.template[at]), cache.slot[at] | unit, cache.exact[at]
-
-
-def windows(told: tuple[np.ndarray, np.ndarray, np.ndarray], size: int) -> np.ndarray:
-    """Hashes of all windows of `size` words."""
-    h, slots, exact = told
-    out = grams(h, size)
-    if len(out):
-        held = np.r_[0, np.cumsum(~slots)]
-        few = np.flatnonzero(held[size:] - held[:-size] < LEAST_PLAIN)
-        if len(few):
-            out[few] = grams(exact, size)[few]
+def _flags(marks: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(marks)] = True
     return out
 
 
+_OUTER, _DIGIT, _LOW, _UP = _flags(_STRIP), _flags(b"0123456789"), _flags(b"abcdefghijklmnopqrstuvwxyz"), _flags(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: Words with such bytes are looked at one by one.
+_ODD = _DIGIT | _flags(b"-") | (np.arange(256) > 127)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[_UP] += 32
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    size = np.array([len(x) for x in words])
+    end = np.cumsum(size + 1) - 1
+    return span_hashes(data, end - size, end)
+
+
+_NUMBER_HASH, _NAME_HASH, _UNIT_HASH = _hashes([NUMBER, NAME, UNIT])
+
+
+class Known:
+    """Finds hashes in a sorted table; a mark for their first 16 bits spares most of the searches."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.marks = np.zeros(1 << 16, bool)
+        self.marks[hashes >> np.uint64(48)] = True
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of `h` are in the table, and the first place of each there."""
+        at = np.flatnonzero(self.marks[h >> np.uint64(48)])
+        place = np.searchsorted(self.hashes, h[at], "left")
+        ok = self.hashes[np.minimum(place, len(self.hashes) - 1)] == h[at] if len(self.hashes) else np.zeros(0, bool)
+        return at[ok], place[ok]
+
+
+_SPELLED, _UNIT, _SHORT, _PLAIN = 1, 2, 3, 4
+_WORDS = sorted([(x, _SPELLED) for x in SPELLED] + [(x, _UNIT if len(x) > 2 else _SHORT) for x in UNITS - SPELLED] + [(x, _PLAIN) for x in PLAIN - UNITS - SPELLED])
+_ORDER = np.argsort(_hashes([x for x, _ in _WORDS]))
+_LISTED, _LISTED_AS = Known(_hashes([x for x, _ in _WORDS])[_ORDER]), np.array([k for _, k in _WORDS], np.int8)[_ORDER]
+
+
+class Told:
+    """The words of some texts, one text after the other: hashes of their templates, which are placeholders, hashes of
+    the words as they are, and of each text the number of words. `kind` says the same of one word; what it said of
+    words with digits, hyphens or letters beyond ASCII is kept in `seen`."""
+
+    def __init__(self, texts: list[bytes | None], seen: dict | None = None):
+        data = np.frombuffer(b"\n".join(x or b"" for x in texts), np.uint8)
+        start, end = spans(data)
+        size = np.array([len(x) + 1 if x else 1 for x in texts], np.int64)
+        self.count = np.diff(np.searchsorted(start, np.cumsum(size)), prepend=0)
+        self.whole = (data, start, end)
+        first, last = start.copy(), end.copy()
+        while len(at := np.flatnonzero((first < last) & _OUTER[data[np.minimum(first, len(data) - 1)]])):
+            first[at] += 1
+        while len(at := np.flatnonzero((first < last) & _OUTER[data[last - 1]])):
+            last[at] -= 1
+        self.first, self.last = first, last
+        h, listed = span_hashes(_LOWER[data], first, last), np.zeros(len(start), np.int8)
+        at, place = _LISTED.find(h)
+        listed[at] = _LISTED_AS[place]
+        number, unit, short, name = listed == _SPELLED, listed == _UNIT, listed == _SHORT, np.zeros(len(start), bool)
+        if len(data):
+            capital = np.flatnonzero(_UP[data[np.minimum(first, len(data) - 1)]] & (last - first > 1) & (listed == 0))
+            lower = np.r_[0, np.cumsum(_LOW[data], dtype=np.int32)]
+            name[capital[lower[last[capital]] > lower[first[capital]]]] = True
+        beyond = np.r_[0, np.cumsum(_ODD[data], dtype=np.int32)]
+        odd = np.flatnonzero(beyond[end] > beyond[start])
+        if len(odd):
+            seen, text = {} if seen is None else seen, data.tobytes()
+            if len(seen) > 200_000:
+                seen.clear()
+            _, one, which = np.unique(span_hashes(data, start[odd], end[odd]), return_index=True, return_inverse=True)
+            told = []
+            for a, b in zip(start[odd[one]].tolist(), end[odd[one]].tolist(), strict=True):
+                word = text[a:b]
+                if word not in seen:
+                    seen[word] = kind(word)
+                told.append(seen[word])
+            place = {NUMBER: 0, UNIT: 1, NAME: 2}
+            kinds = np.array([place.get(x, 3) for x, _ in told])[which]
+            number[odd], unit[odd], name[odd] = kinds == 0, kinds == 1, kinds == 2
+            short[odd] = np.array([x for _, x in told])[which]
+            h[odd] = _hashes([x for x, _ in told])[which]
+        h[number], h[unit], h[name] = _NUMBER_HASH, _UNIT_HASH, _NAME_HASH
+        behind = np.r_[False, number[:-1]] & short if len(h) else short
+        behind[(np.cumsum(self.count) - self.count)[self.count > 0]] = False  # the first word of a text is behind nothing
+        h[behind] = _UNIT_HASH
+        self.h, self.slots = h, number | unit | name | behind
+
+    def exact(self) -> np.ndarray:
+        return span_hashes(self.whole[0], self.first, self.last) ^ np.uint64(1)
+
+    def windows(self, size: int) -> np.ndarray:
+        """Hashes of all windows of `size` words; those that reach from one text into another are among them."""
+        out = grams(self.h, size)
+        if len(out):
+            held = np.r_[0, np.cumsum(~self.slots)]
+            few = np.flatnonzero(held[size:] - held[:-size] < LEAST_PLAIN)
+            if len(few):
+                out[few] = grams(self.exact(), size)[few]
+        return out
+
+
 class Items:
     """The benchmark's windows: sorted hashes, and for each the (item, position) where it stands."""
 
     def __init__(self, state: tuple):
         self.ids, self.words, self.slots, self.count, self.by_size = state
+        self.known = {size: Known(x[0]) for size, x in self.by_size.items()}
 
     @staticmethod
     def state(rows: list[tuple[int | None, bytes | None]]) -> tuple:
         """Lists and arrays only, so that executors need not know this class to receive them."""
-        cache = Canon()
         ids, all_words, all_slots, count, places = [], [], [], [], []
         for item, text in rows:
             words = text.split() if text else []
             if not words:
                 continue
-            told = templates(words, cache)
+            told = Told([text])
             size = min(SIZE, len(words))
-            for p, x in enumerate(windows(told, size).tolist()):
+            for p, x in enumerate(told.windows(size).tolist()):
                 places.append((size, x, len(ids), p))
             ids.append(item)
             all_words.append(words)
-            all_slots.append(told[1])
+            all_slots.append(told.slots)
             count.append(len(words) - size + 1)
         by_size = {}
         for size in sorted({x[0] for x in places}):
@@ -147,18 +204,21 @@ class Items:
             by_size[size] = (np.array([x[0] for x in own], np.uint64), np.array([x[1] for x in own]), np.array([x[2] for x in own]))
         return ids, all_words, all_slots, count, by_size
 
-    def alignments(self, told: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[int, dict[int, list[int]]]:
-        """item -> document position of the item's first word -> the item's windows that agree there."""
-        out: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+    def alignments(self, told: Told) -> dict[int, dict[int, dict[int, list[int]]]]:
+        """text -> item -> position in the text of the item's first word -> the item's windows that agree there."""
+        out: dict = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
+        ends = np.cumsum(told.count)
         for size, (known, item, at) in self.by_size.items():
-            g = windows(told, size)
+            g = told.windows(size)
             if not len(g):
                 continue
-            lo = np.searchsorted(known, g, "left")
-            for p in np.flatnonzero(known[np.minimum(lo, len(known) - 1)] == g).tolist():
-                k = int(lo[p])
+            hits, first = self.known[size].find(g)
+            text = np.searchsorted(ends, hits, "right")
+            inside = hits + size <= ends[text]
+            for p, d, k in zip(hits[inside].tolist(), text[inside].tolist(), first[inside].tolist(), strict=True):
+                begin = int(ends[d] - told.count[d])
                 while k < len(known) and known[k] == g[p]:
-                    out[int(item[k])][p - int(at[k])].append(int(at[k]))
+                    out[d][int(item[k])][p - begin - int(at[k])].append(int(at[k]))
                     k += 1
         return out
 
@@ -238,45 +298,41 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _sent(items, share):
     def go(batches):
-        cache, own = Canon(), Items(items.value)
+        own, seen = Items(items.value), {}
         of = _found(own, share)
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), raw(b, "text"), strict=True):
-                words = text.split() if text else []
-                if hits := own.alignments(templates(words, cache)):
-                    rows += of(doc_id, words, hits)
+            rows, texts, ids = [], raw(b, "text"), b.column("doc_id").to_pylist()
+            for lo, hi in runs(texts):
+                for d, hits in sorted(own.alignments(Told(texts[lo:hi], seen)).items()):
+                    rows += of(ids[lo + d], texts[lo + d].split(), hits)
             yield _batch(rows)
     return go
 
 
 def _all_windows(sizes: list[int]):
     def go(batches):
-        cache = Canon()
+        seen: dict = {}
         for b in batches:
             key, texts = [b.column(c).to_numpy() for c in ("_k", "_t")], raw(b, "text")
             for lo, hi in runs(texts):
-                out = []
-                for i in range(lo, hi):
-                    told = templates(texts[i].split() if texts[i] else [], cache)
-                    for size in sizes:
-                        g = signed(windows(told, size))
-                        out.append((g, np.full(len(g), size, np.int32), *[np.full(len(g), k[i]) for k in key], np.arange(len(g), dtype=np.int32)))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["h", "size", "_k", "_t", "p"])
+                told = Told(texts[lo:hi], seen)
+                text = np.repeat(np.arange(hi - lo), told.count)
+                place = np.arange(len(text)) - np.repeat(np.cumsum(told.count) - told.count, told.count)
+                for size in sizes:
+                    g = signed(told.windows(size))
+                    own = np.flatnonzero(text[: len(g)] == text[size - 1:]) if len(g) else np.empty(0, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (g[own], np.full(len(own), size, np.int32), *[k[lo + text[own]] for k in key], place[own].astype(np.int32))], ["h", "size", "_k", "_t", "p"])
     return go
 
 
 def _pair(share: float):
     """Judges candidate pairs that carry both texts."""
     def go(batches):
-        cache = Canon()
         for b in batches:
             rows = []
             for doc_id, text, item_id, item in zip(b.column("doc_id").to_pylist(), raw(b, "text"), b.column("item_id").to_pylist(), raw(b, "item"), strict=True):
-                words = text.split()
                 one = Items(Items.state([(item_id, item)]))
-                rows += _found(one, share)(doc_id, words, one.alignments(templates(words, cache)))
+                rows += _found(one, share)(doc_id, text.split(), one.alignments(Told([text])).get(0, {}))
             yield _batch(rows)
     return go
 
