@@ -421,3 +421,12 @@ def test_executors_without_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=400)
     assert done.stdout.strip().endswith("fine"), done.stdout[-1000:] + done.stderr[-3000:]
+
+
+def test_stored_tables_can_be_cleared(spark):
+    common.clear(spark)
+    docs = frame(spark, corpus(40, 20))
+    rows = near_dedup.near_dedup(docs).collect()
+    left = set(common._WRITTEN)
+    assert rows and left and all(os.path.isdir(p.removeprefix("file:")) for p in left) and len(left) <= 4
+    assert common.clear(spark) == len(left) and not any(os.path.isdir(p.removeprefix("file:")) for p in left)
