@@ -58,7 +58,11 @@ def frames(frame: DataFrame, code: int = 5) -> DataFrame:
 
 
 def similarities(frame: DataFrame, code: int = 5, consensus: str = CONSENSUS) -> DataFrame:
-    return _candidates(_proteins(frame, code), consensus).select("sequence", F.explode("c").alias("x")).select("sequence", "x.*")
+    told = _proteins(frame, code).withColumn("similarities", jaro_winkler("proteins", F.lit(consensus)))
+    each = told.select("sequence", F.posexplode(F.arrays_zip("proteins", "similarities")).alias("i", "x"))
+    strand = F.when(F.col("i") < 3, F.lit("forward")).otherwise(F.lit("reverse"))
+    out = each.select("sequence", strand.alias("strand"), (F.col("i") % 3 + 1).alias("frame"), F.col("x.proteins").alias("protein"), F.col("x.similarities").alias("similarity"))
+    return out.withColumn("stop_count", internal_stops(F.col("protein")))
 
 
 def _best(strand: str) -> Column:
