@@ -16,12 +16,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that the classifier scores 0.3 or above."""
+    """Keeps documents that the classifier scores 0.3 or above. Null, empty and blank texts have the score of a text
+    without words; repeated rows are judged each, null ids like others. Without labels of both kinds all documents have
+    the labels' share as score (0.5 without any)."""
     return quality_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops recurring lines; every document stays, n_chars follows the text."""
+    """Drops recurring lines; every document stays, n_chars follows the text. A null text stays null, with null n_chars;
+    equal rows count as one document and each stay, null ids are told apart by their texts."""
     kept = line_dedup(docs).withColumnRenamed("kept_text", "text")
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -49,7 +52,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The batches: doc_id, n_tokens, bucket, bucket_length, batch_id, slot, n_padding; a row for every document given."""
+    """The batches: doc_id, n_tokens, bucket, bucket_length, batch_id, slot, n_padding; a row for every document given,
+    equal rows and null ids included. A null or empty text is one token, its end. No documents, no batches."""
     return pack(docs)
 
 
