@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import contains_lineage, header_taxa
+from ..sources.scratch import written
 
 
 def truncate_missing_rank(frame: DataFrame) -> DataFrame:
@@ -75,6 +76,7 @@ def support(counts: DataFrame) -> DataFrame:
 
     A contained lineage's rarest name in its cluster is among the names of all that contain it, so pairs meet at that
     name only, and never all of a cluster. The lineage without names is contained in all and is added as a number."""
+    counts = written(counts, "counts")  # read several times below
     names = counts.select("cluster", "taxa", "count", F.explode(F.array_distinct("taxa")).alias("name"))
     often = names.groupBy("cluster", "name").agg(F.count(F.lit(1)).alias("often"))
     rarest = names.join(often, ["cluster", "name"]).groupBy("cluster", "taxa").agg(F.min(F.struct("often", "name"))["name"].alias("name"), F.first("count").alias("n"))
