@@ -181,11 +181,12 @@ def recurring_lines(docs: DataFrame, min_docs: int = 5, alike: float = 0.6) -> D
     general = general.unionByName(_general(lines, grouped, min_docs, alike))
     # a line belongs to the template that most documents hold
     chosen = exact.unionByName(general).groupBy("leaf", "line").agg(F.max(F.struct("docs", "template")).alias("t")).select("leaf", "line", "t.*")
+    chosen = stored(chosen, "chosen")  # a plain table, so that a line that stands almost everywhere can be split
     found = stored(lines.join(chosen, ["leaf", "line"]).select(*KEY, "number", "n", "words", "docs", "template"), "found")
     own = found.groupBy(*KEY).agg(F.sum("n").alias("held"), F.max("words").alias("words"), F.min(F.struct("docs", "template")).alias("rarest"))
     own = own.select(*KEY, F.when((100 + NEAR) * F.col("held") >= 2 * NEAR * F.col("words"), F.col("rarest.template")).otherwise(F.xxhash64(*KEY)).alias("group"))
     support = found.join(own, KEY).groupBy("template", "group").agg(F.max("n").alias("n")).groupBy("template").agg(F.count(F.lit(1)).alias("groups"), F.max("n").alias("n"))
-    support = support.select("template", (F.col("groups") >= enough).alias("gone"))
+    support = stored(support.select("template", (F.col("groups") >= enough).alias("gone")), "support")  # plain, as above
     return found.join(support, "template").select(*KEY, "number", "gone")
 
 

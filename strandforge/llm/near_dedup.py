@@ -218,7 +218,7 @@ def _left_over(members: DataFrame, signatures: DataFrame, texts: DataFrame, grou
     told = told.join(split, "bucket")
     sizes = told.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("items"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component", "items")).alias("m"), F.sum("items").alias("all"))
-    main = main.select("bucket", F.col("m.component").alias("main"), F.col("m.items").alias("most"), "all")
+    main = stored(main.select("bucket", F.col("m.component").alias("main"), F.col("m.items").alias("most"), "all"), "main")  # plain, so that a hot bucket can be split
     told = told.join(main, "bucket").withColumn("is_main", F.col("component") == F.col("main"))
     amount = F.when(F.col("is_main"), F.col("most")).otherwise(F.col("all") - F.col("most"))
     told = told.withColumn("block", F.pmod(F.xxhash64("id"), F.greatest(F.ceil(amount / F.lit(BLOCK)), F.lit(1))).cast("int"))
@@ -232,7 +232,7 @@ def _left_over(members: DataFrame, signatures: DataFrame, texts: DataFrame, grou
     y = blocks.select("bucket", "band", "is_main", "block", F.col("rows").alias("y"))
     pairs = x.join(y, "bucket").where("is_main or block >= bx").select("band", "x", "y").mapInArrow(_blocks(percent), "u long, v long")
     out = stored(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    discard(told_all, sets, blocks)
+    discard(told_all, main, sets, blocks)
     return out
 
 
