@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -230,5 +231,20 @@ def runs(texts: list[bytes | None], most: int = 1 << 20):
         yield lo, len(texts)
 
 
+def pieces(batch: pa.RecordBatch, name: str, most: int = 1 << 20):
+    """A string column as UTF-8 bytes, some `most` bytes at a time (or one longer text), so that a batch of long texts
+    is never held twice."""
+    column = batch.column(name).cast(pa.binary())
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    lo = held = 0
+    for i, n in enumerate(size.tolist()):
+        if i > lo and held + n > most:
+            yield column.slice(lo, i - lo).to_pylist()
+            lo, held = i, 0
+        held += n
+    if lo < len(size):
+        yield column.slice(lo).to_pylist()
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)

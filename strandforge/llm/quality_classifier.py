@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plainly, raw, spelled, table
+from .common import pieces, plainly, spelled, table
 from .sampling import held_out, labelled_sample
 
 BUCKETS, DIM, NONZERO, REACH = 8192, 64, 4, 2
@@ -30,7 +30,7 @@ class Units(dict):
     """word -> its place in `table`, which holds the buckets of its units (-1: none). Emptied by `room` when it could
     overflow."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
         self.table = np.full((most, 4), -1, np.int16)
@@ -91,8 +91,8 @@ def contexts(flat: np.ndarray, places: np.ndarray, signs: np.ndarray) -> np.ndar
     return total[::2] - total[1::2]
 
 
-#: Units whose neighbours are counted at once (16 MB of numbers), of one document more.
-COUNTED = 1 << 19
+#: Units whose neighbours are counted at once (some MB of numbers), of one document more.
+COUNTED = 1 << 18
 
 
 def _contexts(batches):
@@ -102,12 +102,13 @@ def _contexts(batches):
     held, size = [], 0
     for b in batches:
         any_rows = True
-        for text in raw(b, "text"):
-            held += [units.of(text), gap]
-            size += len(held[-2]) + REACH
-            if size >= COUNTED:
-                total += contexts(np.concatenate(held), *vectors)
-                held, size = [], 0
+        for texts in pieces(b, "text"):
+            for text in texts:
+                held += [units.of(text), gap]
+                size += len(held[-2]) + REACH
+                if size >= COUNTED:
+                    total += contexts(np.concatenate(held), *vectors)
+                    held, size = [], 0
     if held:
         total += contexts(np.concatenate(held), *vectors)
     if any_rows:
@@ -197,7 +198,7 @@ def _pool(vectors):
     def go(batches):
         units = Units()
         for b in batches:
-            x = [pooled(units.of(t), vectors.value) for t in raw(b, "text")]
+            x = [pooled(units.of(t), vectors.value) for texts in pieces(b, "text") for t in texts]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(x, pa.list_(pa.float32()))], ["doc_id", "label", "x"])
     return go
 
@@ -208,7 +209,7 @@ def _score(sent, keep):
         vectors, net = sent.value
         for b in batches:
             if b.num_rows:
-                x = np.stack([pooled(units.of(t), vectors) for t in raw(b, "text")])
+                x = np.stack([pooled(units.of(t), vectors) for texts in pieces(b, "text") for t in texts])
                 yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(scores(net, x))], [*keep, "score"])
     return go
 
