@@ -30,7 +30,7 @@ class Units(dict):
     """word -> its place in `table`, which holds the buckets of its units (-1: none). Emptied by `room` when it could
     overflow."""
 
-    def __init__(self, most: int = 100_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
         self.table = np.full((most, 4), -1, np.int16)
@@ -92,7 +92,7 @@ def contexts(flat: np.ndarray, places: np.ndarray, signs: np.ndarray) -> np.ndar
 
 
 #: Units whose neighbours are counted at once (some MB of numbers), of one document more.
-COUNTED = 1 << 18
+COUNTED = 1 << 19
 
 
 def _contexts(batches):
