@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bin_completion, decontamination, language_model, line_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_rules, vector_codes
+from . import bin_completion, decontamination, language_model, line_dedup, name_join, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_rules, vector_codes
 
 _ALL = {
     "op1_decontamination": decontamination,
@@ -17,6 +17,7 @@ _ALL = {
     "op10_packing": packing,
     "op11_vector_codes": vector_codes,
     "op12_bin_completion": bin_completion,
+    "op13_name_join": name_join,
 }
 
 
