@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,11 +27,24 @@ def keep_first(frame: DataFrame) -> DataFrame:
     return _best(frame).groupBy("sequence").agg(F.min_by("taxa", "first_pos").alias("taxa"))
 
 
+def shared_beginning(a: Column, b: Column) -> Column:
+    """What two arrays have in common from their first position on, up to the first difference."""
+    places = F.sequence(F.lit(1), F.greatest(F.least(F.size(a), F.size(b)), F.lit(1)))
+    return F.slice(a, F.lit(1), F.size(F.filter(places, lambda i: (i <= F.least(F.size(a), F.size(b))) & (F.slice(a, F.lit(1), i) == F.slice(b, F.lit(1), i)))))
+
+
+def known_part(taxa: Column) -> Column:
+    """Without the unknown ranks at the end."""
+    return F.slice(taxa, F.lit(1), F.coalesce(F.array_max(F.transform(taxa, lambda x, i: F.when(x != "", i + 1).otherwise(0))), F.lit(0)))
+
+
 def common(frame: DataFrame) -> DataFrame:
-    """Equal candidates give way to what they have in common, in the order of the first."""
-    tied = _best(frame).groupBy("sequence").agg(F.array_sort(F.collect_list(F.struct("first_pos", "taxa"))).alias("l"))
-    taxa = F.transform("l", lambda x: x["taxa"])
-    return tied.select("sequence", F.aggregate(F.slice(taxa, 2, F.greatest(F.size(taxa) - 1, F.lit(1))), F.get(taxa, F.lit(0)), F.array_intersect).alias("taxa"))
+    """Equal candidates give way to their last common ancestor: rank by rank from the coarsest, up to the first rank at
+    which they differ; an unknown rank and a name differ.
+
+    In the order of arrays the least and the greatest of some have in common what all have, so nothing is gathered."""
+    tied = _best(frame).groupBy("sequence").agg(F.min("taxa").alias("a"), F.max("taxa").alias("b"))
+    return tied.select("sequence", known_part(shared_beginning(F.col("a"), F.col("b"))).alias("taxa"))
 
 
 def discard(frame: DataFrame) -> DataFrame:

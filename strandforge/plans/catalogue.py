@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import genetic_code, header_taxa, reverse_complement
-from ..operators import derep, lineage, region, sequence, taxonomy
+from ..operators import contaminants, derep, lineage, region, sequence, taxonomy
 from ..sources import readers, writers
 from ..sources.scratch import one_file, put, shared_path
 from . import classify as chain
@@ -156,6 +156,15 @@ def _contains(a: str, b: str) -> str:
     return f"(len(list_distinct({a})) = len({a}) AND list_has_all({a}, {b}))"
 
 
+def _begin(a: str, b: str) -> str:
+    """Rank by rank from the coarsest, up to the first difference."""
+    return f"{a}[1 : len(list_filter(range(1, least(len({a}), len({b})) + 1), lambda i: {a}[1:i] = {b}[1:i]))]"
+
+
+#: Without unknown ranks at the end.
+_KNOWN_PART = "t[1 : coalesce(list_max(list_transform(range(1, len(t) + 1), lambda i: CASE WHEN t[i] <> '' THEN i ELSE 0 END)), 0)]"
+
+
 def _meet(a: str, b: str) -> str:
     kept = f"list_filter({a}, lambda e: list_contains({b}, e))"
     return f"list_filter({kept}, lambda e, i: list_position({kept}, e) = i)"
@@ -463,6 +472,36 @@ def _(spark, d):
     return sequence.length_range(headed(spark, d), 97, 101, discarded=True).select("header", "sequence", "length")
 
 
+def contaminant_file(spark, d) -> str:
+    """Contaminants as FASTA: sequences of some specimens with every 12th letter exchanged, of others with every 8th."""
+    path, b = shared_path(spark, "contaminants"), barcode(spark, d)
+    kind = F.expr("CAST(substring(family, 4) AS INT) % 10")
+    letters = F.expr("replace(regexp_replace(sequence, '^N+', ''), '-', '')")
+    apart = lambda n: F.array_join(F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.when(i % n == 0, F.translate(F.substring("s", i, F.lit(1)), "ACGT", "CGTA")).otherwise(F.substring("s", i, F.lit(1)))), "")
+    own = b.select(kind.alias("k"), letters.alias("s")).where("k < 2").distinct()
+    writers.write_fasta(own.select(F.concat(F.lit(">"), F.md5("s")).alias("header"), F.when(F.col("k") == 0, apart(12)).otherwise(apart(8)).alias("sequence")), path)
+    return path
+
+
+_MIXED = "CAST(substr(family, 4) AS INT) % 10 = 0"
+
+
+def _contaminants(spark, d):
+    found = readers.fasta(spark, contaminant_file(spark, d))
+    return found.select(F.regexp_replace("header", "^>", "").alias("identifier"), "sequence")
+
+
+@query("contaminants_removed", f"SELECT identifier, sequence FROM barcode WHERE NOT {_MIXED}")
+def _(spark, d):
+    """Against contaminants of which a part is at an identity of 88/96, a part at 84/96; the others are not alike."""
+    return contaminants.without_contaminants(barcode(spark, d), _contaminants(spark, d)).select("identifier", "sequence")
+
+
+@query("contaminants_matched", f"SELECT identifier, round(88 / 96, 9) AS identity, CAST(96 AS INT) AS columns FROM barcode WHERE {_MIXED}")
+def _(spark, d):
+    return contaminants.matched(barcode(spark, d), _contaminants(spark, d)).select("identifier", F.round("identity", 9).alias("identity"), "columns")
+
+
 @query("filter_taxon_rank", "SELECT identifier, genus, species FROM barcode WHERE genus <> '' OR species <> ''")
 def _(spark, d):
     return taxonomy.at_least(barcode(spark, d), "genus").select("identifier", "genus", "species")
@@ -610,7 +649,7 @@ def _(spark, d):
     return _joined(derep.keep_first(members(spark, d)))
 
 
-@query("derep_lca", f"{_TIED} SELECT sequence, array_to_string(list_reduce(list(taxa ORDER BY first_pos), lambda a, x: {_meet('a', 'x')}), '|') AS taxa FROM tied GROUP BY sequence")
+@query("derep_lca", f"{_TIED}, agreed AS (SELECT sequence, list_reduce(list(taxa ORDER BY first_pos), lambda a, x: {_begin('a', 'x')}) AS t FROM tied GROUP BY sequence) SELECT sequence, array_to_string({_KNOWN_PART}, '|') AS taxa FROM agreed")
 def _(spark, d):
     return _joined(derep.common(members(spark, d)))
 
@@ -729,7 +768,8 @@ _CHAIN = f"""{_HARMONIZED}, kept AS (SELECT b.pos, b.identifier, b.sequence, h.u
 lined AS (SELECT *, string_split(rtrim(concat_ws('|', {_RANKS}), '|'), '|') AS t FROM kept),
 cand AS (SELECT sequence, t, count(*) AS n, min(pos) AS first_pos FROM lined GROUP BY sequence, t),
 tied AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY sequence ORDER BY len(t) DESC, n DESC) AS r FROM cand) WHERE r = 1),
-agreed AS (SELECT sequence, list_reduce(list(t ORDER BY first_pos), lambda a, x: {_meet('a', 'x')}) AS a FROM tied GROUP BY sequence),
+met AS (SELECT sequence, list_reduce(list(t ORDER BY first_pos), lambda a, x: {_begin('a', 'x')}) AS t FROM tied GROUP BY sequence),
+agreed AS (SELECT sequence, {_KNOWN_PART} AS a FROM met),
 picked AS (SELECT l.sequence, any_value(a) AS a, count(*) AS specimens, arg_min(identifier, CASE WHEN t = a THEN pos ELSE pos + 1000000000 END) AS identifier,
   arg_min(CASE WHEN t = a THEN used_id ELSE -1 END, CASE WHEN t = a THEN pos ELSE pos + 1000000000 END) AS id FROM lined l JOIN agreed USING (sequence) GROUP BY l.sequence)
 SELECT identifier, {_FINAL}, CASE WHEN id >= 0 THEN CAST(id AS BIGINT) END AS taxon_id, specimens, sequence FROM picked"""
