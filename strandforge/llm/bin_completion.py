@@ -11,8 +11,10 @@ place in a pattern; no table of documents or sequences is ever in one task.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,57 +28,84 @@ from .common import pieces, stored, table
 CAPACITY, END = 1024, 2
 #: Nodes that branch and bound visits, and fillings it looks at, before it keeps the best solution found (some seconds at most).
 NODES, LOOKS = 5_000, 300_000
-#: What a task remembers of words' ids: bytes of words and ids together, and the longest word remembered.
-REMEMBERED, LONGEST = 32 << 20, 64
+#: Characters encoded at once, and white space in one run that the fast encoder is not given.
+STRETCH, BLANK = 1 << 18, 4_096
 
 #: The white space of the tokenizers' patterns (Unicode's White_Space).
 _WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-_WORD = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 _CUT = re.compile(f"[^{_WHITE}](?=[{_WHITE}])")
+_LONG = re.compile(f"[{_WHITE}]{{{BLANK},}}")
+#: Fixed value: the pattern by which byte-level tokenizers split a text.
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-class Ids(dict):
-    """Ids of words as little-endian uint32. A word here is white space and what follows it up to the next white space:
-    the tokenizer's pattern never matches across such a border, so a text's ids are those of its words."""
+class Ids:
+    """A tokenizer file's ids of texts, as little-endian uint32. Where the file is a plain byte-level BPE whose merges are
+    in the order of their ids, `tiktoken` encodes from the same vocabulary, with the same ids and several times as fast;
+    what that cannot take, and all of any other tokenizer, goes through `tokenizers`."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.held = Tokenizer.from_file(path), 0
+        self.tokenizer, self.fast, self.special = Tokenizer.from_file(path), *_ranked(path)
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.plain(word)
-        if len(word) <= LONGEST:
-            if self.held > REMEMBERED:
-                self.clear()
-                self.held = 0
-            self[word] = ids
-            self.held += 200 + len(ids)
-        return ids
-
-    def of(self, text: str, most: int = 1 << 20) -> bytes:
-        """Long texts are taken a stretch at a time."""
+    def of(self, text: str, most: int = STRETCH) -> bytes:
+        """Long texts are taken a stretch at a time: no token holds white space behind something else, so a text may be
+        cut there."""
+        if self.fast is None:
+            return self.plain(text)
         out, lo = [], 0
         while lo < len(text):
             hi = len(text)
             if hi - lo > most and (cut := _CUT.search(text, lo + most)):
                 hi = cut.end()
-            out.append(b"".join(map(self.__getitem__, _WORD.findall(text[lo:hi]))))
+            part = text[lo:hi] if lo or hi < len(text) else text
+            if _LONG.search(part):
+                out.append(self.plain(part))
+            else:
+                out.append(self.fast.encode_to_numpy(part, allowed_special=self.special, disallowed_special=()).astype("<u4").tobytes())
             lo = hi
         return out[0] if len(out) == 1 else b"".join(out)
 
 
+def _ranked(path: str):
+    """A tokenizer file as (encoding by ranks, special tokens), or (None, none) if it is of another kind."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    model, before = told["model"], told.get("pre_tokenizer") or {}
+    vocab = model.get("vocab")
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    added = {x["content"]: x["id"] for x in told.get("added_tokens", [])}
+    odd = [x for x in told.get("added_tokens", []) if x["single_word"] or x["lstrip"] or x["rstrip"]]
+    made = [vocab.get("".join(m), -1) for m in merges] if isinstance(vocab, dict) else [-1]
+    plain = model.get("type") in ("BPE", None) and told.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space", True) and before.get("use_regex", True)
+    if not plain or odd or model.get("dropout") or model.get("ignore_merges") or min(made) < 256 or made != sorted(made):
+        return None, set()
+    # bytes stand for themselves where they print, else for the letters from 256 on
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in own)}
+    ranks = {bytes(letter[c] for c in t): i for t, i in vocab.items() if t not in added}
+    return tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=added), set(added)
+
+
+@lru_cache(maxsize=1)
+def _ids(path: str) -> Ids:
+    """Kept from task to task in a worker."""
+    return Ids(path)
+
+
 _TOKENIZED = "doc_id {}, piece int, start long, length int, ids binary, _p int, _r long"
 
 
 def _tokenized(path: str, capacity: int, end: int):
     """Pieces with their ids, the task's number, and each piece's number among those of its length in this task."""
     def go(batches):
-        ids, task, seen = Ids(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        ids, task, seen = _ids(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         last = np.array([end], "<u4").tobytes()
         for b in batches:
             lo = 0
