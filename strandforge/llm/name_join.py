@@ -55,7 +55,8 @@ def cut(names: DataFrame, limit: int = LIMIT, step: int = STEP) -> DataFrame:
     while True:
         depths = F.sequence(F.lit(base + 1), F.least(F.length("name") + 1, F.lit(base + step)))
         ways = rest.select("name", "side", F.explode(depths).alias("depth")).withColumn("cut", _node(F.col("name"), F.col("depth")))
-        crowded = ways.groupBy("cut").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("cut")
+        # written, so that Spark can split the names of one crowded node in the join
+        crowded = stored(ways.groupBy("cut").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("cut"), "crowded")
         # ends are never crowded: a name is there once a side
         deepest = ways.join(crowded.hint("merge"), "cut", "left_semi").groupBy("name", "side").agg(F.max("depth").alias("crowded"))
         told = stored(rest.join(deepest.hint("merge"), ["name", "side"], "left").withColumn("depth", F.coalesce("crowded", F.lit(base)) + 1).drop("crowded"), "cuts")
