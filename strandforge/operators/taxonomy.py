@@ -40,18 +40,23 @@ def standard_lineages(lines: DataFrame) -> DataFrame:
 
 def resolve_synonyms(taxonomy: DataFrame) -> DataFrame:
     """(taxon_id, used_id, used_name): the accepted taxon for a synonym, itself for any other. A synonym of a synonym
-    leads on, for as many steps as there are; where an accepted taxon is missing, the last one found is used."""
+    leads on, for as many steps as there are; where an accepted taxon is missing, the last one found is used. Synonyms
+    that go round in a circle, or lead into one, stand for nothing and are left out.
+
+    Ways are doubled, and only synonyms take part: usually the first round finds that all have arrived."""
     names = taxonomy.select(F.col("taxon_id").alias("g_id"), F.col("name").alias("g_name"))
-    linked = taxonomy.select("taxon_id", F.when(F.col("accepted_id") != F.col("taxon_id"), F.col("accepted_id")).alias("to"))
-    linked = linked.join(names, linked["to"] == names["g_id"], "left").select("taxon_id", F.col("g_id").alias("to"))
-    for _ in range(40):
-        linked = written(linked, "synonyms")
-        onward = linked.where("to is not null").select(F.col("taxon_id").alias("n_id"), F.col("to").alias("n_to"))
-        if linked.join(onward, linked["to"] == onward["n_id"], "left_semi").isEmpty():
-            used = linked.select("taxon_id", F.coalesce("to", "taxon_id").alias("used_id"))
-            return used.join(names, used["used_id"] == names["g_id"]).select("taxon_id", "used_id", F.col("g_name").alias("used_name"))
-        linked = linked.join(onward, linked["to"] == onward["n_id"], "left").select("taxon_id", F.coalesce("n_to", "to").alias("to"))
-    raise ValueError("synonyms go round in a circle")
+    steps = taxonomy.where("accepted_id is not null and accepted_id != taxon_id").select("taxon_id", F.col("accepted_id").alias("to"))
+    linked = steps.join(names.select("g_id"), steps["to"] == F.col("g_id"), "left_semi")
+    open_ = None
+    while True:
+        onward = linked.select(F.col("taxon_id").alias("n_id"), F.col("to").alias("n_to"))
+        linked = written(linked.join(onward, linked["to"] == onward["n_id"], "left").select("taxon_id", "to", "n_to"), "synonyms")
+        before, open_ = open_, linked.agg(F.count("n_to")).first()[0]
+        if not open_ or open_ == before:  # all have arrived, or those left never do
+            break
+        linked = linked.select("taxon_id", F.coalesce("n_to", "to").alias("to"))
+    own = taxonomy.select("taxon_id", "name").join(linked.select(F.col("taxon_id").alias("l_id"), "to", "n_to"), F.col("taxon_id") == F.col("l_id"), "left").where("n_to is null")
+    return own.join(names, F.col("to") == F.col("g_id"), "left").select("taxon_id", F.coalesce("to", "taxon_id").alias("used_id"), F.coalesce("g_name", "name").alias("used_name"))
 
 
 def homonyms(taxonomy: DataFrame) -> DataFrame:
@@ -60,26 +65,45 @@ def homonyms(taxonomy: DataFrame) -> DataFrame:
 
 
 def finest(frame: DataFrame) -> DataFrame:
-    """Adds finest_name, finest_rank and above_name (the next coarser known name, which tells homonyms apart)."""
+    """Adds finest_name, finest_rank and above: rank and name of each coarser known taxon, which tell homonyms apart."""
     known = F.filter(F.array(*[F.struct(F.lit(r).alias("rank"), F.col(COLUMNS[r]).alias("name")) for r in RANKS]), lambda x: x["name"] != "")
-    return frame.withColumn("_known", known).withColumns({"finest_name": F.get("_known", F.lit(0))["name"], "finest_rank": F.get("_known", F.lit(0))["rank"], "above_name": F.get("_known", F.lit(1))["name"]}).drop("_known")
-
-
-def harmonize(frame: DataFrame, taxonomy: DataFrame, retain: bool = False, synonyms_allowed: bool = False) -> DataFrame:
-    """Adds taxon_id and used_name of the taxon that the finest known name means; records without one go unless `retain`.
-
-    Distinct names are matched, not records. A name at a rank that stands for several taxa is a homonym: the taxon
-    with the record's next coarser name above it is taken, or none."""
+    return frame.withColumn("_known", known).withColumns({
+        "finest_name": F.get("_known", F.lit(0))["name"], "finest_rank": F.get("_known", F.lit(0))["rank"], "above": F.slice("_known", 2, len(RANKS))}).drop("_known")
+
+
+def meant(names: DataFrame, taxonomy: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """(finest_name, finest_rank, above, taxon_id, used_id, used_name): the taxon that each of some distinct names means.
+
+    A name at a rank that stands for several taxa is a homonym. Its taxa are told apart by their ways from the root: the
+    one counts on which most of the coarser taxa known for the name lie, whatever ranks lie between. If several have as
+    many, the name means none of them, unless all stand for one accepted taxon. Ways are looked up for homonyms only, and
+    made (`lineages`) only where there are any and `lines` is not given."""
+    key = ["finest_name", "finest_rank", "above"]
+    found = names.join(taxonomy.select("taxon_id", "name", "rank"), (F.col("finest_name") == F.col("name")) & (F.col("finest_rank") == F.col("rank"))).select(*key, "taxon_id", F.col("name").alias("own_name"))
+    found = written(found.join(resolve_synonyms(taxonomy), "taxon_id"), "names")
+    one = found.groupBy(*key).agg(F.min("used_id").alias("least"), F.max("used_id").alias("most"), F.min(F.struct(F.col("taxon_id") != F.col("used_id"), "taxon_id", "own_name", "used_id", "used_name")).alias("t"))
+    columns = [*key, "t.taxon_id", "t.own_name", "t.used_id", "t.used_name"]
+    sure, doubtful = one.where("least = most").select(*columns), one.where("least < most").select(*key)
+    if doubtful.isEmpty():
+        return sure
+    lines = lineages(taxonomy) if lines is None else lines
+    homonyms_ = found.join(doubtful, key, "left_semi").join(lines, "taxon_id", "left")
+    score = F.size(F.filter("above", lambda a: F.exists(F.coalesce("path", F.array().cast(lines.schema["path"].dataType)), lambda x: (x["rank"] == a["rank"]) & (x["name"] == a["name"]))))
+    scored = homonyms_.select(*key, "taxon_id", "own_name", "used_id", "used_name", score.alias("score"))
+    best = scored.groupBy(*key).agg(F.max("score").alias("best"))
+    told = scored.join(best, key).where("score = best").groupBy(*key).agg(
+        F.min("used_id").alias("least"), F.max("used_id").alias("most"), F.min(F.struct(F.col("taxon_id") != F.col("used_id"), "taxon_id", "own_name", "used_id", "used_name")).alias("t"))
+    return sure.unionByName(told.where("least = most").select(*columns))
+
+
+def harmonize(frame: DataFrame, taxonomy: DataFrame, retain: bool = False, synonyms_allowed: bool = False, lines: DataFrame | None = None) -> DataFrame:
+    """Adds taxon_id and used_name of the taxon that the finest known name means (`meant`); records without one go
+    unless `retain`. Distinct names are matched, not records."""
     told = finest(frame)
-    names = told.select("finest_name", "finest_rank", "above_name").distinct()
-    parents = taxonomy.select(F.col("taxon_id").alias("parent_id"), F.col("name").alias("parent_name"))
-    kinds = taxonomy.groupBy("name", "rank").agg(F.count(F.lit(1)).alias("homonyms"))
-    backbone = taxonomy.join(kinds, ["name", "rank"]).join(parents, "parent_id", "left")
-    hit = names.join(backbone, (F.col("finest_name") == F.col("name")) & (F.col("finest_rank") == F.col("rank")) & ((F.col("homonyms") == 1) | (F.col("above_name") == F.col("parent_name"))))
-    used = resolve_synonyms(taxonomy)
-    own = [F.col("taxon_id"), F.col("name").alias("used_name")] if synonyms_allowed else [F.col("used_id").alias("taxon_id"), F.col("used_name")]
-    match = hit.join(used, "taxon_id").select(F.col("finest_name").alias("m_name"), F.col("finest_rank").alias("m_rank"), F.col("above_name").alias("m_above"), *own)
-    same = (F.col("finest_name") == F.col("m_name")) & (F.col("finest_rank") == F.col("m_rank")) & F.col("above_name").eqNullSafe(F.col("m_above"))
+    match = meant(told.where("finest_name is not null").select("finest_name", "finest_rank", "above").distinct(), taxonomy, lines)
+    own = [F.col("taxon_id"), F.col("own_name").alias("used_name")] if synonyms_allowed else [F.col("used_id").alias("taxon_id"), F.col("used_name")]
+    match = match.select(F.col("finest_name").alias("m_name"), F.col("finest_rank").alias("m_rank"), F.col("above").alias("m_above"), *own)
+    same = (F.col("finest_name") == F.col("m_name")) & (F.col("finest_rank") == F.col("m_rank")) & (F.col("above") == F.col("m_above"))
     out = told.join(match, same, "left" if retain else "inner")
     return out.select(*frame.columns, "finest_name", "finest_rank", "taxon_id", F.coalesce("used_name", "finest_name").alias("used_name"))
 
@@ -96,8 +120,9 @@ def harmonized(frame: DataFrame, taxonomy: DataFrame | None, retain: bool = Fals
     ranks = [COLUMNS[r] for r in reversed(RANKS)]
     if taxonomy is None:
         return finest(frame).select(*frame.columns, F.lit(None).cast("long").alias("taxon_id"), F.col("finest_name").alias("used_name"))
-    told = harmonize(frame, taxonomy, retain, synonyms_allowed)
-    lines = standard_lineages(lineages(taxonomy) if lines is None else lines).select(F.col("taxon_id").alias("l_id"), *[F.col(c).alias(f"l_{c}") for c in ranks])
+    lines = lineages(taxonomy) if lines is None else lines
+    told = harmonize(frame, taxonomy, retain, synonyms_allowed, lines)
+    lines = standard_lineages(lines).select(F.col("taxon_id").alias("l_id"), *[F.col(c).alias(f"l_{c}") for c in ranks])
     out = told.join(lines, told["taxon_id"] == lines["l_id"], "left")
     return out.select(*[F.when(F.col("l_id").isNotNull(), F.col(f"l_{c}")).otherwise(F.col(c)).alias(c) if c in ranks else F.col(c) for c in frame.columns], F.col("taxon_id").cast("long").alias("taxon_id"), "used_name")
 

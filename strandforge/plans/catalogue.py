@@ -9,6 +9,7 @@ from __future__ import annotations
 import struct
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.expressions import genetic_code, header_taxa, reverse_complement
@@ -42,9 +43,11 @@ SELECT 1 AS taxon_id, CAST(NULL AS INT) AS parent_id, 'Animalia' AS name, 'kingd
 UNION ALL SELECT 100 + r_regionkey, 1, r_name, 'phylum', 'accepted', CAST(NULL AS INT), FALSE FROM {region}
 UNION ALL SELECT 200 + n_nationkey, 100 + n_regionkey, n_name, 'class', 'accepted', CAST(NULL AS INT), FALSE FROM {nation}
 UNION ALL SELECT DISTINCT CAST(1000 + c_custkey % 40 AS INT), CAST(200 + c_custkey % 25 * 0 + c_custkey % 40 % 25 AS INT), concat('Fam', CAST(c_custkey % 40 AS STRING)), 'family', 'accepted', CAST(NULL AS INT), c_custkey % 40 = 7 FROM {customer}
-UNION ALL SELECT DISTINCT CAST(2000 + c_custkey % 80 AS INT), CAST(1000 + c_custkey % 40 AS INT), concat('Gen', CAST(c_custkey % 80 AS STRING)), 'genus',
+UNION ALL SELECT DISTINCT CAST(3000 + c_custkey % 40 AS INT), CAST(1000 + c_custkey % 40 AS INT), concat('Sub', CAST(c_custkey % 40 AS STRING)), 'subfamily', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}
+UNION ALL SELECT DISTINCT CAST(4000 + c_custkey % 10 AS INT), CAST(3000 + (c_custkey + 1) % 10 AS INT), concat('Tri', CAST(c_custkey % 10 AS STRING)), 'tribe', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}
+UNION ALL SELECT DISTINCT CAST(2000 + c_custkey % 80 AS INT), CAST(3000 + c_custkey % 40 AS INT), concat('Gen', CAST(c_custkey % 80 AS STRING)), 'genus',
   CASE WHEN c_custkey % 80 % 7 = 0 THEN 'synonym' ELSE 'accepted' END, CASE WHEN c_custkey % 80 % 7 = 0 THEN CAST(2000 + (c_custkey % 80 + 1) % 80 AS INT) END, FALSE FROM {customer}
-UNION ALL SELECT DISTINCT CAST(5000 + c_custkey % 10 AS INT), CAST(1000 + (c_custkey + 1) % 10 % 40 AS INT), concat('Gen', CAST(c_custkey % 10 AS STRING)), 'genus', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}
+UNION ALL SELECT DISTINCT CAST(5000 + c_custkey % 10 AS INT), CAST(4000 + c_custkey % 10 AS INT), concat('Gen', CAST(c_custkey % 10 AS STRING)), 'genus', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}
 UNION ALL SELECT DISTINCT CAST(6000 + c_custkey % 80 AS INT), CAST(2000 + c_custkey % 80 AS INT), concat('Gen', CAST(c_custkey % 80 AS STRING), ' sp1'), 'species', 'accepted', CAST(NULL AS INT), FALSE FROM {customer}"""
 
 COUNTRIES = "SELECT n.n_name AS country, r.r_name AS continent FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey"
@@ -215,23 +218,49 @@ def _(spark, d):
     return readers.fasta_folder(spark, folder).select("header", "sequence")
 
 
-@query("cluster_parse", "SELECT header, substr(header, 2, strpos(header, '|') - 2) AS cluster, substr(header, strpos(header, '|') + 1) AS member FROM headed")
+_HALF = "CAST(length(sequence) // 2 AS INT)"
+
+
+@query("cluster_parse", "SELECT header, substr(header, 2, strpos(header, '|') - 2) AS cluster, substr(header, strpos(header, '|') + 1) AS member, "
+       f"CASE WHEN pos % 6 = 0 THEN concat(substr(sequence, 1, {_HALF}), '>none', substr(sequence, {_HALF} + 1)) ELSE sequence END AS sequence FROM headed")
+def _(spark, d):
+    """Clustered FASTA in which some records are cut in two by a header without a pipe."""
+    path, half = shared_path(spark, "clustered"), (F.length("sequence") / 2).cast("int")
+    cut = F.concat(F.substring("sequence", F.lit(1), half), F.lit("\n>none\n"), F.substring("sequence", half + 1, F.length("sequence")))
+    writers.write_fasta(headed(spark, d).select("header", F.when(F.col("pos") % 6 == 0, cut).otherwise(F.col("sequence")).alias("sequence"), "pos"), path)
+    return readers.clustered(spark, path).select("header", "cluster", "member", "sequence")
+
+
+@query("input_order", "SELECT header, row_number() OVER (ORDER BY source, pos) AS place FROM headed")
 def _(spark, d):
-    return readers.cluster_parts(headed(spark, d)).where("not rejected").select("header", "cluster", "member")
+    """First occurrences over files of unequal size, of which Spark reads the largest first: numbered as written."""
+    folder, h = shared_path(spark, "ordered"), headed(spark, d)
+    for source in ("GBOL", "GENBANK", "BOLD"):
+        one_file(writers.fasta_text(h.where(F.col("source") == source).orderBy("pos")), f"{folder}/{source}.fas")
+    read = readers.fasta(spark, folder)
+    before = read.select("pos.file_path", "pos.block").groupBy("file_path", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = before.select("file_path", "block", (F.sum("n").over(W.orderBy("file_path", "block")) - F.col("n")).alias("before"))  # a row a block
+    own = F.row_number().over(W.partitionBy("pos.file_path", "pos.block").orderBy("pos"))
+    return read.withColumns({"file_path": F.col("pos.file_path"), "block": F.col("pos.block"), "own": own}).join(before, ["file_path", "block"]).select("header", (F.col("before") + F.col("own")).alias("place"))
 
 
 _COLS = ["identifier", "kingdom", "phylum", "class", "order_name", "family", "genus", "species", "country", "latitude", "longitude", "sequence"]
 
 
 def _specimen_file(spark, d) -> str:
+    """Columns in an order of their own, one that is not read, and cells that hold or begin with quotes."""
     path, b = shared_path(spark, "specimens"), barcode(spark, d)
-    writers.write_tsv(b.select("identifier", "kingdom", "phylum", "class", F.col("order_name").alias("order"), "family", "genus", "species", F.concat(F.lit("Town, "), F.coalesce("country", F.lit(""))).alias("location"), "latitude", "longitude", "sequence"), path)
+    location = F.concat(F.when(F.col("pos") % 5 == 0, F.lit('"Near" ')).when(F.col("pos") % 7 == 0, F.lit('"')).otherwise(F.lit("")), F.lit("Town, "), F.coalesce("country", F.lit("")))
+    writers.write_tsv(b.select("sequence", "latitude", "kingdom", F.lit('"').alias("remark"), "phylum", location.alias("location"), "class", "species", F.col("order_name").alias("order"), "family", "genus", "longitude", "identifier"), path)
     return path
 
 
-@query("tsv_scan", "SELECT identifier, kingdom, phylum, class, order_name, family, genus, species, concat('Town, ', coalesce(country, '')) AS location, latitude, longitude, sequence FROM barcode")
+_LOCATION = "concat(CASE WHEN pos % 5 = 0 THEN '\"Near\" ' WHEN pos % 7 = 0 THEN '\"' ELSE '' END, 'Town, ', coalesce(country, ''))"
+
+
+@query("tsv_scan", f"SELECT identifier, kingdom, phylum, class, order_name, family, genus, species, {_LOCATION} AS location, latitude, longitude, sequence FROM barcode")
 def _(spark, d):
-    return readers.specimens(spark, _specimen_file(spark, d)).withColumnRenamed("order", "order_name")
+    return readers.specimens(spark, _specimen_file(spark, d)).withColumnRenamed("order", "order_name").drop("pos")
 
 
 @query("src_specimens", f"SELECT {', '.join(_COLS)}, 'TABLE' AS source FROM barcode")
@@ -268,13 +297,32 @@ _LETTERS = "translate({}, '0123456789', 'abcdefghij')"
 
 
 def genbank_file(spark, d) -> str:
-    """Flat files. Names have letters for digits, as names of organisms have no digits."""
+    """Flat files of genomes with three genes each. The marker is one piece, or on the other strand, or two pieces of which
+    the first lies behind the other, or both; in every tenth record its place is not named, and the gene is another.
+    Names have letters for digits, as names of organisms have no digits."""
     path, b = shared_path(spark, "genbank"), barcode(spark, d).where("source = 'GENBANK'")
     organism = F.expr(_LETTERS.format("CASE WHEN species <> '' THEN species WHEN genus <> '' THEN concat(genus, ' sp. X') ELSE 'uncultured thing' END"))
     side = lambda c, plus, minus: F.concat(F.abs(F.col(c)).cast("string"), F.when(F.col(c) < 0, minus).otherwise(plus))
-    lines = F.concat_ws("\n", F.concat(F.lit("LOCUS       "), "identifier"), F.concat(F.lit("ACCESSION   "), "identifier", F.lit(" OLD1")), F.concat(F.lit("  ORGANISM  "), organism),
-                        F.concat(F.lit('                     /geo_loc_name="'), "country", F.lit(': Hill Town"')), F.concat(F.lit('                     /lat_lon="'), side("latitude", " N ", " S "), side("longitude", " E", " W"), F.lit('"')),
-                        F.lit("ORIGIN      "), F.concat(F.lit("        1 "), F.lower(F.substring("sequence", 1, 10)), F.lit(" "), F.lower(F.substring("sequence", 11, 50))), F.concat(F.lit("       61 "), F.lower(F.expr("substring(sequence, 61)"))), F.lit("//"))
+    b = b.withColumns({"kind": F.col("pos") % 4, "n": F.length("sequence"), "front": F.expr("substring(translate(md5(identifier), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 30)")})
+    half = F.lit(40)
+    first, second = F.substring("sequence", F.lit(1), half), F.substring("sequence", half + 1, F.col("n"))
+    shuffled = F.concat(second, F.lit("GG"), first)  # from 31 on: the second piece, two bases, the first
+    back = lambda x: F.translate(F.reverse(x), "ACGT", "TGCA")
+    inner = F.when(F.col("kind") == 0, F.col("sequence")).when(F.col("kind") == 1, back(F.col("sequence"))).when(F.col("kind") == 2, shuffled).otherwise(back(shuffled))
+    span = lambda a, z: F.concat(a.cast("string"), F.lit(".."), z.cast("string"))
+    n, at = F.col("n"), F.lit(31)
+    two = F.concat(F.lit("join("), span(at + n - 40 + 2, at + n + 1), F.lit(",\n" + " " * 21), span(at, at + n - 41), F.lit(")"))
+    # on the other strand the first piece comes first again
+    place = F.when(F.col("kind") == 0, F.concat(F.lit("<"), at.cast("string"), F.lit("..>"), (at + n - 1).cast("string"))).when(F.col("kind") == 1, F.concat(F.lit("complement("), span(at, at + n - 1), F.lit(")"))).when(F.col("kind") == 2, two).otherwise(
+        F.concat(F.lit("order(complement("), span(at, at + 39), F.lit("),complement("), span(at + 42, at + n + 1), F.lit("))")))
+    genome = F.lower(F.concat("front", inner, F.lit("ACGTTTTACG")))
+    gene = lambda kind, where, name, product: F.concat(F.rpad(F.lit(f"     {kind}"), 21, " "), where, F.lit("\n" + " " * 21 + '/gene="'), F.lit(name), F.lit('"\n' + " " * 21 + '/product="'), F.lit(product), F.lit('"'))
+    marker = F.when(F.col("pos") % 10 == 1, gene("CDS", place, "CYTB", "cytochrome b")).when(F.col("pos") % 3 == 0, gene("CDS", place, "COX1", "cytochrome c oxidase")).otherwise(gene("CDS", place, "x", "cytochrome c oxidase\n" + " " * 21 + "subunit I"))
+    lines = F.concat_ws("\n", F.concat(F.lit("LOCUS       "), "identifier"), F.concat(F.lit("ACCESSION   "), "identifier", F.lit(" OLD1")), F.concat(F.lit("  ORGANISM  "), organism), F.lit("FEATURES             Location/Qualifiers"),
+                        F.lit("     source          1..30\n" + " " * 21 + '/note="not ""COX1"" /gene="'),
+                        F.concat(F.lit(" " * 21 + '/geo_loc_name="'), "country", F.lit(': Hill Town"')), F.concat(F.lit(" " * 21 + '/lat_lon="'), side("latitude", " N ", " S "), side("longitude", " E", " W"), F.lit('"')),
+                        gene("CDS", F.lit("1..30"), "ND2", "NADH dehydrogenase subunit 2"), marker, gene("gene", F.lit("complement(3..9)"), "COX2", "cytochrome c oxidase subunit II"),
+                        F.lit("ORIGIN      "), F.concat(F.lit("        1 "), F.substring(genome, 1, 10), F.lit(" "), F.substring(genome, 11, 50)), F.concat(F.lit("       61 "), F.substring(genome, F.lit(61), F.length(genome))), F.lit("//"))
     b.select(lines.alias("value")).write.text(path)
     return path
 
@@ -293,30 +341,30 @@ _RANKS = "kingdom, phylum, class, order_name, family, genus, species"
 
 @query("src_bold", f"SELECT identifier, {_RANKS}, country, latitude, longitude, sequence, source FROM barcode WHERE source = 'BOLD'")
 def _(spark, d):
-    return readers.bold_release(spark, bold_file(spark, d)).drop("location")
+    return readers.bold_release(spark, bold_file(spark, d)).drop("location", "pos")
 
 
 @query("src_bold_downloads", f"SELECT identifier, {_RANKS}, country, latitude, longitude, sequence, source FROM barcode WHERE source = 'BOLD'")
 def _(spark, d):
-    return readers.bold_downloads(spark, bold_folder(spark, d)).drop("location")
+    return readers.bold_downloads(spark, bold_folder(spark, d)).drop("location", "pos")
 
 
 @query("src_gbol", f"SELECT identifier, {_RANKS}, 'Germany' AS country, 'Bonn' AS location, latitude, longitude, sequence, source FROM barcode WHERE source = 'GBOL'")
 def _(spark, d):
-    return readers.gbol(spark, gbol_file(spark, d))
+    return readers.gbol(spark, gbol_file(spark, d)).drop("pos")
 
 
-@query("src_genbank", f"SELECT identifier, {_LETTERS.format('genus')} AS genus, {_LETTERS.format('species')} AS species, country, CASE WHEN country IS NOT NULL THEN 'Hill Town' END AS location, latitude, longitude, sequence, source FROM barcode WHERE source = 'GENBANK'")
+@query("src_genbank", f"SELECT identifier, {_LETTERS.format('genus')} AS genus, {_LETTERS.format('species')} AS species, country, CASE WHEN country IS NOT NULL THEN 'Hill Town' END AS location, latitude, longitude, sequence, source FROM barcode WHERE source = 'GENBANK' AND pos % 10 <> 1")
 def _(spark, d):
-    return readers.genbank(spark, genbank_file(spark, d)).drop("kingdom", "phylum", "class", "order_name", "family")
+    return readers.genbank(spark, genbank_file(spark, d)).drop("kingdom", "phylum", "class", "order_name", "family", "pos")
 
 
 @query("src_midori", f"SELECT identifier, {_RANKS}, replace(sequence, '-', '') AS sequence, 'MIDORI' AS source FROM barcode")
 def _(spark, d):
-    return readers.midori(spark, midori_file(spark, d)).drop("country", "location", "latitude", "longitude")
+    return readers.midori(spark, midori_file(spark, d)).drop("country", "location", "latitude", "longitude", "pos")
 
 
-@query("src_union", "SELECT identifier, source, sequence FROM barcode")
+@query("src_union", "SELECT identifier, source, sequence FROM barcode WHERE source <> 'GENBANK' OR pos % 10 <> 1")
 def _(spark, d):
     params = Parameters(sources=("all",), folders={"bold_release": bold_file(spark, d), "gbol": gbol_file(spark, d), "genbank": genbank_file(spark, d)}).checked()
     return readers.union_sources(*chain.sources(spark, params).values()).select("identifier", "source", "sequence")
@@ -674,12 +722,14 @@ def _(spark, d):
     return taxonomy.resolve_synonyms(backbone(spark, d))
 
 
-_KNOWN = ("WITH told AS (SELECT identifier, list_filter([struct_pack(rank := 'species', name := species), struct_pack(rank := 'genus', name := genus), struct_pack(rank := 'family', name := family), "
+_UP = "up AS (SELECT taxon_id AS id, parent_id AS at, rank, name FROM backbone UNION ALL SELECT u.id, b.parent_id, b.rank, b.name FROM up u JOIN backbone b ON u.at = b.taxon_id)"
+_KNOWN = (f"WITH RECURSIVE {_UP}, told AS (SELECT identifier, list_filter([struct_pack(rank := 'species', name := species), struct_pack(rank := 'genus', name := genus), struct_pack(rank := 'family', name := family), "
           "struct_pack(rank := 'order', name := order_name), struct_pack(rank := 'class', name := class), struct_pack(rank := 'phylum', name := phylum), struct_pack(rank := 'kingdom', name := kingdom)], lambda x: x.name <> '') AS k FROM barcode), "
-          "finest AS (SELECT identifier, k[1].name AS finest_name, k[1].rank AS finest_rank, k[2].name AS above_name FROM told), "
-          "kinds AS (SELECT name, rank, count(*) AS homonyms FROM backbone GROUP BY name, rank), "
-          "hits AS (SELECT f.*, t.taxon_id AS own_id, t.name AS own_name, coalesce(g.taxon_id, t.taxon_id) AS used_id, coalesce(g.name, t.name) AS used FROM finest f JOIN backbone t ON t.name = finest_name AND t.rank = finest_rank "
-          "JOIN kinds k ON k.name = t.name AND k.rank = t.rank LEFT JOIN backbone p ON p.taxon_id = t.parent_id LEFT JOIN backbone g ON g.taxon_id = t.accepted_id WHERE homonyms = 1 OR above_name = p.name)")
+          "finest AS (SELECT identifier, k[1].name AS finest_name, k[1].rank AS finest_rank, k[2:] AS above FROM told), "
+          "found AS (SELECT f.*, t.taxon_id AS own_id, t.name AS own_name, coalesce(g.taxon_id, t.taxon_id) AS used_id, coalesce(g.name, t.name) AS used FROM finest f JOIN backbone t ON t.name = finest_name AND t.rank = finest_rank LEFT JOIN backbone g ON g.taxon_id = t.accepted_id), "
+          "scored AS (SELECT f.identifier, f.own_id, count(*) FILTER (WHERE list_contains(f.above, struct_pack(rank := u.rank, name := u.name))) AS score FROM found f JOIN up u ON u.id = f.own_id GROUP BY f.identifier, f.own_id), "
+          "best AS (SELECT * FROM (SELECT f.*, rank() OVER (PARTITION BY f.identifier ORDER BY score DESC) AS r FROM found f JOIN scored s ON s.identifier = f.identifier AND s.own_id = f.own_id) WHERE r = 1), "
+          "hits AS (SELECT * EXCLUDE (r, n, lo, hi) FROM (SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY own_id <> used_id, own_id) AS n, min(used_id) OVER (PARTITION BY identifier) AS lo, max(used_id) OVER (PARTITION BY identifier) AS hi FROM best) WHERE n = 1 AND lo = hi)")
 for _name, _retain, _syn in (("harmonize", False, False), ("harmonize_retain", True, False), ("harmonize_synonyms", False, True)):
     def _harm(spark, d, r=_retain, s=_syn):
         return taxonomy.harmonize(barcode(spark, d), backbone(spark, d), r, s).select("identifier", "finest_name", "finest_rank", "taxon_id", "used_name")
@@ -687,9 +737,8 @@ for _name, _retain, _syn in (("harmonize", False, False), ("harmonize_retain", T
     query(_name, f"{_KNOWN} SELECT f.identifier, f.finest_name, f.finest_rank, {'h.used_id AS taxon_id, coalesce(h.used, f.finest_name) AS used_name' if _retain else _cols} FROM {'finest f LEFT JOIN hits h USING (identifier)' if _retain else 'hits f'}")(_harm)
 
 
-_UP = "up AS (SELECT taxon_id AS id, parent_id AS at, rank, name FROM backbone UNION ALL SELECT u.id, b.parent_id, b.rank, b.name FROM up u JOIN backbone b ON u.at = b.taxon_id)"
 _STANDARD = "standard AS (SELECT id, " + ", ".join(f"coalesce(max(name) FILTER (WHERE rank = '{r}'), '') AS {c}" for r, c in zip(reversed(taxonomy.RANKS), _RANKS.split(", "))) + " FROM up GROUP BY id)"
-_HARMONIZED = _KNOWN.replace("WITH told", f"WITH RECURSIVE {_UP}, {_STANDARD}, told", 1)
+_HARMONIZED = _KNOWN.replace(", told AS", f", {_STANDARD}, told AS", 1)
 
 
 @query("harmonized_lineage", f"{_HARMONIZED} SELECT h.identifier, {', '.join('s.' + c for c in _RANKS.split(', '))}, CAST(h.used_id AS BIGINT) AS taxon_id, h.used AS used_name FROM hits h JOIN standard s ON s.id = h.used_id")

@@ -18,15 +18,18 @@ RANKS = [taxonomy.COLUMNS[r] for r in reversed(taxonomy.RANKS)]
 
 def sources(spark: SparkSession, params: Parameters, downloaded: str = "downloads") -> dict[str, DataFrame]:
     """Records of each source that the parameters name: from the folder given for it, or from the latest download."""
-    read = {"gbol": readers.gbol, "bold": readers.bold_downloads, "genbank": readers.genbank, "midori": readers.midori}
+    of = {"marker": params.marker}
+    read = {"gbol": (readers.gbol, {}), "bold": (readers.bold_downloads, of), "genbank": (readers.genbank, of), "midori": (readers.midori, of)}
     out = {}
     for name in params.sources:
         if name == "bold" and (path := params.folders.get("bold_release")):
-            out[name] = readers.bold_release(spark, path)
+            out[name] = readers.bold_release(spark, path, **of)
         else:
             path = params.folders.get(name) or readers.latest(readers.downloads(spark, f"{downloaded}/{name.upper()}"))
-            out[name] = read[name](spark, path)
-    return out
+            reader, more = read[name]
+            out[name] = reader(spark, path, **more)
+    # rows as they come, source after source
+    return {name: df.withColumn("pos", F.struct(F.lit(i).alias("source"), "pos")) for i, (name, df) in enumerate(out.items())}
 
 
 def harmonized(records: DataFrame, params: Parameters, backbone: DataFrame | None) -> DataFrame:
@@ -88,10 +91,11 @@ def dereplicated(records: DataFrame, strategy: str | None) -> DataFrame:
 
 
 def comparison(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Per record its lineage as it came and as it was harmonized."""
-    line = lambda df: df.select("identifier", "source", F.regexp_replace(F.concat_ws("|", *[F.coalesce(F.col(r), F.lit("")) for r in RANKS]), r"[|]+$", "").alias("lineage"))
+    """Per record its lineage as it came and as it was harmonized. Records are told apart by `pos`, as identifiers may
+    repeat."""
+    line = lambda df: df.select("pos", "identifier", "source", F.regexp_replace(F.concat_ws("|", *[F.coalesce(F.col(r), F.lit("")) for r in RANKS]), r"[|]+$", "").alias("lineage"))
     a, b = line(before), line(after)
-    out = a.withColumnRenamed("lineage", "lineage_before").join(b.withColumnRenamed("lineage", "lineage_after"), ["identifier", "source"])
+    out = a.withColumnRenamed("lineage", "lineage_before").join(b.select("pos", F.col("lineage").alias("lineage_after")), "pos")
     return out.withColumn("changed", F.col("lineage_before") != F.col("lineage_after"))
 
 

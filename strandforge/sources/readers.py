@@ -5,7 +5,11 @@ from __future__ import annotations
 import struct
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .genbank import marker_sequence
 
 SPECIMEN = (
     "identifier string, kingdom string, phylum string, class string, `order` string, family string, genus string, species string, "
@@ -13,10 +17,16 @@ SPECIMEN = (
 )
 
 
+def place() -> Column:
+    """Where a row of a file stands: files by name, blocks by where they begin, rows as they come. Orders rows as the
+    input has them, however Spark deals the blocks, and no task sees more than its own."""
+    return F.struct("_metadata.file_name", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per FASTA record as written: file, pos (order within the input), header (with '>'), sequence, n_lines.
-    Files may be gzipped. Windows line ends are removed."""
-    text = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("pos"), F.col("value"))
+    """One row per FASTA record as written: file, pos (`place`), header (with '>'), sequence, n_lines. Files may be
+    gzipped. Windows line ends are removed."""
+    text = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_name").alias("file"), place().alias("pos"), F.col("value"))
     clean = text.withColumn("value", F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")).where("value != ''")
     cut = clean.withColumn("lines", F.split("value", "\n", -1))
     body = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(1)))
@@ -53,6 +63,28 @@ def fasta_folder(spark: SparkSession, folder: str) -> DataFrame:
     return assemble(read)
 
 
+def clustered(spark: SparkSession, path: str) -> DataFrame:
+    """(cluster, member, header, sequence, pos) of clustered FASTA, headers >cluster|member. A header without a pipe
+    begins no record: its line and those behind it are lines of the record before, in the same file. What stands before
+    a file's first header with a pipe belongs to nothing and is left out."""
+    return cluster_parts(assemble(_carried(records(spark, path)))).select("cluster", "member", "header", "sequence", "pos")
+
+
+def _carried(parts: DataFrame) -> DataFrame:
+    """Records without a pipe as further lines of the last record with one. The last header of each block of a file goes
+    from block to block, a row a block; inside a block only those that hold such records are sorted."""
+    parts = parts.withColumn("piped", F.instr("header", "|") > 0)
+    told = parts.select("pos", F.col("pos.file_path").alias("path"), F.col("pos.block").alias("block"), F.when(F.col("piped"), F.col("header")).alias("own"))
+    blocks = told.groupBy("path", "block").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("pos"))).alias("last"), F.max(F.col("own").isNull()).alias("loose"))
+    before = F.last("last", ignorenulls=True).over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
+    carried = blocks.select("path", "block", "loose", before.alias("before")).where("loose")
+    inside = F.last("own", ignorenulls=True).over(W.partitionBy("path", "block").orderBy("pos"))
+    loose = told.join(carried, ["path", "block"]).withColumn("into", F.coalesce(inside, "before")).where("own is null").select(F.col("pos").alias("loose_pos"), "into")
+    joined = parts.where(~F.col("piped")).join(loose, F.col("pos") == F.col("loose_pos")).where("into is not null")
+    more = joined.select("file", "pos", F.col("into").alias("header"), F.concat("header", "sequence").alias("sequence"), (F.col("n_lines") + 1).alias("n_lines"))
+    return parts.where("piped").select(*more.columns).unionByName(more)
+
+
 def cluster_parts(frame: DataFrame) -> DataFrame:
     """Adds cluster, member and rejected: the part before the header's first pipe, the rest, and whether there is no pipe."""
     bare = F.regexp_replace("header", "^>", "")
@@ -64,12 +96,21 @@ def cluster_parts(frame: DataFrame) -> DataFrame:
 
 
 def specimens(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated specimen table with a header row; blank coordinates are null, blank text stays empty."""
-    read = spark.read.option("sep", "\t").option("header", True).option("emptyValue", "").option("nullValue", "\u0000").schema(SPECIMEN.replace("latitude double, longitude double", "latitude string, longitude string")).csv(path)
-    text = {f.name: F.coalesce(F.col(f"`{f.name}`"), F.lit("")) for f in read.schema.fields if f.name not in ("latitude", "longitude")}
+    """Tab-separated specimen table with a header row, whose columns may stand in any order; further ones are left out,
+    missing ones empty. Quotes are text like any other. Blank coordinates are null, blank text stays empty."""
+    names = [f.name for f in T.StructType.fromDDL(SPECIMEN).fields]
+    read = _tsv(spark, path, names, placed=True)
+    text = {c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in names if c not in ("latitude", "longitude")}
     return read.withColumns(text | {c: F.expr(f"try_cast({c} AS double)") for c in ("latitude", "longitude")})
 
 
+#: What sources call a marker; names of genes and products in lower case, with blanks for what joins words.
+MARKERS = {"co1": {
+    "bold": "COI-5P", "midori": "co1", "genes": frozenset(["co1", "coi", "cox1", "coxi", "cox 1", "co i", "coi 5p", "mt co1", "mtco1"]),
+    "products": frozenset(f"{enzyme} subunit {n}" for enzyme in ("cytochrome c oxidase", "cytochrome oxidase", "cytochrome c oxydase") for n in ("1", "i"))}}
+#: Names of genes in names of MIDORI's files.
+MIDORI_GENES = ["A6", "A8", "CO1", "CO2", "CO3", "Cytb", "ND1", "ND2", "ND3", "ND4", "ND4L", "ND5", "ND6", "lrRNA", "srRNA"]
+
 #: What every source comes to: the columns of `SPECIMEN` with order_name for `order`, country, marker and source.
 RECORD = ["identifier", "kingdom", "phylum", "class", "order_name", "family", "genus", "species", "country", "location", "latitude", "longitude", "sequence", "source"]
 
@@ -80,14 +121,14 @@ def _record(frame: DataFrame, source: str, given: dict[str, Column]) -> DataFram
     out = {c: text(given.get(c, F.lit(""))) for c in RECORD}
     out |= {c: F.when(out[c] != "", out[c]) for c in ("country", "location")}
     out |= {c: given.get(c, F.lit(None)).try_cast("double") for c in ("latitude", "longitude")} | {"source": F.lit(source)}
-    return frame.select(*[out[c].alias(c) for c in RECORD]).where("sequence != ''")
+    return frame.select(*[out[c].alias(c) for c in RECORD], *[c for c in ("pos",) if c in frame.columns]).where("sequence != ''")
 
 
-def _tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def _tsv(spark: SparkSession, path: str, columns: list[str], placed: bool = False) -> DataFrame:
     """The named columns of a tab-separated table with a header row, as text; further ones are not read, missing ones
-    are null. Cells hold no quotes of the format's own."""
-    head = spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(path)
-    return head.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in head.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    are null. Cells hold no quotes of the format's own. `placed` adds pos (`place`)."""
+    head = spark.read.option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+    return head.select(*[place().alias("pos")] * placed, *[F.col(f"`{c}`").cast("string").alias(c) if c in head.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def specimen_records(spark: SparkSession, path: str, source: str) -> DataFrame:
@@ -96,29 +137,29 @@ def specimen_records(spark: SparkSession, path: str, source: str) -> DataFrame:
     return _record(specimens(spark, path), source, given | {"order_name": F.col("order"), "country": F.trim(F.element_at(F.split("location", ","), -1))})
 
 
-def bold_release(spark: SparkSession, path: str, marker: str = "COI-5P") -> DataFrame:
+def bold_release(spark: SparkSession, path: str, marker: str = "co1") -> DataFrame:
     """The table of a BOLD data package: records of one marker. Coordinates stand in brackets, latitude first."""
     names = ["kingdom", "phylum", "class", "order", "family", "genus", "species"]
-    t = _tsv(spark, path, ["processid", *names, "marker_code", "nuc", "country/ocean", "province/state", "coord"])
+    t = _tsv(spark, path, ["processid", *names, "marker_code", "nuc", "country/ocean", "province/state", "coord"], placed=True)
     number = lambda k: F.regexp_extract("coord", r"(-?\d+(?:\.\d+)?)[^\d.-]+(-?\d+(?:\.\d+)?)", k)
     given = {("order_name" if c == "order" else c): F.col(c) for c in names}
     given |= {"identifier": F.col("processid"), "country": F.col("`country/ocean`"), "location": F.col("`province/state`"), "latitude": number(1), "longitude": number(2), "sequence": F.col("nuc")}
-    return _record(t.where(F.col("marker_code") == marker), "BOLD", given)
+    return _record(t.where(F.col("marker_code") == MARKERS[marker]["bold"]), "BOLD", given)
 
 
-def bold_downloads(spark: SparkSession, path: str, marker: str = "COI-5P") -> DataFrame:
+def bold_downloads(spark: SparkSession, path: str, marker: str = "co1") -> DataFrame:
     """Files of a BOLD download folder, one per taxon: tables of specimens and sequences. All of BOLD's are animals."""
     ranks = ["phylum", "class", "order", "family", "genus", "species"]
-    t = _tsv(spark, path, ["processid", *[f"{r}_name" for r in ranks], "country", "province_state", "lat", "lon", "markercode", "nucleotides"])
+    t = _tsv(spark, path, ["processid", *[f"{r}_name" for r in ranks], "country", "province_state", "lat", "lon", "markercode", "nucleotides"], placed=True)
     given = {("order_name" if r == "order" else r): F.col(f"{r}_name") for r in ranks}
     given |= {"identifier": F.col("processid"), "kingdom": F.lit("Animalia"), "country": F.col("country"), "location": F.col("province_state"), "latitude": F.col("lat"), "longitude": F.col("lon"), "sequence": F.col("nucleotides")}
-    return _record(t.where(F.col("markercode") == marker), "BOLD", given)
+    return _record(t.where(F.col("markercode") == MARKERS[marker]["bold"]), "BOLD", given)
 
 
 def gbol(spark: SparkSession, path: str) -> DataFrame:
     """A GBOL dataset release: tab-separated, higher taxa in one cell from the kingdom down, joined by commas, the
     species in its own; Germany's barcodes."""
-    t = _tsv(spark, path, ["CatalogueNumber", "HigherTaxa", "Species", "Location", "Latitude", "Longitude", "BarcodeSequence"])
+    t = _tsv(spark, path, ["CatalogueNumber", "HigherTaxa", "Species", "Location", "Latitude", "Longitude", "BarcodeSequence"], placed=True)
     taxa = F.split(F.coalesce("HigherTaxa", F.lit("")), r"\s*,\s*")
     given = {c: F.get(taxa, F.lit(i)) for i, c in enumerate(["kingdom", "phylum", "class", "order_name", "family"])}
     species = F.trim(F.col("Species"))
@@ -127,26 +168,30 @@ def gbol(spark: SparkSession, path: str) -> DataFrame:
     return _record(t, "GBOL", given)
 
 
-def genbank(spark: SparkSession, path: str) -> DataFrame:
-    """GenBank flat files, plain or gzipped. The lineage's ranks are not named there: species and genus come from the
-    organism's name, the others are left to the taxonomy."""
-    t = spark.read.option("lineSep", "\n//").text(path).where(F.col("value").rlike(r"(?m)^ORIGIN"))
+def genbank(spark: SparkSession, path: str, marker: str = "co1") -> DataFrame:
+    """GenBank flat files, plain or gzipped: the marker as the feature table of each record tells where it lies, so it is
+    cut out of whole genomes, and records of other genes are left out. The lineage's ranks are not named there: species
+    and genus come from the organism's name, the others are left to the taxonomy."""
+    t = spark.read.option("lineSep", "\n//").text(path).select("value", place().alias("pos")).where(F.col("value").rlike(r"(?m)^ORIGIN"))
     own = lambda pattern: F.regexp_extract("value", pattern, 1)
     organism = own(r"(?m)^  ORGANISM  (.*)$")
-    place = own(r'/(?:geo_loc_name|country)="([^"]*)"')
+    origin = own(r'/(?:geo_loc_name|country)="([^"]*)"')
     side = lambda k: F.regexp_extract("value", r'/lat_lon="([\d.]+) ([NS]) ([\d.]+) ([EW])"', k)
     degrees = lambda k, minus: F.when(side(k) != "", F.concat(F.when(side(k + 1) == minus, F.lit("-")).otherwise(F.lit("")), side(k)))
-    bases = F.upper(F.regexp_replace(F.element_at(F.split("value", r"(?m)^ORIGIN.*$"), -1), r"[^A-Za-z-]", ""))
     named = organism.rlike(r"^[A-Z][a-z]+ [a-z-]+$")  # two words: not "sp.", no codes
     given = {"identifier": own(r"(?m)^ACCESSION   (\S+)"), "genus": F.when(organism.rlike(r"^[A-Z][a-z]+"), F.regexp_extract(organism, r"^([A-Z][a-z]+)", 1)), "species": F.when(named, organism),
-             "country": F.trim(F.substring_index(place, ":", 1)), "location": F.when(F.instr(place, ":") > 0, F.trim(F.regexp_replace(place, r"^[^:]*:", ""))), "latitude": degrees(1, "S"), "longitude": degrees(3, "W"), "sequence": bases}
-    return _record(t, "GENBANK", given)
+             "country": F.trim(F.substring_index(origin, ":", 1)), "location": F.when(F.instr(origin, ":") > 0, F.trim(F.regexp_replace(origin, r"^[^:]*:", ""))), "latitude": degrees(1, "S"), "longitude": degrees(3, "W")}
+    cut = marker_sequence(MARKERS[marker]["genes"], MARKERS[marker]["products"])
+    return _record(t.withColumn("sequence", cut("value")), "GENBANK", given | {"sequence": F.col("sequence")})
 
 
-def midori(spark: SparkSession, path: str) -> DataFrame:
+def midori(spark: SparkSession, path: str, marker: str = "co1") -> DataFrame:
     """A MIDORI archive: FASTA whose headers end in root;kingdom;phylum;class;order;family;genus;species, each with the
-    taxon's id behind an underscore. Placeholders for missing ranks, which repeat a name of a coarser one, are empty."""
-    t = degapped(fasta(spark, path))
+    taxon's id behind an underscore. Placeholders for missing ranks, which repeat a name of a coarser one, are empty.
+    Files whose names name another gene are left out."""
+    gene = F.regexp_extract("file", rf"(?i)_({'|'.join(MIDORI_GENES)})_", 1)
+    parts = records(spark, path).where((gene == "") | (F.lower(gene) == MARKERS[marker]["midori"]))
+    t = degapped(assemble(parts))
     line = F.regexp_extract("header", r"(root(?:_\d+)?;.*)$", 1)
     parts = F.transform(F.split(line, ";"), lambda x: F.regexp_replace(F.regexp_replace(x, r"_\d+$", ""), "^(?:phylum|class|order|family|genus|species)_.*$", ""))
     given = {c: F.get(parts, F.lit(i + 1)) for i, c in enumerate(["kingdom", "phylum", "class", "order_name", "family", "genus", "species"])}
