@@ -10,6 +10,8 @@ stratum the whole. Of the safe cutoffs the strictest is used.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,8 @@ RULES: dict[str, tuple[str, list[float]]] = {
 RISK = 0.05
 #: Cutoffs of this many strata are broadcast (some numbers each); of more they are joined, in so many parts a stratum.
 SENT_STRATA, PARTS = 1000, 16
-#: False rejections that are summed term by term; for more a bound on the sum is taken.
+#: Up to this many false rejections the sum begins with its first term, else with its last, which the others soon fall
+#: short of: both are the whole sum.
 SUMMED = 10_000
 
 
@@ -83,9 +86,10 @@ def _with_metrics(df: DataFrame) -> DataFrame:
 
 
 def binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) of Binomial(n, p), summed term by term in logarithms; null n or k gives null. From k = n * p on 1, which
-    is above the true value and never safe. Beyond `SUMMED` terms Chernoff's bound, also above the true value, so no
-    cutoff passes that the sum would not let pass."""
+    """P(X <= k) of Binomial(n, p), summed term by term; null n or k gives null. From k = n * p on 1, which is above the
+    true value and never safe. Beyond `SUMMED` false rejections the last term comes from Stirling's series, whose error is
+    far below that of a double there, and the sum goes down from it: 12 standard deviations further a term is e**-72 of
+    the last one."""
     ratio = F.log(F.lit(p / (1 - p)))
     start = n * F.log(F.lit(1 - p))
     low = (k < n * F.lit(p))
@@ -98,9 +102,22 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
         ),
         lambda acc: acc["sum"],
     )
+    large = low & (k > SUMMED)
     share = k / n
-    bound = F.exp(-n * (share * F.log(share / F.lit(p)) + (1 - share) * F.log((1 - share) / F.lit(1 - p))))
-    return F.when(k.isNull() | n.isNull(), F.lit(None).cast("double")).when(~low, F.lit(1.0)).when(k <= SUMMED, terms).otherwise(bound)
+    off = share - F.lit(p)
+    rest = n - k
+    series = lambda x: 1 / (12 * x) - 1 / (360 * F.pow(x.cast("double"), 3))
+    last = F.exp(-n * (share * F.log1p(off / F.lit(p)) + (1 - share) * F.log1p(-off / F.lit(1 - p))) - F.log(2 * math.pi * k * (rest / n)) / 2 + series(n) - series(k) - series(rest))
+    down = F.aggregate(
+        F.sequence(F.lit(0).cast("bigint"), F.when(large, F.least(k, F.ceil(12 * F.sqrt(n * F.lit(p * (1 - p)))))).otherwise(0).cast("bigint")),
+        F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("sum")),
+        lambda acc, i: F.struct(
+            (acc["t"] * (k - i) / (rest + i + 1) * F.lit((1 - p) / p)).cast("double").alias("t"),
+            (acc["sum"] + acc["t"]).cast("double").alias("sum"),
+        ),
+        lambda acc: acc["sum"],
+    )
+    return F.when(k.isNull() | n.isNull(), F.lit(None).cast("double")).when(~low, F.lit(1.0)).when(k <= SUMMED, terms).otherwise(last * down)
 
 
 def thresholds(metrics: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = 0.05, min_good: int = 100) -> DataFrame:
