@@ -24,7 +24,7 @@ from .common import discard, grams, hashed, mixed, raw, runs, signed, stored, ta
 from .components import components
 
 SLOTS, BANDS, ROWS = 64, 16, 4
-#: Nodes of rows without a doc_id are from here on: no doc_id is that large.
+#: Nodes of rows without a doc_id are from here on; where doc_ids reach that far, all are moved down by as much.
 UNKNOWN = 2**62
 #: Signatures that agree in less than this share of slots are not verified: 4.5 standard deviations below 0.85.
 LEAST_ESTIMATE = 0.65
@@ -76,7 +76,7 @@ def _features(batches):
             n.append(len(s))
             digest.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             sig.append(superminhash(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("id"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "id", "n", "digest", "sig"])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("unknown"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "unknown", "n", "digest", "sig"])
 
 
 def _bands(batches):
@@ -165,15 +165,21 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     are sized (a link at exactly 0.85 is missed with a probability under 0.00002). Rows that share a doc_id are
     one node: linked if any of them is; n_shingles is each row's own. Rows with a null doc_id are a node for each
     text, behind all others: such a row is kept if its group holds no doc_id and, of several texts without, the text
-    is the first by its hash; component_id is null where the group holds no doc_id. doc_ids are below 2**62. Other
-    columns are ignored; an empty table gives an empty table."""
+    is the first by its hash; component_id is null where the group holds no doc_id. Any long is a doc_id, but beside null
+    ones only a range that leaves room for them: with doc_ids under -2**62 and from 2**62 on as well they are refused.
+    Other columns are ignored; an empty table gives an empty table."""
     if not 85 <= percent <= 100:
         raise ValueError("percent must be 85 to 100")
     doc_id = F.col("doc_id").cast("long")
-    unknown = F.lit(UNKNOWN) + F.xxhash64("text").bitwiseAND(F.lit(UNKNOWN - 1))
-    given = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, unknown).alias("id"), "text")
-    feats = stored(given.mapInArrow(_features, "doc_id long, id long, n long, digest binary, sig binary"), "features")
-    given = given.drop("doc_id")
+    unknown = F.when(doc_id.isNull(), F.lit(UNKNOWN) + F.xxhash64("text").bitwiseAND(F.lit(UNKNOWN - 1)))
+    given = docs.select(doc_id.alias("doc_id"), unknown.alias("unknown"), "text")
+    feats = stored(given.mapInArrow(_features, "doc_id long, unknown long, n long, digest binary, sig binary"), "features")
+    least, most, nulls = feats.agg(F.min("doc_id"), F.max("doc_id"), F.count("unknown")).first()
+    shift = UNKNOWN if nulls and most is not None and most >= UNKNOWN else 0
+    if shift and least < -UNKNOWN:
+        raise ValueError("doc_ids take up the whole range of longs, which leaves none for rows without one")
+    node = F.coalesce(F.col("doc_id") - F.lit(shift), "unknown").alias("id")
+    feats, given = feats.select("doc_id", node, "n", "digest", "sig"), given.select(node, "text")
     sets = feats.where("digest is not null")
     reps = sets.groupBy("digest").agg(F.min(F.struct("id", "n", "sig")).alias("r"))
     reps = stored(reps.select("digest", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.sig").alias("sig")), "reps")
@@ -205,7 +211,7 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
         discard(first)
     discard(more)
     out = feats.select("doc_id", "id", "n").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    component = F.when(F.col("component") < UNKNOWN, F.col("component"))
+    component = F.when(F.col("component") < UNKNOWN, F.col("component") + F.lit(shift)) if nulls else F.col("component")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
