@@ -106,6 +106,8 @@ class Known:
         return at[ok], place[ok]
 
 
+#: Words up to so many bytes are remembered.
+REMEMBERED = 64
 _SPELLED, _UNIT, _SHORT, _PLAIN = 1, 2, 3, 4
 _WORDS = sorted([(x, _SPELLED) for x in SPELLED] + [(x, _UNIT if len(x) > 2 else _SHORT) for x in UNITS - SPELLED] + [(x, _PLAIN) for x in PLAIN - UNITS - SPELLED])
 _ORDER = np.argsort(_hashes([x for x, _ in _WORDS]))
@@ -123,11 +125,10 @@ class Told:
         size = np.array([len(x) + 1 if x else 1 for x in texts], np.int64)
         self.count = np.diff(np.searchsorted(start, np.cumsum(size)), prepend=0)
         self.whole = (data, start, end)
-        first, last = start.copy(), end.copy()
-        while len(at := np.flatnonzero((first < last) & _OUTER[data[np.minimum(first, len(data) - 1)]])):
-            first[at] += 1
-        while len(at := np.flatnonzero((first < last) & _OUTER[data[last - 1]])):
-            last[at] -= 1
+        # to the next byte that is no punctuation, and to the one before the end
+        place, outer = np.arange(len(data)), _OUTER[data]
+        first = np.minimum(np.minimum.accumulate(np.where(outer, len(data), place)[::-1])[::-1][start], end) if len(start) else start
+        last = np.maximum(np.maximum.accumulate(np.where(outer, -1, place))[end - 1] + 1, first) if len(start) else end
         self.first, self.last = first, last
         h, listed = span_hashes(_LOWER[data], first, last), np.zeros(len(start), np.int8)
         at, place = _LISTED.find(h)
@@ -147,9 +148,12 @@ class Told:
             told = []
             for a, b in zip(start[odd[one]].tolist(), end[odd[one]].tolist(), strict=True):
                 word = text[a:b]
-                if word not in seen:
-                    seen[word] = kind(word)
-                told.append(seen[word])
+                what = seen.get(word)
+                if what is None:
+                    what = kind(word)
+                    if len(word) <= REMEMBERED:
+                        seen[word] = what
+                told.append(what)
             place = {NUMBER: 0, UNIT: 1, NAME: 2}
             kinds = np.array([place.get(x, 3) for x, _ in told])[which]
             number[odd], unit[odd], name[odd] = kinds == 0, kinds == 1, kinds == 2
@@ -326,14 +330,23 @@ def _all_windows(sizes: list[int]):
 
 
 def _pair(share: float):
-    """Judges candidate pairs that carry both texts."""
+    """Judges candidate pairs that carry both texts; each text and each item of some pairs is taken apart once."""
     def go(batches):
         for b in batches:
-            rows = []
-            for doc_id, text, item_id, item in zip(b.column("doc_id").to_pylist(), raw(b, "text"), b.column("item_id").to_pylist(), raw(b, "item"), strict=True):
-                one = Items(Items.state([(item_id, item)]))
-                rows += _found(one, share)(doc_id, text.split(), one.alignments(Told([text])).get(0, {}))
-            yield _batch(rows)
+            doc_ids, texts, item_ids, items = b.column("doc_id").to_pylist(), raw(b, "text"), b.column("item_id").to_pylist(), raw(b, "item")
+            for lo, hi in runs(texts):
+                at = {x: i for i, x in enumerate(dict.fromkeys(texts[lo:hi]))}
+                which = {x: i for i, x in enumerate(dict.fromkeys(items[lo:hi]))}
+                own = Items(Items.state([(i, x) for x, i in which.items()]))
+                place = {i: k for k, i in enumerate(own.ids)}
+                hits, words, rows, of = own.alignments(Told(list(at))), {}, [], _found(own, share)
+                for k in range(lo, hi):
+                    t, i = at[texts[k]], place[which[items[k]]]
+                    if by := hits.get(t, {}).get(i):
+                        if t not in words:
+                            words[t] = texts[k].split()
+                        rows += [(doc_ids[k], item_ids[k], *r[2:]) for r in of(doc_ids[k], words[t], {i: by})]
+                yield _batch(rows)
     return go
 
 
