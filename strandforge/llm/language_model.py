@@ -38,16 +38,23 @@ LOG10 = float(np.log(10))
 
 def _count(batches):
     total: Counter = Counter()
+    held = 0  # bytes of the texts whose words these are
     def out():
         return pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
     for b in batches:
         for text in raw(b, "text"):
             if text:
                 total.update(text.lower().split())
+                held += len(text)
             total[b""] += 1  # the end
+            if held > 64 << 20:
+                yield out()
+                total.clear()
+                held = 0
         if len(total) > 300_000:
             yield out()
             total.clear()
+            held = 0
     if total:
         yield out()
 

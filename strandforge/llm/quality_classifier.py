@@ -28,11 +28,11 @@ AGAIN, SHOUT, NUMBER = 0, 1, 2
 
 class Units(dict):
     """word -> its place in `table`, which holds the buckets of its units (-1: none). Emptied by `room` when it could
-    overflow."""
+    overflow, and before the texts they come from are over 64 MB."""
 
     def __init__(self, most: int = 200_000):
         super().__init__()
-        self.most = most
+        self.most, self.held = most, 0
         self.table = np.full((most, 4), -1, np.int16)
 
     def room(self, n: int) -> None:
@@ -63,6 +63,10 @@ class Units(dict):
 
     def of(self, text: bytes | None) -> np.ndarray:
         words = text.split() if text else []
+        self.held += len(text or b"")
+        if self.held > 64 << 20:
+            self.clear()
+            self.held = len(text or b"")
         self.room(len(words))
         at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
         ids = self.table[at].reshape(-1)
