@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -40,12 +41,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
-    _WRITTEN.add(path)
+    _WRITTEN.paths.add(path)
     return out
 
 
-#: Paths of tables that `stored` wrote and nothing has removed yet.
-_WRITTEN: set[str] = set()
+class _Written(threading.local):
+    """Paths of tables that `stored` wrote and nothing has removed yet, of each thread of the driver for itself: queries
+    that run side by side do not clear each other's."""
+
+    def __init__(self):
+        self.paths: set[str] = set()
+
+
+_WRITTEN = _Written()
 
 
 def discard(*tables: DataFrame) -> None:
@@ -55,14 +63,14 @@ def discard(*tables: DataFrame) -> None:
 
 
 def held() -> frozenset[str]:
-    """The stored tables there are now."""
-    return frozenset(_WRITTEN)
+    """The tables that this thread has stored and that are still there."""
+    return frozenset(_WRITTEN.paths)
 
 
 def clear(spark: SparkSession, but: frozenset[str] = frozenset()) -> int:
-    """Removes tables that operators stored in this session, and tells how many. For callers, once they have written or
+    """Removes tables that operators stored in this thread, and tells how many. For callers, once they have written or
     collected their results: until then results read these tables. Those of `but` stay."""
-    paths = sorted(_WRITTEN - but)
+    paths = sorted(_WRITTEN.paths - but)
     for path in paths:
         _remove(spark, path)
     return len(paths)
@@ -71,7 +79,7 @@ def clear(spark: SparkSession, but: frozenset[str] = frozenset()) -> int:
 def _remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    _WRITTEN.discard(path)
+    _WRITTEN.paths.discard(path)
 
 
 #: Columns of a document's key, and their types.

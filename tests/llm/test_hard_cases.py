@@ -7,6 +7,7 @@ import random
 import subprocess
 import sys
 import textwrap
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -283,14 +284,68 @@ def test_quality_held_out_accuracy(spark):
     assert len(held) > 50 and np.mean([r.predicted == int(r.doc_id % 3 > 0) for r in held]) > 0.95
 
 
-def test_binomial_beyond_the_sum(spark):
-    rows = [(9_000, 1_000_000), (9_900, 1_000_000), (12_000, 1_000_000), (20_000, 2_200_000), (30, 100)]
+def test_binomial_beyond_the_first_terms(spark):
+    rows = [(9_000, 1_000_000), (9_900, 1_000_000), (12_000, 1_000_000), (21_500, 2_200_000), (30, 100), (10_001, 1_100_000), (5_990_000, 600_000_000), (10_000, 1_010_000)]
     got = [r.p for r in spark.createDataFrame(rows, "k long, n long").select(quality_rules.binomial_cdf(F.col("k"), F.col("n"), 0.01).alias("p")).collect()]
+
     def exact(k, n, p=0.01):
-        logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p) for i in range(max(0, k - 4000), k + 1)]
-        return sum(map(math.exp, logs))
-    assert got[0] == pytest.approx(exact(9_000, 1_000_000), rel=1e-4) and got[1] == pytest.approx(exact(9_900, 1_000_000), rel=1e-4)
-    assert got[2] == 1 and got[4] == 1 and exact(20_000, 2_200_000) <= got[3] < 1e-6
+        logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p) for i in range(max(0, k - 40_000), k + 1)]
+        return math.fsum(map(math.exp, logs))
+
+    for i in (0, 1, 3, 5, 6, 7):
+        assert got[i] == pytest.approx(exact(*rows[i]), rel=1e-4 if rows[i][1] < 10**8 else 1e-2), rows[i]
+    assert got[2] == 1 and got[4] == 1
+
+
+def test_large_ids_near_duplicates(spark):
+    own = unlike(61)
+    a, b = own(30), own(30)
+    rows = [(2**62 + 9, a), (2**62 + 5, a), (2**63 - 1, b), (-(2**62), own(20)), (None, b), (None, own(25))]
+    for given in (rows, rows[:4]):
+        got = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_dedup(frame(spark, given)).collect() if r.doc_id is not None}
+        assert got == {(2**62 + 9, 2**62 + 5, False), (2**62 + 5, 2**62 + 5, True), (2**63 - 1, 2**63 - 1, True), (-(2**62), -(2**62), True)}
+    loose = {(r.component_id, r.kept) for r in near_dedup.near_dedup(frame(spark, rows)).collect() if r.doc_id is None}
+    assert loose == {(2**63 - 1, False), (None, True)}
+    with pytest.raises(ValueError):
+        near_dedup.near_dedup(frame(spark, [(-(2**63), a), (2**63 - 1, b), (None, a)]))
+    whole = near_dedup.near_dedup(frame(spark, [(-(2**63), a), (2**63 - 1, a)])).collect()
+    assert {r.component_id for r in whole} == {-(2**63)}
+
+
+def test_runs_of_punctuation():
+    began = time.time()
+    words = [b"." * 500_000, b"...", b"a..", b"..b", b"(c)", b"-", *[b"word"] * 50_000]
+    told = decontamination.Told([b" ".join(words)])
+    assert time.time() - began < 2
+    data = told.whole[0].tobytes()
+    assert [data[a:b] for a, b in zip(told.first[:6].tolist(), told.last[:6].tolist())] == [b"", b"", b"a", b"b", b"c", b"-"]
+
+
+def test_shared_openings_by_join(spark):
+    """Many documents and items that share an opening and nothing else; the sent and the joined way agree."""
+    own = unlike(62)
+    opening = own(12)
+    items = [(i, f"{opening} {own(40)}") for i in range(120)]
+    docs = [(i, f"{own(5)} {opening} {own(30)}") for i in range(120)] + [(900 + i, f"{own(4)} {items[i][1]} {own(4)}") for i in range(5)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    began = time.time()
+    joined = sorted(map(tuple, decontamination.contaminated(frame(spark, docs), benchmark, most_sent=0).collect()))
+    assert time.time() - began < 60
+    assert joined == sorted(map(tuple, decontamination.contaminated(frame(spark, docs), benchmark).collect()))
+    assert {(d, i) for d, i, *_ in joined} == {(900 + i, i) for i in range(5)}
+
+
+def test_words_of_many_bytes():
+    """What is kept between texts is bounded in bytes: long words are not remembered, or with them all is dropped."""
+    seen: dict = {}
+    decontamination.Told([b" ".join(b"9" * 10_000 + str(i).encode() for i in range(50))], seen)
+    assert sum(map(len, seen)) == 0
+    units = quality_classifier.Units()
+    most = 0
+    for i in range(700):
+        units.of(b" ".join(b"%d-" % k + b"x" * 10_000 for k in range(20 * i, 20 * i + 20)))
+        most = max(most, len(units))
+    assert most <= (64 << 20) // 10_000 + 20
 
 
 def test_risk_of_all_rules_together(spark, monkeypatch):
@@ -427,6 +482,6 @@ def test_stored_tables_can_be_cleared(spark):
     common.clear(spark)
     docs = frame(spark, corpus(40, 20))
     rows = near_dedup.near_dedup(docs).collect()
-    left = set(common._WRITTEN)
+    left = set(common.held())
     assert rows and left and all(os.path.isdir(p.removeprefix("file:")) for p in left) and len(left) <= 4
     assert common.clear(spark) == len(left) and not any(os.path.isdir(p.removeprefix("file:")) for p in left)
