@@ -587,25 +587,26 @@ for _name, _layer in (("region_realm", "realm"), ("region_ecoregion", "ecoregion
     query(_name, _inside_sql(_layer))(_inside)
 
 
-def shapefile_bytes(shapes: dict[str, list[list[tuple[float, float]]]], attribute: str = "NAME") -> tuple[bytes, bytes]:
-    """The .shp and the .dbf of some polygons."""
-    shp, dbf = b"", b""
+def shapefile_bytes(shapes: dict[str, list[list[tuple[float, float]]]], attribute: str = "NAME") -> tuple[bytes, bytes, bytes]:
+    """The .shp, the .dbf and the .shx of some polygons."""
+    shp, dbf, shx = b"", b"", b""
     for i, (name, rings) in enumerate(shapes.items()):
         points = [p for r in rings for p in r]
         starts = [sum(map(len, rings[:k])) for k in range(len(rings))]
         xs, ys = zip(*points)
         body = struct.pack(f"<i4d2i{len(rings)}i", 5, min(xs), min(ys), max(xs), max(ys), len(rings), len(points), *starts) + b"".join(struct.pack("<2d", *p) for p in points)
+        shx += struct.pack(">2i", (100 + len(shp)) // 2, len(body) // 2)
         shp += struct.pack(">2i", i + 1, len(body) // 2) + body
         dbf += b" " + name.encode().ljust(20)
     head = struct.pack("<BBBBIHH", 3, 0, 0, 0, len(shapes), 65, 21) + b"\0" * 20 + attribute.encode().ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([20]) + b"\0" * 15 + b"\r"
-    return b"\0" * 100 + shp, head + dbf
+    return b"\0" * 100 + shp, head + dbf, b"\0" * 100 + shx
 
 
 @query("region_shapefile", _inside_sql("custom", "Plot"))
 def _(spark, d):
     """A shapefile with a hole in one of its polygons, written and read."""
     path = shared_path(spark, "shape")
-    for end, data in zip(("shp", "dbf"), shapefile_bytes(POLYGONS["custom"])):
+    for end, data in zip(("shp", "dbf", "shx"), shapefile_bytes(POLYGONS["custom"])):
         put(spark, f"{path}.{end}", data)
     return region.by_polygon(barcode(spark, d), readers.shapefile(spark, f"{path}.shp", "NAME", ["Plot"])).select("identifier", "region")
 

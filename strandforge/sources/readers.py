@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import struct
+import json
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import shapefile as shapes
 from .genbank import marker_sequence
 
 SPECIMEN = (
@@ -259,50 +261,28 @@ def union_sources(*frames: DataFrame) -> DataFrame:
 
 def shapefile(spark: SparkSession, path: str, attribute: str, values: list[str]) -> DataFrame:
     """(name, shape, rings): the polygons whose `attribute` is one of `values`, each with all its rings, holes among
-    them. `path` names the .shp; the .dbf with the attributes lies beside it. Both are read by Spark, so any store will do; a shapefile is at most 2 GB."""
-    stem = path[: -len(".shp")]
+    them. `path` names the .shp; .shx and .dbf lie beside it. Tasks read ranges of shapes as the index tells. Where that is
+    missing, or the store is one that only Spark knows, the files are read whole, 2 GB at most, by one task."""
+    if shapes.splittable(path):
+        spark.dataSource.register(shapes.Shapefile)
+        push = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+        read = spark.read.format("shapefile").option("attribute", attribute).option("values", json.dumps(list(values))).option("push", push).load(path)
+        return read.where(F.col("name").isin(list(values)))
+    stem = path.removesuffix(".shp")
     shp = spark.read.format("binaryFile").load(path).select(F.col("content").alias("shp"))
     dbf = spark.read.format("binaryFile").load(f"{stem}.dbf").select(F.col("content").alias("dbf"))
 
-    def parse(frames):
-        for f in frames:
-            rows = []
-            for s, d in zip(f["shp"], f["dbf"], strict=True):
-                names = _dbf_column(bytes(d), attribute)
-                for i, rings in enumerate(_polygons(bytes(s))):
-                    if names[i] in values:
-                        rows.append((names[i], i, [[{"lon": x, "lat": y} for x, y in r] for r in rings]))
-            import pandas as pd
-
-            yield pd.DataFrame(rows, columns=["name", "shape", "rings"])
-
-    # one row on either side
-    return shp.join(dbf).mapInPandas(parse, "name string, shape int, rings array<array<struct<lon:double,lat:double>>>")
-
-
-def _polygons(data: bytes):
-    at = 100
-    while at + 8 <= len(data):
-        size = 2 * struct.unpack(">i", data[at + 4: at + 8])[0]
-        body = data[at + 8: at + 8 + size]
-        at += 8 + size
-        if struct.unpack("<i", body[:4])[0] not in (5, 15, 25):
-            yield []
-            continue
-        n_parts, n_points = struct.unpack("<2i", body[36:44])
-        starts = [*struct.unpack(f"<{n_parts}i", body[44: 44 + 4 * n_parts]), n_points]
-        flat = struct.unpack(f"<{2 * n_points}d", body[44 + 4 * n_parts: 44 + 4 * n_parts + 16 * n_points])
-        points = list(zip(flat[::2], flat[1::2], strict=True))
-        yield [points[a:b] for a, b in zip(starts, starts[1:], strict=False)]
-
-
-def _dbf_column(data: bytes, name: str) -> list[str]:
-    n, head, width = struct.unpack("<IHH", data[4:12])
-    at, offset = 32, 1
-    while data[at] != 0x0D:
-        field, size = data[at: at + 11].split(b"\0")[0].decode(), data[at + 16]
-        if field == name:
-            return [data[head + i * width + offset: head + i * width + offset + size].decode("utf-8", "replace").strip() for i in range(n)]
-        offset += size
-        at += 32
-    raise ValueError(f"no attribute {name}")
+    def parse(batches):
+        for b in batches:
+            for data, table in zip(b.column("shp").to_pylist(), b.column("dbf").to_pylist(), strict=True):
+                own, at, i, rows = shapes.attribute(table[: int.from_bytes(table[8:10], "little")], attribute), 100, 0, []
+                while at + 8 <= len(data):
+                    size, begin = 2 * int.from_bytes(data[at + 4: at + 8], "big"), own.head + i * own.width + own.offset
+                    name = table[begin: begin + own.size].decode("utf-8", "replace").strip()
+                    if name in values:
+                        rows.append((name, i, shapes.rings(data[at + 8: at + 8 + size])))
+                    at, i = at + 8 + size, i + 1
+                kind = pa.list_(pa.list_(pa.struct([("lon", pa.float64()), ("lat", pa.float64())])))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int32(), kind))], ["name", "shape", "rings"])
+
+    return shp.join(dbf).mapInArrow(parse, shapes.SCHEMA)  # one row on either side

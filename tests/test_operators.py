@@ -39,11 +39,13 @@ def test_specimens(spark, tmp_path):
 
 def test_shapefile(spark, tmp_path):
     outer, hole = [(0.0, 0.0), (0.0, 9.0), (9.0, 9.0), (9.0, 0.0), (0.0, 0.0)], [(3.0, 3.0), (6.0, 3.0), (6.0, 6.0), (3.0, 6.0), (3.0, 3.0)]
-    shp, dbf = catalogue.shapefile_bytes({"Alps": [outer, hole], "Sea": [[(20.0, 0.0), (20.0, 5.0), (25.0, 5.0)]]})
+    shp, dbf, shx = catalogue.shapefile_bytes({"Alps": [outer, hole], "Sea": [[(20.0, 0.0), (20.0, 5.0), (25.0, 5.0)]]})
     (tmp_path / "p.shp").write_bytes(shp)
     (tmp_path / "p.dbf").write_bytes(dbf)
+    whole = readers.shapefile(spark, str(tmp_path / "p.shp"), "NAME", ["Alps"]).collect()  # without an index
+    (tmp_path / "p.shx").write_bytes(shx)
     shapes = readers.shapefile(spark, str(tmp_path / "p.shp"), "NAME", ["Alps"])
-    assert [[(p.lon, p.lat) for p in r] for r in shapes.first().rings] == [outer, hole]
+    assert [[(p.lon, p.lat) for p in r] for r in shapes.first().rings] == [outer, hole] and shapes.collect() == whole
     points = spark.createDataFrame([(1, 1.0, 1.0), (2, 4.5, 4.5), (3, 10.0, 1.0), (4, None, 1.0), (1, 1.0, 1.0), (5, 8.0, 8.5)], "id int, longitude double, latitude double")
     assert sorted(r.id for r in region.by_polygon(points, shapes).collect()) == [1, 1, 5]  # repeated records stay
     # two overlapping shapes of one name are one region
