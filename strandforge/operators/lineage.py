@@ -15,14 +15,16 @@ def truncate_missing_rank(frame: DataFrame) -> DataFrame:
     return frame.withColumn("truncated", cut).withColumn("removed", F.col("header").rlike(r"[|][|]") & (F.instr("truncated", "|") == 0))
 
 
-def replace_names(frame: DataFrame, pairs: DataFrame, columns: list[str], ranks: list[str] | None = None) -> DataFrame:
+def replace_names(frame: DataFrame, pairs: DataFrame, columns: list[str] | None = None, ranks: list[str] | None = None) -> DataFrame:
     """pairs: (taxon_rank, taxon_to_replace, taxon_to_use), of any number. Where a row's name at a rank is listed, the
-    old name is replaced in all of `columns`, rank by rank in the order of `ranks` (those of `columns` unless given);
-    the lookup uses the row as it came. Of several pairs for one name the last in order of their new names counts."""
-    ranks = ranks or columns
+    old name is replaced everywhere in the row: in all of `columns`, which are all text columns unless given, rank by
+    rank in the order of `ranks` (the standard ranks that there are); the lookup uses the row as it came. Of several
+    pairs for one name the last in order of their new names counts."""
+    columns = columns or [f.name for f in frame.schema.fields if f.dataType.typeName() == "string"]
+    ranks = ranks or [c for c in ("kingdom", "phylum", "class", "order", "order_name", "family", "genus", "species") if c in columns]
     out, new = frame, {}
     for i, rank in enumerate(ranks):
-        own = pairs.where((F.col("taxon_rank") == rank) & (F.coalesce("taxon_to_replace", F.lit("")) != ""))
+        own = pairs.where((F.col("taxon_rank") == rank.removesuffix("_name")) & (F.coalesce("taxon_to_replace", F.lit("")) != ""))
         own = own.groupBy(F.col("taxon_to_replace").alias(f"_old{i}")).agg(F.max("taxon_to_use").alias(f"_new{i}"))
         out = out.join(own, out[rank] == own[f"_old{i}"], "left")  # Spark broadcasts a small list of names by its size
         new[rank] = F.col(f"_new{i}")

@@ -143,6 +143,12 @@ def taxon(taxonomy: DataFrame, name: str, rank: str | None = None) -> tuple[int,
     return accepted[0].taxon_id, accepted[0]["rank"]
 
 
+def ancestors(lines: DataFrame, taxon_id: int) -> list[str]:
+    """Names from the root down to a taxon."""
+    rows = lines.where(F.col("taxon_id") == taxon_id).select(F.transform("path", lambda x: x["name"]).alias("names")).collect()
+    return rows[0].names if rows else []
+
+
 def descendants(lines: DataFrame, taxon_id: int) -> DataFrame:
     """(taxon_id) of a taxon and all below it, from paths."""
     return lines.where(F.exists("path", lambda x: x["taxon_id"] == taxon_id)).select("taxon_id")

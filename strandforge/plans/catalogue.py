@@ -422,18 +422,19 @@ def _(spark, d):
 
 def _rename_sql() -> str:
     ranks = ["kingdom", "phylum", "class", "order_name", "family", "genus", "species"]
-    out = {c: c for c in ranks}
+    out = {c: c for c in ["identifier", *ranks, "country", "sequence"]}
     for rank in ranks:
         for r, old, new in RENAMES:
             if r == rank:
                 out = {c: f"CASE WHEN {rank} = '{old}' THEN replace({x}, '{old}', '{new}') ELSE {x} END" for c, x in out.items()}
-    return "SELECT identifier, " + ", ".join(f"{x} AS {c}" for c, x in out.items()) + " FROM barcode"
+    return "SELECT " + ", ".join(f"{x} AS {c}" for c, x in out.items()) + " FROM barcode"
 
 
 @query("replace_taxon_name", _rename_sql())
 def _(spark, d):
+    """The whole row: a class is named in the country's cell too."""
     ranks = ["kingdom", "phylum", "class", "order_name", "family", "genus", "species"]
-    return lineage.replace_names(barcode(spark, d), _pairs(spark), ranks).select("identifier", *ranks)
+    return lineage.replace_names(barcode(spark, d), _pairs(spark)).select("identifier", *ranks, "country", "sequence")
 
 
 def _pairs(spark):
@@ -446,7 +447,7 @@ def _pairs(spark):
 def _(spark, d):
     """The replaced table as written: fields joined by tabs, nothing quoted."""
     ranks, path = ["kingdom", "phylum", "class", "order_name", "family", "genus", "species"], shared_path(spark, "replaced")
-    writers.write_tsv(lineage.replace_names(barcode(spark, d), _pairs(spark), ranks).select("identifier", *ranks), path, header=False)
+    writers.write_tsv(lineage.replace_names(barcode(spark, d), _pairs(spark)).select("identifier", *ranks), path, header=False)
     return spark.read.text(path)
 
 

@@ -16,8 +16,13 @@ from .config import Parameters, run_folder
 RANKS = [taxonomy.COLUMNS[r] for r in reversed(taxonomy.RANKS)]
 
 
-def sources(spark: SparkSession, params: Parameters, downloaded: str = "downloads") -> dict[str, DataFrame]:
-    """Records of each source that the parameters name: from the folder given for it, or from the latest download."""
+#: Folders of downloads, where they are not called like their source.
+_FOLDERS = {"genbank": "NCBIGENBANK"}
+
+
+def sources(spark: SparkSession, params: Parameters, downloaded: str = "downloads", taxa: list[str] | None = None) -> dict[str, DataFrame]:
+    """Records of each source that the parameters name: from the folder given for it, or from the newest download that
+    holds the taxon. `taxa`: the taxon and what lies above it, from the root down."""
     of = {"marker": params.marker}
     read = {"gbol": (readers.gbol, {}), "bold": (readers.bold_downloads, of), "genbank": (readers.genbank, of), "midori": (readers.midori, of)}
     out = {}
@@ -25,19 +30,19 @@ def sources(spark: SparkSession, params: Parameters, downloaded: str = "download
         if name == "bold" and (path := params.folders.get("bold_release")):
             out[name] = readers.bold_release(spark, path, **of)
         else:
-            path = params.folders.get(name) or readers.latest(readers.downloads(spark, f"{downloaded}/{name.upper()}"))
+            path = params.folders.get(name) or readers.covering(readers.manifest(spark, f"{downloaded}/{_FOLDERS.get(name, name.upper())}"), taxa or [params.taxon])
             reader, more = read[name]
             out[name] = reader(spark, path, **more)
     # rows as they come, source after source
     return {name: df.withColumn("pos", F.struct(F.lit(i).alias("source"), "pos")) for i, (name, df) in enumerate(out.items())}
 
 
-def harmonized(records: DataFrame, params: Parameters, backbone: DataFrame | None) -> DataFrame:
+def harmonized(records: DataFrame, params: Parameters, backbone: DataFrame | None, lines: DataFrame | None = None) -> DataFrame:
     """Standard ranks as the chosen taxonomy has them, restricted to the taxon asked for."""
     if backbone is None:
         told = taxonomy.harmonized(records, None)
         return told.where(reduce(lambda a, b: a | b, [F.col(r) == params.taxon for r in RANKS]))
-    lines = taxonomy.lineages(backbone)
+    lines = taxonomy.lineages(backbone) if lines is None else lines
     told = taxonomy.harmonized(records, None if params.taxonomy == "unmapped" else backbone, params.retain, params.synonyms_allowed, lines)
     return taxonomy.subset(told, params.taxon, backbone, lines=lines)
 
@@ -99,17 +104,17 @@ def comparison(before: DataFrame, after: DataFrame) -> DataFrame:
     return out.withColumn("changed", F.col("lineage_before") != F.col("lineage_after"))
 
 
-def classify(given: dict[str, DataFrame], params: Parameters, backbone: DataFrame | None = None, countries: DataFrame | None = None, polygons: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def classify(given: dict[str, DataFrame], params: Parameters, backbone: DataFrame | None = None, countries: DataFrame | None = None, polygons: dict[str, DataFrame] | None = None, lines: DataFrame | None = None) -> dict[str, DataFrame]:
     """The outputs asked for, by name. `given`: records of each source. Cheap filters come before the taxonomy and the
     places; what several outputs share is written once."""
-    if params.region and (unknown := _unknown(params, countries)):
+    if params.region and (unknown := _unknown(params, countries, polygons or {})):
         raise ValueError(f"unknown places: {', '.join(unknown)}")
     records = readers.union_sources(*given.values())
     if "pos" not in records.columns:
         records = records.withColumn("pos", F.monotonically_increasing_id())
     records = written(records, "records")  # numbers of rows hold from here on
     cheap = filtered(records, params)
-    told = harmonized(placed(cheap, params, countries, polygons), params, backbone)
+    told = harmonized(placed(cheap, params, countries, polygons), params, backbone, lines)
     told = filtered(told, Parameters(taxon_rank=params.taxon_rank))  # harmonizing may leave fewer ranks
     told = written(told, "harmonized")
     final = dereplicated(told, params.strategy())
@@ -125,11 +130,16 @@ def classify(given: dict[str, DataFrame], params: Parameters, backbone: DataFram
     return out
 
 
-def _unknown(params: Parameters, countries: DataFrame | None) -> list[str]:
-    found = []
-    for column, kind in (("country", "countries"), ("continent", "continents")):
-        if params.region.get(kind) and countries is not None:
-            found += [r.name for r in region.unknown_names(countries.sparkSession, list(params.region[kind]), countries, column).collect()]
+def _unknown(params: Parameters, countries: DataFrame | None, polygons: dict[str, DataFrame]) -> list[str]:
+    """Names of places that are none. Countries are taken as they are where there is no table of them; everything else
+    needs its table."""
+    found, asked = [], params.region
+    for column, kind, table in (("country", "countries", countries), ("continent", "continents", countries), *[("name", k, polygons.get(k)) for k in ("realms", "ecoregions")]):
+        if asked.get(kind):
+            if table is not None:
+                found += [r.name for r in region.unknown_names(table.sparkSession, list(asked[kind]), table, column).collect()]
+            elif kind != "countries":
+                raise ValueError(f"there is no table of {kind}")
     return found
 
 
@@ -143,15 +153,23 @@ def run(spark: SparkSession, params: Parameters, folder: str, at: datetime, back
     if dereplicated, <taxon>_derep_all_...; without merging each source has files of its own. The parameters, and how
     many records each source gave, lie beside them."""
     params = params.checked()
-    base, given, out = f"{folder}/{run_folder(params.taxon, at)}", sources(spark, params, downloaded), {}
+    lines = taxonomy.lineages(backbone) if backbone is not None else None
+    taxa = taxonomy.ancestors(lines, taxonomy.taxon(backbone, params.taxon)[0]) if lines is not None else None
+    base, given, out = f"{folder}/{run_folder(params.taxon, at)}", sources(spark, params, downloaded, taxa), {}
     groups = {(f"{params.taxon}_derep_all" if params.strategy() else "merged"): given} if params.merge else {name: {name: df} for name, df in given.items()}
     for name, own in groups.items():
-        for kind, frame in classify(own, params, backbone, countries, polygons).items():
+        for kind, frame in classify(own, params, backbone, countries, polygons, lines).items():
             end, write = _FILES[kind]
             out[f"{name}_{end}"] = path = f"{base}/{name}_{end}"
             write(frame, path)
-    told = {"parameters.txt": params.described()} | {f"{name}_download_info.txt": f"records: {df.count()}" for name, df in given.items()}
+    told = {"parameters.txt": params.described(), "parameters.json": params.kept()} | {f"{name}_download_info.txt": f"records: {df.count()}" for name, df in given.items()}
     for name, text in told.items():
         out[name] = f"{base}/{name}"
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(out[name])
     return out
+
+
+def again(spark: SparkSession, run_: str, folder: str, at: datetime, **tables) -> dict[str, str]:
+    """Another run with the parameters of an earlier one, whose folder is `run_`. `tables`: what `run` takes."""
+    text = "\n".join(r.value for r in spark.read.text(f"{run_}/parameters.json").collect())
+    return run(spark, Parameters.of(text), folder, at, **tables)

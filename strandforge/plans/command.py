@@ -12,13 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import region, taxonomy
 from ..sources import readers
-from . import classify
-from .config import Parameters, parsed, read_config
+from . import classify, scripts
+from .config import COMMANDS, Parameters, parsed, read_config
 
 VERSION = "2"
 _IMPORT = {"ncbi": readers.ncbi_taxonomy, "gbif": readers.gbif_taxonomy}
 
 
+def asked_cores(words: list[str]) -> int | None:
+    """The number of cores that a command line asks for, if any."""
+    given = words[: next((i for i, w in enumerate(words) if w in COMMANDS), len(words))]
+    at = next((i for i, w in enumerate(given) if w in ("-c", "--num_cores")), None)
+    return int(given[at + 1]) if at is not None and at + 1 < len(given) and given[at + 1].isdigit() else None
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -57,7 +64,12 @@ def listing(spark: SparkSession, data: str, kind: str) -> list[str]:
 
 
 def main(spark: SparkSession, words: list[str], data: str = ".", at: datetime | None = None, config: str | None = None) -> list[str]:
-    """Does it and returns what there is to say, a line each."""
+    """Does it and returns what there is to say, a line each. `config`: the text of a configuration; without it the file
+    default_config.yaml of the data folder counts, if there is one. Its values are defaults of the command line."""
+    if words[:1] == ["script"]:
+        return scripts.main(spark, words[1:])
+    if config is None and _exists(spark, f"{data}/default_config.yaml"):
+        config = spark.read.text(f"{data}/default_config.yaml", wholetext=True).first().value
     params = parsed(words, Parameters().merged(read_config(config)) if config else None)
     if "version" in params.options:
         return [VERSION]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 from dataclasses import asdict, dataclass, field, fields, replace
 from datetime import datetime
 
@@ -66,6 +67,19 @@ class Parameters:
         known = {f.name for f in fields(self)}
         return replace(self, **{k: tuple(v) if isinstance(v, list) else v for k, v in config.items() if k in known})
 
+    def kept(self) -> str:
+        """The parameters as JSON, which `of` reads."""
+        return json.dumps(asdict(self), sort_keys=True)
+
+    @classmethod
+    def of(cls, text: str) -> Parameters:
+        """Parameters from JSON: unknown names are refused, missing ones have their defaults."""
+        told = json.loads(text)
+        if unknown := sorted(set(told) - {f.name for f in fields(cls)}):
+            raise ValueError(f"unknown parameters: {', '.join(unknown)}")
+        flat = lambda v: tuple(v) if isinstance(v, list) else {k: flat(x) for k, x in v.items()} if isinstance(v, dict) else v
+        return cls(**{k: flat(v) for k, v in told.items()}).checked()
+
     def strategy(self) -> str | None:
         return next((k for k in DEREP if self.derep.get(k)), None)
 

@@ -19,16 +19,21 @@ SPECIMEN = (
 )
 
 
+def file_name() -> Column:
+    """The name of a row's file, as it is written in its folder."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
+
+
 def place() -> Column:
     """Where a row of a file stands: files by name, blocks by where they begin, rows as they come. Orders rows as the
     input has them, however Spark deals the blocks, and no task sees more than its own."""
-    return F.struct("_metadata.file_name", "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return F.struct(file_name().alias("file_name"), "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """One row per FASTA record as written: file, pos (`place`), header (with '>'), sequence, n_lines. Files may be
     gzipped. Windows line ends are removed."""
-    text = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_name").alias("file"), place().alias("pos"), F.col("value"))
+    text = spark.read.option("lineSep", "\n>").text(path).select(file_name().alias("file"), place().alias("pos"), F.col("value"))
     clean = text.withColumn("value", F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")).where("value != ''")
     cut = clean.withColumn("lines", F.split("value", "\n", -1))
     body = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(1)))
@@ -234,17 +239,29 @@ def gbif_taxonomy(spark: SparkSession, folder: str) -> DataFrame:
     return out.join(gone, "taxon_id", "left").withColumn("is_extinct", F.coalesce("gone", F.lit(False))).select(*TAXONOMY)
 
 
-def latest(folders: list[str]) -> str:
-    """The newest download folder: names end in a timestamp, so the greatest name wins."""
-    if not folders:
-        raise ValueError("nothing was downloaded yet")
-    return max(folders, key=lambda x: x.rstrip("/").rsplit("/", 1)[-1])
-
-
-def downloads(spark: SparkSession, folder: str) -> list[str]:
-    """Folders and files of a download folder, wherever Spark can read."""
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, taxon, time) of the downloads in a folder, wherever Spark can list. Names are <taxon>-<time>; what has no
+    such name, or is called a release, holds a source whole and has no taxon. Numbers of releases count as times."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return sorted(x.getPath().toString() for x in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in files.listStatus(path)] if files.exists(path) else []
+    rows = spark.createDataFrame([(x.toString(), x.getName()) for x in found], "path string, name string")
+    timed = r"^(.*)-(\d{8}(?:T\d{4,6})?)$"
+    taxon = F.regexp_extract("name", timed, 1)
+    number = F.regexp_extract("name", r"(\d+)\D*$", 1)
+    return rows.select("path", F.when((taxon != "") & ~F.lower(taxon).contains("release"), F.replace(taxon, F.lit("_"), F.lit(" "))).alias("taxon"),
+                       F.when(F.regexp_extract("name", timed, 2) != "", F.regexp_extract("name", timed, 2)).otherwise(F.lpad(number, 8, "0")).alias("time"))
+
+
+def covering(downloads: DataFrame, taxa: list[str]) -> str:
+    """The newest download that holds a taxon: one of a whole source, or one whose taxon is among `taxa`, which are the
+    taxon's own name and those of its ancestors. Of equally new ones the one of the lowest taxon."""
+    known = downloads.where(F.col("taxon").isNull() | F.col("taxon").isin(taxa))
+    depth = F.coalesce(F.array_position(F.array(*[F.lit(t) for t in taxa]), F.col("taxon")), F.lit(0))
+    first = known.orderBy(F.desc("time"), F.desc(depth), F.desc("path")).limit(1).collect()
+    if not first:
+        raise ValueError(f"no download holds {taxa[-1]}")
+    return first[0].path
 
 
 def replacements(spark: SparkSession, path: str) -> DataFrame:

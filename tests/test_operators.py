@@ -208,14 +208,37 @@ def test_bold_and_genbank_details(spark, tmp_path):
 ACCESSION   AB1 AB9
   ORGANISM  Apis mellifera
             Eukaryota; Metazoa.
+FEATURES             Location/Qualifiers
+     source          1..10
                      /country="Peru"
                      /lat_lon="4.5 S 70.25 W"
+     gene            <1..>10
+                     /gene="COI"
 ORIGIN
         1 acgtn acgta
 //
 LOCUS       AB2
 ACCESSION   AB2
   ORGANISM  Apis sp. BOLD:AAA1
+FEATURES             Location/Qualifiers
+     CDS             complement(join(4..5,1..2))
+                     /product="cytochrome c oxidase
+                     subunit I"
+ORIGIN
+        1 aacgt
+//
+LOCUS       AB3
+ACCESSION   AB3
+  ORGANISM  Apis mellifera
+FEATURES             Location/Qualifiers
+     CDS             1..3
+                     /gene="COX2"
+ORIGIN
+        1 aaa
+//
+LOCUS       AB4
+ACCESSION   AB4
+  ORGANISM  Apis mellifera
 ORIGIN
         1 aaa
 //
@@ -223,7 +246,7 @@ ORIGIN
     with gzip.open(tmp_path / "g.seq.gz", "wt") as f:
         f.write(flat)
     got = {x.identifier: (x.genus, x.species, x.country, x.location, x.latitude, x.longitude, x.sequence) for x in readers.genbank(spark, str(tmp_path / "g.seq.gz")).collect()}
-    assert got == {"AB1": ("Apis", "Apis mellifera", "Peru", None, -4.5, -70.25, "ACGTNACGTA"), "AB2": ("Apis", "", None, None, None, None, "AAA")}
+    assert got == {"AB1": ("Apis", "Apis mellifera", "Peru", None, -4.5, -70.25, "ACGTNACGTA"), "AB2": ("Apis", "", None, None, None, None, "TTAC")}
 
 
 def test_parameters():
@@ -259,19 +282,23 @@ def test_run_writes_all_files(spark, sf, tmp_path):
     import shutil
 
     for name, path in (("GBOL", catalogue.gbol_file(spark, sf)), ("BOLD", catalogue.bold_folder(spark, sf))):
-        shutil.copytree(path.removeprefix("file:"), f"{down}/{name}/{name}-20210128T1000")
-        (tmp_path / "downloads" / name / f"{name}-20190101T1000").mkdir()
+        shutil.copytree(path.removeprefix("file:"), f"{down}/{name}/{'GBOL_Dataset_Release' if name == 'GBOL' else 'Animalia'}-20210128T1000")
+        (tmp_path / "downloads" / name / "Animalia-20190101T1000").mkdir()
+        (tmp_path / "downloads" / name / "Plantae-20230101T1000").mkdir()
     params = parsed(["-t", "Animalia", "classify", "--gbol", "--bold", "derep", "-l", "filter", "-N", "3", "output", "-k", "true", "-q", "true", "-x", "true", "-s", "true", "-d", "true"])
     out = classify.run(spark, params, f"{d}/results", datetime(2021, 3, 17, 16, 4), catalogue.backbone(spark, sf), catalogue.countries(spark, sf), downloaded=down)
     assert {p.split("/results/")[1] for p in out.values()} == {f"Animalia-20210317T1604/{x}" for x in (
         *[f"Animalia_derep_all_{x}" for x in ("output.tsv", "output.fas", "comparison.tsv", "qiime2_taxonomy.txt", "qiime2_taxonomy.fas", "kraken2.fas", "dada2_taxonomy.fas", "dada2_species.fas", "sintax.fas")],
-        "parameters.txt", "gbol_download_info.txt", "bold_download_info.txt")}
+        "parameters.txt", "parameters.json", "gbol_download_info.txt", "bold_download_info.txt")}
+    once_more = classify.again(spark, f"{d}/results/Animalia-20210317T1604", f"{d}/again", datetime(2022, 1, 1), backbone=catalogue.backbone(spark, sf), countries=catalogue.countries(spark, sf), downloaded=down)
+    same = lambda o: sorted(r.value for r in spark.read.text(o["Animalia_derep_all_output.tsv"]).collect())
+    assert set(once_more) == set(out) and same(once_more) == same(out)
     read = {k: spark.read.text(p).count() for k, p in out.items()}
     assert read["gbol_download_info.txt"] == 1 and read["Animalia_derep_all_output.fas"] > 100
     fasta = readers.fasta(spark, out["Animalia_derep_all_output.fas"])
     assert fasta.count() == fasta.select("sequence").distinct().count() and fasta.where("header not like '>SPC%|Animalia|%'").isEmpty()
     apart = classify.run(spark, parsed(["-t", "Animalia", "classify", "--gbol", "--no_merge", "output", "-f", "false", "-c", "false", "taxonomy", "--unmapped"]), f"{d}/apart", datetime(2021, 3, 17, 16, 4), downloaded=down)
-    assert set(apart) == {"gbol_output.tsv", "parameters.txt", "gbol_download_info.txt"}
+    assert set(apart) == {"gbol_output.tsv", "parameters.txt", "parameters.json", "gbol_download_info.txt"}
     with pytest.raises(ValueError):
         classify.classify(classify.sources(spark, params, down), parsed(["-t", "Animalia", "classify", "--gbol", "region", "-c", "Atlantis"]), catalogue.backbone(spark, sf), catalogue.countries(spark, sf))
 
@@ -294,7 +321,7 @@ def test_commands(spark, sf, tmp_path):
     assert say("update", "--gbif_taxonomy") == ["imported gbif"]
     (tmp_path / "b.tsv").write_text("processid\tkingdom\tgenus\tspecies\tmarker_code\tnuc\nP1\tAnimalia\tApis\tApis x\tCOI-5P\tACGT\nP2\tAnimalia\t\t\tCOI-5P\tACGN\n")
     out = say("-t", "Animalia", "classify", "--bold_release", f"{d}/b.tsv", "taxonomy", "--gbif", "--retain", "output", "-c", "false")
-    assert [x.rsplit("/", 1)[-1] for x in out] == ["bold_download_info.txt", "merged_output.fas", "merged_output.tsv", "parameters.txt"]
+    assert [x.rsplit("/", 1)[-1] for x in out] == ["bold_download_info.txt", "merged_output.fas", "merged_output.tsv", "parameters.json", "parameters.txt"]
     assert {r.value for r in spark.read.text(out[1]).collect()} == {">P1|Animalia|||||Apis|Apis x", "ACGT", ">P2|Animalia", "ACGN"}
     with pytest.raises(ValueError):
         say("download", "--all")
