@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import derep, region, sequence, taxonomy
 from ..sources import readers, writers
-from ..sources.scratch import written
+from ..sources.scratch import clear, held, written
 from .config import Parameters, run_folder
 
 RANKS = [taxonomy.COLUMNS[r] for r in reversed(taxonomy.RANKS)]
@@ -152,7 +152,7 @@ def run(spark: SparkSession, params: Parameters, folder: str, at: datetime, back
     """Classifies and writes everything under `folder`/<taxon>-<time>: paths by output. Files are called merged_... or,
     if dereplicated, <taxon>_derep_all_...; without merging each source has files of its own. The parameters, and how
     many records each source gave, lie beside them."""
-    params = params.checked()
+    params, others = params.checked(), held()
     lines = taxonomy.lineages(backbone) if backbone is not None else None
     taxa = taxonomy.ancestors(lines, taxonomy.taxon(backbone, params.taxon)[0]) if lines is not None else None
     base, given, out = f"{folder}/{run_folder(params.taxon, at)}", sources(spark, params, downloaded, taxa), {}
@@ -166,6 +166,7 @@ def run(spark: SparkSession, params: Parameters, folder: str, at: datetime, back
     for name, text in told.items():
         out[name] = f"{base}/{name}"
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(out[name])
+    clear(spark, others)  # all that was written on the way
     return out
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import CONSENSUS, header_taxa
 from ..operators import contaminants, lineage, sequence
 from ..sources import readers, writers
-from ..sources.scratch import written
+from ..sources.scratch import clear, held, written
 
 RANKS = ("kingdom", "phylum", "class", "order", "family", "genus", "species")
 
@@ -137,5 +137,7 @@ def main(spark: SparkSession, words: list[str]) -> list[str]:
     for name in ("input", "output", *(["db"] if "db" in o else [])):
         if not getattr(o, name):
             raise ValueError(f"{words[0]} needs --{name}")
+    others = held()
     do(spark, o)
+    clear(spark, others)
     return [getattr(o, k) for k in ("output", "discarded", "filter_info", "processing_output", "matched", "report") if getattr(o, k, None)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +25,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes a table and reads it again: its lineage ends there."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    _HELD.paths.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class _Held(threading.local):
+    """Paths of the tables that a thread of the driver has written and not removed."""
+
+    def __init__(self):
+        self.paths: set[str] = set()
+
+
+_HELD = _Held()
+
+
+def held() -> frozenset[str]:
+    """The tables that this thread has written and that are still there."""
+    return frozenset(_HELD.paths)
+
+
+def clear(spark: SparkSession, but: frozenset[str] = frozenset()) -> int:
+    """Removes tables that operators wrote in this thread, but for those of `but`, and tells how many. For callers whose
+    results are written: until then results read these tables."""
+    paths = sorted(_HELD.paths - but)
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _HELD.paths.discard(path)
+    return len(paths)
+
+
 def put(spark: SparkSession, path: str, data: bytes) -> str:
     """A small file of these bytes, wherever Spark can write."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandforge.operators import contaminants, derep, taxonomy
-from strandforge.plans import classify, command, scripts
+from strandforge.plans import catalogue, classify, command, scripts
 from strandforge.plans.config import Parameters, parsed
-from strandforge.sources import genbank, readers, writers
+from strandforge.sources import genbank, readers, scratch, writers
 
 
 @pytest.fixture
@@ -291,3 +291,15 @@ def test_scripts(spark, tmp_path):
         with pytest.raises(ValueError):
             say(*bad)
     assert set(scripts.SCRIPTS) >= {"check_clusters", "contaminants"}
+
+
+def test_tables_on_the_way_are_removed(spark, sf, tmp_path):
+    b, before = catalogue.backbone(spark, sf), scratch.held()
+    (tmp_path / "b.tsv").write_text("processid\tkingdom\tgenus\tmarker_code\tnuc\nP1\tAnimalia\tGen1\tCOI-5P\tACGT\n")
+    params = parsed(["-t", "Animalia", "classify", "--bold_release", f"{tmp_path}/b.tsv", "derep", "-l"])
+    classify.run(spark, params, f"{tmp_path}/out", datetime(2022, 1, 1), b)
+    assert scratch.held() == before
+    walked = taxonomy.lineages(b)
+    new = scratch.held() - before
+    assert new and walked.count()
+    assert scratch.clear(spark, before) == len(new) and scratch.held() == before
