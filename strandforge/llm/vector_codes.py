@@ -125,8 +125,8 @@ def train(vectors: DataFrame, d: int, rounds: int = ROUNDS) -> np.ndarray:
     w = -(-d // PARTS)
     books = np.zeros((len(smallest), PARTS * w), np.int64)
     if smallest:
-        books[:, :d] = np.floor(np.array([r.v for r in smallest], np.float64).reshape(-1, d) * SCALE)
-    books = np.ascontiguousarray(books.reshape(-1, PARTS, w).transpose(1, 0, 2))
+        books[:, :d] = np.floor(np.array([r.v for r in smallest], np.float64).reshape(len(smallest), d) * SCALE)
+    books = np.ascontiguousarray(books.reshape(len(smallest), PARTS, w).transpose(1, 0, 2))
     if not smallest:
         return books
     size = books.shape[0] * books.shape[1]
