@@ -794,8 +794,8 @@ def _(spark, d):
 @query("out_comparison", f"{_KNOWN} SELECT f.identifier, f.finest_name AS lineage_before, h.used AS lineage_after, f.finest_name IS DISTINCT FROM h.used AS changed FROM finest f LEFT JOIN hits h USING (identifier)")
 def _(spark, d):
     b = barcode(spark, d)
-    after = taxonomy.harmonize(b, backbone(spark, d)).select("identifier", F.col("used_name").alias("lineage"))
-    return writers.comparison(taxonomy.finest(b).select("identifier", F.col("finest_name").alias("lineage")), after)
+    after = taxonomy.harmonize(b, backbone(spark, d)).select("pos", "identifier", F.col("used_name").alias("lineage"))
+    return writers.comparison(taxonomy.finest(b).select("pos", "identifier", F.col("finest_name").alias("lineage")), after)
 
 
 # ---- the chain --------------------------------------------------------------------------------------------------

@@ -177,9 +177,9 @@ def gbol(spark: SparkSession, path: str) -> DataFrame:
 
 def genbank(spark: SparkSession, path: str, marker: str = "co1") -> DataFrame:
     """GenBank flat files, plain or gzipped: the marker as the feature table of each record tells where it lies, so it is
-    cut out of whole genomes, and records of other genes are left out. The lineage's ranks are not named there: species
+    cut out of whole genomes, and records of other genes are left out. Files may lie in folders below `path`. The lineage's ranks are not named there: species
     and genus come from the organism's name, the others are left to the taxonomy."""
-    t = spark.read.option("lineSep", "\n//").text(path).select("value", place().alias("pos")).where(F.col("value").rlike(r"(?m)^ORIGIN"))
+    t = spark.read.option("lineSep", "\n//").text(path, recursiveFileLookup=True).select("value", place().alias("pos")).where(F.col("value").rlike(r"(?m)^ORIGIN"))
     own = lambda pattern: F.regexp_extract("value", pattern, 1)
     organism = own(r"(?m)^  ORGANISM  (.*)$")
     origin = own(r'/(?:geo_loc_name|country)="([^"]*)"')

@@ -44,10 +44,12 @@ def sintax(frame: DataFrame) -> DataFrame:
 
 
 def comparison(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Per identifier the lineage before and after harmonization, and whether it changed."""
-    a = before.select("identifier", F.col("lineage").alias("lineage_before"))
-    b = after.select("identifier", F.col("lineage").alias("lineage_after"))
-    return a.join(b, "identifier", "left").withColumn("changed", ~F.col("lineage_before").eqNullSafe(F.col("lineage_after")))
+    """Per record the lineage before and after harmonization, and whether it changed. Records are told apart by `pos`
+    where there is one, else by identifiers, which then must not repeat."""
+    key = "pos" if "pos" in before.columns and "pos" in after.columns else "identifier"
+    a = before.select("identifier", *[key] * (key == "pos"), F.col("lineage").alias("lineage_before"))
+    b = after.select(key, F.col("lineage").alias("lineage_after"))
+    return a.join(b, key, "left").select("identifier", "lineage_before", "lineage_after").withColumn("changed", ~F.col("lineage_before").eqNullSafe(F.col("lineage_after")))
 
 
 def write_fasta(frame: DataFrame, path: str) -> None:
