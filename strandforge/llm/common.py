@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import threading
 import uuid
@@ -82,6 +83,13 @@ def _remove(spark: SparkSession, path: str) -> None:
     _WRITTEN.paths.discard(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of jobs that are done. It does so only when the driver's JVM collects its
+    garbage, which a driver with little to do puts off while the files of every step pile up."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Columns of a document's key, and their types.
 KEY = ["_k", "_t", "_u"]
 KEY_SCHEMA = "_k long, _t long, _u int"

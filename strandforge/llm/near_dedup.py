@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, grams, hashed, mixed, raw, runs, signed, stored, table
+from .common import discard, grams, hashed, mixed, raw, released, runs, signed, stored, table
 from .components import components
 
 SLOTS, BANDS, ROWS = 64, 16, 4
@@ -191,12 +191,15 @@ def near_dedup(docs: DataFrame, percent: int = 85) -> DataFrame:
     members = stored(banded.join(shared, "bucket").distinct(), "members")
     near = members.select("id").distinct()
     signatures = stored(signatures.join(near, "id"), "signatures")
+    released(docs.sparkSession)
     texts = stored(given.join(near, "id").dropDuplicates(["id", "text"]), "texts")
+    released(docs.sparkSession)
     stars = members.select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id != hub").select(F.greatest("id", "hub").alias("u"), F.least("id", "hub").alias("v")).distinct()
     side = lambda x: signatures.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}"))
     stars = stars.join(side("u"), "u").join(side("v"), "v").where(f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)")
     stars = stars.select("u", "v", "sig_u", "sig_v").mapInArrow(_alike, "u long, v long").distinct()
     found = stored(_verified(stars, texts, percent).unionByName(links), "links")
+    released(docs.sparkSession)
     groups = stored(components(found), "groups")
     more = _left_over(members, signatures, texts, groups, percent)
     discard(found, reps, members, signatures, texts)
