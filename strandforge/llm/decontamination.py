@@ -41,7 +41,8 @@ PLAIN = frozenset(
 NUMBER, NAME, UNIT = b"\x00number", b"\x00name", b"\x00unit"
 #: Benchmark windows up to this number (8 bytes each, and their items) are sent to every executor; more are joined by a shuffle.
 MOST_SENT = 500_000
-_NUMBER = re.compile(rb"[^\w%]*[+-]?\d[\d.,:/]*([A-Za-z%/]*)[^\w%]*$")
+#: Nothing taken is given back, so a word is read once however long its runs are.
+_NUMBER = re.compile(rb"[^\w%]*+\d[\d.,:/]*+([A-Za-z%/]*+)[^\w%]*+$")
 _STRIP = b".,;:!?()[]{}\"'`"
 SIZE = 8
 #: Windows with fewer plain words are compared as they are.
