@@ -22,7 +22,8 @@ from .sampling import held_out, labelled_sample
 BUCKETS, DIM, NONZERO, REACH = 8192, 64, 4, 2
 #: Labelled rows the network is fitted on, at most, by label.
 SAMPLE = {0: 8_000, 1: 12_000}
-_CORE = re.compile(rb"^([^\w]*)(.*?)([^\w]*)$", re.S)
+#: Outer punctuation and what is between; nothing taken is given back, so a word is read once.
+_CORE = re.compile(r"(\W*+)((?:\w++(?:\W++(?=\w))?)*+)(\W*+)")
 AGAIN, SHOUT, NUMBER = 0, 1, 2
 
 
@@ -42,11 +43,11 @@ class Units(dict):
                 self.__init__(n)
 
     def __missing__(self, word: bytes) -> int:
-        before, core, after = _CORE.match(word).groups() if word.isascii() else (b"", word, b"")
-        h = lambda x, lo, n: lo + xxhash.xxh3_64_intdigest(x) % n
+        before, core, after = _CORE.fullmatch(word.decode("utf-8", "replace")).groups()
+        h = lambda x, lo, n: lo + xxhash.xxh3_64_intdigest(x.encode()) % n
         out = []
         if before:
-            out.append(h(b"b" + before[:3], 16, 496))
+            out.append(h("b" + before[:3], 16, 496))
         if core:
             if core.isdigit():
                 out.append(NUMBER)
@@ -55,7 +56,7 @@ class Units(dict):
                     out.append(SHOUT)
                 out.append(h(core.lower(), 512, BUCKETS - 512))
         if after:
-            out.append(h(b"a" + after[:3], 16, 496))
+            out.append(h("a" + after[:3], 16, 496))
         at = self[word] = len(self)
         self.table[at, : len(out)] = out
         self.table[at, len(out):] = -1

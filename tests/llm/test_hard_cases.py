@@ -348,6 +348,28 @@ def test_words_of_many_bytes():
     assert most <= (64 << 20) // 10_000 + 20
 
 
+def test_long_runs_inside_words():
+    """Words of a million marks between letters or digits are read once, not once a place."""
+    began = time.time()
+    for mark in b".", b"/", b":", b"-", "\u00b7".encode():
+        long = [b"a" + mark * 1_000_000 + b"a", b"1" + mark * 1_000_000 + b"=a", mark * 500_000 + b"7" + mark * 500_000]
+        for word in long:
+            quality_classifier.Units().of(word)
+            decontamination.Told([word], {})
+    assert time.time() - began < 60
+    assert decontamination.kind(b"1" + b"/" * 5_000 + b"=a")[0] != decontamination.NUMBER
+    assert decontamination.kind(b"(+1" + b"." * 5_000 + b"km)")[0] == decontamination.NUMBER
+
+
+def test_units_beyond_ascii():
+    """Case and outer punctuation are told apart in any script."""
+    units = quality_classifier.Units()
+    plain = units.of("\u00e9t\u00e9".encode()).tolist()
+    assert len(plain) == 1 and units.of("\u00c9t\u00e9".encode()).tolist() == plain
+    assert plain[0] in units.of("\u00ab\u00c9T\u00c9\u00bb".encode()).tolist() and quality_classifier.SHOUT in units.of("\u00c9T\u00c9".encode()).tolist()
+    assert len(units.of("\u00ab\u00e9t\u00e9\u00bb,".encode())) == 3
+
+
 def test_risk_of_all_rules_together(spark, monkeypatch):
     rng = random.Random(35)
     def text(i):
