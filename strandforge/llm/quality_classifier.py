@@ -25,6 +25,7 @@ SAMPLE = {0: 8_000, 1: 12_000}
 #: Outer punctuation and what is between; nothing taken is given back, so a word is read once.
 _CORE = re.compile(r"(\W*+)((?:\w++(?:\W++(?=\w))?)*+)(\W*+)")
 AGAIN, SHOUT, NUMBER = 0, 1, 2
+_NONE = (-1, -1, -1, -1)
 
 
 class Units(dict):
@@ -34,6 +35,7 @@ class Units(dict):
     def __init__(self, most: int = 200_000):
         super().__init__()
         self.most, self.held = most, 0
+        self.fresh: list[tuple] = []  # rows of words met in this text
         self.table = np.full((most, 4), -1, np.int16)
 
     def room(self, n: int) -> None:
@@ -43,23 +45,22 @@ class Units(dict):
                 self.__init__(n)
 
     def __missing__(self, word: bytes) -> int:
-        before, core, after = _CORE.fullmatch(word.decode("utf-8", "replace")).groups()
-        h = lambda x, lo, n: lo + xxhash.xxh3_64_intdigest(x.encode()) % n
-        out = []
-        if before:
-            out.append(h("b" + before[:3], 16, 496))
-        if core:
+        h = lambda x, lo, n: lo + xxhash.xxh3_64_intdigest(x) % n
+        if word.isalpha():  # ASCII letters only: most words
+            first = h(word.lower(), 512, BUCKETS - 512)
+            out = (SHOUT, first) if len(word) > 1 and word.isupper() else (first,)
+        else:
+            before, core, after = _CORE.fullmatch(word.decode("utf-8", "replace")).groups()
+            out = (h("b" + before[:3], 16, 496),) if before else ()
             if core.isdigit():
-                out.append(NUMBER)
-            else:
-                if len(core) > 1 and core.isupper():
-                    out.append(SHOUT)
-                out.append(h(core.lower(), 512, BUCKETS - 512))
-        if after:
-            out.append(h("a" + after[:3], 16, 496))
+                out += (NUMBER,)
+            elif core:
+                out += (SHOUT,) if len(core) > 1 and core.isupper() else ()
+                out += (h(core.lower(), 512, BUCKETS - 512),)
+            if after:
+                out += (h("a" + after[:3], 16, 496),)
         at = self[word] = len(self)
-        self.table[at, : len(out)] = out
-        self.table[at, len(out):] = -1
+        self.fresh.append(out + _NONE[len(out):])
         return at
 
     def of(self, text: bytes | None) -> np.ndarray:
@@ -70,6 +71,9 @@ class Units(dict):
             self.held = len(text or b"")
         self.room(len(words))
         at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        if self.fresh:
+            self.table[len(self) - len(self.fresh): len(self)] = self.fresh
+            self.fresh.clear()
         ids = self.table[at].reshape(-1)
         again = int(np.count_nonzero(at[1:] == at[:-1]))
         return np.concatenate([ids[ids >= 0], np.full(again, AGAIN, np.int16)])
