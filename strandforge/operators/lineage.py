@@ -77,18 +77,19 @@ def support(counts: DataFrame) -> DataFrame:
     """(cluster, taxa, count, support): own count and those of the lineages contained in it.
 
     A contained lineage's rarest name in its cluster is among the names of all that contain it, so pairs meet at that
-    name only, and never all of a cluster. The lineage without names is contained in all and is added as a number."""
+    name only, and never all of a cluster. The lineage without names is contained in all and is added as a number.
+    Everything here has rows of all clusters, of which files tell a small part only: joins are merges, nothing is sent."""
     counts = written(counts, "counts")  # read several times below
     names = counts.select("cluster", "taxa", "count", F.explode(F.array_distinct("taxa")).alias("name"))
     often = names.groupBy("cluster", "name").agg(F.count(F.lit(1)).alias("often"))
-    rarest = names.join(often, ["cluster", "name"]).groupBy("cluster", "taxa").agg(F.min(F.struct("often", "name"))["name"].alias("name"), F.first("count").alias("n"))
+    rarest = names.join(often.hint("merge"), ["cluster", "name"]).groupBy("cluster", "taxa").agg(F.min(F.struct("often", "name"))["name"].alias("name"), F.first("count").alias("n"))
     inside = rarest.select("cluster", "name", F.col("taxa").alias("other"), "n")
     # a lineage with a repeated name contains nothing
     holders = names.where(F.size(F.array_distinct("taxa")) == F.size("taxa")).select("cluster", "name", "taxa")
-    pairs = holders.join(inside, ["cluster", "name"]).where(F.size(F.array_distinct("other")) <= F.size("taxa"))
+    pairs = holders.join(inside.hint("merge"), ["cluster", "name"]).where(F.size(F.array_distinct("other")) <= F.size("taxa"))
     more = pairs.where((F.col("taxa") != F.col("other")) & contains_lineage(F.col("taxa"), F.col("other"))).groupBy("cluster", "taxa").agg(F.sum("n").alias("more"))
     bare = counts.where(F.size("taxa") == 0).select("cluster", F.col("count").alias("bare"))
-    out = counts.join(more, ["cluster", "taxa"], "left").join(bare, "cluster", "left")
+    out = counts.join(more.hint("merge"), ["cluster", "taxa"], "left").join(bare.hint("merge"), "cluster", "left")
     free = (F.size("taxa") > 0) & (F.size(F.array_distinct("taxa")) == F.size("taxa"))
     return out.select("cluster", "taxa", "count", (F.col("count") + F.coalesce("more", F.lit(0)) + F.when(free, F.coalesce("bare", F.lit(0))).otherwise(0)).alias("support"))
 
@@ -97,11 +98,11 @@ def by_ratio(counts: DataFrame, ratio: float) -> DataFrame:
     """The best supported lineage if it has `ratio` times the support of the next, else the most specific one."""
     item = F.struct((-F.col("support")).alias("s"), F.array_join("taxa", "|").alias("t"), "taxa")
     by = lambda x, y: F.when(x["s"] != y["s"], F.signum(x["s"] - y["s"]).cast("int")).when(x["t"] > y["t"], -1).when(x["t"] < y["t"], 1).otherwise(0)
-    ranked = support(counts).groupBy("cluster").agg(F.array_sort(F.collect_list(item), by).alias("r"))
+    # specific: the first in the order of `_ordered`; unless contained ones are skipped nothing moves it
+    specific = F.max_by("taxa", F.struct(F.size("taxa"), "count", F.array_join("taxa", "|")))
+    ranked = support(counts).groupBy("cluster").agg(F.array_sort(F.collect_list(item), by).alias("r"), specific.alias("specific"))
     first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
-    # specific: unless contained ones are skipped nothing moves the first of the order
-    out = ranked.join(_ordered(counts), "cluster")
-    return out.select("cluster", F.when(second.isNotNull() & (first["s"] / second["s"] >= ratio), first["taxa"]).otherwise(F.get("l", F.lit(0))["taxa"]).alias("taxa"))
+    return ranked.select("cluster", F.when(second.isNotNull() & (first["s"] / second["s"] >= ratio), first["taxa"]).otherwise(F.col("specific")).alias("taxa"))
 
 
 def without_conflict(counts: DataFrame) -> DataFrame:

@@ -130,6 +130,15 @@ def test_support_against_all_pairs(spark):
     assert {(r.cluster, tuple(r.taxa)): r.support for r in lineage.support(counts).collect()} == want
 
 
+def test_support_sends_no_table(spark):
+    """Files tell a small part of what their rows take in memory, so tables of all clusters are never sent around."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    counts = spark.createDataFrame([("c", ["A"], 1), ("c", ["A", "B"], 4)], "cluster string, taxa array<string>, count long")
+    assert "Broadcast" not in plan(lineage.support(counts))
+    assert "Broadcast" not in plan(lineage.by_ratio(counts, 1.5))
+    assert lineage.by_ratio(counts, 1.5).first().taxa == ["A", "B"] and lineage.by_ratio(counts.where("count = 1"), 1.5).first().taxa == ["A"]
+
+
 def test_cluster_headers(spark):
     rows = [("c", "i", ">i|A|B||", ["A", "B"], "AC"), ("c", "i", ">i|A|B||", ["A", "B"], "GT"), ("c", "j", ">j|A", ["A"], "TT")]
     m = spark.createDataFrame(rows, "cluster string, identifier string, header string, taxa array<string>, sequence string")
