@@ -24,27 +24,38 @@ def file_name() -> Column:
     return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B")))
 
 
-def place() -> Column:
+def place(name: Column | None = None) -> Column:
     """Where a row of a file stands: files by name, blocks by where they begin, rows as they come. Orders rows as the
     input has them, however Spark deals the blocks, and no task sees more than its own."""
-    return F.struct(file_name().alias("file_name"), "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    name = file_name() if name is None else name
+    return F.struct(name.alias("file_name"), "_metadata.file_path", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def _below(spark: SparkSession, path: str) -> Column:
+    """A row's file as it is named below `path`, folders included; of a path that is no folder the file's name."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    depth = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).depth()
+    within = F.regexp_extract("_metadata.file_path", f"^(?:[^:/]+:)?(?://[^/]*)?(?:/[^/]*){{{depth}}}/(.+)$", 1)
+    return F.when(within != "", F.url_decode(F.replace(within, F.lit("+"), F.lit("%2B")))).otherwise(file_name())
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """One row per FASTA record as written: file, pos (`place`), header (with '>'), sequence, n_lines. Files may be
-    gzipped. Windows line ends are removed."""
-    text = spark.read.option("lineSep", "\n>").text(path).select(file_name().alias("file"), place().alias("pos"), F.col("value"))
-    clean = text.withColumn("value", F.regexp_replace(F.regexp_replace("value", "\r", ""), "^>", "")).where("value != ''")
-    cut = clean.withColumn("lines", F.split("value", "\n", -1))
-    body = F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(1)))
-    # a file's last record keeps its final line end, which leaves an empty piece that is no line
-    body = F.when((F.size(body) > 1) & (F.element_at(body, -1) == ""), F.slice(body, 1, F.greatest(F.size(body) - 1, F.lit(1)))).otherwise(body)
-    out = cut.select("file", "pos", F.concat(F.lit(">"), F.get("lines", F.lit(0))).alias("header"), F.array_join(body, "").alias("sequence"), F.size(body).alias("n_lines"))
+    gzipped. A folder in the folder is one file in parts, as writers leave it, and goes by its own name. Windows line
+    ends are removed."""
+    name = _below(spark, path)
+    text = spark.read.option("lineSep", "\n>").text(path, recursiveFileLookup=True).select(F.substring_index(name, "/", 1).alias("file"), place(name).alias("pos"), F.replace("value", F.lit("\r"), F.lit("")).alias("value"))
+    clean = text.withColumn("value", F.when(F.startswith("value", F.lit(">")), F.expr("substring(value, 2)")).otherwise(F.col("value"))).where("value != ''")
+    head, ends = F.substring_index("value", "\n", 1), F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit("")))
+    sequence = F.replace(F.substr("value", F.length(head) + 1), F.lit("\n"), F.lit(""))
+    # a file's last record keeps its final line end, behind which is no line
+    n = ends - F.when((ends > 1) & F.endswith("value", F.lit("\n")), 1).otherwise(0)
     # one empty piece alone is a blank line, or at a file's end no line at all
-    unsure = (F.col("n_lines") == 1) & (F.col("sequence") == "")
-    ends = clean.groupBy("file").agg(F.max("pos").alias("end"))
-    blank = out.where(unsure).join(ends, "file").withColumn("n_lines", F.when(F.col("pos") == F.col("end"), 0).otherwise(1)).drop("end")
-    return out.where(~unsure).unionByName(blank)
+    blocks = clean.groupBy("pos.file_path", "pos.block").agg(F.max("pos.row").alias("last"))
+    last = F.broadcast(blocks.groupBy("file_path").agg(F.max_by("last", "block").alias("last")))  # a row a file
+    at_end = (n == 1) & (sequence == "") & (F.col("pos.row") == F.col("last"))
+    out = clean.join(last, F.col("pos.file_path") == F.col("file_path"), "left")
+    return out.select("file", "pos", F.concat(F.lit(">"), head).alias("header"), sequence.alias("sequence"), F.when(at_end, 0).otherwise(n).alias("n_lines"))
 
 
 def assemble(parts: DataFrame) -> DataFrame:
@@ -79,17 +90,16 @@ def clustered(spark: SparkSession, path: str) -> DataFrame:
 
 def _carried(parts: DataFrame) -> DataFrame:
     """Records without a pipe as further lines of the last record with one. The last header of each block of a file goes
-    from block to block, a row a block; inside a block only those that hold such records are sorted."""
+    from block to block, a row a block; only blocks that hold such records are sorted, of other records the headers."""
     parts = parts.withColumn("piped", F.instr("header", "|") > 0)
-    told = parts.select("pos", F.col("pos.file_path").alias("path"), F.col("pos.block").alias("block"), F.when(F.col("piped"), F.col("header")).alias("own"))
-    blocks = told.groupBy("path", "block").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("pos"))).alias("last"), F.max(F.col("own").isNull()).alias("loose"))
+    told = parts.select("file", "pos", F.col("pos.file_path").alias("path"), F.col("pos.block").alias("block"), F.when(F.col("piped"), F.col("header")).alias("own"),
+                        F.when(~F.col("piped"), F.concat("header", "sequence")).alias("sequence"), (F.col("n_lines") + 1).alias("n_lines"))
+    blocks = told.groupBy("path", "block").agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("pos.row"))).alias("last"), F.max(F.col("own").isNull()).alias("loose"))
     before = F.last("last", ignorenulls=True).over(W.partitionBy("path").orderBy("block").rowsBetween(W.unboundedPreceding, -1))
     carried = blocks.select("path", "block", "loose", before.alias("before")).where("loose")
-    inside = F.last("own", ignorenulls=True).over(W.partitionBy("path", "block").orderBy("pos"))
-    loose = told.join(carried, ["path", "block"]).withColumn("into", F.coalesce(inside, "before")).where("own is null").select(F.col("pos").alias("loose_pos"), "into")
-    joined = parts.where(~F.col("piped")).join(loose, F.col("pos") == F.col("loose_pos")).where("into is not null")
-    more = joined.select("file", "pos", F.col("into").alias("header"), F.concat("header", "sequence").alias("sequence"), (F.col("n_lines") + 1).alias("n_lines"))
-    return parts.where("piped").select(*more.columns).unionByName(more)
+    inside = F.last("own", ignorenulls=True).over(W.partitionBy("path", "block").orderBy("pos.row"))
+    loose = told.join(F.broadcast(carried), ["path", "block"]).withColumn("header", F.coalesce(inside, "before")).where("own is null and header is not null")
+    return parts.where("piped").select("file", "pos", "header", "sequence", "n_lines").unionByName(loose.select("file", "pos", "header", "sequence", "n_lines"))
 
 
 def cluster_parts(frame: DataFrame) -> DataFrame:

@@ -62,6 +62,27 @@ def test_headers_without_a_pipe(spark, tmp_path, small_splits):
     assert got == want | {">c|m": ">bare"}
 
 
+def test_files_in_parts(spark, tmp_path, small_splits):
+    """A folder in the folder is one file: its own name counts, its parts come in order."""
+    want = []
+    for name, n in (("a b.fas", 90), ("c.fas", 40)):
+        rows = [(f">h{i}", "ACGT" * (i % 5 + 1), i) for i in range(n)]
+        parts = spark.createDataFrame(rows, "header string, sequence string, pos long").repartitionByRange(3, "pos").sortWithinPartitions("pos")
+        writers.fasta_text(parts).write.text(str(tmp_path / "in" / name))
+        want += [(f">{name[:-4]}|{h[1:]}", s) for h, s, _ in rows]
+    (tmp_path / "in" / "b.fas").write_text(">x\nAC\n>y\n\n>z\n")
+    want[90:90] = [(">b|x", "AC"), (">b|y", "")]
+    assert len(glob.glob(str(tmp_path / "in" / "a b.fas" / "part-*"))) > 1
+    assert [(r.header, r.sequence) for r in readers.fasta_folder(spark, str(tmp_path / "in")).orderBy("pos").collect()] == want
+
+
+def test_clusters_are_read_few_times(spark, tmp_path):
+    """Records with a pipe, those without, and a row a block; each with the ends of files."""
+    (tmp_path / "x.fas").write_text(">c|m\nAC\n>none\nGT\n")
+    plan = readers.clustered(spark, str(tmp_path / "x.fas"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") <= 6
+
+
 def test_specimens_by_name(spark, tmp_path):
     (tmp_path / "s.tsv").write_text('sequence\tlatitude\textra\tidentifier\tlocation\torder\n' 'ACGT\t1.5\t"\tI1\t"Town, near\tO"x"\nAC\t\t\t\t say "a" \t\n')
     rows = readers.specimens(spark, str(tmp_path / "s.tsv")).orderBy("pos").collect()
