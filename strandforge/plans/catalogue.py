@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import genetic_code, header_taxa, reverse_complement
 from ..operators import contaminants, derep, lineage, region, sequence, taxonomy
 from ..sources import readers, writers
-from ..sources.scratch import one_file, put, shared_path
+from ..sources.scratch import put, shared_path
 from . import classify as chain
 from .config import Parameters
 
@@ -211,10 +211,10 @@ def _(spark, d):
 
 @query("concat_clusters", "SELECT concat('>', source, '|', substr(header, 2)) AS header, sequence FROM headed")
 def _(spark, d):
-    """A folder of one file per source; files are as large as a task can write."""
+    """A folder of one file per source, each written in parts."""
     folder, h = shared_path(spark, "clusters"), headed(spark, d)
     for source in ("BOLD", "GBOL", "GENBANK"):
-        one_file(writers.fasta_text(h.where(F.col("source") == source)), f"{folder}/{source}.fas")
+        writers.write_fasta(h.where(F.col("source") == source).drop("pos"), f"{folder}/{source}.fas")
     return readers.fasta_folder(spark, folder).select("header", "sequence")
 
 
@@ -233,10 +233,10 @@ def _(spark, d):
 
 @query("input_order", "SELECT header, row_number() OVER (ORDER BY source, pos) AS place FROM headed")
 def _(spark, d):
-    """First occurrences over files of unequal size, of which Spark reads the largest first: numbered as written."""
+    """First occurrences over files in parts of unequal size, of which Spark reads the largest first: numbered as written."""
     folder, h = shared_path(spark, "ordered"), headed(spark, d)
     for source in ("GBOL", "GENBANK", "BOLD"):
-        one_file(writers.fasta_text(h.where(F.col("source") == source).orderBy("pos")), f"{folder}/{source}.fas")
+        writers.write_fasta(h.where(F.col("source") == source), f"{folder}/{source}.fas")
     read = readers.fasta(spark, folder)
     before = read.select("pos.file_path", "pos.block").groupBy("file_path", "block").agg(F.count(F.lit(1)).alias("n"))
     before = before.select("file_path", "block", (F.sum("n").over(W.orderBy("file_path", "block")) - F.col("n")).alias("before"))  # a row a block

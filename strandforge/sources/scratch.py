@@ -64,17 +64,3 @@ def put(spark: SparkSession, path: str, data: bytes) -> str:
     finally:
         stream.close()
     return path
-
-
-def one_file(lines: DataFrame, path: str) -> str:
-    """A table of text values as one file of this very name; for tables that one task can write."""
-    spark = lines.sparkSession
-    folder = shared_path(spark, "one")
-    lines.coalesce(1).write.text(folder)
-    source, target = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (folder, path))
-    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(target.getParent())
-    part = next(x.getPath() for x in fs.listStatus(source) if x.getPath().getName().startswith("part-"))
-    if not fs.rename(part, target):
-        raise OSError(f"{path} could not be written")
-    return path
