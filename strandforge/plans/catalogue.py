@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expressions import genetic_code, header_taxa, reverse_complement
 from ..operators import contaminants, derep, lineage, region, sequence, taxonomy
 from ..sources import readers, writers
-from ..sources.scratch import put, shared_path
+from ..sources.scratch import put, shared_path, written
 from . import classify as chain
 from .config import Parameters
 
@@ -803,8 +803,9 @@ def _(spark, d):
 @query("post_filter_chain", f"{_STRAND}, degapped AS (SELECT replace(header, ' ', '_') AS header, replace(h.sequence, '-', '') AS sequence FROM headed h JOIN chosen USING (sequence) WHERE stop_count <= 0), cut AS (SELECT header, CASE WHEN strpos(header, '||') > 0 THEN substr(header, 1, strpos(header, '||') - 1) ELSE header END AS truncated, sequence FROM degapped WHERE length(sequence) - length(replace(sequence, 'N', '')) <= 3 AND length(sequence) BETWEEN 96 AND 1569) SELECT truncated AS header, sequence FROM cut WHERE NOT (strpos(header, '||') > 0 AND strpos(truncated, '|') = 0)")
 def post_filter_chain(spark, d):
     """Underscores, stop codons (on sequences with their gaps, which lie within codons), degapping, Ns, length, lineage
-    gaps. All but the stop codons look at one record alone, so they come first and fewer sequences are translated."""
-    x = sequence.underscore_headers(headed(spark, d)).withColumn("_given", F.col("sequence"))
+    gaps. All but the stop codons look at one record alone, so they come first and fewer sequences are translated.
+    Records are written once: filters would derive a record's sequence anew for each of their conditions, twice over."""
+    x = sequence.underscore_headers(written(headed(spark, d).select("header", "sequence"), "records")).withColumn("_given", F.col("sequence"))
     x = sequence.length_range(sequence.max_char(sequence.degap(x), "N", 3), 96, 1569)
     x = lineage.truncate_missing_rank(x).where("not removed").select("truncated", F.col("sequence").alias("degapped"), F.col("_given").alias("sequence"))
     return sequence.stop_codon_info(x).where("not discarded").select(F.col("truncated").alias("header"), F.col("degapped").alias("sequence"))
