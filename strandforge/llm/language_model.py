@@ -112,7 +112,7 @@ def forward(p, ids: np.ndarray, h: np.ndarray):
 def _picked(logits: np.ndarray, at: np.ndarray, slope: bool) -> np.ndarray:
     """Log-softmax at one column of each row; with `slope`, logits become its derivatives."""
     rows = np.arange(len(at))
-    if np.abs(logits).max() > 60:  # exp() must not overflow
+    if logits.size and (logits.max() > 60 or logits.min() < -60):  # exp() must not overflow
         logits -= logits.max(axis=1, keepdims=True)
     own = logits[rows, at]
     np.exp(logits, out=logits)
@@ -146,9 +146,13 @@ def outputs(p, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
             if learn:
                 grad["ww"][c], grad["bw"][c] = h[own].T @ d, d.sum(0)
                 dh[own] += d @ p["ww"][c].T
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    return logp[back], dh[back] if learn else None
+    out = np.empty_like(logp)
+    out[order] = logp
+    if not learn:
+        return out, None
+    back = np.empty_like(dh)
+    back[order] = dh
+    return out, back
 
 
 def gradients(p, x: np.ndarray, y: np.ndarray, valid: np.ndarray, h: np.ndarray):
@@ -210,8 +214,9 @@ def train(p: dict, flat: np.ndarray, size: np.ndarray, end: int, width: int = 25
             _, g, h = gradients(p, x, y, valid, h[:alive])
             t += 1
             step = rate / (1 + t / 400) * (1 - 0.99**t) ** 0.5 / (1 - 0.9**t)
+            n = valid.sum()
             for k, q in g.items():
-                q /= valid.sum()
+                q /= n
                 m[k] += 0.1 * (q - m[k])
                 v[k] += 0.01 * (q * q - v[k])
                 p[k] += step * m[k] / (np.sqrt(v[k]) + 1e-6)
@@ -322,18 +327,23 @@ def _numbered(sent):
         for b in batches:
             texts = raw(b, "text")
             for lo, hi in runs(texts, 1 << 23):
-                rows, rest, ends = [], [], [0]
+                if lo == hi:
+                    continue
+                own, rest, ends = [], [], [0]
                 for text in texts[lo:hi]:
                     words = text.lower().split() if text else []
                     words.append(b"")
                     at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
                     rest += [words[i] for i in np.flatnonzero(at >= places.n).tolist()]
                     ends.append(len(rest))
-                    rows.append((len(words), int(places.known[at].sum()), float(places.log[at].sum()), float(off[at].sum()), places.token[at].tobytes()))
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+                    own.append(at)
+                size = np.array([len(x) for x in own])
+                start, at = np.cumsum(size) - size, np.concatenate(own)
+                sums = [np.add.reduceat(x[at].astype(kind), start) for x, kind in ((places.known, np.int64), (places.log, np.float64), (off, np.float64))]
+                ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(np.r_[start, len(at)] * 2), pa.py_buffer(places.token[at])])
                 beyond = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rest, pa.binary()))
                 given = [b.column(c).slice(lo, hi - lo) for c in ("row", "doc_id", "train")]
-                yield pa.RecordBatch.from_arrays([*given, *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], beyond], ["row", "doc_id", "train", "n_tokens", "known", "logs", "off", "ids", "rest"])
+                yield pa.RecordBatch.from_arrays([*given, pa.array(size), *map(pa.array, sums), ids.cast(pa.binary()), beyond], ["row", "doc_id", "train", "n_tokens", "known", "logs", "off", "ids", "rest"])
     return go
 
 
