@@ -29,7 +29,7 @@ HIDDEN, CLASSES, PER_CLASS, RARE = 16, 32, 32, 16
 TOP = CLASSES * PER_CLASS
 #: Counts of this many words are sent to every executor (some 20 MB); those of all others are joined.
 SENT_COUNTS = 200_000
-WINDOW, LANES = 32, 512
+WINDOW, LANES = 32, 256
 #: Training documents are split in these proportions; tokens of a trainer, some. Trainers grow in number with the
 #: corpus and with nothing else.
 PARTS, TRAINED = (1, 3, 12), 2_000_000
@@ -84,72 +84,100 @@ def windows(flat: np.ndarray, start: np.ndarray, size: np.ndarray, end: int):
         yield alive, np.vstack([first[None], y[:-1]]), y, valid
 
 
-def forward(p, ids: np.ndarray, h: np.ndarray):
-    """GRU over ids (time, lane) from state h: all states, the given one first; gates; candidates."""
+def forward(p, ids: np.ndarray, h: np.ndarray, keep: bool = True):
+    """GRU over ids (time, lane) from state h: all states, the given one first; the two gates and the candidates, of
+    the last step alone without `keep`. Each gate lies in an array of its own, so every step is on whole memory."""
     n, (steps, width) = HIDDEN, ids.shape
-    u_zr, u_n = np.ascontiguousarray(p["u"][:, : 2 * n]), np.ascontiguousarray(p["u"][:, 2 * n:])
-    x = p["x"][ids]
-    hs = np.empty((steps + 1, width, n), p["u"].dtype)
+    kind, held = p["u"].dtype, steps if keep else 1
+    # a logistic function is 1 / (1 + exp(-a)), tanh(a) is 2 / (1 + exp(-2a)) - 1: the factors go into the weights
+    factor = np.array([-1, -1, -2], kind)[:, None, None]
+    u, x = np.empty((3, n, n), kind), np.empty((3, ids.size, n), kind)
+    np.multiply(p["u"].reshape(n, 3, n).transpose(1, 0, 2), factor, out=u)
+    np.multiply(p["x"].take(ids.reshape(-1), axis=0).reshape(-1, 3, n).transpose(1, 0, 2), factor, out=x)
+    x = x.reshape(3, steps, width, n)
+    hs = np.empty((steps + 1, width, n), kind)
     hs[0] = h
-    gates, candidates = np.empty((steps, width, 2 * n), hs.dtype), np.empty((steps, width, n), hs.dtype)
-    for t in range(steps):
-        zr, c, new = gates[t], candidates[t], hs[t + 1]
-        np.matmul(hs[t], u_zr, out=zr)
-        zr += x[t, :, : 2 * n]
-        zr *= 0.5  # a logistic gate by way of tanh
-        np.tanh(zr, out=zr)
-        zr *= 0.5
-        zr += 0.5
-        np.matmul(zr[:, n:] * hs[t], u_n, out=c)
-        c += x[t, :, 2 * n:]
-        np.tanh(c, out=c)
-        np.subtract(hs[t], c, out=new)
-        new *= zr[:, :n]
-        new += c
+    gates, candidates, reset = np.empty((2, held, width, n), kind), np.empty((held, width, n), kind), np.empty((width, n), kind)
+    one, two = np.array(1, kind), np.array(2, kind)  # a number of Python's costs as much as a step of one document
+    with np.errstate(over="ignore"):  # exp() of a large number is infinite, and 1 / (1 + that) is 0
+        for t in range(steps):
+            zr, c, prev, new = gates[:, t % held], candidates[t % held], hs[t], hs[t + 1]
+            z, r = zr
+            np.dot(prev, u[0], out=z)
+            np.dot(prev, u[1], out=r)
+            zr += x[:2, t]
+            np.exp(zr, out=zr)
+            zr += one
+            np.reciprocal(zr, out=zr)
+            np.multiply(r, prev, out=reset)
+            np.dot(reset, u[2], out=c)
+            c += x[2, t]
+            np.exp(c, out=c)
+            c += one
+            np.divide(two, c, out=c)
+            c -= one
+            np.subtract(prev, c, out=new)
+            new *= z
+            new += c
     return hs, gates, candidates
 
 
-def _picked(logits: np.ndarray, at: np.ndarray, slope: bool) -> np.ndarray:
-    """Log-softmax at one column of each row; with `slope`, logits become its derivatives."""
-    rows = np.arange(len(at))
-    if logits.size and (logits.max() > 60 or logits.min() < -60):  # exp() must not overflow
+def _picked(logits: np.ndarray, at: np.ndarray, reach: float, slope: bool):
+    """Log-softmax at one column of each row. With `slope`, logits become its derivatives times a factor of each row,
+    which is returned too. No logit lies beyond `reach`."""
+    if reach > 60 and logits.size and (logits.max() > 60 or logits.min() < -60):  # exp() must not overflow
         logits -= logits.max(axis=1, keepdims=True)
-    own = logits[rows, at]
+    flat, place = logits.reshape(-1), np.arange(len(at)) * logits.shape[1] + at
+    own = flat.take(place)
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    if slope:
-        logits *= (-1 / total)[:, None]
-        logits[rows, at] += 1
-    return own - np.log(total)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    own -= np.log(total)
+    if not slope:
+        return own, None
+    flat[place] = flat.take(place) - total
+    return own, -1 / total[:, None]
+
+
+#: The class of each token number.
+_CLASS = np.r_[np.arange(TOP) // PER_CLASS, CLASSES + np.arange(RARE)]
 
 
 def outputs(p, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
     """Natural log-probabilities of the targets (rare words: of their class); with `grad`, that of the output weights is
-    put there, and the states' gradients are returned. Rows are sorted by class, so each class is a slice."""
-    cls = np.where(target < TOP, target // PER_CLASS, target - TOP + CLASSES)
-    order = np.argsort(cls.astype(np.uint8), kind="stable")
-    h, target, cls = h[order], target[order], cls[order]
-    edge = np.searchsorted(cls, np.arange(CLASSES + 1))
-    learn = grad is not None
-    d = h @ p["wc"]
-    d += p["bc"]
-    logp = _picked(d, cls, learn)
-    if learn:
-        grad["wc"], grad["bc"], dh = h.T @ d, d.sum(0), d @ p["wc"].T
-        grad["ww"], grad["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
-    for c in range(CLASSES):
-        own = slice(edge[c], edge[c + 1])
-        if edge[c] < edge[c + 1]:
-            d = h[own] @ p["ww"][c]
-            d += p["bw"][c]
-            logp[own] += _picked(d, target[own] % PER_CLASS, learn)
-            if learn:
-                grad["ww"][c], grad["bw"][c] = h[own].T @ d, d.sum(0)
-                dh[own] += d @ p["ww"][c].T
+    put there, and the states' gradients are returned. Rows are sorted by target, so each class is a slice; a state
+    that is always 1 stands for the biases."""
+    n, kind, learn = HIDDEN, h.dtype, grad is not None
+    order = np.argsort(target.astype(np.uint16), kind="stable")
+    target = target[order]
+    cls = _CLASS[target]
+    edge = np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+    own = [(c, slice(edge[c], edge[c + 1])) for c in range(CLASSES) if edge[c] < edge[c + 1]]
+    h1 = np.empty((len(h), n + 1), kind)
+    h1[:, :n], h1[:, n] = h.take(order, axis=0), 1
+    wc, ww = np.vstack([p["wc"], p["bc"]]), np.concatenate([p["ww"], p["bw"][:, None]], axis=1)
+    most = max(1.0, -h.min(initial=0), h.max(initial=0))
+    a, b = h1 @ wc, np.empty((edge[-1], PER_CLASS), kind)
+    logp, scale_a = _picked(a, cls, most * np.abs(wc).sum(0).max(), learn)
+    for c, rows in own:
+        np.dot(h1[rows], ww[c], out=b[rows])
+    inside, scale_b = _picked(b, target[: edge[-1]] % PER_CLASS, most * np.abs(ww).sum(1).max(), learn)
+    logp[: edge[-1]] += inside
     out = np.empty_like(logp)
     out[order] = logp
     if not learn:
         return out, None
+    g = (h1 * scale_a).T @ a
+    grad["wc"], grad["bc"] = g[:n], g[n]
+    dh, d = a @ p["wc"].T, np.empty((edge[-1], n), kind)
+    dh *= scale_a
+    h1 = h1[: edge[-1]] * scale_b
+    g = np.zeros_like(ww)
+    for c, rows in own:
+        np.dot(h1[rows].T, b[rows], out=g[c])
+        np.dot(b[rows], p["ww"][c].T, out=d[rows])
+    grad["ww"], grad["bw"] = g[:, :n], g[:, n]
+    d *= scale_b
+    dh[: edge[-1]] += d
     back = np.empty_like(dh)
     back[order] = dh
     return out, back
@@ -157,41 +185,53 @@ def outputs(p, h: np.ndarray, target: np.ndarray, grad: dict | None = None):
 
 def gradients(p, x: np.ndarray, y: np.ndarray, valid: np.ndarray, h: np.ndarray):
     """Summed log-probability of a window's valid targets, its gradient in all weights, and the last state."""
-    n, u, g = HIDDEN, p["u"], {}
+    n, g = HIDDEN, {}
     hs, gates, candidates = forward(p, x, h)
-    ok = valid.reshape(-1)
+    ok = np.flatnonzero(valid)
     # a state predicts the token after its input
-    logp, dh = outputs(p, hs[1:].reshape(-1, n)[ok], y.reshape(-1)[ok], g)
-    d_out = np.zeros((ok.size, n), hs.dtype)
-    d_out[ok] = dh
+    logp, dh = outputs(p, hs[1:].reshape(-1, n).take(ok, axis=0), y.reshape(-1).take(ok), g)
+    if len(ok) < valid.size:
+        d_out = np.zeros((valid.size, n), hs.dtype)
+        d_out[ok] = dh
+    else:
+        d_out = dh
     d_out = d_out.reshape(hs[1:].shape)
-    prev, z, r = hs[:-1], gates[:, :, :n], gates[:, :, n:]
-    of_c = (1 - z) * (1 - candidates * candidates)
-    of_gates = gates * (1 - gates)
-    of_gates[:, :, :n] *= prev - candidates
-    of_gates[:, :, n:] *= prev
-    back_gates, back_c = np.ascontiguousarray(u[:, : 2 * n].T), np.ascontiguousarray(u[:, 2 * n:].T)
-    dx, back = np.empty((*x.shape, 3 * n), hs.dtype), np.zeros_like(hs[0])
+    prev, (z, r) = hs[:-1], gates
+    dx, back, through = np.empty((3, *x.shape, n), hs.dtype), np.zeros_like(hs[0]), np.empty_like(hs[0])
+    more = np.empty_like(through)
+    # derivatives of the gates and candidates come first, to be multiplied by what comes back
+    of_z, of_r, of_c = dx
+    np.subtract(1, gates, out=dx[:2])
+    np.multiply(candidates, candidates, out=of_c)
+    np.subtract(1, of_c, out=of_c)
+    of_c *= of_z
+    dx[:2] *= gates
+    of_z *= prev - candidates
+    of_r *= prev
+    u = np.ascontiguousarray(p["u"].reshape(n, 3, n).transpose(1, 2, 0))
     for t in range(len(x) - 1, -1, -1):
-        d, d_gates, d_c = d_out[t], dx[t, :, : 2 * n], dx[t, :, 2 * n:]
+        d = d_out[t]
         d += back
-        np.multiply(d, of_c[t], out=d_c)
-        through = d_c @ back_c
-        np.multiply(of_gates[t, :, :n], d, out=d_gates[:, :n])
-        np.multiply(of_gates[t, :, n:], through, out=d_gates[:, n:])
-        back = d_gates @ back_gates
+        of_c[t] *= d
+        np.dot(of_c[t], u[2], out=through)
+        of_z[t] *= d
+        of_r[t] *= through
+        np.dot(of_z[t], u[0], out=back)
+        np.dot(of_r[t], u[1], out=more)
+        back += more
         d *= z[t]
         through *= r[t]
         back += d
         back += through
-    dx = dx.reshape(-1, 3 * n)
-    g["u"] = np.hstack([prev.reshape(-1, n).T @ dx[:, : 2 * n], (r * prev).reshape(-1, n).T @ dx[:, 2 * n:]])
+    dx, prev = dx.reshape(3, -1, n), prev.reshape(-1, n)
+    g["u"] = np.hstack([prev.T @ dx[0], prev.T @ dx[1], (r.reshape(-1, n) * prev).T @ dx[2]])
     # rows of the input table: sums over equal ids
-    order = np.argsort(x.reshape(-1), kind="stable")
-    ids = x.reshape(-1)[order]
+    ids = x.reshape(-1).astype(np.uint16)
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
     first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
     g["x"] = np.zeros_like(p["x"])
-    g["x"][ids[first]] = np.add.reduceat(dx[order], first, axis=0)
+    g["x"][ids[first]] = np.hstack([np.add.reduceat(d.take(order, axis=0), first, axis=0) for d in dx])
     return logp.sum(), g, hs[-1]
 
 
@@ -205,21 +245,35 @@ def train(p: dict, flat: np.ndarray, size: np.ndarray, end: int, width: int = 25
     """One pass of truncated backpropagation through time (Adam) over documents of `size` tokens, which lie one after
     the other in `flat`."""
     start = np.cumsum(size) - size
-    m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
+    # all weights lie in one array, of which `q` has the parts
+    w = _flat(p)
+    m, v, g, more = (np.zeros_like(w) for _ in range(4))
+    q, slopes = _views(w, p), _views(g, p)
     groups, t = lanes(size, width), 0
     np.random.default_rng(len(size)).shuffle(groups)
     for own in groups:
-        h = np.zeros((len(own), HIDDEN), p["u"].dtype)
+        h = np.zeros((len(own), HIDDEN), w.dtype)
         for alive, x, y, valid in windows(flat, start[own], size[own], end):
-            _, g, h = gradients(p, x, y, valid, h[:alive])
+            _, found, h = gradients(q, x, y, valid, h[:alive])
+            for k, slope in found.items():
+                slopes[k][...] = slope
             t += 1
             step = rate / (1 + t / 400) * (1 - 0.99**t) ** 0.5 / (1 - 0.9**t)
-            n = valid.sum()
-            for k, q in g.items():
-                q /= n
-                m[k] += 0.1 * (q - m[k])
-                v[k] += 0.01 * (q * q - v[k])
-                p[k] += step * m[k] / (np.sqrt(v[k]) + 1e-6)
+            g /= valid.sum()
+            np.multiply(g, 0.1, out=more)
+            m *= 0.9
+            m += more
+            g *= g
+            g *= 0.01
+            v *= 0.99
+            v += g
+            np.sqrt(v, out=g)
+            g += 1e-6
+            np.divide(m, g, out=g)
+            g *= step
+            w += g
+    for k, own in q.items():
+        p[k][...] = own
 
 
 def log_probabilities(p: dict, flat: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
@@ -228,9 +282,10 @@ def log_probabilities(p: dict, flat: np.ndarray, size: np.ndarray, end: int) ->
     for own in lanes(size, LANES):
         h = np.zeros((len(own), HIDDEN), np.float32)
         for alive, x, y, valid in windows(flat, start[own], size[own], end):
-            hs, _, _ = forward(p, x, h[:alive])
-            logp, _ = outputs(p, hs[1:][valid], y[valid])
-            total[own[:alive]] += np.bincount(np.nonzero(valid)[1], weights=logp, minlength=alive)
+            hs, _, _ = forward(p, x, h[:alive], keep=False)
+            ok = np.flatnonzero(valid)
+            logp, _ = outputs(p, hs[1:].reshape(-1, HIDDEN).take(ok, axis=0), y.reshape(-1).take(ok))
+            total[own[:alive]] += np.bincount(ok % alive, weights=logp, minlength=alive)
             h = hs[-1]
     return total
 
@@ -239,10 +294,11 @@ def _flat(p) -> np.ndarray:
     return np.concatenate([p[k].reshape(-1) for k in sorted(p)])
 
 
-def _unflat(flat: np.ndarray, like) -> dict:
+def _views(flat: np.ndarray, like) -> dict:
+    """The parts of `flat` that have the names and shapes of `like`."""
     out, at = {}, 0
     for k in sorted(like):
-        out[k] = flat[at: at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        out[k] = flat[at: at + like[k].size].reshape(like[k].shape)
         at += like[k].size
     return out
 
@@ -294,7 +350,7 @@ def fit(docs: DataFrame, tokens: int, p: dict, end: int, proportions: tuple[int,
         sums = own.select("row", "ids").repartition(n, "row").mapInArrow(_trainer(sent), "chunk int, n double, w array<double>").groupBy("chunk").agg(
             F.sum("n").alias("n"), *[F.sum(F.get("w", F.lit(i))).alias(f"w{i}") for i in range(CHUNK)]).collect()
         if sums:
-            p = _unflat(np.concatenate([np.array(r[2:]) / r[1] for r in sorted(sums)]), p)
+            p = _views(np.concatenate([np.array(r[2:]) / r[1] for r in sorted(sums)]).astype(np.float32), p)
     return p
 
 
